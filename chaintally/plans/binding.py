@@ -176,7 +176,15 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.to_json(doc).alias("value"))
 
 
-# --- staged files for the file sources ---------------------------------------------------------
+# --- staged export files ------------------------------------------------------------------------
+#
+# The export is text files, so the derived lines are written once per
+# session and table under the checkpoint root and read back with the text
+# source, as a real export would be.  Reading the files also stops the
+# optimizer from pushing every rule check into the expression that builds
+# each line (which re-built the line once per rule).
+
+_STAGED: dict[tuple[str, str, str], str] = {}
 
 
 def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
@@ -184,3 +192,30 @@ def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
     path = staging_path(spark, name)
     lines.write.mode("overwrite").text(path)
     return path
+
+
+def staged_lines(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Text lines of a derived export file, written on first use in this
+    application and read with ``spark.read.text`` afterwards."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STAGED.get(key)
+    if path is None:
+        path = stage_text(spark, build(), name)
+        _STAGED[key] = path
+    return spark.read.text(path)
+
+
+def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Staged export files: tx_part, tx_supplier, tx_part_header, contracts,
+    contracts_header, blocks, blocks_header, registry."""
+    builders = {
+        "tx_part": lambda: tx_lines(spark, sf_dir, "part"),
+        "tx_supplier": lambda: tx_lines(spark, sf_dir, "supplier"),
+        "tx_part_header": lambda: with_header(spark, tx_lines(spark, sf_dir, "part"), TRANSACTION_FIELDS),
+        "contracts": lambda: contract_lines(spark, sf_dir),
+        "contracts_header": lambda: with_header(spark, contract_lines(spark, sf_dir), CONTRACT_FIELDS),
+        "blocks": lambda: block_lines(spark, sf_dir),
+        "blocks_header": lambda: with_header(spark, block_lines(spark, sf_dir), BLOCK_FIELDS),
+        "registry": lambda: registry_lines(spark, sf_dir),
+    }
+    return staged_lines(spark, sf_dir, name, builders[name])

@@ -42,7 +42,7 @@ from chaintally.plans import ledger as L
 from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
 from chaintally.sources.export import scan_blocks, scan_contracts, scan_transactions
 from chaintally.sources.lines import field, scan_lines, with_fields
-from chaintally.sources.registry import parse_registry, scan_registry
+from chaintally.sources.registry import scan_registry
 from chaintally.sources.results import (
     load_result,
     read_pair_keys_raw,
@@ -65,52 +65,61 @@ def _double(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _txp(spark, d):
-    return B.tx_lines(spark, d, "part")
+    return B.export_lines(spark, d, "tx_part")
 
 
 def _txs(spark, d):
-    return B.tx_lines(spark, d, "supplier")
+    return B.export_lines(spark, d, "tx_supplier")
+
+
+def _staged_path(spark, d, name):
+    B.export_lines(spark, d, name)
+    return B._STAGED[(spark.sparkContext.applicationId, d.rstrip("/"), name)]
 
 
 def _registry(spark, d):
-    return parse_registry(B.registry_lines(spark, d))
+    return scan_registry(spark, _staged_path(spark, d, "registry"))
+
+
+def _contracts(spark, d):
+    return B.export_lines(spark, d, "contracts")
+
+
+def _blocks(spark, d):
+    return B.export_lines(spark, d, "blocks")
 
 
 def _contracts_with_header(spark, d):
-    return B.with_header(spark, B.contract_lines(spark, d), CONTRACT_FIELDS)
+    return B.export_lines(spark, d, "contracts_header")
 
 
 def _blocks_with_header(spark, d):
-    return B.with_header(spark, B.block_lines(spark, d), BLOCK_FIELDS)
+    return B.export_lines(spark, d, "blocks_header")
 
 
 def _tx_with_header(spark, d):
-    return B.with_header(spark, _txp(spark, d), TRANSACTION_FIELDS)
+    return B.export_lines(spark, d, "tx_part_header")
 
 
 # --- sources -----------------------------------------------------------------------
 
 
 def q_scan_lines(spark, d):
-    path = B.stage_text(spark, _tx_with_header(spark, d), "tx-lines")
-    return scan_lines(spark, path)
+    return scan_lines(spark, _staged_path(spark, d, "tx_part_header"))
 
 
 def q_scan_transactions(spark, d):
-    path = B.stage_text(spark, _tx_with_header(spark, d), "tx-csv")
-    typed = scan_transactions(spark, path)
+    typed = scan_transactions(spark, _staged_path(spark, d, "tx_part_header"))
     return typed.select("hash", "to_address", F.col("value").cast("bigint").alias("value"),
                         "gas", "block_timestamp")
 
 
 def q_scan_blocks(spark, d):
-    path = B.stage_text(spark, _blocks_with_header(spark, d), "blocks-csv")
-    return scan_blocks(spark, path).select("number", "miner", "size", "timestamp")
+    return scan_blocks(spark, _staged_path(spark, d, "blocks_header")).select("number", "miner", "size", "timestamp")
 
 
 def _scan_contracts(spark, d, mode):
-    path = B.stage_text(spark, _contracts_with_header(spark, d), "contracts-csv")
-    typed = scan_contracts(spark, path, csv_mode=mode)
+    typed = scan_contracts(spark, _staged_path(spark, d, "contracts_header"), csv_mode=mode)
     return typed.select("address", F.size("function_sighashes").alias("n_signatures"), "is_erc20")
 
 
@@ -120,8 +129,7 @@ def _entries_out(entries: DataFrame) -> DataFrame:
 
 
 def q_scan_registry(spark, d):
-    path = B.stage_text(spark, B.registry_lines(spark, d), "registry-json")
-    return _entries_out(registry_entries(scan_registry(spark, path)))
+    return _entries_out(registry_entries(scan_registry(spark, _staged_path(spark, d, "registry"))))
 
 
 # --- filters and validators ------------------------------------------------------------
@@ -194,18 +202,18 @@ def q_filter_category(spark, d):
 
 
 def _top_contracts(spark, d):
-    return _double(L.top_contracts(_txp(spark, d), B.contract_lines(spark, d)), "total_value")
+    return _double(L.top_contracts(_txp(spark, d), _contracts(spark, d)), "total_value")
 
 
 def q_filter_in_set(spark, d):
-    top = L.top_contracts(_txp(spark, d), B.contract_lines(spark, d))
+    top = L.top_contracts(_txp(spark, d), _contracts(spark, d))
     rows = L.gas_rows_in_set(_txp(spark, d), top, row_bound=10)
     return rows.groupBy("address").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_read_pair_result(spark, d):
     path = staging_path(spark, "top-contracts-pairs")
-    save_top_pairs(L.contract_totals(_txp(spark, d), B.contract_lines(spark, d)), path,
+    save_top_pairs(L.contract_totals(_txp(spark, d), _contracts(spark, d)), path,
                    "address", "total_value", [F.col("total_value").desc(), F.col("address")], 10)
     pairs = read_pair_result(spark, path)
     return pairs.select(F.col("rank").cast("int").alias("rank"), "key",
@@ -214,7 +222,7 @@ def q_read_pair_result(spark, d):
 
 def q_trim_chars(spark, d):
     path = staging_path(spark, "top-contracts-pairs")
-    save_top_pairs(L.contract_totals(_txp(spark, d), B.contract_lines(spark, d)), path,
+    save_top_pairs(L.contract_totals(_txp(spark, d), _contracts(spark, d)), path,
                    "address", "total_value", [F.col("total_value").desc(), F.col("address")], 10)
     return read_pair_keys_raw(spark, path)
 
@@ -278,8 +286,8 @@ def q_chart_series(spark, d):
 
 def q_monthly_value_stream(spark, d):
     from chaintally.streaming.monthly import run_monthly_value_stream
-    path = B.stage_text(spark, _txp(spark, d), "tx-stream")
-    return run_monthly_value_stream(spark, path, staging_path(spark, "tx-stream-state"))
+    return run_monthly_value_stream(spark, _staged_path(spark, d, "tx_part"),
+                                    staging_path(spark, "tx-stream-state"))
 
 
 QUERIES: dict[str, Query] = {
@@ -324,13 +332,13 @@ QUERIES: dict[str, Query] = {
     "registry_counts": lambda s, d: address_counts(L.scam_members(_registry(s, d))),
     # C2 contracts
     "recipient_totals": lambda s, d: _double(L.recipient_totals(_txp(s, d)), "total_value"),
-    "contract_totals": lambda s, d: _double(L.contract_totals(_txp(s, d), B.contract_lines(s, d)), "total_value"),
+    "contract_totals": lambda s, d: _double(L.contract_totals(_txp(s, d), _contracts(s, d)), "total_value"),
     "top_contracts": _top_contracts,
     "top_contracts_compat": lambda s, d: _double(L.top_contracts(
-        _txp(s, d), B.contract_lines(s, d), csv_mode="naive", bag=True), "total_value"),
+        _txp(s, d), _contracts(s, d), csv_mode="naive", bag=True), "total_value"),
     # C3 miners
-    "miner_totals": lambda s, d: L.miner_totals(B.block_lines(s, d)),
-    "top_miners": lambda s, d: L.top_miners(B.block_lines(s, d)),
+    "miner_totals": lambda s, d: L.miner_totals(_blocks(s, d)),
+    "top_miners": lambda s, d: L.top_miners(_blocks(s, d)),
     # C4 overhead
     "hex_bits": q_hex_bits,
     "overhead_columns": _overhead_columns,
@@ -340,8 +348,8 @@ QUERIES: dict[str, Query] = {
     "monthly_gas": lambda s, d: L.monthly_gas(_txp(s, d)),
     "global_mean_gas": lambda s, d: L.global_mean_gas(_txp(s, d)),
     "recipient_mean_gas": lambda s, d: L.recipient_mean_gas(
-        _txp(s, d), L.top_contracts(_txp(s, d), B.contract_lines(s, d)), row_bound=10),
-    "above_below_mean": lambda s, d: L.above_below_mean(_txp(s, d), B.contract_lines(s, d)),
+        _txp(s, d), L.top_contracts(_txp(s, d), _contracts(s, d)), row_bound=10),
+    "above_below_mean": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d)),
     # C7 scam ids
     "scam_id_join": lambda s, d: _bigint(L.scam_value_by_address(_txs(s, d), _registry(s, d)), "total_value"),
     "scam_id_totals": lambda s, d: _scam_totals(s, d, True),
