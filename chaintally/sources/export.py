@@ -14,12 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import (
-    is_integer,
-    is_nonempty,
-    parse_long,
-    parse_wei,
-)
+from chaintally.functions.parse import is_nonempty, parse_long, parse_wei
 from chaintally.operators.validate import (
     REASON,
     Rule,
@@ -83,11 +78,13 @@ def _is_bool(c: Column) -> Column:
 
 
 def _check(f: Field, c: Column) -> Column:
+    # numbers must match the integer rule *and* fit the type (a 78-digit
+    # uint256 matches but does not fit decimal(38,0): reject, do not NULL)
     base = {
         "text": is_nonempty(c),
-        "long": is_integer(c),
-        "int": is_integer(c),
-        "wei": is_integer(c),
+        "long": parse_long(c).isNotNull(),
+        "int": parse_long(c).try_cast("int").isNotNull(),
+        "wei": parse_wei(c).isNotNull(),
         "bool": _is_bool(c),
         "list": F.lit(True),
     }[f.base]
@@ -103,7 +100,7 @@ def _typed(f: Field, c: Column) -> Column:
     elif f.base == "long":
         value = parse_long(c)
     elif f.base == "int":
-        value = parse_long(c).cast("int")
+        value = parse_long(c).try_cast("int")
     elif f.base == "wei":
         value = parse_wei(c)
     elif f.base == "bool":
