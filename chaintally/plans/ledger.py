@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chaintally.functions.parse import parse_amount, parse_long, parse_wei
-from chaintally.functions.scalar import bits_to_gb, hex_bits, month_key
+from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of, month_key
 from chaintally.operators.aggregate import global_mean, means_by, totals_by
 from chaintally.operators.join import BROADCAST_ROW_BOUND, has_at_most
 from chaintally.operators.rank import above_below, top_k
@@ -34,6 +34,7 @@ from chaintally.operators.validate import (
     block_miner,
     contract_rules,
     keep_valid,
+    passes,
     tx_gas,
     tx_gas_only,
     tx_recipient,
@@ -102,7 +103,11 @@ def contract_totals(tx_lines: DataFrame, contract_lines: DataFrame,
     """
     totals = recipient_totals(tx_lines)
     contracts = contract_addresses(contract_lines, csv_mode)
-    small = has_at_most(contracts)  # checked before de-duplication: reads few rows
+    small = has_at_most(contracts)  # reads at most bound + 1 rows
+    if small and not bag:
+        # a broadcast semi-join needs no de-duplication, and Catalyst may
+        # apply it to the scanned rows before they are aggregated
+        return totals.join(F.broadcast(contracts), "address", "left_semi")
     if not bag:
         contracts = contracts.distinct()
     if small:
@@ -200,17 +205,61 @@ def recipient_mean_gas(tx_lines: DataFrame, addresses: DataFrame,
     return means.orderBy(F.col("avg_gas").desc(), F.col("address"))
 
 
+def recipient_profile(tx_lines: DataFrame, lenient: bool = False, with_total: bool = False) -> DataFrame:
+    """One aggregate per recipient holding everything the gas comparison needs.
+
+    address, total_value / n_value (recipient-value rule), gas_total /
+    n_gas (15 fields and a gas number: the per-address mean), and
+    gas_total_all / n_gas_all (the overall-mean rule; equal to the former
+    unless ``lenient``).  Contract creations keep their empty address.
+    ``with_total=True`` adds one grand-total row (``is_total`` = 1) from the
+    same aggregate (a rollup: each task pre-sums its rows for it).
+    """
+    lines = with_fields(tx_lines)
+    value_ok = passes(tx_recipient())
+    gas_ok = passes(tx_gas_only())
+    all_ok = passes(tx_gas_only(lenient)) if lenient else gas_ok
+    gas = parse_amount(_tx("gas"))
+    rows = lines.where(value_ok | all_ok).select(
+        _tx("to_address").alias("address"),
+        F.when(value_ok, parse_amount(_tx("value"))).alias("value"),
+        F.when(gas_ok, gas).alias("gas"),
+        F.when(all_ok, gas).alias("gas_all"),
+        value_ok.alias("value_ok"), gas_ok.alias("gas_ok"), all_ok.alias("all_ok"))
+    grouped = rows.rollup("address") if with_total else rows.groupBy("address")
+    extra = [F.grouping("address").alias("is_total")] if with_total else []
+    return grouped.agg(
+        F.sum("value").alias("total_value"), F.count_if("value_ok").alias("n_value"),
+        F.sum("gas").alias("gas_total"), F.count_if("gas_ok").alias("n_gas"),
+        F.sum("gas_all").alias("gas_total_all"), F.count_if("all_ok").alias("n_gas_all"), *extra)
+
+
 def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10,
                      csv_mode: str = "quoted", lenient: bool = False) -> DataFrame:
     """Top-k contracts' mean gas against the mean over all transactions.
 
-    address, avg_gas, global_avg, side ("above" when ``>=``).  The overall
-    mean is a scalar subquery, not a cross join.
+    address, avg_gas, global_avg, side ("above" when ``>=``).
+
+    One scan and one shuffle: the per-recipient profile is aggregated with a
+    grand-total row (rollup), contracts are flagged by a join, and a single
+    ``limit(k + 1)`` ordered "total row first, then value" keeps the total
+    row and the top k contracts.  The overall mean is then read from the
+    total row by a window over those k + 1 rows only — no cross join, no
+    second pass over the transactions.
     """
-    top = top_contracts(tx_lines, contract_lines, k, csv_mode)
-    per = recipient_mean_gas(tx_lines, top, row_bound=k)
-    mean = global_mean_gas(tx_lines, lenient).scalar()
-    return above_below(per, "avg_gas", mean)
+    profile = recipient_profile(tx_lines, lenient, with_total=True)
+    contracts = contract_addresses(contract_lines, csv_mode).distinct().withColumn("is_contract", F.lit(True))
+    if has_at_most(contracts):
+        contracts = F.broadcast(contracts)
+    flagged = profile.join(contracts, "address", "left")
+    candidates = flagged.where((F.col("is_total") == 1) | (F.col("is_contract") & (F.col("n_value") > 0)))
+    head = candidates.orderBy(F.col("is_total").desc(), F.col("total_value").desc_nulls_last(),
+                              F.col("address")).limit(k + 1)
+    overall = F.max(F.when(F.col("is_total") == 1, mean_of(F.col("gas_total_all"), F.col("n_gas_all"))))
+    with_mean = head.withColumn("global_avg", overall.over(Window.partitionBy()))
+    per = with_mean.where((F.col("is_total") == 0) & (F.col("n_gas") > 0)).select(
+        "address", mean_of(F.col("gas_total"), F.col("n_gas")).alias("avg_gas"), "global_avg")
+    return above_below(per, "avg_gas", F.col("global_avg")).orderBy(F.col("avg_gas").desc(), F.col("address"))
 
 
 # --- C7 / C8 scams ------------------------------------------------------------------------
@@ -226,7 +275,7 @@ def _prefilter(rows: DataFrame, members: DataFrame, small: bool) -> tuple[DataFr
     then also drop non-member transactions before they are aggregated."""
     if small:
         members = F.broadcast(members)
-        rows = rows.join(F.broadcast(members.select("address").distinct()), "address", "left_semi")
+        rows = rows.join(F.broadcast(members.select("address")), "address", "left_semi")
     return rows, members
 
 

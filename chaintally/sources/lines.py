@@ -50,8 +50,16 @@ def split_line(line, mode: str = "naive") -> Column:
 
 
 def with_fields(lines: DataFrame, mode: str = "naive", line: str = LINE) -> DataFrame:
-    """Add the ``fields`` array to a line collection (split once per line)."""
-    return lines.withColumn(FIELDS, split_line(line, mode))
+    """The line collection with its ``fields`` array, split once per line.
+
+    The split goes through a one-element ``inline``: filters on the fields
+    cannot be pushed below a generator, so the optimizer does not copy the
+    split into every rule check (which split each line once per rule and
+    made the scan stage about twice as slow).
+    """
+    others = [F.col(c) for c in lines.columns if c not in (line, FIELDS)]
+    row = F.struct(*others, F.col(line).alias(line), split_line(line, mode).alias(FIELDS))
+    return lines.select(F.inline(F.array(row)))
 
 
 def field(i: int, fields: str = FIELDS) -> Column:
