@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chaintally.schemas import MONTH_FORMAT
+from chaintally.session import materialize
 
 
 def top_k(df: DataFrame, measure: str, key: str, k: int = 10) -> DataFrame:
@@ -44,14 +45,20 @@ def month_label_to_date(c) -> Column:
     return F.to_date(F.concat(c, F.lit("/01")), MONTH_FORMAT + "/dd")
 
 
-def zero_fill(series: DataFrame, month: str, key: str, value: str) -> DataFrame:
+def zero_fill(series: DataFrame, month: str, key: str, value: str,
+              materialize_input: bool = True) -> DataFrame:
     """Add a zero row for every month without a value, per key.
 
     The month axis runs from the first to the last month of the whole
     series (one common axis for all keys).  The axis is generated per key
     with ``sequence`` and ``explode`` — no cross join — and the series is
     attached with a left equi-join on (key, month).
+
+    The series is read by four branches (bounds, keys, values), so it is
+    checkpointed first: the job that computes it runs once.
     """
+    if materialize_input:
+        series = materialize(series)
     first = series.agg(F.min(month_label_to_date(month))).scalar()
     last = series.agg(F.max(month_label_to_date(month))).scalar()
     keys = series.select(key).distinct()

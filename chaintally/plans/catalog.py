@@ -347,6 +347,11 @@ QUERIES: dict[str, Query] = {
     # C5 / C6 gas
     "monthly_gas": lambda s, d: L.monthly_gas(_txp(s, d)),
     "global_mean_gas": lambda s, d: L.global_mean_gas(_txp(s, d)),
+    "global_mean_gas_compat": lambda s, d: L.global_mean_gas(_txp(s, d), lenient=True),
+    "above_below_mean_compat": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d),
+                                                               csv_mode="naive", lenient=True),
+    "contract_totals_compat": lambda s, d: _double(L.contract_totals(
+        _txp(s, d), _contracts(s, d), csv_mode="naive", bag=True), "total_value"),
     "recipient_mean_gas": lambda s, d: L.recipient_mean_gas(
         _txp(s, d), L.top_contracts(_txp(s, d), _contracts(s, d)), row_bound=10),
     "above_below_mean": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d)),

@@ -351,6 +351,17 @@ SELECT {month_of(F_TS)} AS month,
 FROM txf WHERE {V4} GROUP BY 1"""
     q["global_mean_gas"] = with_(txp) + f"""
 SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_STRICT}"""
+    q["global_mean_gas_compat"] = with_(txp) + f"""
+SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_LENIENT}"""
+    q["contract_totals_compat"] = contract_totals_sql(naive=True, bag=True)
+    top_naive = top(contract_totals_sql(naive=True), "total_value", "address")
+    q["above_below_mean_compat"] = (
+        f"WITH per AS ({with_(txp, f'top10 AS ({top_naive})')}"
+        f"SELECT f[7] AS address, CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas "
+        f"FROM txf WHERE {V5_STRICT} AND f[7] IN (SELECT address FROM top10) GROUP BY 1), "
+        f"g AS ({q['global_mean_gas_compat']})\n"
+        "SELECT address, avg_gas, (SELECT avg_gas FROM g) AS global_avg, "
+        "CASE WHEN avg_gas >= (SELECT avg_gas FROM g) THEN 'above' ELSE 'below' END AS side FROM per")
     q["filter_in_set"] = _gas_in_set_sql("f[7] AS address, count(*) AS n", "GROUP BY 1")
     q["recipient_mean_gas"] = _gas_in_set_sql(
         f"f[7] AS address, CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas", "GROUP BY 1")

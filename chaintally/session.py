@@ -54,3 +54,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of an intermediate result that several branches read.
+
+    A reliable checkpoint into the shared checkpoint folder: the upstream
+    job runs once, the branches read the written rows, and a lost executor
+    does not force the upstream job to run again.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
