@@ -25,12 +25,25 @@ OK = "ok"
 
 @dataclass(frozen=True)
 class Rule:
-    """A named line check; ``check()`` builds a boolean Column (True = keep)."""
+    """A named line check; ``check()`` builds a boolean Column (True = keep).
+
+    ``key`` names the column that holds the outcome in a parsed (ingested)
+    table; where the frame has that column, the stored outcome is used
+    instead of re-checking the text, so the check becomes a pushed-down
+    boolean filter on a Parquet scan.
+    """
 
     reason: str
     check: Callable[[], Column]
+    key: str = ""
+
+    @property
+    def outcome(self) -> str:
+        return self.key or "ok_" + self.reason.replace(":", "_")
 
-    def column(self) -> Column:
+    def column(self, df: DataFrame | None = None) -> Column:
+        if df is not None and self.outcome in df.columns:
+            return F.col(self.outcome)
         return F.coalesce(self.check(), F.lit(False))
 
 
@@ -66,7 +79,8 @@ def lenient_count(n: int, i: int) -> Rule:
     was meant.  A short line with no field ``i`` is rejected (the original
     raised there).
     """
-    return Rule("arity", lambda: (arity() == n) | ((arity() > i) & is_nonempty(field(i))))
+    return Rule("arity", lambda: (arity() == n) | ((arity() > i) & is_nonempty(field(i))),
+                key="ok_arity_lenient")
 
 
 # --- rule sets (one per published job) -------------------------------------
@@ -146,33 +160,43 @@ RULE_SETS: dict[str, Callable[[], list[Rule]]] = {
 # --- applying rules ----------------------------------------------------------
 
 
-def passes(rules: Sequence[Rule]) -> Column:
+def passes(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     """One boolean: every rule holds."""
-    return reduce(lambda a, b: a & b, [r.column() for r in rules])
+    return reduce(lambda a, b: a & b, [r.column(df) for r in rules])
 
 
-def reject_reason(rules: Sequence[Rule]) -> Column:
+def reject_reason(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     """Reason of the first failing rule, NULL when all hold."""
     expr = None
     for r in rules:
-        cond = ~r.column()
+        cond = ~r.column(df)
         expr = F.when(cond, F.lit(r.reason)) if expr is None else expr.when(cond, F.lit(r.reason))
     return expr
 
 
+def outcome_columns(rules: Sequence[Rule]) -> list[Column]:
+    """Each rule's outcome as a named boolean column (for a parsed table)."""
+    seen, cols = set(), []
+    for r in rules:
+        if r.outcome not in seen:
+            seen.add(r.outcome)
+            cols.append(r.column().alias(r.outcome))
+    return cols
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``reject_reason`` to a frame holding ``fields``."""
-    return df.withColumn(REASON, reject_reason(rules))
+    """Add ``reject_reason`` to a frame holding ``fields`` (or outcomes)."""
+    return df.withColumn(REASON, reject_reason(rules, df))
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Only the lines every rule accepts."""
-    return df.where(passes(rules))
+    return df.where(passes(rules, df))
 
 
 def reason_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Lines per outcome: ``reason`` is "ok" for kept lines, else the reason."""
-    return (df.select(F.coalesce(reject_reason(rules), F.lit(OK)).alias("reason"))
+    return (df.select(F.coalesce(reject_reason(rules, df), F.lit(OK)).alias("reason"))
               .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -198,7 +222,7 @@ def observe_quality(df: DataFrame, rules: Sequence[Rule], name: str = "quality")
     ``observation.get`` after the first action on ``kept_rows``.
     """
     obs = Observation(name)
-    ok = passes(rules)
+    ok = passes(rules, df)
     observed = df.observe(obs, F.count(F.lit(1)).alias("lines"),
                           F.count_if(ok).alias("kept"))
     return observed.where(ok), obs

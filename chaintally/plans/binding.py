@@ -205,6 +205,22 @@ def staged_lines(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     return spark.read.text(path)
 
 
+def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parsed Parquet table of a staged export file (tx_part, tx_supplier,
+    blocks), ingested once per application: the text is parsed one time."""
+    from chaintally.sources.parsed import parsed_blocks, parsed_transactions
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name + "@parquet")
+    path = _STAGED.get(key)
+    if path is None:
+        lines = export_lines(spark, sf_dir, name)
+        parsed = parsed_blocks(lines) if name.startswith("blocks") else parsed_transactions(lines)
+        path = staging_path(spark, name + "-parquet")
+        parsed.write.mode("overwrite").parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(path)
+
+
 def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Staged export files: tx_part, tx_supplier, tx_part_header, contracts,
     contracts_header, blocks, blocks_header, registry."""

@@ -290,6 +290,17 @@ def q_monthly_value_stream(spark, d):
                                     staging_path(spark, "tx-stream-state"))
 
 
+def _pq(spark, d, name):
+    return B.ingested(spark, d, name)
+
+
+def q_ingest_transactions(spark, d):
+    """The parsed Parquet table, read back (a few columns and outcomes)."""
+    t = _pq(spark, d, "tx_part")
+    return t.select("hash", "to_address", F.col("value").cast("double").alias("value"), "month",
+                    "ok_arity", "ok_number_value", "ok_integer_block_timestamp")
+
+
 QUERIES: dict[str, Query] = {
     # C1 monthly activity
     "monthly_value": lambda s, d: L.monthly_value(_txp(s, d)),
@@ -372,4 +383,14 @@ QUERIES: dict[str, Query] = {
     "chart_series": q_chart_series,
     # streaming form of C1
     "monthly_value_stream": q_monthly_value_stream,
+    # the same questions over the once-ingested Parquet form (column pruning,
+    # rule outcomes pushed into the scan)
+    "ingest_transactions": q_ingest_transactions,
+    "monthly_value_columnar": lambda s, d: L.monthly_value(_pq(s, d, "tx_part")),
+    "monthly_gas_columnar": lambda s, d: L.monthly_gas(_pq(s, d, "tx_part")),
+    "top_contracts_columnar": lambda s, d: _double(L.top_contracts(_pq(s, d, "tx_part"), _contracts(s, d)), "total_value"),
+    "above_below_mean_columnar": lambda s, d: L.above_below_mean(_pq(s, d, "tx_part"), _contracts(s, d)),
+    "top_miners_columnar": lambda s, d: L.top_miners(_pq(s, d, "blocks")),
+    "top_scams_columnar": lambda s, d: _bigint(L.top_scams(_pq(s, d, "tx_supplier"), _registry(s, d)), "total_value"),
+    "scam_monthly_columnar": lambda s, d: _bigint(L.scam_monthly(_pq(s, d, "tx_supplier"), _registry(s, d)), "total_value"),
 }

@@ -1,7 +1,9 @@
 """The published ledger questions as DataFrame programs.
 
 Inputs are line collections (``DataFrame[value: string]``, e.g. from
-``scan_lines``) or a registry frame (``scan_registry``).  Each function only
+``scan_lines``), or the parsed tables of ``sources/parsed.py`` (e.g. read
+from Parquet after a one-time ingest), and a registry frame
+(``scan_registry``).  Each function only
 builds a plan — no action — except where a small side's size is checked
 before choosing a broadcast, so callers can compose them and Catalyst sees
 the whole query.
@@ -43,6 +45,7 @@ from chaintally.operators.validate import (
 )
 from chaintally.schemas import FIELD_INDEX, HEX_BLOCK_FIELDS
 from chaintally.sources.lines import field, with_fields
+from chaintally.sources.parsed import parsed_blocks, parsed_transactions
 
 TX = FIELD_INDEX["transactions"]
 BLK = FIELD_INDEX["blocks"]
@@ -58,9 +61,7 @@ def _tx(name: str) -> Column:
 
 def monthly_value(tx_lines: DataFrame) -> DataFrame:
     """Transactions per UTC month and mean value (wei): month, n, avg_value."""
-    rows = keep_valid(with_fields(tx_lines), tx_value_time()).select(
-        month_key(parse_long(_tx("block_timestamp"))).alias("month"),
-        parse_amount(_tx("value")).alias("value"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_value_time()).select("month", "value")
     return means_by(rows, ["month"], {"avg_value": F.col("value")}, "n").orderBy("month")
 
 
@@ -73,9 +74,8 @@ def recipient_totals(tx_lines: DataFrame, exact: bool = False) -> DataFrame:
     ``exact=False`` accepts any number text (as the float-based published
     job did); ``exact=True`` requires whole wei.
     """
-    parse = parse_wei if exact else parse_amount
-    rows = keep_valid(with_fields(tx_lines), tx_recipient(exact)).select(
-        _tx("to_address").alias("address"), parse(_tx("value")).alias("value"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact)).select(
+        F.col("to_address").alias("address"), F.col("value_wei" if exact else "value").alias("value"))
     return totals_by(rows, ["address"], "value", "total_value")
 
 
@@ -126,8 +126,7 @@ def top_contracts(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10,
 
 def miner_totals(block_lines: DataFrame) -> DataFrame:
     """Total block size per miner: miner, total_size."""
-    rows = keep_valid(with_fields(block_lines), block_miner()).select(
-        field(BLK["miner"]).alias("miner"), parse_long(field(BLK["size"])).alias("size"))
+    rows = keep_valid(parsed_blocks(block_lines), block_miner()).select("miner", "size")
     return totals_by(rows, ["miner"], "size", "total_size")
 
 
@@ -157,8 +156,8 @@ def overhead_total(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def block_hex_frame(block_lines: DataFrame) -> DataFrame:
     """Valid block lines with the five hex columns named."""
-    rows = keep_valid(with_fields(block_lines), block_any())
-    return rows.select(*[field(BLK[c]).alias(c) for c in HEX_BLOCK_FIELDS])
+    rows = keep_valid(parsed_blocks(block_lines), block_any())
+    return rows.select(*HEX_BLOCK_FIELDS)
 
 
 # --- C5 monthly gas ------------------------------------------------------------------
@@ -166,10 +165,7 @@ def block_hex_frame(block_lines: DataFrame) -> DataFrame:
 
 def monthly_gas(tx_lines: DataFrame) -> DataFrame:
     """Mean gas and mean gas price per month: month, avg_gas, avg_gas_price."""
-    rows = keep_valid(with_fields(tx_lines), tx_gas()).select(
-        month_key(parse_long(_tx("block_timestamp"))).alias("month"),
-        parse_amount(_tx("gas")).alias("gas"),
-        parse_amount(_tx("gas_price")).alias("gas_price"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_gas()).select("month", "gas", "gas_price")
     means = {"avg_gas": F.col("gas"), "avg_gas_price": F.col("gas_price")}
     return means_by(rows, ["month"], means, None).orderBy("month")
 
@@ -179,8 +175,8 @@ def monthly_gas(tx_lines: DataFrame) -> DataFrame:
 
 def global_mean_gas(tx_lines: DataFrame, lenient: bool = False) -> DataFrame:
     """One row: avg_gas over all transactions (``lenient`` = published count)."""
-    rows = keep_valid(with_fields(tx_lines), tx_gas_only(lenient))
-    return global_mean(rows, parse_amount(_tx("gas")), "avg_gas")
+    rows = keep_valid(parsed_transactions(tx_lines), tx_gas_only(lenient))
+    return global_mean(rows, F.col("gas"), "avg_gas")
 
 
 def gas_rows_in_set(tx_lines: DataFrame, addresses: DataFrame, row_bound: int | None) -> DataFrame:
@@ -189,8 +185,8 @@ def gas_rows_in_set(tx_lines: DataFrame, addresses: DataFrame, row_bound: int |
     ``addresses`` with a known ``row_bound`` (a top-k list) is broadcast, so
     the membership test runs inside the scan stage.
     """
-    rows = keep_valid(with_fields(tx_lines), tx_gas_only()).select(
-        _tx("to_address").alias("address"), parse_amount(_tx("gas")).alias("gas"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_gas_only()).select(
+        F.col("to_address").alias("address"), "gas")
     keys = addresses.select("address")
     if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND:
         keys = F.broadcast(keys)
@@ -215,14 +211,14 @@ def recipient_profile(tx_lines: DataFrame, lenient: bool = False, with_total: bo
     ``with_total=True`` adds one grand-total row (``is_total`` = 1) from the
     same aggregate (a rollup: each task pre-sums its rows for it).
     """
-    lines = with_fields(tx_lines)
-    value_ok = passes(tx_recipient())
-    gas_ok = passes(tx_gas_only())
-    all_ok = passes(tx_gas_only(lenient)) if lenient else gas_ok
-    gas = parse_amount(_tx("gas"))
-    rows = lines.where(value_ok | all_ok).select(
-        _tx("to_address").alias("address"),
-        F.when(value_ok, parse_amount(_tx("value"))).alias("value"),
+    parsed = parsed_transactions(tx_lines)
+    value_ok = passes(tx_recipient(), parsed)
+    gas_ok = passes(tx_gas_only(), parsed)
+    all_ok = passes(tx_gas_only(lenient), parsed) if lenient else gas_ok
+    gas = F.col("gas")
+    rows = parsed.where(value_ok | all_ok).select(
+        F.col("to_address").alias("address"),
+        F.when(value_ok, F.col("value")).alias("value"),
         F.when(gas_ok, gas).alias("gas"),
         F.when(all_ok, gas).alias("gas_all"),
         value_ok.alias("value_ok"), gas_ok.alias("gas_ok"), all_ok.alias("all_ok"))
@@ -285,8 +281,8 @@ def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool
     small = has_at_most(members)  # checked before de-duplication: reads few rows
     if dedupe:
         members = dedupe_members(members, ["scam_id"])
-    rows = keep_valid(with_fields(tx_lines), tx_recipient(exact=True)).select(
-        _tx("to_address").alias("address"), parse_wei(_tx("value")).alias("value"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact=True)).select(
+        F.col("to_address").alias("address"), F.col("value_wei").alias("value"))
     rows, members = _prefilter(rows, members, small)
     totals = totals_by(rows, ["address"], "value", "total_value")
     return totals.join(members, "address", "inner").select("address", "scam_id", "total_value")
@@ -314,10 +310,8 @@ def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool =
     small = has_at_most(members)
     if dedupe:
         members = dedupe_members(members, ["category"])
-    rows = keep_valid(with_fields(tx_lines), tx_recipient_time()).select(
-        _tx("to_address").alias("address"),
-        month_key(parse_long(_tx("block_timestamp"))).alias("month"),
-        parse_wei(_tx("value")).alias("value"))
+    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient_time()).select(
+        F.col("to_address").alias("address"), "month", F.col("value_wei").alias("value"))
     rows, members = _prefilter(rows, members, small)
     per_month = totals_by(rows, ["address", "month"], "value", "value")
     return per_month.join(members, "address", "inner").select("address", "month", "category", "value")

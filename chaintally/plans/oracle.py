@@ -412,4 +412,12 @@ FROM axis a LEFT JOIN s ON a.category = s.category AND a.month = s.month"""
     cols = ", ".join(f"max(CASE WHEN category = {_q(c)} THEN total_value END) AS \"{c}\"" for c in ALL_CATEGORIES)
     q["chart_series"] = f"SELECT month, {cols} FROM ({q['zero_filled_series']}) GROUP BY month"
     q["monthly_value_stream"] = q["monthly_value"]
+    q["ingest_transactions"] = with_(txp) + f"""
+SELECT f[1] AS hash, f[7] AS to_address, CAST(TRY_CAST(trim({F_VALUE}) AS {AMOUNT}) AS DOUBLE) AS value,
+       CASE WHEN {integer(F_TS)} THEN {month_of(F_TS)} END AS month,
+       len(f) = 15 AS ok_arity, {num(F_VALUE)} AS ok_number_value, {integer(F_TS)} AS ok_integer_block_timestamp
+FROM txf"""
+    for key in ("monthly_value", "monthly_gas", "top_contracts", "above_below_mean", "top_miners",
+                "top_scams", "scam_monthly"):
+        q[key + "_columnar"] = q[key]
     return q

@@ -6,6 +6,7 @@ from chaintally.operators.validate import keep_valid, tx_gas, tx_value_time
 from chaintally.plans import binding as B
 from chaintally.plans import ledger as L
 from chaintally.sources.lines import with_fields
+from chaintally.sources.parsed import parsed_transactions
 from chaintally.sources.registry import scan_registry
 
 from conftest import SF_SMALL
@@ -20,14 +21,14 @@ def test_monthly_counts_add_up_to_valid_lines(spark):
 
 def test_count_weighted_monthly_gas_equals_overall_mean(spark):
     txl = B.export_lines(spark, SF_SMALL, "tx_part")
-    rows = keep_valid(with_fields(txl), tx_gas()).select(L.parse_amount(L._tx("gas")).alias("g"))
+    parsed = parsed_transactions(txl)
+    rows = keep_valid(parsed, tx_gas()).select(F.col("gas").alias("g"))
     overall = rows.agg(F.avg("g")).first()[0]
     counts = {r.month: r.n for r in L.monthly_value(txl).collect()}
     gas = L.monthly_gas(txl).collect()
     n = keep_valid(with_fields(txl), tx_gas()).count()
     # monthly_value's counts use another rule set; weight by the gas rule's own counts
-    per_month = keep_valid(with_fields(txl), tx_gas()).groupBy(
-        L.month_key(L.parse_long(L._tx("block_timestamp"))).alias("month")).count().collect()
+    per_month = keep_valid(parsed, tx_gas()).groupBy("month").count().collect()
     weights = {r.month: r["count"] for r in per_month}
     weighted = sum(r.avg_gas * weights[r.month] for r in gas) / n
     assert abs(weighted - float(overall)) < 1e-9 * float(overall)
