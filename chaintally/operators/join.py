@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_BOUND = 200_000
 
 
-def has_at_most(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> bool:
+def has_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
     """Size check of a candidate small side: reads at most ``max_rows + 1``
-    rows (the limit stops the scan early), never the whole side."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    rows (the limit stops the scan early), never the whole side.
+    ``max_rows`` defaults to ``BROADCAST_ROW_BOUND``."""
+    bound = BROADCAST_ROW_BOUND if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
