@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
-from chaintally.session import staging_path
+from chaintally.session import app_id, staging_path
 
 # Fixed values of the binding (the oracle SQL states the same ones).
 CONTRACT_TYPES = ("PROMO", "SMALL")
@@ -197,7 +197,7 @@ def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
 def staged_lines(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Text lines of a derived export file, written on first use in this
     application and read with ``spark.read.text`` afterwards."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
     path = _STAGED.get(key)
     if path is None:
         path = stage_text(spark, build(), name)
@@ -210,7 +210,7 @@ def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     blocks), ingested once per application: the text is parsed one time."""
     from chaintally.sources.parsed import parsed_blocks, parsed_transactions
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name + "@parquet")
+    key = (app_id(spark), sf_dir.rstrip("/"), name + "@parquet")
     path = _STAGED.get(key)
     if path is None:
         lines = export_lines(spark, sf_dir, name)
@@ -221,6 +221,12 @@ def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def export_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a staged export file (written on first use)."""
+    export_lines(spark, sf_dir, name)
+    return _STAGED[(app_id(spark), sf_dir.rstrip("/"), name)]
+
+
 def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Staged export files: tx_part, tx_supplier, tx_part_header, contracts,
     contracts_header, blocks, blocks_header, registry."""

@@ -73,8 +73,7 @@ def _txs(spark, d):
 
 
 def _staged_path(spark, d, name):
-    B.export_lines(spark, d, name)
-    return B._STAGED[(spark.sparkContext.applicationId, d.rstrip("/"), name)]
+    return B.export_path(spark, d, name)
 
 
 def _registry(spark, d):

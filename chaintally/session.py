@@ -38,13 +38,26 @@ def build_session(master: str = "local[*]", app: str = "chaintally",
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when unset locally."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if sc is None or not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for staged files")
     root = tempfile.mkdtemp(prefix="chaintally-checkpoint-")
     sc.setCheckpointDir(root)

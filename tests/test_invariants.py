@@ -37,8 +37,7 @@ def test_count_weighted_monthly_gas_equals_overall_mean(spark):
 
 def test_set_mode_never_exceeds_bag_mode(spark):
     txs = B.export_lines(spark, SF_SMALL, "tx_supplier")
-    B.export_lines(spark, SF_SMALL, "registry")
-    path = B._STAGED[(spark.sparkContext.applicationId, SF_SMALL, "registry")]
+    path = B.export_path(spark, SF_SMALL, "registry")
     reg = scan_registry(spark, path)
     set_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(txs, reg).collect()}
     bag_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(txs, reg, dedupe=False).collect()}

@@ -25,8 +25,7 @@ def inputs(spark):
     tx = B.export_lines(spark, SF_SMALL, "tx_part")
     txs = B.export_lines(spark, SF_SMALL, "tx_supplier")
     contracts = B.export_lines(spark, SF_SMALL, "contracts")
-    B.export_lines(spark, SF_SMALL, "registry")
-    reg = scan_registry(spark, B._STAGED[(spark.sparkContext.applicationId, SF_SMALL, "registry")])
+    reg = scan_registry(spark, B.export_path(spark, SF_SMALL, "registry"))
     return tx, txs, contracts, reg
 
 
