@@ -39,7 +39,6 @@ from chaintally.operators.validate import (
 )
 from chaintally.plans import binding as B
 from chaintally.plans import ledger as L
-from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
 from chaintally.sources.export import scan_blocks, scan_contracts, scan_transactions
 from chaintally.sources.lines import field, scan_lines, with_fields
 from chaintally.sources.registry import scan_registry

@@ -18,11 +18,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_amount, parse_long, parse_wei
-from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of, month_key
+from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of
 from chaintally.operators.aggregate import global_mean, means_by, totals_by
 from chaintally.operators.join import BROADCAST_ROW_BOUND, has_at_most
 from chaintally.operators.rank import above_below, top_k
@@ -52,10 +51,6 @@ BLK = FIELD_INDEX["blocks"]
 CON = FIELD_INDEX["contracts"]
 
 
-def _tx(name: str) -> Column:
-    return field(TX[name])
-
-
 # --- C1 monthly activity -----------------------------------------------------
 
 

@@ -13,7 +13,6 @@ the same answers, line for line.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chaintally.functions.parse import parse_amount, parse_long, parse_wei
 from chaintally.functions.scalar import month_key

@@ -1,11 +1,8 @@
 """The published questions on small fixtures, checked against plain Python."""
 
 import json
-from collections import defaultdict
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from chaintally.operators.rank import best_row, pivot_series, zero_fill
 from chaintally.plans import ledger as L
 from chaintally.sources.registry import parse_registry
