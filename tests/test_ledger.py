@@ -134,3 +134,29 @@ def test_partition_count_does_not_change_answers(lines):
     r1 = sorted(L.scam_monthly(t1, registry_lines(lines)).collect())
     r7 = sorted(L.scam_monthly(t7, registry_lines(lines)).collect())
     assert r1 == r7
+
+
+def test_hot_address_holding_a_third_of_all_rows(lines):
+    """One recipient gets a third of the transactions; sums stay exact and
+    equal to a brute-force count."""
+    rows, expected = [], defaultdict_int()
+    for i in range(300):
+        to = "0xhot" if i % 3 == 0 else f"0x{i % 17:02d}"
+        value = 10 ** 18 + i
+        ts = AUG15 + (i % 5) * 40 * DAY
+        rows.append(tx(to_address=to, value=str(value), block_timestamp=str(ts)))
+        expected[to] += value
+    t = lines(rows, 6)
+    contracts = lines([f"{a},0x60,,False,False,1" for a in expected])
+    top = [(r.address, r.total_value) for r in L.top_contracts(t, contracts, k=3).collect()]
+    best = sorted(expected.items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+    assert top == [(a, Decimal(v)) for a, v in best]
+    doc = {"result": {"0xhot": {"id": 9, "category": "Scamming", "addresses": ["0xhot"]}}}
+    reg = parse_registry(lines([json.dumps(doc)], 1))
+    monthly = L.scam_monthly(t, reg).collect()
+    assert sum(r.total_value for r in monthly) == expected["0xhot"]
+
+
+def defaultdict_int():
+    from collections import defaultdict
+    return defaultdict(int)
