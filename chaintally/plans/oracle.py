@@ -292,8 +292,9 @@ FROM txf WHERE {V1}"""
     hdr_rules = [("arity", "len(f) = 15"), ("header", "coalesce(f[1] <> 'hash', true)")] + value_time[1:]
     q["quality_report"] = with_(txp, f"allf AS (SELECT f FROM txf UNION ALL SELECT string_split({_q(TX_HEADER)}, ','))",
                                 f"c AS (SELECT {reason_case(hdr_rules)} AS reason, count(*) AS n FROM allf GROUP BY 1)") + """
-SELECT reason, n, sum(n) OVER () AS lines, sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS kept,
-       sum(n) OVER () - sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS dropped FROM c"""
+SELECT reason, n, CAST(sum(n) OVER () AS BIGINT) AS lines,
+       CAST(sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS kept,
+       CAST(sum(n) OVER () - sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS dropped FROM c"""
 
     # typed sources: every field must parse; the damaged lines all fail one
     typed_ok = (f"len(f) = 15 AND f[1] <> 'hash' AND {integer(F_VALUE)} AND {integer(F_GAS)} "
