@@ -261,24 +261,26 @@ def scam_members(registry: DataFrame, categories: Sequence[str] | None = None) -
     return registry_addresses(registry_entries(registry), categories)
 
 
-def _prefilter(rows: DataFrame, members: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
-    """Broadcast the member list when its size was checked to be small, and
-    then also drop non-member transactions before they are aggregated."""
+def _prefilter(rows: DataFrame, listed: DataFrame, members: DataFrame,
+               small: bool) -> tuple[DataFrame, DataFrame]:
+    """When the member list was checked to be small: broadcast it, and drop
+    non-member transactions inside the scan stage with a broadcast
+    semi-join on the raw listed addresses (a semi-join needs no
+    de-duplication) before anything is aggregated."""
     if small:
         members = F.broadcast(members)
-        rows = rows.join(F.broadcast(members.select("address")), "address", "left_semi")
+        rows = rows.join(F.broadcast(listed.select("address")), "address", "left_semi")
     return rows, members
 
 
 def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
     """Per-address totals joined to the registry: address, scam_id, total_value."""
-    members = scam_members(registry).select("address", "scam_id")
-    small = has_at_most(members)  # checked before de-duplication: reads few rows
-    if dedupe:
-        members = dedupe_members(members, ["scam_id"])
+    listed = scam_members(registry).select("address", "scam_id")
+    small = has_at_most(listed)  # checked before de-duplication: reads few rows
+    members = dedupe_members(listed, ["scam_id"]) if dedupe else listed
     rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact=True)).select(
         F.col("to_address").alias("address"), F.col("value_wei").alias("value"))
-    rows, members = _prefilter(rows, members, small)
+    rows, members = _prefilter(rows, listed, members, small)
     totals = totals_by(rows, ["address"], "value", "total_value")
     return totals.join(members, "address", "inner").select("address", "scam_id", "total_value")
 
@@ -301,13 +303,12 @@ def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool =
     collapse a hot address inside each task — and only those sums are
     joined to the (address, category) list.
     """
-    members = scam_members(registry, categories).select("address", "category")
-    small = has_at_most(members)
-    if dedupe:
-        members = dedupe_members(members, ["category"])
+    listed = scam_members(registry, categories).select("address", "category")
+    small = has_at_most(listed)
+    members = dedupe_members(listed, ["category"]) if dedupe else listed
     rows = keep_valid(parsed_transactions(tx_lines), tx_recipient_time()).select(
         F.col("to_address").alias("address"), "month", F.col("value_wei").alias("value"))
-    rows, members = _prefilter(rows, members, small)
+    rows, members = _prefilter(rows, listed, members, small)
     per_month = totals_by(rows, ["address", "month"], "value", "value")
     return per_month.join(members, "address", "inner").select("address", "month", "category", "value")
 
