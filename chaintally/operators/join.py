@@ -20,9 +20,13 @@ BROADCAST_ROW_BOUND = 200_000
 
 
 def has_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Size check of a candidate small side: reads at most ``max_rows + 1``
-    rows (the limit stops the scan early), never the whole side.
-    ``max_rows`` defaults to ``BROADCAST_ROW_BOUND``."""
+    """Size check of a candidate small side before it is broadcast.
+
+    One wave of tasks: every task stops reading after ``max_rows + 1`` rows
+    (local limit) and only a count leaves it, so a large side costs at most
+    ``max_rows + 1`` rows per partition, and nothing but one number reaches
+    the driver.  ``max_rows`` defaults to ``BROADCAST_ROW_BOUND``.
+    """
     bound = BROADCAST_ROW_BOUND if max_rows is None else max_rows
     return df.limit(bound + 1).count() <= bound
 

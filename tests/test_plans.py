@@ -96,3 +96,9 @@ def test_ingest_functions_round_trip(spark, inputs):
     B.export_lines(spark, SF_SMALL, "blocks").write.text(blocks_src)
     pb = ingest_blocks(spark, blocks_src, staging_path(spark, "ingest-blocks-out"))
     assert sorted(L.top_miners(pb).collect()) == sorted(L.top_miners(B.export_lines(spark, SF_SMALL, "blocks")).collect())
+
+
+def test_size_check(spark):
+    df = spark.range(0, 1000, 1, 8)
+    assert J.has_at_most(df, 1000) and not J.has_at_most(df, 999)
+    assert J.has_at_most(df.where("id < 0"), 0)
