@@ -1,6 +1,6 @@
 """Command-line jobs: one per published question, from export files to results.
 
-    spark-submit -m chaintally.jobs monthly-value --transactions s3a://bucket/transactions.csv \\
+    spark-submit --py-files chaintally.zip chaintally/jobs.py monthly-value --transactions s3a://bucket/transactions.csv \\
         --out s3a://bucket/results/monthly_value
 
 Inputs are the export files (text lines; ``--parsed`` when the transaction or
