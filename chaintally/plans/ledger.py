@@ -1,12 +1,11 @@
 """The published ledger questions as DataFrame programs.
 
 Inputs are line collections (``DataFrame[value: string]``, e.g. from
-``scan_lines``), or the parsed tables of ``sources/parsed.py`` (e.g. read
+``scan_lines``) or the parsed tables of ``sources/parsed.py`` (e.g. read
 from Parquet after a one-time ingest), and a registry frame
-(``scan_registry``).  Each function only
-builds a plan — no action — except where a small side's size is checked
-before choosing a broadcast, so callers can compose them and Catalyst sees
-the whole query.
+(``scan_registry``).  Each function only builds a plan — no action —
+except where a small side's size is checked before choosing a broadcast,
+so callers can compose them and Catalyst sees the whole query.
 
 Plan shape, for every question: one scan, the split and the rule checks
 fused into the scan stage (whole-stage codegen, no Python), a partial
@@ -47,7 +46,6 @@ from chaintally.sources.lines import field, with_fields
 from chaintally.sources.parsed import parsed_blocks, parsed_transactions
 
 TX = FIELD_INDEX["transactions"]
-BLK = FIELD_INDEX["blocks"]
 CON = FIELD_INDEX["contracts"]
 
 
@@ -98,7 +96,7 @@ def contract_totals(tx_lines: DataFrame, contract_lines: DataFrame,
     """
     totals = recipient_totals(tx_lines)
     contracts = contract_addresses(contract_lines, csv_mode)
-    small = has_at_most(contracts)  # reads at most bound + 1 rows
+    small = has_at_most(contracts)  # each task stops after bound + 1 rows
     if small and not bag:
         # a broadcast semi-join needs no de-duplication, and Catalyst may
         # apply it to the scanned rows before they are aggregated
@@ -239,8 +237,10 @@ def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10
     second pass over the transactions.
     """
     profile = recipient_profile(tx_lines, lenient, with_total=True)
-    contracts = contract_addresses(contract_lines, csv_mode).distinct().withColumn("is_contract", F.lit(True))
-    if has_at_most(contracts):
+    listed = contract_addresses(contract_lines, csv_mode)
+    small = has_at_most(listed)  # checked before de-duplication
+    contracts = listed.distinct().withColumn("is_contract", F.lit(True))
+    if small:
         contracts = F.broadcast(contracts)
     flagged = profile.join(contracts, "address", "left")
     candidates = flagged.where((F.col("is_total") == 1) | (F.col("is_contract") & (F.col("n_value") > 0)))
@@ -276,7 +276,7 @@ def _prefilter(rows: DataFrame, listed: DataFrame, members: DataFrame,
 def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
     """Per-address totals joined to the registry: address, scam_id, total_value."""
     listed = scam_members(registry).select("address", "scam_id")
-    small = has_at_most(listed)  # checked before de-duplication: reads few rows
+    small = has_at_most(listed)  # checked before de-duplication
     members = dedupe_members(listed, ["scam_id"]) if dedupe else listed
     rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact=True)).select(
         F.col("to_address").alias("address"), F.col("value_wei").alias("value"))
