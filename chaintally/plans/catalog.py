@@ -231,6 +231,15 @@ def q_sink_roundtrip(spark, d):
     return load_result(spark, path, fmt="json", schema="address string, total_value double")
 
 
+def q_sink_full_result(spark, d):
+    """S6: a full result (every month) written by the executors as Parquet
+    and read back."""
+    path = staging_path(spark, "monthly-value-parquet")
+    monthly = L.monthly_value(_txp(spark, d))
+    save_result(monthly, path, fmt="parquet")
+    return load_result(spark, path, fmt="parquet")
+
+
 # --- overhead -------------------------------------------------------------------------
 
 
@@ -312,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "scan_registry": q_scan_registry,
     "read_pair_result": q_read_pair_result,
     "sink_roundtrip": q_sink_roundtrip,
+    "sink_full_result": q_sink_full_result,
     "trim_chars": q_trim_chars,
     "peek_rows": q_peek_rows,
     # filters, validators, quality

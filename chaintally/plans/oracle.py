@@ -374,6 +374,7 @@ SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS av
     pairs = f"SELECT row_number() OVER (ORDER BY total_value DESC, address) AS rank, address, total_value FROM ({q['top_contracts']})"
     q["read_pair_result"] = f"SELECT CAST(rank AS INTEGER) AS rank, address AS key, total_value FROM ({pairs})"
     q["sink_roundtrip"] = q["top_contracts"]
+    q["sink_full_result"] = q["monthly_value"]
     q["trim_chars"] = f"SELECT CAST(rank AS INTEGER) AS rank, address AS key FROM ({pairs})"
     q["peek_rows"] = with_(txp) + """
 SELECT hash, CAST(block_number AS BIGINT) AS block_number, CAST(transaction_index AS BIGINT) AS transaction_index
