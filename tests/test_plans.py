@@ -102,3 +102,13 @@ def test_size_check(spark):
     df = spark.range(0, 1000, 1, 8)
     assert J.has_at_most(df, 1000) and not J.has_at_most(df, 999)
     assert J.has_at_most(df.where("id < 0"), 0)
+
+
+def test_scan_stage_is_one_codegen_span(spark, inputs):
+    df = L.monthly_value(inputs[0])
+    df.collect()
+    lines = [line.strip() for line in plan(df).splitlines()]
+    stage = [line for line in lines if any(op in line for op in (
+        "Generate inline", "Filter (", "partial_count"))]
+    assert stage and all(line.startswith("+- *(") or line.startswith("*(") for line in stage)
+    assert "PythonUDF" not in plan(df) and "BatchEvalPython" not in plan(df)
