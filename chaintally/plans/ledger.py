@@ -43,7 +43,7 @@ from chaintally.operators.validate import (
 )
 from chaintally.schemas import FIELD_INDEX, HEX_BLOCK_FIELDS
 from chaintally.sources.lines import field, with_fields
-from chaintally.sources.parsed import parsed_blocks, parsed_transactions
+from chaintally.sources.parsed import needs, parsed_blocks, parsed_transactions
 
 TX = FIELD_INDEX["transactions"]
 CON = FIELD_INDEX["contracts"]
@@ -54,7 +54,8 @@ CON = FIELD_INDEX["contracts"]
 
 def monthly_value(tx_lines: DataFrame) -> DataFrame:
     """Transactions per UTC month and mean value (wei): month, n, avg_value."""
-    rows = keep_valid(parsed_transactions(tx_lines), tx_value_time()).select("month", "value")
+    rules = tx_value_time()
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["month", "value"], rules)), rules).select("month", "value")
     return means_by(rows, ["month"], {"avg_value": F.col("value")}, "n").orderBy("month")
 
 
@@ -67,8 +68,10 @@ def recipient_totals(tx_lines: DataFrame, exact: bool = False) -> DataFrame:
     ``exact=False`` accepts any number text (as the float-based published
     job did); ``exact=True`` requires whole wei.
     """
-    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact)).select(
-        F.col("to_address").alias("address"), F.col("value_wei" if exact else "value").alias("value"))
+    rules = tx_recipient(exact)
+    value = "value_wei" if exact else "value"
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", value], rules)), rules).select(
+        F.col("to_address").alias("address"), F.col(value).alias("value"))
     return totals_by(rows, ["address"], "value", "total_value")
 
 
@@ -119,7 +122,8 @@ def top_contracts(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10,
 
 def miner_totals(block_lines: DataFrame) -> DataFrame:
     """Total block size per miner: miner, total_size."""
-    rows = keep_valid(parsed_blocks(block_lines), block_miner()).select("miner", "size")
+    rules = block_miner()
+    rows = keep_valid(parsed_blocks(block_lines, needs(["miner", "size"], rules)), rules).select("miner", "size")
     return totals_by(rows, ["miner"], "size", "total_size")
 
 
@@ -149,7 +153,8 @@ def overhead_total(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def block_hex_frame(block_lines: DataFrame) -> DataFrame:
     """Valid block lines with the five hex columns named."""
-    rows = keep_valid(parsed_blocks(block_lines), block_any())
+    rules = block_any()
+    rows = keep_valid(parsed_blocks(block_lines, needs(list(HEX_BLOCK_FIELDS), rules)), rules)
     return rows.select(*HEX_BLOCK_FIELDS)
 
 
@@ -158,7 +163,9 @@ def block_hex_frame(block_lines: DataFrame) -> DataFrame:
 
 def monthly_gas(tx_lines: DataFrame) -> DataFrame:
     """Mean gas and mean gas price per month: month, avg_gas, avg_gas_price."""
-    rows = keep_valid(parsed_transactions(tx_lines), tx_gas()).select("month", "gas", "gas_price")
+    rules = tx_gas()
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["month", "gas", "gas_price"], rules)), rules).select(
+        "month", "gas", "gas_price")
     means = {"avg_gas": F.col("gas"), "avg_gas_price": F.col("gas_price")}
     return means_by(rows, ["month"], means, None).orderBy("month")
 
@@ -168,7 +175,8 @@ def monthly_gas(tx_lines: DataFrame) -> DataFrame:
 
 def global_mean_gas(tx_lines: DataFrame, lenient: bool = False) -> DataFrame:
     """One row: avg_gas over all transactions (``lenient`` = published count)."""
-    rows = keep_valid(parsed_transactions(tx_lines), tx_gas_only(lenient))
+    rules = tx_gas_only(lenient)
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["gas"], rules)), rules)
     return global_mean(rows, F.col("gas"), "avg_gas")
 
 
@@ -178,7 +186,8 @@ def gas_rows_in_set(tx_lines: DataFrame, addresses: DataFrame, row_bound: int |
     ``addresses`` with a known ``row_bound`` (a top-k list) is broadcast, so
     the membership test runs inside the scan stage.
     """
-    rows = keep_valid(parsed_transactions(tx_lines), tx_gas_only()).select(
+    rules = tx_gas_only()
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "gas"], rules)), rules).select(
         F.col("to_address").alias("address"), "gas")
     keys = addresses.select("address")
     if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND:
@@ -204,7 +213,8 @@ def recipient_profile(tx_lines: DataFrame, lenient: bool = False, with_total: bo
     ``with_total=True`` adds one grand-total row (``is_total`` = 1) from the
     same aggregate (a rollup: each task pre-sums its rows for it).
     """
-    parsed = parsed_transactions(tx_lines)
+    parsed = parsed_transactions(tx_lines, needs(["to_address", "value", "gas"], tx_recipient(), tx_gas_only(),
+                                                 tx_gas_only(lenient)))
     value_ok = passes(tx_recipient(), parsed)
     gas_ok = passes(tx_gas_only(), parsed)
     all_ok = passes(tx_gas_only(lenient), parsed) if lenient else gas_ok
@@ -278,7 +288,8 @@ def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool
     listed = scam_members(registry).select("address", "scam_id")
     small = has_at_most(listed)  # checked before de-duplication
     members = dedupe_members(listed, ["scam_id"]) if dedupe else listed
-    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient(exact=True)).select(
+    rules = tx_recipient(exact=True)
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "value_wei"], rules)), rules).select(
         F.col("to_address").alias("address"), F.col("value_wei").alias("value"))
     rows, members = _prefilter(rows, listed, members, small)
     totals = totals_by(rows, ["address"], "value", "total_value")
@@ -306,7 +317,8 @@ def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool =
     listed = scam_members(registry, categories).select("address", "category")
     small = has_at_most(listed)
     members = dedupe_members(listed, ["category"]) if dedupe else listed
-    rows = keep_valid(parsed_transactions(tx_lines), tx_recipient_time()).select(
+    rules = tx_recipient_time()
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "month", "value_wei"], rules)), rules).select(
         F.col("to_address").alias("address"), "month", F.col("value_wei").alias("value"))
     rows, members = _prefilter(rows, listed, members, small)
     per_month = totals_by(rows, ["address", "month"], "value", "value")

@@ -60,34 +60,58 @@ def is_parsed(df: DataFrame) -> bool:
     return "ok_arity" in df.columns
 
 
-def parsed_transactions(tx: DataFrame) -> DataFrame:
-    """Parsed transactions from lines; a parsed table is returned as is."""
+TRANSACTION_VALUES = {
+    "hash": lambda: field(TX["hash"]),
+    "to_address": lambda: field(TX["to_address"]),
+    "value": lambda: parse_amount(field(TX["value"])),
+    "value_wei": lambda: parse_wei(field(TX["value"])),
+    "gas": lambda: parse_amount(field(TX["gas"])),
+    "gas_price": lambda: parse_amount(field(TX["gas_price"])),
+    "block_timestamp": lambda: parse_long(field(TX["block_timestamp"])),
+    "month": lambda: month_key(parse_long(field(TX["block_timestamp"]))),
+}
+
+BLOCK_VALUES = {
+    "miner": lambda: field(BLK["miner"]),
+    "size": lambda: parse_long(field(BLK["size"])),
+    **{c: (lambda c=c: field(BLK[c])) for c in HEX_BLOCK_FIELDS},
+}
+
+
+def _parse(lines: DataFrame, values: dict, checks, columns) -> DataFrame:
+    if columns is None:
+        cols = [build().alias(name) for name, build in values.items()] + outcome_columns(checks)
+    else:
+        by_outcome = {r.outcome: r for r in checks}
+        cols = [values[c]().alias(c) if c in values else by_outcome[c].column().alias(c) for c in columns]
+    return with_fields(lines).select(*cols)
+
+
+def parsed_transactions(tx: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Parsed transactions from lines; a parsed table is returned as is.
+
+    ``columns`` limits the projection built for raw lines to the values and
+    ``ok_*`` outcomes a question uses (the optimizer would prune the rest
+    anyway; building fewer expressions keeps the driver-side cost small).
+    """
     if is_parsed(tx):
         return tx
-    ts = parse_long(field(TX["block_timestamp"]))
-    return with_fields(tx).select(
-        field(TX["hash"]).alias("hash"),
-        field(TX["to_address"]).alias("to_address"),
-        parse_amount(field(TX["value"])).alias("value"),
-        parse_wei(field(TX["value"])).alias("value_wei"),
-        parse_amount(field(TX["gas"])).alias("gas"),
-        parse_amount(field(TX["gas_price"])).alias("gas_price"),
-        ts.alias("block_timestamp"),
-        month_key(ts).alias("month"),
-        *outcome_columns(transaction_checks()),
-    )
-
-
-def parsed_blocks(blocks: DataFrame) -> DataFrame:
+    return _parse(tx, TRANSACTION_VALUES, transaction_checks(), columns)
+
+
+def parsed_blocks(blocks: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Parsed blocks from lines; a parsed table is returned as is."""
     if is_parsed(blocks):
         return blocks
-    return with_fields(blocks).select(
-        field(BLK["miner"]).alias("miner"),
-        parse_long(field(BLK["size"])).alias("size"),
-        *[field(BLK[c]).alias(c) for c in HEX_BLOCK_FIELDS],
-        *outcome_columns(block_checks()),
-    )
+    return _parse(blocks, BLOCK_VALUES, block_checks(), columns)
+
+
+def needs(values: list[str], *rule_sets) -> list[str]:
+    """The values plus the outcome columns of the given rule sets."""
+    out = list(values)
+    for rules in rule_sets:
+        out += [r.outcome for r in rules if r.outcome not in out]
+    return out
 
 
 def ingest_parsed(parsed: DataFrame, path: str, partition_by: str | None = None) -> None:
