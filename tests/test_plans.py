@@ -42,7 +42,13 @@ def test_large_side_path_gives_the_same_answers(spark, inputs, monkeypatch):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         top = L.top_contracts(tx, contracts)
-        assert "BroadcastHashJoin" not in plan(top) or "SortMergeJoin" in plan(top)
+        totals = L.contract_totals(tx, contracts)
+        totals.collect()
+        text = plan(totals)
+        # both sides arrive hash-partitioned by address from their own
+        # aggregates: the sort-merge join adds no exchange of its own
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+        assert text.count("Exchange hashpartitioning") == 2
         large = {
             "top": sorted(top.collect()),
             "c6": sorted(L.above_below_mean(tx, contracts).collect()),
