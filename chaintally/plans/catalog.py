@@ -342,6 +342,11 @@ QUERIES: dict[str, Query] = {
     "valid_block_miner": lambda s, d: reason_counts(with_fields(_blocks_with_header(s, d)), block_miner()),
     "valid_block_any": lambda s, d: reason_counts(with_fields(_blocks_with_header(s, d)), block_any()),
     "quality_report": q_quality_report,
+    "quality_report_contracts": lambda s, d: quality_report(
+        with_fields(_contracts_with_header(s, d), "quoted"), contract_rules()),
+    "quality_report_contracts_compat": lambda s, d: quality_report(
+        with_fields(_contracts_with_header(s, d), "naive"), contract_rules()),
+    "quality_report_blocks": lambda s, d: quality_report(with_fields(_blocks_with_header(s, d)), block_miner()),
     "project_fields": q_project_fields,
     "exact_amount": q_exact_amount,
     # registry

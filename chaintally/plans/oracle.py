@@ -296,6 +296,15 @@ SELECT reason, n, CAST(sum(n) OVER () AS BIGINT) AS lines,
        CAST(sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS kept,
        CAST(sum(n) OVER () - sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS dropped FROM c"""
 
+    def report(ctes, source, rules):
+        return with_(*ctes, f"c AS (SELECT {reason_case(rules)} AS reason, count(*) AS n FROM {source} GROUP BY 1)") + """
+SELECT reason, n, CAST(sum(n) OVER () AS BIGINT) AS lines,
+       CAST(sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS kept,
+       CAST(sum(n) OVER () - sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS dropped FROM c"""
+    q["quality_report_contracts"] = report([contract_cte()], "conall", contract_rules_sql(False))
+    q["quality_report_contracts_compat"] = report([contract_cte()], "conall", contract_rules_sql(True))
+    q["quality_report_blocks"] = report([block_cte()], "blkf", BLOCK_MINER_RULES)
+
     # typed sources: every field must parse; the damaged lines all fail one
     typed_ok = (f"len(f) = 15 AND f[1] <> 'hash' AND {integer(F_VALUE)} AND {integer(F_GAS)} "
                 f"AND {integer(F_TS)} AND {integer(F_PRICE)}")
