@@ -14,7 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 KEYS = ["monthly_value", "top_contracts", "top_contracts_compat", "top_miners", "overhead_columns",
         "overhead_total", "monthly_gas", "above_below_mean", "top_scams", "top_scams_compat",
         "scam_monthly", "zero_filled_series", "chart_series", "quality_report", "scan_transactions",
-        "scan_registry", "read_pair_result", "filter_lenient", "valid_contract_compat", "exact_amount"]
+        "scan_registry", "read_pair_result", "filter_lenient", "valid_contract_compat", "exact_amount",
+        "quality_report_contracts", "quality_report_blocks", "top_scams_columnar", "sink_full_result"]
 
 
 @pytest.fixture(scope="module")
