@@ -61,3 +61,14 @@ def test_jobs_write_the_questions_answers(spark):
 
 def want_monthly(spark, txp):
     return sorted((r.month, r.n) for r in L.monthly_value(scan_lines(spark, txp)).collect())
+
+
+def test_block_job_quality_report_counts_every_line(spark):
+    blocks = B.export_path(spark, SF_SMALL, "blocks_header")
+    out = staging_path(spark, "job-miners-quality")
+    run(spark, ["top-miners", "--blocks", blocks, "--out", out, "--quality", "--pairs"])
+    q = spark.read.json(f"{out}/quality").collect()
+    assert sum(r.n for r in q) == scan_lines(spark, blocks).count()
+    assert {r.reason for r in q} >= {"ok", "empty:miner", "integer:size", "arity"}
+    pairs = json.loads(spark.read.text(f"{out}/pairs").first().value)
+    assert len(pairs) == 10
