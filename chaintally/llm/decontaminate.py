@@ -159,10 +159,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """The documents with n_words, ``spans`` (merged removal spans in words) and ``items`` (ids, sorted as strings)."""
     schema = with_columns(docs.schema, ("n_words", T.LongType()), ("spans", SPANS), ("items", T.ArrayType(T.StringType())))
     spark, out = docs.sparkSession, docs
-    for first, phrases in zip([True] + [False] * (1 << 30), phrase_blocks(benchmark, window, block_words)):
+    for k, phrases in enumerate(phrase_blocks(benchmark, window, block_words)):
         shared = spark.sparkContext.broadcast(phrases)
 
-        def run(batches, shared=shared, first=first):
+        def run(batches, shared=shared, first=k == 0):
             for batch in batches:
                 n_words, spans, items = [], [], []
                 for n, (found, ids) in _search_all(text_bytes(batch), shared.value):

@@ -7,12 +7,14 @@ from chaintally.llm.language_id import op2_language_id
 from chaintally.llm.mixing import OP1_SQL, op1_mix_sources
 from chaintally.llm.secrets import op10_secrets
 from chaintally.llm.simhash_dedup import op8_simhash_dedup
+from chaintally.llm.topk_search import OP5_SQL, op5_topk_search
 from chaintally.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
+    "op5_topk_search": op5_topk_search,
     "op6_decontaminate": op6_decontaminate,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op10_secrets": op10_secrets,
@@ -20,4 +22,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
+    "op5_topk_search": OP5_SQL,
 }
