@@ -7,8 +7,10 @@ from chaintally.llm.language_id import op2_language_id
 from chaintally.llm.mixing import OP1_SQL, op1_mix_sources
 from chaintally.llm.secrets import op10_secrets
 from chaintally.llm.simhash_dedup import op8_simhash_dedup
+from chaintally.llm.suffix_tree_lm import op9_suffix_tree_lm
 from chaintally.llm.topk_search import OP5_SQL, op5_topk_search
 from chaintally.llm.toxicity import op3_toxicity
+from chaintally.llm.warc_fixity import OP7_SQL, op7_warc_fixity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -16,11 +18,14 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_topk_search": op5_topk_search,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc_fixity": op7_warc_fixity,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op5_topk_search": OP5_SQL,
+    "op7_warc_fixity": OP7_SQL,
 }
