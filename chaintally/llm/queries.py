@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from chaintally.llm.decontaminate import op6_decontaminate
+from chaintally.llm.html_extract import op4_html_extract
 from chaintally.llm.language_id import op2_language_id
 from chaintally.llm.mixing import OP1_SQL, op1_mix_sources
 from chaintally.llm.secrets import op10_secrets
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
+    "op4_html_extract": op4_html_extract,
     "op5_topk_search": op5_topk_search,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc_fixity": op7_warc_fixity,
