@@ -49,7 +49,7 @@ def quantized(embeddings: DataFrame) -> DataFrame:
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of integer components, padded to ``width``, as float64 where exact and else as int64."""
+    """Rows of integer components, padded to ``width``."""
     offsets = column.offsets.to_numpy()
     flat = column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
     sizes = np.diff(offsets)
@@ -60,12 +60,16 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+# Score of no vector.
+NONE = np.iinfo(np.int64).min
+
+
 class Best:
     """The k best (score, vec_id, row) of each query so far, and the score to reach."""
 
     def __init__(self, queries: int, k: int, reach: np.ndarray):
         self.k, self.reach = k, reach.copy()
-        self.top = np.full((queries, k), -np.inf)
+        self.top = np.full((queries, k), NONE)
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.held = 0
 
@@ -75,7 +79,7 @@ class Best:
         merged.partition(merged.shape[1] - self.k, axis=1)
         self.top[query] = merged[:, -self.k:]
         self.reach[query] = np.maximum(self.reach[query], self.top[query].min(axis=1))
-        at, col = np.nonzero((scores >= self.reach[query][:, None]) & (scores > -np.inf))
+        at, col = np.nonzero((scores >= self.reach[query][:, None]) & (scores > NONE))
         if len(at):
             self.parts.append((query[at], scores[at, col], vec[at, col], row[at, col]))
             self.held += len(at)
@@ -86,7 +90,7 @@ class Best:
     def cut(self) -> tuple[np.ndarray, ...]:
         """The k best of each query, by falling score and then vec_id."""
         if not self.parts:
-            return tuple(np.empty(0, dtype=t) for t in (np.int64, float, np.int64, np.int64))
+            return (np.empty(0, dtype=np.int64),) * 4
         query, score, vec, row = (np.concatenate(x) for x in zip(*self.parts))
         order = np.lexsort((row, vec, -score, query))
         query, score, vec, row = query[order], score[order], vec[order], row[order]
@@ -97,7 +101,7 @@ class Best:
 
 def search_batch(best: Best, queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, vec: np.ndarray, row: np.ndarray) -> None:
     """Score a batch of vectors, in blocks by falling bound per query."""
-    # largest values, summed as Python integers: beyond 2**53 doubles are no longer exact
+    # the largest sum there can be: up to 2**53 doubles are exact, and faster
     most = int(np.abs(queries).max(initial=0)) * int(np.abs(vectors).max(initial=0)) * vectors.shape[1]
     if most >= 1 << 63:
         raise ValueError("inner products do not fit in 64 bits")
@@ -116,7 +120,7 @@ def search_batch(best: Best, queries: np.ndarray, own: np.ndarray, vectors: np.n
             break
         active = active[np.argsort(ids[active], kind="stable")]
         cuts = np.flatnonzero(np.diff(ids[active])) + 1
-        scores = np.full((len(active), BLOCK), -np.inf)
+        scores = np.full((len(active), BLOCK), NONE)
         place = np.zeros((len(active), BLOCK), dtype=np.int64)
         at = 0
         for group in np.split(active, cuts):
@@ -125,7 +129,7 @@ def search_batch(best: Best, queries: np.ndarray, own: np.ndarray, vectors: np.n
             scores[at:at + len(group), :got.shape[1]] = got
             place[at:at + len(group)] = np.minimum(np.arange(b.start, b.stop), len(v) - 1)
             at += len(group)
-        scores[row[place] == own[active][:, None]] = -np.inf
+        scores[row[place] == own[active][:, None]] = NONE
         best.add(active, scores, vec[place], row[place])
 
 
@@ -147,7 +151,7 @@ def _pass(rows: DataFrame, queries: np.ndarray, own: np.ndarray, reach: np.ndarr
                 vec = batch.column(1).fill_null(NO_ID).to_numpy()
                 search_batch(best, padded, mine, matrix(column, width), vec, batch.column(0).to_numpy())
         query, score, vec, row = best.cut()
-        yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(score.astype(np.int64)), pa.array(vec), pa.array(row)],
+        yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(score), pa.array(vec), pa.array(row)],
                                          names=["query", "score", "vec_id", "row"])
 
     return rows.select("index", "vec_id", "v").mapInArrow(run, "query long, score long, vec_id long, row long")
@@ -200,7 +204,7 @@ def search(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
     for start in range(0, first["n"], per_block):
         block = wanted.where(F.col("query").between(start, start + per_block - 1)).orderBy("query").collect()
         q, own = _as_matrix(block, width), np.array([r["own"] for r in block], dtype=np.int64)
-        reach = np.full(len(q), -np.inf)
+        reach = np.full(len(q), NONE)
         floor = _ranked(_pass(seed, q, own, reach, k), k).groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("s"))
         for r in floor.where(F.col("n") == k).collect():
             reach[r["query"]] = r["s"]
