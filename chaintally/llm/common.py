@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,17 @@ def text_strings(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [s or "" for s in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def pieces(batch: pa.RecordBatch, name: str = "text", limit: int = 4 << 20):
+    """The batch in slices of about ``limit`` bytes of a string column (a longer text is a slice of its own)."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).cast(pa.int64()))
+    ends, at = ends.to_numpy(), 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def words(raw: bytes) -> list[bytes]:
     """Words of a text, A-Z lower-cased; bytes.split() cuts at the same six characters as WORD_PATTERN."""
     return raw.lower().split()

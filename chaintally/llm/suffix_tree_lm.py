@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chaintally.llm.common import fold, stage, table, text_bytes, words
+from chaintally.llm.common import fold, pieces, stage, table, text_bytes, words
 
 MAX_DEPTH = 2
 WORD_SHARE = 2e-6
@@ -41,10 +41,15 @@ SYMBOL_SHARE = 5e-4
 CONTEXT_SHARE = 1e-4
 NEXT_SHARE = 4e-6
 # Distinct words a task holds before it hands its counts on.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
 END = b""
 
 
+def parts(batches):
+    """Arrow batches cut so that the words of one stay small in memory."""
+    return chain.from_iterable(map(pieces, batches))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(token, c) over all texts; the end token is empty."""
     def run(batches):
@@ -54,7 +59,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(held), type=pa.binary()), pa.array(list(held.values()), type=pa.int64())],
                                               names=["token", "n"])
 
-        for batch in batches:
+        for batch in parts(batches):
             for raw in text_bytes(batch):
                 held.update(words(raw))
                 held[END] += 1
@@ -130,7 +135,7 @@ def next_counts(texts: DataFrame, tree: Tree, depth: int, frequent: np.ndarray |
 
     def run(batches):
         tree, frequent = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             _, numbers, sizes = tree.number(text_bytes(batch))
             symbol, code = tree.contexts(numbers, sizes, depth)
             taken = code > 0 if frequent is None else _find(frequent, code) >= 0
@@ -235,7 +240,7 @@ def _first_scores(docs: DataFrame, tree: Tree) -> DataFrame:
     def run(batches):
         tree = shared.value
         log_count = np.log10(tree.counts + 1.0)
-        for batch in batches:
+        for batch in parts(batches):
             flat, numbers, sizes = tree.number(text_bytes(batch))
             starts = np.cumsum(sizes) - sizes
             held = numbers >= 0
