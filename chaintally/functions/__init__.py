@@ -12,7 +12,9 @@ from chaintally.functions.parse import (
     is_number,
     parse_amount,
     parse_double,
+    parse_gas,
     parse_long,
+    parse_time,
     parse_wei,
 )
 from chaintally.functions.scalar import (
@@ -21,14 +23,14 @@ from chaintally.functions.scalar import (
     hex_bits,
     mean_of,
     month_key,
-    month_start,
+    month_label,
+    month_number,
     trim_chars,
-    wei_to_ether,
 )
 
 __all__ = [
     "INTEGER_PATTERN", "NUMBER_PATTERN", "is_integer", "is_nonempty",
-    "is_number", "parse_amount", "parse_double", "parse_long", "parse_wei",
-    "bits_to_gb", "composite_id", "hex_bits", "mean_of", "month_key",
-    "month_start", "trim_chars", "wei_to_ether",
+    "is_number", "parse_amount", "parse_double", "parse_gas", "parse_long", "parse_time",
+    "parse_wei", "bits_to_gb", "composite_id", "hex_bits", "mean_of", "month_key",
+    "month_label", "month_number", "trim_chars",
 ]

@@ -4,8 +4,9 @@ A text field is checked against a regular expression before it is cast, so
 that every engine agrees on what parses: Spark's ``try_cast`` accepts "1d"
 as a double and rounds "5.7" to a whole decimal, DuckDB accepts "1_000".
 The patterns refuse "nan", "inf", "1_000", "1d" and hex text.  A value that
-matches but does not fit the target type (a 78-digit uint256) becomes NULL,
-so it lands in the reject lane instead of failing the job.
+matches but does not fit the target type (a 78-digit uint256) becomes NULL.
+Validity rules are ``parse_*(field) IS NOT NULL``, so such a value lands in
+the reject lane; a kept line never carries a NULL where a number is summed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chaintally.schemas import AMOUNT, WEI
+from chaintally.schemas import AMOUNT, GAS, MAX_EPOCH, MIN_EPOCH, WEI
 
 # Accepted number and integer text (leading/trailing blanks ok).
 NUMBER_PATTERN = r"^\s*[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"
@@ -44,13 +45,19 @@ def _try_cast(c: Column, type_name: str) -> Column:
 
 
 def parse_amount(c) -> Column:
-    """Number text to decimal(38,6); NULL unless ``is_number``."""
+    """Number text to decimal(38,6); NULL unless ``is_number`` and it fits."""
     c = _col(c)
     return F.when(is_number(c), _try_cast(c, AMOUNT.simpleString()))
 
 
+def parse_gas(c) -> Column:
+    """Number text to decimal(18,6); NULL unless ``is_number`` and it fits."""
+    c = _col(c)
+    return F.when(is_number(c), _try_cast(c, GAS.simpleString()))
+
+
 def parse_wei(c) -> Column:
-    """Integer text to exact decimal(38,0); NULL unless ``is_integer``."""
+    """Integer text to exact decimal(38,0); NULL unless ``is_integer`` and it fits."""
     c = _col(c)
     return F.when(is_integer(c), _try_cast(c, WEI.simpleString()))
 
@@ -65,3 +72,14 @@ def parse_double(c) -> Column:
     """Number text to double; NULL unless ``is_number``."""
     c = _col(c)
     return F.when(is_number(c), _try_cast(c, "double"))
+
+
+def in_calendar(epoch_seconds) -> Column:
+    """True for seconds whose UTC date has a year from 1 to 9999; NULL is False."""
+    return F.coalesce(_col(epoch_seconds).between(MIN_EPOCH, MAX_EPOCH), F.lit(False))
+
+
+def parse_time(c) -> Column:
+    """Integer text to epoch seconds; NULL outside the years 1 to 9999."""
+    seconds = parse_long(c)
+    return F.when(in_calendar(seconds), seconds)

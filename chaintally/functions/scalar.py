@@ -5,13 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chaintally.schemas import (
-    BITS_PER_HEX_DIGIT,
-    GB_PER_BIT,
-    HEX_PREFIX_LENGTH,
-    MONTH_FORMAT,
-    WEI_PER_ETHER,
-)
+from chaintally.functions.parse import in_calendar
+from chaintally.schemas import BITS_PER_HEX_DIGIT, GB_PER_BIT, HEX_PREFIX_LENGTH
 
 SECONDS_PER_DAY = 86400
 
@@ -20,20 +15,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def month_start(epoch_seconds) -> Column:
-    """First day (DATE) of the UTC month holding ``epoch_seconds``.
+def month_number(epoch_seconds) -> Column:
+    """Months since year 0 of the UTC month holding ``epoch_seconds`` (an integer).
 
     Goes through the day number, so the result does not depend on the
-    session time zone.
+    session time zone; NULL outside the years 1 to 9999.  Grouping by it and
+    labelling the few result rows (``month_label``) saves a text per input row.
     """
-    day = F.date_from_unix_date(F.floor(_col(epoch_seconds) / SECONDS_PER_DAY).cast("int"))
-    return F.trunc(day, "month")
+    seconds = _col(epoch_seconds)
+    day = F.date_from_unix_date(F.floor(F.when(in_calendar(seconds), seconds) / SECONDS_PER_DAY).cast("int"))
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def month_label(number) -> Column:
+    """Label "YYYY/MM" of a month number."""
+    number = _col(number)
+    return F.concat_ws("/", F.lpad(F.floor(number / 12).cast("string"), 4, "0"),
+                       F.lpad((number % 12 + 1).cast("string"), 2, "0"))
 
 
 def month_key(epoch_seconds) -> Column:
-    """Epoch seconds to the UTC month label "YYYY/MM" (1438922527 -> 2015/08)."""
-    day = F.date_from_unix_date(F.floor(_col(epoch_seconds) / SECONDS_PER_DAY).cast("int"))
-    return F.date_format(day, MONTH_FORMAT)
+    """Epoch seconds to the UTC month label "YYYY/MM" (1438922527 -> 2015/08); NULL outside the years 1 to 9999."""
+    number = month_number(epoch_seconds)
+    return F.when(number.isNotNull(), month_label(number))
 
 
 def hex_bits(c) -> Column:
@@ -51,8 +55,8 @@ def bits_to_gb(bits) -> Column:
 
 
 def composite_id(scam_id, category) -> Column:
-    """Scam id and category joined as "<id>_<category>" (e.g. 5622_Scamming)."""
-    return F.concat_ws("_", _col(scam_id), _col(category))
+    """Scam id and category joined as "<id>_<category>" (e.g. 5622_Scamming); NULL if either is missing."""
+    return F.concat(_col(scam_id), F.lit("_"), _col(category))
 
 
 def trim_chars(c, chars: str = ' []"') -> Column:
@@ -60,10 +64,6 @@ def trim_chars(c, chars: str = ' []"') -> Column:
     return F.btrim(_col(c), F.lit(chars))
 
 
-def wei_to_ether(c) -> Column:
-    return _col(c).cast("double") / F.lit(float(WEI_PER_ETHER))
-
-
 def mean_of(total, count) -> Column:
     """Mean as double from an exact sum and a count (NULL for no rows)."""
     return F.when(_col(count) > 0, _col(total).cast("double") / _col(count).cast("double"))

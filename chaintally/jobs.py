@@ -7,23 +7,30 @@ Inputs are the export files (text lines; ``--parsed`` when the transaction or
 block path holds the Parquet form written by ``ingest``).  Results are written
 by the executors with the DataFrame writer (JSON lines by default); a top-k
 question also writes the published ``[[key, value], ...]`` document with
-``--pairs``.  ``--quality`` adds a data-quality report (lines / kept / dropped
-per reason) next to the result, from the same rules.
+``--pairs``.  ``--quality`` adds a data-quality report per input (lines / kept
+/ dropped per reason) next to the result; transactions, blocks and contracts are
+counted while the question's own scan reads them.  An option or input that a job
+cannot use is an error.
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chaintally.operators.registry import registry_report
 from chaintally.operators.validate import (
     block_any,
     block_miner,
-    quality_report,
+    contract_rules,
+    observe_quality,
+    observed_report,
     tx_gas,
+    tx_gas_only,
     tx_recipient,
     tx_recipient_time,
     tx_value_time,
@@ -35,60 +42,104 @@ from chaintally.sources.registry import scan_registry
 from chaintally.sources.results import save_result, save_top_pairs
 
 
-def _tx(spark: SparkSession, a) -> DataFrame:
-    return spark.read.parquet(a.transactions) if a.parsed else scan_lines(spark, a.transactions)
+@dataclass(frozen=True)
+class Job:
+    """A question: how to build it from its inputs, its rules per input, and its top-k key and value."""
 
+    build: Callable
+    rules: dict[str, Callable]
+    pair: tuple[str, str] | None = None
+    options: tuple[str, ...] = ()
 
-def _blocks(spark: SparkSession, a) -> DataFrame:
-    return spark.read.parquet(a.blocks) if a.parsed else scan_lines(spark, a.blocks)
 
+class Inputs:
+    """The inputs of one run; with ``quality``, each is observed while it is read."""
 
-# question -> (build result, rules for the quality report, input for the report, top-k key/value)
-def _jobs() -> dict[str, tuple[Callable, Callable | None, str, tuple[str, str] | None]]:
-    return {
-        "monthly-value": (lambda s, a: L.monthly_value(_tx(s, a)), tx_value_time, "tx", None),
-        "top-contracts": (lambda s, a: L.top_contracts(_tx(s, a), scan_lines(s, a.contracts), a.k,
-                                                       a.csv_mode, a.bag),
-                          tx_recipient, "tx", ("address", "total_value")),
-        "top-miners": (lambda s, a: L.top_miners(_blocks(s, a), a.k), block_miner, "blocks",
-                       ("miner", "total_size")),
-        "overhead": (lambda s, a: L.overhead_columns(L.block_hex_frame(_blocks(s, a)), L.HEX_BLOCK_FIELDS)
-                     .unionByName(L.overhead_total(L.block_hex_frame(_blocks(s, a)), L.HEX_BLOCK_FIELDS)
-                                  .select(F.lit("total").alias("column"), F.col("total_bits").alias("bits"))),
-                     block_any, "blocks", None),
-        "monthly-gas": (lambda s, a: L.monthly_gas(_tx(s, a)), tx_gas, "tx", None),
-        "gas-vs-mean": (lambda s, a: L.above_below_mean(_tx(s, a), scan_lines(s, a.contracts), a.k,
-                                                        a.csv_mode, a.lenient), None, "tx", None),
-        "top-scams": (lambda s, a: L.top_scams(_tx(s, a), scan_registry(s, a.registry), a.k, not a.bag),
-                      lambda: tx_recipient(exact=True), "tx", ("scam_id", "total_value")),
-        "scam-monthly": (lambda s, a: L.scam_monthly(_tx(s, a), scan_registry(s, a.registry), not a.bag,
-                                                     a.categories or None),
-                         tx_recipient_time, "tx", None),
-    }
+    def __init__(self, spark: SparkSession, a, rules: dict[str, Callable]):
+        self.spark, self.a, self.rules, self.seen = spark, a, rules, {}
 
+    def _observed(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.a.quality or name not in self.rules:
+            return df
+        df, self.seen[name] = observe_quality(df, self.rules[name](), f"quality_{name}")
+        return df
 
-JOBS = tuple(_jobs())
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path) if self.a.parsed else scan_lines(self.spark, path)
+
+    def transactions(self) -> DataFrame:
+        lines = self._read(self.a.transactions)
+        return self._observed("transactions", parsed_transactions(lines)) if self.a.quality else lines
+
+    def blocks(self) -> DataFrame:
+        lines = self._read(self.a.blocks)
+        return self._observed("blocks", parsed_blocks(lines)) if self.a.quality else lines
+
+    def contracts(self) -> DataFrame:
+        """Addresses of valid contract lines."""
+        return L.contract_addresses(scan_lines(self.spark, self.a.contracts), self.a.csv_mode,
+                                    lambda df: self._observed("contracts", df))
+
+    def registry(self) -> DataFrame:
+        return scan_registry(self.spark, self.a.registry)
+
+
+def _only(i: Inputs) -> DataFrame | None:
+    return i.contracts() if i.a.contracts_only else None
+
+
+JOB_TABLE: dict[str, Job] = {
+    "monthly-value": Job(lambda i: L.monthly_value(i.transactions()), {"transactions": tx_value_time}),
+    "top-contracts": Job(lambda i: L.top_contracts(i.transactions(), i.contracts(), i.a.k, bag=i.a.bag),
+                         {"transactions": tx_recipient, "contracts": contract_rules}, ("address", "total_value"),
+                         ("k", "csv_mode", "bag")),
+    "top-miners": Job(lambda i: L.top_miners(i.blocks(), i.a.k), {"blocks": block_miner}, ("miner", "total_size"), ("k",)),
+    "overhead": Job(lambda i: L.overhead_report(L.block_hex_frame(i.blocks()), L.HEX_BLOCK_FIELDS), {"blocks": block_any}),
+    "monthly-gas": Job(lambda i: L.monthly_gas(i.transactions(), _only(i)),
+                       {"transactions": tx_gas, "contracts": contract_rules}, None, ("csv_mode", "contracts_only")),
+    "mean-gas": Job(lambda i: L.global_mean_gas(i.transactions(), i.a.lenient, _only(i)),
+                    {"transactions": tx_gas_only, "contracts": contract_rules}, None, ("csv_mode", "lenient", "contracts_only")),
+    "gas-vs-mean": Job(lambda i: L.above_below_mean(i.transactions(), i.contracts(), i.a.k, lenient=i.a.lenient),
+                       {"transactions": tx_gas_only, "contracts": contract_rules}, ("address", "avg_gas"),
+                       ("k", "csv_mode", "lenient")),
+    "top-scams": Job(lambda i: L.top_scams(i.transactions(), i.registry(), i.a.k, not i.a.bag),
+                     {"transactions": lambda: tx_recipient(exact=True), "registry": list}, ("scam_id", "total_value"), ("k", "bag")),
+    "scam-monthly": Job(lambda i: L.scam_monthly(i.transactions(), i.registry(), not i.a.bag, i.a.categories or None),
+                        {"transactions": tx_recipient_time, "registry": list}, None, ("bag", "categories")),
+}
+
+JOBS = tuple(JOB_TABLE)
+
+
+_OPTIONS = {
+    "k": ("--k", {"type": int, "default": 10}),
+    "csv_mode": ("--csv-mode", {"default": "quoted", "choices": ("quoted", "naive")}),
+    "bag": ("--bag", {"action": "store_true", "help": "keep duplicate contract/registry rows (published counting)"}),
+    "lenient": ("--lenient", {"action": "store_true", "help": "published field-count rule for the overall gas mean"}),
+    "contracts_only": ("--contracts-only", {"action": "store_true", "help": "count transactions to contracts only"}),
+    "categories": ("--categories", {"nargs": "*"}),
+}
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chaintally.jobs", description=__doc__.split("\n\n")[0])
     sub = p.add_subparsers(dest="command", required=True)
-    for name in JOBS:
+    for name, job in JOB_TABLE.items():
         j = sub.add_parser(name)
-        j.add_argument("--transactions")
-        j.add_argument("--contracts")
-        j.add_argument("--blocks")
-        j.add_argument("--registry")
+        for source in job.rules:
+            optional = source == "contracts" and "contracts_only" in job.options
+            j.add_argument(f"--{source}", required=not optional)
         j.add_argument("--out", required=True)
         j.add_argument("--format", default="json", choices=("json", "parquet", "csv"))
-        j.add_argument("--k", type=int, default=10)
-        j.add_argument("--csv-mode", default="quoted", choices=("quoted", "naive"))
-        j.add_argument("--bag", action="store_true", help="keep duplicate contract/registry rows (published counting)")
-        j.add_argument("--lenient", action="store_true", help="published field-count rule for the overall gas mean")
-        j.add_argument("--categories", nargs="*")
-        j.add_argument("--parsed", action="store_true", help="inputs are the ingested Parquet form")
-        j.add_argument("--pairs", action="store_true", help="also write the [[key, value], ...] document")
-        j.add_argument("--quality", action="store_true", help="also write the data-quality report")
+        j.add_argument("--quality", action="store_true", help="also write a data-quality report per input")
+        j.set_defaults(parsed=False, pairs=False, k=10, csv_mode="quoted", bag=False, lenient=False, contracts_only=False, categories=None)
+        if {"transactions", "blocks"} & set(job.rules):
+            j.add_argument("--parsed", action="store_true", help="inputs are the ingested Parquet form")
+        if job.pair:
+            j.add_argument("--pairs", action="store_true", help="also write the [[key, value], ...] document")
+        for option in job.options:
+            flag, how = _OPTIONS[option]
+            j.add_argument(flag, **how)
     ing = sub.add_parser("ingest", help="parse transaction / block text once into Parquet")
     ing.add_argument("--transactions")
     ing.add_argument("--blocks")
@@ -98,26 +149,33 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
-    a = parser().parse_args(argv)
+    p = parser()
+    a = p.parse_args(argv)
     if a.command == "ingest":
+        if not (a.transactions or a.blocks):
+            p.error("ingest needs --transactions or --blocks")
         if a.transactions:
             ingest_transactions(spark, a.transactions, f"{a.out}/transactions",
-                                "month" if a.partition_by_month else None)
+                                "month_no" if a.partition_by_month else None)
         if a.blocks:
             ingest_blocks(spark, a.blocks, f"{a.out}/blocks")
         return
-    build, rules, source, pair = _jobs()[a.command]
-    result = build(spark, a)
+    if a.contracts_only and not a.contracts:
+        p.error("--contracts-only needs --contracts")
+    job = JOB_TABLE[a.command]
+    inputs = Inputs(spark, a, job.rules)
+    result = job.build(inputs)
     save_result(result, f"{a.out}/result", fmt=a.format)
-    if a.pairs and pair:
-        key, value = pair
+    if a.pairs:
+        key, value = job.pair
         # read the written result back with its own schema: exact decimals, no recomputation
         saved = spark.read.schema(result.schema).format(a.format).load(f"{a.out}/result")
         save_top_pairs(saved, f"{a.out}/pairs", key, value, [F.col(value).desc(), F.col(key)], a.k)
-    if a.quality and rules:
-        lines = _tx(spark, a) if source == "tx" else _blocks(spark, a)
-        parsed = parsed_transactions(lines) if source == "tx" else parsed_blocks(lines)
-        save_result(quality_report(parsed, rules()), f"{a.out}/quality", fmt=a.format)
+    if a.quality:
+        for name, seen in inputs.seen.items():
+            save_result(observed_report(spark, seen), f"{a.out}/quality/{name}", fmt=a.format)
+        if "registry" in job.rules:
+            save_result(registry_report(inputs.registry()), f"{a.out}/quality/registry", fmt=a.format)
 
 
 def main() -> None:  # pragma: no cover - command-line entry

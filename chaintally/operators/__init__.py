@@ -1,7 +1,6 @@
 """DataFrame operators: validation, aggregation, joins, registry, ranking."""
 
-from chaintally.operators.aggregate import global_mean, global_sums, means_by, totals_by
-from chaintally.operators.join import bag_join, join_small, semi_join
+from chaintally.operators.aggregate import global_mean, means_by, totals_by, weighted_totals
 from chaintally.operators.rank import (
     above_below,
     best_row,
@@ -12,29 +11,28 @@ from chaintally.operators.rank import (
 )
 from chaintally.operators.registry import (
     address_counts,
-    dedupe_members,
+    counted_members,
     registry_addresses,
     registry_entries,
-    with_composite_id,
+    registry_report,
 )
 from chaintally.operators.validate import (
     RULE_SETS,
     Rule,
     keep_valid,
     observe_quality,
+    observed_report,
     passes,
     quality_report,
     reason_counts,
     reject_reason,
-    validate,
 )
 
 __all__ = [
-    "global_mean", "global_sums", "means_by", "totals_by",
-    "bag_join", "join_small", "semi_join",
+    "global_mean", "means_by", "totals_by", "weighted_totals",
     "above_below", "best_row", "pivot_series", "reconcile", "top_k", "zero_fill",
-    "address_counts", "dedupe_members", "registry_addresses", "registry_entries",
-    "with_composite_id",
-    "RULE_SETS", "Rule", "keep_valid", "observe_quality", "passes", "quality_report",
-    "reason_counts", "reject_reason", "validate",
+    "address_counts", "counted_members", "registry_addresses", "registry_entries",
+    "registry_report",
+    "RULE_SETS", "Rule", "keep_valid", "observe_quality", "observed_report", "passes",
+    "quality_report", "reason_counts", "reject_reason",
 ]

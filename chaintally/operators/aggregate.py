@@ -5,7 +5,9 @@ partial aggregate before the shuffle and a final one after it (map-side
 combine), so a hot key — one address holding a third of all rows — is
 reduced to one row per task before anything moves.  Sums are exact
 (decimal or integer); means are taken at the end as ``sum / count`` in
-double, so the answer does not depend on the order rows arrive in.
+double, so the answer does not depend on the order rows arrive in.  A sum
+beyond its type is NULL instead of a failed job; as no input is NULL, that
+is the only meaning of a NULL total.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chaintally.functions.scalar import mean_of
+from chaintally.schemas import WEI
 
 
 def totals_by(df: DataFrame, keys: Sequence[str], value, alias: str = "total_value",
               count_alias: str | None = None) -> DataFrame:
     """Sum of ``value`` per key (optionally with the row count)."""
     value = F.col(value) if isinstance(value, str) else value
-    aggs = [F.sum(value).alias(alias)]
+    aggs = [F.try_sum(value).alias(alias)]
     if count_alias:
         aggs.append(F.count(F.lit(1)).alias(count_alias))
     return df.groupBy(*keys).agg(*aggs)
@@ -31,7 +34,7 @@ def totals_by(df: DataFrame, keys: Sequence[str], value, alias: str = "total_val
 def means_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column],
              count_alias: str | None = "n") -> DataFrame:
     """Mean of each measure per key, from exact sums and one count."""
-    sums = [F.sum(c).alias(f"__sum_{name}") for name, c in measures.items()]
+    sums = [F.try_sum(c).alias(f"__sum_{name}") for name, c in measures.items()]
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *sums)
     out = [F.col(k) for k in keys]
     if count_alias:
@@ -40,11 +43,15 @@ def means_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column],
     return grouped.select(*out)
 
 
-def global_sums(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
-    """One-row frame of keyless sums (partial sums per task, one final row)."""
-    return df.agg(*[F.sum(c).alias(name) for name, c in measures.items()])
-
-
 def global_mean(df: DataFrame, measure: Column, alias: str) -> DataFrame:
     """One-row frame with the mean of ``measure`` over all rows."""
-    return df.agg(mean_of(F.sum(measure), F.count(F.lit(1))).alias(alias))
+    return df.agg(mean_of(F.try_sum(measure), F.count(F.lit(1))).alias(alias))
+
+
+def weighted_totals(df: DataFrame, keys: Sequence[str], value: str, weight: str, alias: str) -> DataFrame:
+    """Exact sum of ``value * weight`` per key, NULL where a product or the sum passes 38 digits."""
+    product = F.when(F.col(weight) == 1, F.col(value)).otherwise(
+        F.try_multiply(F.col(value), F.col(weight).cast("decimal(10,0)")).try_cast(WEI.simpleString()))
+    grouped = df.withColumn("__product", product).groupBy(*keys).agg(
+        F.try_sum("__product").alias("__total"), F.count_if(F.col("__product").isNull()).alias("__lost"))
+    return grouped.select(*keys, F.when(F.col("__lost") == 0, F.col("__total")).alias(alias))

@@ -8,6 +8,7 @@ always added as a tie-break, so the k-th row is deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,11 @@ from chaintally.session import materialize
 
 
 def top_k(df: DataFrame, measure: str, key: str, k: int = 10) -> DataFrame:
-    """The k rows with the largest ``measure`` (ties: smaller key first)."""
-    return df.orderBy(F.col(measure).desc_nulls_last(), F.col(key).asc()).limit(k)
+    """The k rows with the largest ``measure`` (ties: smaller key first).
+
+    A NULL total is one beyond 38 digits, so it comes before all others.
+    """
+    return df.orderBy(F.col(measure).desc_nulls_first(), F.col(key).asc()).limit(k)
 
 
 def best_row(df: DataFrame, key: str, measure: str) -> DataFrame:
@@ -81,10 +85,10 @@ def pivot_series(series: DataFrame, month: str, key: str, value: str,
     return series.groupBy(month).pivot(key, list(keys)).agg(F.first(value))
 
 
-def reconcile(parts: DataFrame, part_col: str, total: DataFrame, total_col: str) -> DataFrame:
-    """One row: sum of the parts, the total, and whether they agree."""
-    part_sum = parts.agg(F.sum(part_col)).scalar()
-    whole = total.agg(F.sum(total_col)).scalar()
-    return parts.sparkSession.range(1).select(
-        part_sum.alias("sum_of_columns"), whole.alias("total_bits"),
-        (part_sum == whole).alias("agrees"))
+def reconcile(sums: DataFrame, columns: Sequence[str], total: str) -> DataFrame:
+    """One row: sum of the columns' sums, the total, and whether they agree.
+
+    ``sums`` is the one row of one aggregate, so nothing is read twice.
+    """
+    parts = reduce(lambda a, b: a + b, [F.col(c) for c in columns])
+    return sums.select(parts.alias("sum_of_columns"), F.col(total).alias("total_bits"), (parts == F.col(total)).alias("agrees"))

@@ -1,39 +1,54 @@
 """Registry flattening: entries, address rows, composite ids, counts.
 
-``explode`` of the ``result`` map gives one row per entry; a second select
-explodes each entry's address list (one generator per select).  An entry
-with an empty or missing list yields no address rows.
+One row per entry of each document; entries without an id or a category
+are rejected (``registry_report`` counts them), an entry with an empty or
+missing list yields no address rows.  Where a document repeats a key, the last
+entry counts, as when the document is read into a dictionary.
 
 The published registry repeats a scam under each of its addresses, each
 copy listing all addresses, so joining the raw address rows counts value
-once per copy ("bag" mode, ``dedupe=False``).  The default set mode keeps
-one row per (address, scam) pair.
+once per copy ("bag" mode).  ``counted_members`` keeps one row per
+(address, key) with that number of copies; the default set mode counts one.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chaintally.functions.scalar import composite_id
+from chaintally.sources.registry import CORRUPT
+
+
+def _last_entries(registry: DataFrame) -> DataFrame:
+    """One row per (document, key): the last entry of a repeated key."""
+    numbered = registry.select(F.monotonically_increasing_id().alias("__doc"), F.map_entries("result").alias("e"))
+    flat = numbered.select("__doc", F.posexplode("e").alias("__pos", "e"))
+    last = flat.groupBy("__doc", F.col("e.key").alias("entry_address")).agg(F.max_by("e.value", "__pos").alias("entry"))
+    return last.select("entry_address", "entry.id", "entry.category", "entry.addresses")
+
+
+def _reason(entries: DataFrame):
+    return F.when(F.col("id").isNull(), "id").when(F.col("category").isNull(), "category").otherwise("ok")
 
 
 def registry_entries(registry: DataFrame) -> DataFrame:
-    """One row per map entry: entry_address, id, category, addresses."""
-    entries = registry.select(F.explode("result").alias("entry_address", "entry"))
-    return entries.select(
-        "entry_address",
-        F.col("entry.id").alias("id"),
-        F.col("entry.category").alias("category"),
-        F.col("entry.addresses").alias("addresses"),
-    )
+    """One row per valid entry: entry_address, id, category, addresses."""
+    return _last_entries(registry).where(F.col("id").isNotNull() & F.col("category").isNotNull())
 
 
-def with_composite_id(entries: DataFrame, alias: str = "scam_id") -> DataFrame:
-    """Add "<id>_<category>" (the published ranking's key)."""
-    return entries.withColumn(alias, composite_id("id", "category"))
+def registry_report(registry: DataFrame) -> DataFrame:
+    """Entries per outcome (documents for ``json``): reason, n, lines, kept, dropped."""
+    entries = _last_entries(registry)
+    reasons = entries.select(_reason(entries).alias("reason")).union(
+        registry.where(F.col(CORRUPT).isNotNull()).select(F.lit("json").alias("reason")))
+    everything = Window.partitionBy()
+    counted = reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    kept = F.sum(F.when(F.col("reason") == "ok", F.col("n")).otherwise(0)).over(everything)
+    return counted.select("reason", "n", F.sum("n").over(everything).alias("lines"), kept.alias("kept")).withColumn(
+        "dropped", F.col("lines") - F.col("kept"))
 
 
 def registry_addresses(entries: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
@@ -46,9 +61,10 @@ def registry_addresses(entries: DataFrame, categories: Sequence[str] | None = No
                        composite_id("id", "category").alias("scam_id"))
 
 
-def dedupe_members(members: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Set mode: one row per distinct (address, key...) pair."""
-    return members.select("address", *key).dropDuplicates(["address", *key])
+def counted_members(members: DataFrame, key: str, dedupe: bool = True) -> DataFrame:
+    """One row per distinct (address, key): address, key, copies (1 in set mode)."""
+    copies = F.lit(1).cast("long") if dedupe else F.count(F.lit(1))
+    return members.groupBy("address", key).agg(copies.alias("copies"))
 
 
 def address_counts(members: DataFrame, by: str = "category") -> DataFrame:

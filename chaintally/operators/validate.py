@@ -12,10 +12,18 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import is_integer, is_nonempty, is_number
+from chaintally.functions.parse import (
+    in_calendar,
+    is_nonempty,
+    parse_amount,
+    parse_gas,
+    parse_long,
+    parse_time,
+    parse_wei,
+)
 from chaintally.schemas import FIELD_INDEX
 from chaintally.sources.lines import arity, field
 
@@ -30,12 +38,14 @@ class Rule:
     ``key`` names the column that holds the outcome in a parsed (ingested)
     table; where the frame has that column, the stored outcome is used
     instead of re-checking the text, so the check becomes a pushed-down
-    boolean filter on a Parquet scan.
+    boolean filter on a Parquet scan.  ``parsed`` builds the same outcome
+    from the parsed value columns, so a field is parsed once for both.
     """
 
     reason: str
     check: Callable[[], Column]
     key: str = ""
+    parsed: Callable[[], Column] | None = None
 
     @property
     def outcome(self) -> str:
@@ -59,12 +69,32 @@ def nonempty(i: int, name: str) -> Rule:
     return Rule(f"empty:{name}", lambda: is_nonempty(field(i)))
 
 
+def _present(reason: str, i: int, name: str, parse: Callable[[Column], Column], value: str = "") -> Rule:
+    """Valid is what parses: the parsed value is present, so a number that
+    does not fit its type is rejected like one that is no number."""
+    return Rule(f"{reason}:{name}", lambda: parse(field(i)).isNotNull(),
+                parsed=lambda: F.col(value or name).isNotNull())
+
+
 def numeric(i: int, name: str) -> Rule:
-    return Rule(f"number:{name}", lambda: is_number(field(i)))
+    """A number that fits decimal(38,6) (gas: decimal(18,6))."""
+    return _present("number", i, name, parse_gas if name == "gas" else parse_amount)
 
 
 def integer(i: int, name: str) -> Rule:
-    return Rule(f"integer:{name}", lambda: is_integer(field(i)))
+    """A whole number that fits a bigint."""
+    return _present("integer", i, name, parse_long)
+
+
+def whole_wei(i: int, name: str) -> Rule:
+    """A whole number that fits decimal(38,0)."""
+    return _present("integer", i, name, parse_wei, f"{name}_wei")
+
+
+def timestamp(i: int, name: str) -> list[Rule]:
+    """Epoch seconds: a bigint, and a date of the years 1 to 9999."""
+    return [integer(i, name),
+            Rule(f"range:{name}", lambda: parse_time(field(i)).isNotNull(), parsed=lambda: in_calendar(name))]
 
 
 def not_header(i: int, literal: str) -> Rule:
@@ -90,17 +120,17 @@ _BLK = FIELD_INDEX["blocks"]
 _CON = FIELD_INDEX["contracts"]
 
 
-def _tx(kind: Callable[[int, str], Rule], name: str) -> Rule:
+def _tx(kind: Callable, name: str):
     return kind(_TX[name], name)
 
 
-def _blk(kind: Callable[[int, str], Rule], name: str) -> Rule:
+def _blk(kind: Callable, name: str):
     return kind(_BLK[name], name)
 
 
 def tx_value_time() -> list[Rule]:
     """Monthly activity: 15 fields, value is a number, timestamp an integer."""
-    return [field_count(15), _tx(numeric, "value"), _tx(integer, "block_timestamp")]
+    return [field_count(15), _tx(numeric, "value"), *_tx(timestamp, "block_timestamp")]
 
 
 def tx_recipient(exact: bool = False) -> list[Rule]:
@@ -108,19 +138,19 @@ def tx_recipient(exact: bool = False) -> list[Rule]:
 
     ``exact=True`` requires whole-number text, as exact wei sums need.
     """
-    value = _tx(integer if exact else numeric, "value")
+    value = _tx(whole_wei if exact else numeric, "value")
     return [field_count(15), _tx(nonempty, "to_address"), value]
 
 
 def tx_recipient_time() -> list[Rule]:
     """Scam series: recipient present, whole-number value, integer time."""
-    return tx_recipient(exact=True) + [_tx(integer, "block_timestamp")]
+    return tx_recipient(exact=True) + _tx(timestamp, "block_timestamp")
 
 
 def tx_gas() -> list[Rule]:
     """Monthly gas: 15 fields, gas and gas price numbers, integer time."""
     return [field_count(15), _tx(numeric, "gas"), _tx(numeric, "gas_price"),
-            _tx(integer, "block_timestamp")]
+            *_tx(timestamp, "block_timestamp")]
 
 
 def tx_gas_only(lenient: bool = False) -> list[Rule]:
@@ -174,21 +204,6 @@ def reject_reason(rules: Sequence[Rule], df: DataFrame | None = None) -> Column:
     return expr
 
 
-def outcome_columns(rules: Sequence[Rule]) -> list[Column]:
-    """Each rule's outcome as a named boolean column (for a parsed table)."""
-    seen, cols = set(), []
-    for r in rules:
-        if r.outcome not in seen:
-            seen.add(r.outcome)
-            cols.append(r.column().alias(r.outcome))
-    return cols
-
-
-def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``reject_reason`` to a frame holding ``fields`` (or outcomes)."""
-    return df.withColumn(REASON, reject_reason(rules, df))
-
-
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Only the lines every rule accepts."""
     return df.where(passes(rules, df))
@@ -216,13 +231,23 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def observe_quality(df: DataFrame, rules: Sequence[Rule], name: str = "quality"):
-    """Attach line/kept counters to ``df`` without a second scan.
+    """Count lines, kept lines and each reject reason without a second scan.
 
-    Returns ``(kept_rows, observation)``; the counts are available from
-    ``observation.get`` after the first action on ``kept_rows``.
+    Returns ``(observed, observation)``: ``observed`` has the rows of ``df``;
+    the counts (``lines``, ``ok`` and one per reason) are in ``observation.get``
+    after the first action on it.
     """
     obs = Observation(name)
-    ok = passes(rules, df)
+    outcome = F.coalesce(reject_reason(rules, df), F.lit(OK))
+    names = [OK, *dict.fromkeys(r.reason for r in rules)]
     observed = df.observe(obs, F.count(F.lit(1)).alias("lines"),
-                          F.count_if(ok).alias("kept"))
-    return observed.where(ok), obs
+                          *[F.count_if(outcome == n).alias(n) for n in names])
+    return observed, obs
+
+
+def observed_report(spark: SparkSession, obs: Observation) -> DataFrame:
+    """The quality report of an observation: one row per outcome that occurred."""
+    counts = dict(obs.get)
+    lines = counts.pop("lines")
+    rows = [(reason, n, lines, counts[OK], lines - counts[OK]) for reason, n in counts.items() if n]
+    return spark.createDataFrame(rows, "reason string, n long, lines long, kept long, dropped long")

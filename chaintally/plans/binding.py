@@ -6,20 +6,25 @@ SQL for the DuckDB oracle (``plans/oracle.py``).  Everything is a
 row-by-row projection of a scan, so it grows with the tables and runs in
 parallel:
 
-* transactions from ``lineitem``: recipient ``p<partkey>`` (contract view)
-  or ``s<suppkey>`` (scam view), empty on line number 7; value = cents of
-  the extended price; gas = quantity; gas price = tax in cents; time =
-  ship date.  Lines are damaged by ``l_orderkey % 50``: 1 one field short,
-  2 value "value", 3 time "x", 4 value "5.7", 5 gas "g".
-* contracts from ``part`` of type PROMO or SMALL: no, one, or a quoted pair
-  of signatures by ``p_size % 3``.
+* transactions from ``lineitem``: recipient (contract view) ``p<partkey>``,
+  or ``n<partkey>`` (no contract) when ``l_partkey % 4 = 0``, or (scam view)
+  ``s<suppkey>``; empty on line number 7; value = cents of the extended
+  price; gas = quantity; gas price = tax in cents; time = ship date, but the
+  first of the quarter in ``GAP_YEAR``, so that year's other months are
+  empty.  Lines are damaged by ``l_orderkey % 50``: 1 one field short, else
+  one field as ``TX_DAMAGE`` says.
+* contracts from every ``part``: no, one, or a quoted pair of signatures by
+  ``p_size % 3``, and 20,000 quoted ones when ``p_partkey % 499 = 7``.
 * blocks from ``orders``: miner ``c<custkey>`` (empty when
-  ``o_orderkey % 40 = 0``), size = cents of the total price; size "big"
-  when ``% 40 = 1``, one field short when ``% 40 = 2``.
+  ``o_orderkey % 40 = 0``), size = cents of the total price, or by
+  ``BLOCK_DAMAGE``; one field short when ``% 40 = 2``; the five hex columns'
+  lengths follow the key.
 * registry from ``supplier`` with nation and region: one JSON document per
   supplier, keyed by its address; id = suppkey div 4, category = region
   name, addresses = the four addresses of that id (empty list for a
-  negative account balance).
+  negative account balance).  By ``s_suppkey % 50``: 1 the document is cut
+  off, 2 no category, 3 no id, 4 no addresses, 5 the key stands twice, the
+  first time with category "OLD".
 """
 
 from __future__ import annotations
@@ -31,11 +36,22 @@ from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
 from chaintally.session import app_id, staging_path
 
 # Fixed values of the binding (the oracle SQL states the same ones).
-CONTRACT_TYPES = ("PROMO", "SMALL")
 ONE_SIGNATURE = "0xa9059cbb"
 TWO_SIGNATURES = '"0xa9059cbb,0x095ea7b3"'
 TX_DAMAGE_MOD = 50
+# remainder -> (field, text); a blank before {} keeps the field's own text
+TX_DAMAGE = {
+    2: ("value", "value"), 3: ("block_timestamp", "x"), 4: ("value", "5.7"), 5: ("gas", "g"),
+    6: ("value", "9" * 78), 7: ("gas", "9" * 40), 8: ("block_timestamp", "9" * 20), 9: ("block_timestamp", "9" * 18),
+    10: ("value", "  7"), 11: ("value", "+5"), 12: ("value", "1e18"), 13: ("value", "nan"), 14: ("value", "1_000"),
+    15: ("block_timestamp", "1500000000000"), 16: ("gas", " 21000 "), 17: ("gas_price", "9" * 40),
+    18: ("block_timestamp", "-99999999999999"),
+}
 BLOCK_DAMAGE_MOD = 40
+BLOCK_DAMAGE = {1: "big", 3: "9" * 30, 4: " 77", 5: "+5", 6: "1_0"}
+GAP_YEAR = 1997
+LONG_CONTRACT_MOD, LONG_CONTRACT, LONG_SIGNATURES = 499, 7, 20_000
+REGISTRY_DAMAGE_MOD = 50
 SCAM_GROUP = 4
 FILTER_CATEGORIES = ("AFRICA", "AMERICA", "ASIA")
 ALL_CATEGORIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -61,12 +77,17 @@ def _epoch_seconds(ts: Column) -> Column:
             + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
 
 
+def _with_gaps(ts: Column) -> Column:
+    return F.when(F.year(ts) == GAP_YEAR, F.date_trunc("quarter", ts)).otherwise(ts)
+
+
 # --- transactions -------------------------------------------------------------
 
 
 def tx_columns(lineitem: DataFrame, recipients: str = "part") -> DataFrame:
     """Clean transaction fields as text (one row per lineitem)."""
-    key = {"part": F.concat(F.lit("p"), _s(F.col("l_partkey"))),
+    account = F.when(F.col("l_partkey") % 4 == 0, F.lit("n")).otherwise(F.lit("p"))
+    key = {"part": F.concat(account, _s(F.col("l_partkey"))),
            "supplier": F.concat(F.lit("s"), _s(F.col("l_suppkey")))}[recipients]
     to = F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(key)
     return lineitem.select(
@@ -82,7 +103,7 @@ def tx_columns(lineitem: DataFrame, recipients: str = "part") -> DataFrame:
         _s(F.col("l_quantity").cast("bigint")).alias("gas"),
         _s(_cents(F.col("l_tax"))).alias("gas_price"),
         F.lit("0x").alias("input"),
-        _s(_epoch_seconds(F.col("l_shipdate"))).alias("block_timestamp"),
+        _s(_epoch_seconds(_with_gaps(F.col("l_shipdate")))).alias("block_timestamp"),
         F.lit("").alias("max_fee_per_gas"),
         F.lit("").alias("max_priority_fee_per_gas"),
         F.lit("0").alias("transaction_type"),
@@ -97,12 +118,8 @@ def tx_lines(spark: SparkSession, sf_dir: str, recipients: str = "part",
     fields = []
     for name in TRANSACTION_FIELDS[:-1]:
         c = F.col(name)
-        if name == "value":
-            c = F.when(rule == 2, F.lit("value")).when(rule == 4, F.lit("5.7")).otherwise(c)
-        elif name == "block_timestamp":
-            c = F.when(rule == 3, F.lit("x")).otherwise(c)
-        elif name == "gas":
-            c = F.when(rule == 5, F.lit("g")).otherwise(c)
+        for k, (damaged_field, text) in TX_DAMAGE.items():
+            c = F.when(rule == k, F.lit(text)).otherwise(c) if damaged_field == name else c
         fields.append(c)
     head = F.concat_ws(",", *fields)
     line = F.when(rule == 1, head).otherwise(F.concat(head, F.lit(","), F.col(TRANSACTION_FIELDS[-1])))
@@ -122,14 +139,17 @@ def with_header(spark: SparkSession, lines: DataFrame, fields) -> DataFrame:
 
 
 def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").where(F.col("p_type").isin(*CONTRACT_TYPES))
-    sigs = (F.when(F.col("p_size") % 3 == 0, F.lit(""))
+    part = table(spark, sf_dir, "part")
+    long = F.repeat(F.lit(f'"{ONE_SIGNATURE}",'), F.lit(LONG_SIGNATURES))
+    sigs = (F.when(F.col("p_partkey") % LONG_CONTRACT_MOD == LONG_CONTRACT, long)
+             .when(F.col("p_size") % 3 == 0, F.lit(""))
              .when(F.col("p_size") % 3 == 1, F.lit(ONE_SIGNATURE))
              .otherwise(F.lit(TWO_SIGNATURES)))
     line = F.concat_ws(",",
                        F.concat(F.lit("p"), _s(F.col("p_partkey"))),
                        F.concat(F.lit("0x6060"), _s(F.col("p_partkey"))),
-                       sigs, F.lit("False"), F.lit("False"), _s(F.col("p_partkey")))
+                       sigs, F.when(F.col("p_partkey") % 2 == 0, F.lit("True")).otherwise(F.lit("False")),
+                       F.lit("False"), _s(F.col("p_partkey")))
     return part.select(line.alias("value"))
 
 
@@ -141,13 +161,18 @@ def block_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     rule = k % BLOCK_DAMAGE_MOD
     miner = F.when(rule == 0, F.lit("")).otherwise(F.concat(F.lit("c"), _s(F.col("o_custkey"))))
-    size = F.when(rule == 1, F.lit("big")).otherwise(_s(_cents(F.col("o_totalprice"))))
+    size = _s(_cents(F.col("o_totalprice")))
+    for k2, text in BLOCK_DAMAGE.items():
+        size = F.when(rule == k2, F.lit(text)).otherwise(size)
+
+    def digits(n: int, digit: str) -> Column:
+        return F.concat(F.lit("0x"), F.repeat(F.lit(digit), (k % n).cast("int")))
+
     values = {
         "number": _s(k), "hash": F.concat(F.lit("0xh"), _s(k)),
         "parent_hash": F.concat(F.lit("0xh"), _s(k - 1)), "nonce": F.lit("0x0"),
-        "sha3_uncles": F.lit("0x1dcc"), "logs_bloom": F.lit("0x00000000"),
-        "transactions_root": F.concat(F.lit("0xt"), _s(k)), "state_root": F.concat(F.lit("0xs"), _s(k)),
-        "receipts_root": F.concat(F.lit("0xr"), _s(k)), "miner": miner,
+        "sha3_uncles": digits(65, "a"), "logs_bloom": digits(513, "0"), "transactions_root": digits(7, "b"),
+        "state_root": F.when(k % 11 == 0, F.lit("")).otherwise(digits(31, "c")), "receipts_root": digits(64, "d"), "miner": miner,
         "difficulty": _s(k), "total_difficulty": _s(k * 2), "size": size,
         "extra_data": F.lit("0x"), "gas_limit": F.lit("8000000"), "gas_used": F.lit("100"),
         "timestamp": _s(_epoch_seconds(F.col("o_orderdate"))), "transaction_count": F.lit("1"),
@@ -171,9 +196,15 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = F.transform(F.sequence(group * SCAM_GROUP, group * SCAM_GROUP + (SCAM_GROUP - 1)),
                           lambda x: F.concat(F.lit("s"), x.cast("string")))
     addresses = F.when(F.col("s_acctbal") < 0, F.array().cast("array<string>")).otherwise(members)
-    entry = F.struct(group.alias("id"), F.col("r_name").alias("category"), addresses.alias("addresses"))
-    doc = F.struct(F.create_map(F.concat(F.lit("s"), _s(F.col("s_suppkey"))), entry).alias("result"))
-    return rows.select(F.to_json(doc).alias("value"))
+    rule = F.col("s_suppkey") % REGISTRY_DAMAGE_MOD
+    # to_json leaves NULL members out
+    entry = F.to_json(F.struct(F.when(rule != 3, group).alias("id"), F.when(rule != 2, F.col("r_name")).alias("category"),
+                               F.when(rule != 4, addresses).alias("addresses")))
+    old = F.to_json(F.struct(group.alias("id"), F.lit("OLD").alias("category"), addresses.alias("addresses")))
+    key = F.concat(F.lit('"s'), _s(F.col("s_suppkey")), F.lit('":'))
+    first = F.when(rule == 5, F.concat(key, old, F.lit(","))).otherwise(F.lit(""))
+    doc = F.concat(F.lit('{"result":{'), first, key, entry, F.lit("}}"))
+    return rows.select(F.when(rule == 1, F.substring(doc, 1, 25)).otherwise(doc).alias("value"))
 
 
 # --- staged export files ------------------------------------------------------------------------

@@ -15,10 +15,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_amount, parse_double, parse_long, parse_wei
-from chaintally.functions.scalar import bits_to_gb, composite_id, hex_bits, month_key
+from chaintally.functions.parse import parse_double, parse_gas, parse_long, parse_wei
+from chaintally.functions.scalar import bits_to_gb, composite_id, hex_bits, month_key, month_label
 from chaintally.operators import rank
-from chaintally.operators.registry import address_counts, registry_entries
+from chaintally.operators.registry import address_counts, registry_entries, registry_report
 from chaintally.operators.validate import (
     block_any,
     block_miner,
@@ -46,7 +46,9 @@ from chaintally.sources.results import (
     load_result,
     read_pair_keys_raw,
     read_pair_result,
+    read_rows,
     save_result,
+    save_rows,
     save_top_pairs,
 )
 from chaintally.session import staging_path
@@ -144,7 +146,7 @@ def q_filter_header(spark, d):
 def q_filter_lenient(spark, d):
     rows = keep_valid(with_fields(_txp(spark, d)), tx_gas_only(lenient=True))
     return rows.agg(F.count(F.lit(1)).alias("n"),
-                    (F.sum(parse_amount(field(TX["gas"]))).cast("double") / F.count(F.lit(1))).alias("avg_gas"))
+                    (F.sum(parse_gas(field(TX["gas"]))).cast("double") / F.count(F.lit(1))).alias("avg_gas"))
 
 
 def q_project_fields(spark, d):
@@ -205,7 +207,7 @@ def _top_contracts(spark, d):
 
 def q_filter_in_set(spark, d):
     top = L.top_contracts(_txp(spark, d), _contracts(spark, d))
-    rows = L.gas_rows_in_set(_txp(spark, d), top, row_bound=10)
+    rows = L.gas_rows_in_set(_txp(spark, d), top, top=True)
     return rows.groupBy("address").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -231,6 +233,13 @@ def q_sink_roundtrip(spark, d):
     return load_result(spark, path, fmt="json", schema="address string, total_value double")
 
 
+def q_saved_series(spark, d):
+    """P13: a saved full result (rows as JSON arrays) read back as numbers."""
+    path = staging_path(spark, "monthly-value-rows")
+    save_rows(L.monthly_value(_txp(spark, d)), path)
+    return read_rows(spark, path, "month string, n bigint, avg_value double")
+
+
 def q_sink_full_result(spark, d):
     """S6: a full result (every month) written by the executors as Parquet
     and read back."""
@@ -257,6 +266,18 @@ def _overhead_total(spark, d):
     return total.select("total_bits", bits_to_gb("total_bits").alias("total_gb"))
 
 
+def q_reconcile(spark, d):
+    """Each table's columns against its total, from one aggregate a table; then both together."""
+    docs = L.overhead_reconcile(B.table(spark, d, "documents"), B.HEX_DOCUMENT_COLUMNS)
+    pages = L.overhead_reconcile(B.table(spark, d, "pages"), B.HEX_PAGE_COLUMNS)
+    return docs.unionByName(pages).agg(F.sum("sum_of_columns").alias("sum_of_columns"), F.sum("total_bits").alias("total_bits"),
+                                       F.bool_and("agrees").alias("agrees"))
+
+
+def _hex_blocks(spark, d):
+    return L.block_hex_frame(_blocks_with_header(spark, d))
+
+
 def q_hex_bits(spark, d):
     docs = B.table(spark, d, "documents")
     return docs.select("doc_id", *[hex_bits(c).alias(f"{c}_bits") for c in B.HEX_DOCUMENT_COLUMNS])
@@ -304,7 +325,8 @@ def _pq(spark, d, name):
 def q_ingest_transactions(spark, d):
     """The parsed Parquet table, read back (a few columns and outcomes)."""
     t = _pq(spark, d, "tx_part")
-    return t.select("hash", "to_address", F.col("value").cast("double").alias("value"), "month",
+    return t.select("hash", "to_address", F.col("value").cast("double").alias("value"),
+                    F.when(F.col("month_no").isNotNull(), month_label("month_no")).alias("month"),
                     "ok_arity", "ok_number_value", "ok_integer_block_timestamp")
 
 
@@ -322,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "read_pair_result": q_read_pair_result,
     "sink_roundtrip": q_sink_roundtrip,
     "sink_full_result": q_sink_full_result,
+    "saved_series": q_saved_series,
     "trim_chars": q_trim_chars,
     "peek_rows": q_peek_rows,
     # filters, validators, quality
@@ -346,6 +369,7 @@ QUERIES: dict[str, Query] = {
         with_fields(_contracts_with_header(s, d), "quoted"), contract_rules()),
     "quality_report_contracts_compat": lambda s, d: quality_report(
         with_fields(_contracts_with_header(s, d), "naive"), contract_rules()),
+    "quality_report_registry": lambda s, d: registry_report(_registry(s, d)),
     "quality_report_blocks": lambda s, d: quality_report(with_fields(_blocks_with_header(s, d)), block_miner()),
     "project_fields": q_project_fields,
     "exact_amount": q_exact_amount,
@@ -367,9 +391,14 @@ QUERIES: dict[str, Query] = {
     "hex_bits": q_hex_bits,
     "overhead_columns": _overhead_columns,
     "overhead_total": _overhead_total,
-    "reconcile_total": lambda s, d: rank.reconcile(_overhead_columns(s, d), "bits", _overhead_total(s, d), "total_bits"),
+    "reconcile_total": q_reconcile,
+    "block_overhead_columns": lambda s, d: L.overhead_columns(_hex_blocks(s, d), L.HEX_BLOCK_FIELDS),
+    "block_overhead_total": lambda s, d: L.overhead_total(_hex_blocks(s, d), L.HEX_BLOCK_FIELDS),
+    "block_reconcile": lambda s, d: L.overhead_reconcile(_hex_blocks(s, d), L.HEX_BLOCK_FIELDS),
     # C5 / C6 gas
     "monthly_gas": lambda s, d: L.monthly_gas(_txp(s, d)),
+    "monthly_gas_contracts": lambda s, d: L.monthly_gas(_txp(s, d), L.contract_addresses(_contracts(s, d))),
+    "global_mean_gas_contracts": lambda s, d: L.global_mean_gas(_txp(s, d), contracts=L.contract_addresses(_contracts(s, d))),
     "global_mean_gas": lambda s, d: L.global_mean_gas(_txp(s, d)),
     "global_mean_gas_compat": lambda s, d: L.global_mean_gas(_txp(s, d), lenient=True),
     "above_below_mean_compat": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d),
@@ -377,7 +406,7 @@ QUERIES: dict[str, Query] = {
     "contract_totals_compat": lambda s, d: _double(L.contract_totals(
         _txp(s, d), _contracts(s, d), csv_mode="naive", bag=True), "total_value"),
     "recipient_mean_gas": lambda s, d: L.recipient_mean_gas(
-        _txp(s, d), L.top_contracts(_txp(s, d), _contracts(s, d)), row_bound=10),
+        _txp(s, d), L.top_contracts(_txp(s, d), _contracts(s, d)), top=True),
     "above_below_mean": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d)),
     # C7 scam ids
     "scam_id_join": lambda s, d: _bigint(L.scam_value_by_address(_txs(s, d), _registry(s, d)), "total_value"),
@@ -390,7 +419,7 @@ QUERIES: dict[str, Query] = {
     # C8 scam categories over time
     "scam_category_join": lambda s, d: _bigint(L.scam_category_rows(_txs(s, d), _registry(s, d)), "value"),
     "scam_monthly": lambda s, d: _bigint(_scam_monthly(s, d), "total_value"),
-    "scam_monthly_compat": lambda s, d: _bigint(_scam_monthly(s, d, False, B.FILTER_CATEGORIES), "total_value"),
+    "scam_monthly_compat": lambda s, d: _bigint(_scam_monthly(s, d, False), "total_value"),
     "scam_category_totals": lambda s, d: _bigint(L.scam_category_totals(_scam_monthly(s, d)), "total_value"),
     "zero_filled_series": q_zero_filled,
     "chart_series": q_chart_series,

@@ -3,29 +3,28 @@
 Inputs are line collections (``DataFrame[value: string]``, e.g. from
 ``scan_lines``) or the parsed tables of ``sources/parsed.py`` (e.g. read
 from Parquet after a one-time ingest), and a registry frame
-(``scan_registry``).  Each function only builds a plan — no action —
-except where a small side's size is checked before choosing a broadcast,
-so callers can compose them and Catalyst sees the whole query.
+(``scan_registry``).  Each function only builds a plan — no action — so
+callers can compose them and Catalyst sees the whole query.
 
 Plan shape, for every question: one scan, the split and the rule checks
-fused into the scan stage (whole-stage codegen, no Python), a partial
-aggregate before the shuffle, and only then any join — so hot addresses are
-combined before they move and joins see one row per key.
+fused into the scan stage (whole-stage codegen, no Python), and a partial
+aggregate before the shuffle.  Joins carry no hint but for a list of known
+length: Spark broadcasts a side by its size in bytes, measured at run time
+where it was not known before, and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of
-from chaintally.operators.aggregate import global_mean, means_by, totals_by
-from chaintally.operators.join import BROADCAST_ROW_BOUND, has_at_most
-from chaintally.operators.rank import above_below, top_k
+from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of, month_label
+from chaintally.operators.aggregate import global_mean, means_by, totals_by, weighted_totals
+from chaintally.operators.rank import above_below, reconcile, top_k
 from chaintally.operators.registry import (
-    dedupe_members,
+    counted_members,
     registry_addresses,
     registry_entries,
 )
@@ -42,21 +41,26 @@ from chaintally.operators.validate import (
     tx_value_time,
 )
 from chaintally.schemas import FIELD_INDEX, HEX_BLOCK_FIELDS
-from chaintally.sources.lines import field, with_fields
+from chaintally.sources.lines import computed_once, field, with_fields
 from chaintally.sources.parsed import needs, parsed_blocks, parsed_transactions
 
 TX = FIELD_INDEX["transactions"]
 CON = FIELD_INDEX["contracts"]
 
 
+def _labelled(series: DataFrame) -> DataFrame:
+    """A series with its month numbers as labels: the first column becomes ``month``."""
+    return series.select(month_label("month_no").alias("month"), *[c for c in series.columns if c != "month_no"])
+
+
 # --- C1 monthly activity -----------------------------------------------------
 
 
 def monthly_value(tx_lines: DataFrame) -> DataFrame:
     """Transactions per UTC month and mean value (wei): month, n, avg_value."""
     rules = tx_value_time()
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["month", "value"], rules)), rules).select("month", "value")
-    return means_by(rows, ["month"], {"avg_value": F.col("value")}, "n").orderBy("month")
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["month_no", "value"], rules)), rules).select("month_no", "value")
+    return _labelled(means_by(rows, ["month_no"], {"avg_value": F.col("value")}, "n")).orderBy("month")
 
 
 # --- C2 top contracts by value received ---------------------------------------
@@ -75,14 +79,18 @@ def recipient_totals(tx_lines: DataFrame, exact: bool = False) -> DataFrame:
     return totals_by(rows, ["address"], "value", "total_value")
 
 
-def contract_addresses(contract_lines: DataFrame, csv_mode: str = "quoted") -> DataFrame:
+def contract_addresses(contract_lines: DataFrame, csv_mode: str = "quoted",
+                       observed: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Addresses of valid contract lines (one row per line, duplicates kept).
 
     ``csv_mode='naive'`` splits inside quoted signature lists, as the
     published job did, and so loses every contract with two or more
-    signatures.
+    signatures.  A frame that has an ``address`` column already is returned
+    as it is; ``observed`` may count the split lines on their way.
     """
-    rows = keep_valid(with_fields(contract_lines, csv_mode), contract_rules())
+    if "address" in contract_lines.columns:
+        return contract_lines
+    rows = keep_valid(observed(with_fields(contract_lines, csv_mode)), contract_rules())
     return rows.select(field(CON["address"]).alias("address"))
 
 
@@ -95,19 +103,12 @@ def contract_totals(tx_lines: DataFrame, contract_lines: DataFrame,
     behaviour).  Recipient totals are aggregated first (partial + final),
     then joined; contracts are de-duplicated by an aggregate on the same
     key, so both join sides arrive partitioned by address and the join adds
-    no exchange.  A contract list below the broadcast bound is broadcast.
+    no exchange; where one side is small, it is broadcast by its measured bytes.
     """
     totals = recipient_totals(tx_lines)
     contracts = contract_addresses(contract_lines, csv_mode)
-    small = has_at_most(contracts)  # each task stops after bound + 1 rows
-    if small and not bag:
-        # a broadcast semi-join needs no de-duplication, and Catalyst may
-        # apply it to the scanned rows before they are aggregated
-        return totals.join(F.broadcast(contracts), "address", "left_semi")
     if not bag:
         contracts = contracts.distinct()
-    if small:
-        contracts = F.broadcast(contracts)
     return totals.join(contracts, "address", "inner").select("address", "total_value")
 
 
@@ -134,21 +135,35 @@ def top_miners(block_lines: DataFrame, k: int = 10) -> DataFrame:
 # --- C4 storage overhead of hex columns ------------------------------------------
 
 
-def overhead_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Bits stored per hex text column, long format: column, bits.
+def overhead_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: bits stored per hex text column, and ``total_bits`` (summed row by row).
 
-    One keyless aggregate (one pass) computes every column's sum; the
-    one-row result is then unpivoted.
+    One keyless aggregate; the columns, the total and their comparison are
+    projections of this row, so the input is read once.
     """
-    wide = df.agg(*[F.sum(hex_bits(c)).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column", "bits")
+    row_bits = sum((hex_bits(c) for c in columns[1:]), hex_bits(columns[0]))
+    return df.agg(*[F.sum(hex_bits(c)).alias(c) for c in columns], F.sum(row_bits).alias("total_bits"))
+
+
+def overhead_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bits stored per hex text column, long format: column, bits."""
+    return overhead_sums(df, columns).select(*columns).unpivot([], list(columns), "column", "bits")
+
+
+def overhead_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns' bits and the total, long format: column (or "total"), bits."""
+    sums = overhead_sums(df, columns).withColumnRenamed("total_bits", "total")
+    return sums.unpivot([], [*columns, "total"], "column", "bits")
 
 
 def overhead_total(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Total bits of the columns (row-wise sum, then summed): total_bits, total_gb."""
-    row_bits = sum((hex_bits(c) for c in columns[1:]), hex_bits(columns[0]))
-    total = df.agg(F.sum(row_bits).alias("total_bits"))
-    return total.select("total_bits", bits_to_gb("total_bits").alias("total_gb"))
+    """Total bits of the columns: total_bits, total_gb."""
+    return overhead_sums(df, columns).select("total_bits", bits_to_gb("total_bits").alias("total_gb"))
+
+
+def overhead_reconcile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sum of the columns' bits against the total: sum_of_columns, total_bits, agrees."""
+    return reconcile(overhead_sums(df, columns), columns, "total_bits")
 
 
 def block_hex_frame(block_lines: DataFrame) -> DataFrame:
@@ -161,57 +176,65 @@ def block_hex_frame(block_lines: DataFrame) -> DataFrame:
 # --- C5 monthly gas ------------------------------------------------------------------
 
 
-def monthly_gas(tx_lines: DataFrame) -> DataFrame:
-    """Mean gas and mean gas price per month: month, avg_gas, avg_gas_price."""
+def _to_contracts(rows: DataFrame, contracts: DataFrame | None) -> DataFrame:
+    """Rows whose ``to_address`` is listed in ``contracts`` (address); all rows if None."""
+    if contracts is None:
+        return rows
+    return rows.join(contracts.select(F.col("address").alias("to_address")).distinct(), "to_address", "left_semi")
+
+
+def monthly_gas(tx_lines: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
+    """Mean gas and mean gas price per month: month, avg_gas, avg_gas_price.
+
+    With ``contracts`` (address, e.g. ``contract_addresses``), only
+    transactions to a contract count.
+    """
     rules = tx_gas()
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["month", "gas", "gas_price"], rules)), rules).select(
-        "month", "gas", "gas_price")
+    columns = ["month_no", "gas", "gas_price"] + ["to_address"] * (contracts is not None)
+    rows = _to_contracts(keep_valid(parsed_transactions(tx_lines, needs(columns, rules)), rules), contracts)
     means = {"avg_gas": F.col("gas"), "avg_gas_price": F.col("gas_price")}
-    return means_by(rows, ["month"], means, None).orderBy("month")
+    return _labelled(means_by(rows, ["month_no"], means, None)).orderBy("month")
 
 
 # --- C6 gas of top contracts against the overall mean ----------------------------
 
 
-def global_mean_gas(tx_lines: DataFrame, lenient: bool = False) -> DataFrame:
-    """One row: avg_gas over all transactions (``lenient`` = published count)."""
+def global_mean_gas(tx_lines: DataFrame, lenient: bool = False, contracts: DataFrame | None = None) -> DataFrame:
+    """One row: avg_gas over all transactions (``lenient`` = published count),
+    or over those to one of ``contracts`` (address)."""
     rules = tx_gas_only(lenient)
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["gas"], rules)), rules)
+    columns = ["gas"] + ["to_address"] * (contracts is not None)
+    rows = _to_contracts(keep_valid(parsed_transactions(tx_lines, needs(columns, rules)), rules), contracts)
     return global_mean(rows, F.col("gas"), "avg_gas")
 
 
-def gas_rows_in_set(tx_lines: DataFrame, addresses: DataFrame, row_bound: int | None) -> DataFrame:
+def gas_rows_in_set(tx_lines: DataFrame, addresses: DataFrame, top: bool = False) -> DataFrame:
     """Transactions to the listed addresses with a valid gas: address, gas.
 
-    ``addresses`` with a known ``row_bound`` (a top-k list) is broadcast, so
-    the membership test runs inside the scan stage.
+    ``top=True`` says that ``addresses`` is a top-k list: its length is fixed,
+    so it is broadcast and the membership test runs inside the scan stage.
     """
     rules = tx_gas_only()
     rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "gas"], rules)), rules).select(
         F.col("to_address").alias("address"), "gas")
     keys = addresses.select("address")
-    if row_bound is not None and row_bound <= BROADCAST_ROW_BOUND:
-        keys = F.broadcast(keys)
-    return rows.join(keys, "address", "left_semi")
+    return rows.join(F.broadcast(keys) if top else keys, "address", "left_semi")
 
 
-def recipient_mean_gas(tx_lines: DataFrame, addresses: DataFrame,
-                       row_bound: int | None = None) -> DataFrame:
+def recipient_mean_gas(tx_lines: DataFrame, addresses: DataFrame, top: bool = False) -> DataFrame:
     """Mean gas per listed address, largest first: address, avg_gas."""
-    rows = gas_rows_in_set(tx_lines, addresses, row_bound)
+    rows = gas_rows_in_set(tx_lines, addresses, top)
     means = means_by(rows, ["address"], {"avg_gas": F.col("gas")}, None)
     return means.orderBy(F.col("avg_gas").desc(), F.col("address"))
 
 
-def recipient_profile(tx_lines: DataFrame, lenient: bool = False, with_total: bool = False) -> DataFrame:
+def recipient_profile(tx_lines: DataFrame, lenient: bool = False) -> DataFrame:
     """One aggregate per recipient holding everything the gas comparison needs.
 
     address, total_value / n_value (recipient-value rule), gas_total /
     n_gas (15 fields and a gas number: the per-address mean), and
     gas_total_all / n_gas_all (the overall-mean rule; equal to the former
     unless ``lenient``).  Contract creations keep their empty address.
-    ``with_total=True`` adds one grand-total row (``is_total`` = 1) from the
-    same aggregate (a rollup: each task pre-sums its rows for it).
     """
     parsed = parsed_transactions(tx_lines, needs(["to_address", "value", "gas"], tx_recipient(), tx_gas_only(),
                                                  tx_gas_only(lenient)))
@@ -219,18 +242,17 @@ def recipient_profile(tx_lines: DataFrame, lenient: bool = False, with_total: bo
     gas_ok = passes(tx_gas_only(), parsed)
     all_ok = passes(tx_gas_only(lenient), parsed) if lenient else gas_ok
     gas = F.col("gas")
-    rows = parsed.where(value_ok | all_ok).select(
+    # every kept line has a recipient field; saying so keeps the plans of all readers alike
+    rows = parsed.where((value_ok | all_ok) & F.col("to_address").isNotNull()).select(
         F.col("to_address").alias("address"),
         F.when(value_ok, F.col("value")).alias("value"),
         F.when(gas_ok, gas).alias("gas"),
         F.when(all_ok, gas).alias("gas_all"),
         value_ok.alias("value_ok"), gas_ok.alias("gas_ok"), all_ok.alias("all_ok"))
-    grouped = rows.rollup("address") if with_total else rows.groupBy("address")
-    extra = [F.grouping("address").alias("is_total")] if with_total else []
-    return grouped.agg(
-        F.sum("value").alias("total_value"), F.count_if("value_ok").alias("n_value"),
-        F.sum("gas").alias("gas_total"), F.count_if("gas_ok").alias("n_gas"),
-        F.sum("gas_all").alias("gas_total_all"), F.count_if("all_ok").alias("n_gas_all"), *extra)
+    return rows.groupBy("address").agg(
+        F.try_sum("value").alias("total_value"), F.count_if("value_ok").alias("n_value"),
+        F.try_sum("gas").alias("gas_total"), F.count_if("gas_ok").alias("n_gas"),
+        F.try_sum("gas_all").alias("gas_total_all"), F.count_if("all_ok").alias("n_gas_all"))
 
 
 def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10,
@@ -239,28 +261,22 @@ def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10
 
     address, avg_gas, global_avg, side ("above" when ``>=``).
 
-    One scan and one shuffle: the per-recipient profile is aggregated with a
-    grand-total row (rollup), contracts are flagged by a join, and a single
-    ``limit(k + 1)`` ordered "total row first, then value" keeps the total
-    row and the top k contracts.  The overall mean is then read from the
-    total row by a window over those k + 1 rows only — no cross join, no
-    second pass over the transactions.
+    One scan and one shuffle of the transactions: the grand total is summed
+    from the per-recipient profile by a scalar subquery, which reads the same columns as
+    the ranking does, so both reuse one exchange.
     """
-    profile = recipient_profile(tx_lines, lenient, with_total=True)
-    listed = contract_addresses(contract_lines, csv_mode)
-    small = has_at_most(listed)  # checked before de-duplication
-    contracts = listed.distinct().withColumn("is_contract", F.lit(True))
-    if small:
-        contracts = F.broadcast(contracts)
-    flagged = profile.join(contracts, "address", "left")
-    candidates = flagged.where((F.col("is_total") == 1) | (F.col("is_contract") & (F.col("n_value") > 0)))
-    head = candidates.orderBy(F.col("is_total").desc(), F.col("total_value").desc_nulls_last(),
-                              F.col("address")).limit(k + 1)
-    overall = F.max(F.when(F.col("is_total") == 1, mean_of(F.col("gas_total_all"), F.col("n_gas_all"))))
-    with_mean = head.withColumn("global_avg", overall.over(Window.partitionBy()))
-    per = with_mean.where((F.col("is_total") == 0) & (F.col("n_gas") > 0)).select(
-        "address", mean_of(F.col("gas_total"), F.col("n_gas")).alias("avg_gas"), "global_avg")
-    return above_below(per, "avg_gas", F.col("global_avg")).orderBy(F.col("avg_gas").desc(), F.col("address"))
+    profile = recipient_profile(tx_lines, lenient)
+    columns = [c for c in profile.columns if c != "address"]
+    sums = profile.agg(F.struct(*[F.try_sum(c).alias(c) for c in columns]).alias("sums")).scalar()
+    overall = mean_of(sums.getField("gas_total_all"), sums.getField("n_gas_all"))
+    # computed_once hides the contract rules from the optimizer, which would infer them for the
+    # profile's side of the join and so scan the transactions once more for it
+    contracts = computed_once(contract_addresses(contract_lines, csv_mode), F.col("address").alias("address")).distinct()
+    # the overall rule is never the stricter one, so the last condition holds for all
+    alike = (F.col("n_gas_all") >= F.col("n_gas")) & ((F.col("n_gas_all") == 0) | (F.col("gas_total_all").isNotNull() | F.col("gas_total").isNull()))
+    top = top_k(profile.where(F.col("n_value") > 0).join(contracts, "address").where(alike), "total_value", "address", k)
+    per = top.where(F.col("n_gas") > 0).select("address", mean_of(F.col("gas_total"), F.col("n_gas")).alias("avg_gas"))
+    return above_below(per, "avg_gas", overall).orderBy(F.col("avg_gas").desc(), F.col("address"))
 
 
 # --- C7 / C8 scams ------------------------------------------------------------------------
@@ -271,35 +287,29 @@ def scam_members(registry: DataFrame, categories: Sequence[str] | None = None) -
     return registry_addresses(registry_entries(registry), categories)
 
 
-def _prefilter(rows: DataFrame, listed: DataFrame, members: DataFrame,
-               small: bool) -> tuple[DataFrame, DataFrame]:
-    """When the member list was checked to be small: broadcast it, and drop
-    non-member transactions inside the scan stage with a broadcast
-    semi-join on the raw listed addresses (a semi-join needs no
-    de-duplication) before anything is aggregated."""
-    if small:
-        members = F.broadcast(members)
-        rows = rows.join(F.broadcast(listed.select("address")), "address", "left_semi")
-    return rows, members
+def _member_rows(tx_lines: DataFrame, registry: DataFrame, rules, values: list[str], key: str, dedupe: bool,
+                 categories: Sequence[str] | None = None) -> DataFrame:
+    """Valid transactions of listed addresses, one row per (transaction, key): address, values, key, copies.
+
+    The one join of these questions: transactions meet each (address, key)
+    once, with the number of copies the registry lists.
+    """
+    members = counted_members(scam_members(registry, categories), key, dedupe)
+    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", *values], rules)), rules).select(
+        F.col("to_address").alias("address"), *values)
+    return rows.join(members, "address")
 
 
 def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Per-address totals joined to the registry: address, scam_id, total_value."""
-    listed = scam_members(registry).select("address", "scam_id")
-    small = has_at_most(listed)  # checked before de-duplication
-    members = dedupe_members(listed, ["scam_id"]) if dedupe else listed
-    rules = tx_recipient(exact=True)
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "value_wei"], rules)), rules).select(
-        F.col("to_address").alias("address"), F.col("value_wei").alias("value"))
-    rows, members = _prefilter(rows, listed, members, small)
-    totals = totals_by(rows, ["address"], "value", "total_value")
-    return totals.join(members, "address", "inner").select("address", "scam_id", "total_value")
+    """Value per listed address and scam: address, scam_id, total_value."""
+    rows = _member_rows(tx_lines, registry, tx_recipient(exact=True), ["value_wei"], "scam_id", dedupe)
+    return weighted_totals(rows, ["address", "scam_id"], "value_wei", "copies", "total_value")
 
 
 def scam_id_totals(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
     """Value received per scam ("<id>_<category>"): scam_id, total_value."""
-    joined = scam_value_by_address(tx_lines, registry, dedupe)
-    return totals_by(joined, ["scam_id"], "total_value", "total_value")
+    rows = _member_rows(tx_lines, registry, tx_recipient(exact=True), ["value_wei"], "scam_id", dedupe)
+    return weighted_totals(rows, ["scam_id"], "value_wei", "copies", "total_value")
 
 
 def top_scams(tx_lines: DataFrame, registry: DataFrame, k: int = 10, dedupe: bool = True) -> DataFrame:
@@ -308,28 +318,18 @@ def top_scams(tx_lines: DataFrame, registry: DataFrame, k: int = 10, dedupe: boo
 
 def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True,
                        categories: Sequence[str] | None = None) -> DataFrame:
-    """Monthly value per scam address and its category: address, month, category, value.
-
-    Transactions are first summed per (address, month) — partial aggregates
-    collapse a hot address inside each task — and only those sums are
-    joined to the (address, category) list.
-    """
-    listed = scam_members(registry, categories).select("address", "category")
-    small = has_at_most(listed)
-    members = dedupe_members(listed, ["category"]) if dedupe else listed
-    rules = tx_recipient_time()
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", "month", "value_wei"], rules)), rules).select(
-        F.col("to_address").alias("address"), "month", F.col("value_wei").alias("value"))
-    rows, members = _prefilter(rows, listed, members, small)
-    per_month = totals_by(rows, ["address", "month"], "value", "value")
-    return per_month.join(members, "address", "inner").select("address", "month", "category", "value")
+    """Monthly value per scam address and its category: address, month, category, value."""
+    rows = _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories)
+    totals = weighted_totals(rows, ["address", "month_no", "category"], "value_wei", "copies", "value")
+    return totals.select("address", month_label("month_no").alias("month"), "category", "value")
 
 
 def scam_monthly(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True,
                  categories: Sequence[str] | None = None) -> DataFrame:
     """Value received per month and scam category: month, category, total_value."""
-    rows = scam_category_rows(tx_lines, registry, dedupe, categories)
-    return totals_by(rows, ["month", "category"], "value", "total_value").orderBy("month", "category")
+    rows = _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories)
+    return _labelled(weighted_totals(rows, ["month_no", "category"], "value_wei", "copies", "total_value")).orderBy(
+        "month", "category")
 
 
 def scam_category_totals(monthly: DataFrame) -> DataFrame:

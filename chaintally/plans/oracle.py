@@ -2,22 +2,27 @@
 
 Each statement rebuilds the ledger input with the binding rules of
 ``plans/binding.py`` (in SQL), splits lines with ``string_split`` and
-checks fields with the same regular expressions, so a match tests the
+checks fields with its own patterns and casts, so a match tests the
 Spark plan end to end.  Sums are exact (DECIMAL / integer) and cast at the
 end: wei totals to BIGINT, means as ``CAST(sum AS DOUBLE) / count``.
 """
 
 from __future__ import annotations
 
-from chaintally.functions.parse import INTEGER_PATTERN, NUMBER_PATTERN
 from chaintally.plans.binding import (
     ALL_CATEGORIES,
+    BLOCK_DAMAGE,
     BLOCK_DAMAGE_MOD,
-    CONTRACT_TYPES,
     FILTER_CATEGORIES,
+    GAP_YEAR,
+    LONG_CONTRACT,
+    LONG_CONTRACT_MOD,
+    LONG_SIGNATURES,
     ONE_SIGNATURE,
+    REGISTRY_DAMAGE_MOD,
     SCAM_GROUP,
     TWO_SIGNATURES,
+    TX_DAMAGE,
     TX_DAMAGE_MOD,
 )
 from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, GB_PER_BIT, TRANSACTION_FIELDS
@@ -27,12 +32,36 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def num(x: str) -> str:
-    return f"coalesce(regexp_full_match({x}, {_q(NUMBER_PATTERN)}), false)"
+AMOUNT = "DECIMAL(38,6)"
+GAS = "DECIMAL(18,6)"
+WEI = "DECIMAL(38,0)"
+
+# Number text, written out here on its own: blanks around, a sign, digits, a fraction, an exponent.
+_DIGITS = "[[:space:]]*[-+]?[0-9]+"
+_WHOLE = _DIGITS + "[[:space:]]*"
+_DECIMAL = _DIGITS + "([.][0-9]+)?([eE][-+]?[0-9]+)?[[:space:]]*"
+
+
+def amount(x: str, kind: str = AMOUNT) -> str:
+    """The parsed value, NULL for what is no number or does not fit."""
+    return f"CASE WHEN regexp_full_match({x}, {_q(_DECIMAL)}) THEN TRY_CAST(trim({x}) AS {kind}) END"
+
 
+def whole(x: str, kind: str = "BIGINT") -> str:
+    return f"CASE WHEN regexp_full_match({x}, {_q(_WHOLE)}) THEN TRY_CAST(trim({x}) AS {kind}) END"
 
-def integer(x: str) -> str:
-    return f"coalesce(regexp_full_match({x}, {_q(INTEGER_PATTERN)}), false)"
+
+def num(x: str, kind: str = AMOUNT) -> str:
+    return f"(({amount(x, kind)}) IS NOT NULL)"
+
+
+def integer(x: str, kind: str = "BIGINT") -> str:
+    return f"(({whole(x, kind)}) IS NOT NULL)"
+
+
+def in_years(x: str) -> str:
+    """Seconds of the years 1 to 9999."""
+    return f"coalesce(({whole(x)}) BETWEEN epoch(TIMESTAMP '0001-01-01 00:00:00') AND epoch(TIMESTAMP '9999-12-31 23:59:59'), false)"
 
 
 def nonempty(x: str) -> str:
@@ -40,15 +69,20 @@ def nonempty(x: str) -> str:
 
 
 def month_of(x: str) -> str:
-    return f"strftime(make_timestamp(CAST(trim({x}) AS BIGINT) * 1000000), '%Y/%m')"
+    return f"strftime(make_timestamp(({whole(x)}) * 1000000), '%Y/%m')"
 
 
-AMOUNT = "DECIMAL(38,6)"
-WEI = "DECIMAL(38,0)"
+def damaged(rule: str, value: str, damage: dict) -> str:
+    whens = " ".join(f"WHEN {k} THEN {_q(text)}" for k, text in damage.items())
+    return f"CASE {rule} {whens} ELSE {value} END" if whens else value
+
+
+def tx_damaged(name: str) -> str:
+    return damaged("d", name, {k: text for k, (field, text) in TX_DAMAGE.items() if field == name})
 
 
 def tx_cte(recipients: str = "part") -> str:
-    to = {"part": "'p' || l_partkey", "supplier": "'s' || l_suppkey"}[recipients]
+    to = {"part": "CASE WHEN l_partkey % 4 = 0 THEN 'n' ELSE 'p' END || l_partkey", "supplier": "'s' || l_suppkey"}[recipients]
     m = TX_DAMAGE_MOD
     return f"""
 tx AS (
@@ -64,17 +98,15 @@ tx AS (
     CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS gas,
     CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) AS gas_price,
     '0x' AS input,
-    CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) AS block_timestamp,
+    CAST(CAST(epoch(CASE WHEN year(l_shipdate) = {GAP_YEAR} THEN date_trunc('quarter', l_shipdate) ELSE l_shipdate END) AS BIGINT)
+         AS VARCHAR) AS block_timestamp,
     '' AS max_fee_per_gas, '' AS max_priority_fee_per_gas, '0' AS transaction_type
   FROM lineitem
 ),
 txline AS (
   SELECT concat_ws(',', hash, nonce, block_hash, block_number, transaction_index, from_address,
            to_address,
-           CASE WHEN d = 2 THEN 'value' WHEN d = 4 THEN '5.7' ELSE value END,
-           CASE WHEN d = 5 THEN 'g' ELSE gas END,
-           gas_price, input,
-           CASE WHEN d = 3 THEN 'x' ELSE block_timestamp END,
+           {tx_damaged('value')}, {tx_damaged('gas')}, {tx_damaged('gas_price')}, input, {tx_damaged('block_timestamp')},
            max_fee_per_gas, max_priority_fee_per_gas)
          || CASE WHEN d = 1 THEN '' ELSE ',' || transaction_type END AS line
   FROM tx
@@ -94,13 +126,14 @@ def with_(*ctes: str) -> str:
 # Transaction field positions (1-based lists in DuckDB).
 F_TO, F_VALUE, F_GAS, F_PRICE, F_TS = "f[7]", "f[8]", "f[9]", "f[10]", "f[12]"
 
-V1 = f"len(f) = 15 AND {num(F_VALUE)} AND {integer(F_TS)}"
+TIME = f"{integer(F_TS)} AND {in_years(F_TS)}"
+V1 = f"len(f) = 15 AND {num(F_VALUE)} AND {TIME}"
 V2 = f"len(f) = 15 AND {nonempty(F_TO)} AND {num(F_VALUE)}"
-V2X = f"len(f) = 15 AND {nonempty(F_TO)} AND {integer(F_VALUE)}"
-V3 = f"{V2X} AND {integer(F_TS)}"
-V4 = f"len(f) = 15 AND {num(F_GAS)} AND {num(F_PRICE)} AND {integer(F_TS)}"
-V5_STRICT = f"len(f) = 15 AND {num(F_GAS)}"
-V5_LENIENT = f"(len(f) = 15 OR (len(f) > 6 AND {nonempty(F_TO)})) AND {num(F_GAS)}"
+V2X = f"len(f) = 15 AND {nonempty(F_TO)} AND {integer(F_VALUE, WEI)}"
+V3 = f"{V2X} AND {TIME}"
+V4 = f"len(f) = 15 AND {num(F_GAS, GAS)} AND {num(F_PRICE)} AND {TIME}"
+V5_STRICT = f"len(f) = 15 AND {num(F_GAS, GAS)}"
+V5_LENIENT = f"(len(f) = 15 OR (len(f) > 6 AND {nonempty(F_TO)})) AND {num(F_GAS, GAS)}"
 
 
 def reason_case(rules: list[tuple[str, str]]) -> str:
@@ -109,15 +142,17 @@ def reason_case(rules: list[tuple[str, str]]) -> str:
     return f"CASE {whens} ELSE 'ok' END"
 
 
+TIME_RULES = [("integer:block_timestamp", integer(F_TS)), ("range:block_timestamp", in_years(F_TS))]
+
 TX_RULES = {
     "value_time": [("arity", "len(f) = 15"), ("number:value", num(F_VALUE)),
-                   ("integer:block_timestamp", integer(F_TS))],
+                   *TIME_RULES],
     "recipient": [("arity", "len(f) = 15"), ("empty:to_address", nonempty(F_TO)),
                   ("number:value", num(F_VALUE))],
     "recipient_time": [("arity", "len(f) = 15"), ("empty:to_address", nonempty(F_TO)),
-                       ("integer:value", integer(F_VALUE)), ("integer:block_timestamp", integer(F_TS))],
-    "gas": [("arity", "len(f) = 15"), ("number:gas", num(F_GAS)), ("number:gas_price", num(F_PRICE)),
-            ("integer:block_timestamp", integer(F_TS))],
+                       ("integer:value", integer(F_VALUE, WEI)), *TIME_RULES],
+    "gas": [("arity", "len(f) = 15"), ("number:gas", num(F_GAS, GAS)), ("number:gas_price", num(F_PRICE)),
+            *TIME_RULES],
 }
 
 
@@ -125,32 +160,36 @@ def contract_cte() -> str:
     return f"""
 conline AS (
   SELECT concat_ws(',', 'p' || p_partkey, '0x6060' || p_partkey,
-           CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN {_q(ONE_SIGNATURE)} ELSE {_q(TWO_SIGNATURES)} END,
-           'False', 'False', CAST(p_partkey AS VARCHAR)) AS line,
-         p_size % 3 AS nsig
-  FROM part WHERE p_type IN ({", ".join(_q(t) for t in CONTRACT_TYPES)})
+           CASE WHEN p_partkey % {LONG_CONTRACT_MOD} = {LONG_CONTRACT} THEN repeat({_q(f'"{ONE_SIGNATURE}",')}, {LONG_SIGNATURES})
+                WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN {_q(ONE_SIGNATURE)} ELSE {_q(TWO_SIGNATURES)} END,
+           CASE WHEN p_partkey % 2 = 0 THEN 'True' ELSE 'False' END, 'False', CAST(p_partkey AS VARCHAR)) AS line
+  FROM part
 ),
 conall AS (
-  SELECT line, nsig FROM conline UNION ALL SELECT {_q(CONTRACT_HEADER)}, NULL
+  SELECT line FROM conline UNION ALL SELECT {_q(CONTRACT_HEADER)}
 )"""
 
 
+def contract_fields(naive: bool) -> str:
+    """Fields of a contract line; for a quoted split, what is quoted is put aside first (its commas as spaces)."""
+    return "string_split(line, ',')" if naive else """string_split(regexp_replace(line, '"[^"]*"', 'quoted', 'g'), ',')"""
+
+
 def contract_rules_sql(naive: bool) -> list[tuple[str, str]]:
-    # quoted split: a pair of signatures stays one field, so every line has 6
-    arity = "len(string_split(line, ',')) = 6" if naive else "len(string_split(line, ',')) - (CASE WHEN nsig = 2 THEN 1 ELSE 0 END) = 6"
-    first = "string_split(line, ',')[1]"
-    return [("arity", arity), ("empty:address", nonempty(first)),
-            ("header", f"coalesce({first} <> 'address', true)")]
+    f = contract_fields(naive)
+    return [("arity", f"len({f}) = 6"), ("empty:address", nonempty(f"{f}[1]")),
+            ("header", f"coalesce({f}[1] <> 'address', true)")]
 
 
 def block_cte() -> str:
     m = BLOCK_DAMAGE_MOD
     head = ", ".join([
         "CAST(o_orderkey AS VARCHAR)", "'0xh' || o_orderkey", "'0xh' || (o_orderkey - 1)", "'0x0'",
-        "'0x1dcc'", "'0x00000000'", "'0xt' || o_orderkey", "'0xs' || o_orderkey", "'0xr' || o_orderkey",
+        "'0x' || repeat('a', o_orderkey % 65)", "'0x' || repeat('0', o_orderkey % 513)", "'0x' || repeat('b', o_orderkey % 7)",
+        "CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE '0x' || repeat('c', o_orderkey % 31) END", "'0x' || repeat('d', o_orderkey % 64)",
         f"CASE WHEN o_orderkey % {m} = 0 THEN '' ELSE 'c' || o_custkey END",
         "CAST(o_orderkey AS VARCHAR)", "CAST(o_orderkey * 2 AS VARCHAR)",
-        f"CASE WHEN o_orderkey % {m} = 1 THEN 'big' ELSE CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) END",
+        damaged(f"o_orderkey % {m}", "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)", BLOCK_DAMAGE),
         "'0x'", "'8000000'", "'100'", "CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VARCHAR)", "'1'",
     ])
     return f"""
@@ -168,16 +207,19 @@ BLOCK_ANY_RULES = [("arity", "len(f) = 19"), ("header", "coalesce(f[1] <> 'numbe
 
 
 def registry_cte() -> str:
-    g = SCAM_GROUP
+    g, m = SCAM_GROUP, REGISTRY_DAMAGE_MOD
     return f"""
-entries AS (
-  SELECT 's' || s_suppkey AS entry_address, CAST(s_suppkey // {g} AS VARCHAR) AS id, r_name AS category,
-         s_suppkey // {g} AS grp, s_acctbal < 0 AS empty_list
+alldocs AS (
+  SELECT 's' || s_suppkey AS entry_address, CASE WHEN s_suppkey % {m} <> 3 THEN CAST(s_suppkey // {g} AS VARCHAR) END AS id,
+         CASE WHEN s_suppkey % {m} <> 2 THEN r_name END AS category,
+         s_suppkey // {g} AS grp, s_suppkey % {m} = 1 AS cut,
+         CASE WHEN s_suppkey % {m} = 4 THEN NULL WHEN s_acctbal < 0 THEN 0 ELSE {g} END AS n_listed
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
+entries AS (SELECT * FROM alldocs WHERE NOT cut AND id IS NOT NULL AND category IS NOT NULL),
 members AS (
   SELECT 's' || x AS address, id, category, id || '_' || category AS scam_id
-  FROM (SELECT id, category, unnest(range(grp * {g}, grp * {g} + {g})) AS x FROM entries WHERE NOT empty_list)
+  FROM (SELECT id, category, unnest(range(grp * {g}, grp * {g} + {g})) AS x FROM entries WHERE n_listed > 0)
 )"""
 
 
@@ -188,7 +230,7 @@ def _in(values) -> str:
 def scam_totals_sql(dedupe: bool) -> str:
     mem = "SELECT DISTINCT address, scam_id FROM members" if dedupe else "SELECT address, scam_id FROM members"
     return with_(tx_cte("supplier"), registry_cte(), f"""
-tot AS (SELECT f[7] AS address, sum(TRY_CAST(trim(f[8]) AS {WEI})) AS total_value FROM txf WHERE {V2X} GROUP BY 1),
+tot AS (SELECT f[7] AS address, sum({whole('f[8]', WEI)}) AS total_value FROM txf WHERE {V2X} GROUP BY 1),
 mem AS ({mem})""") + """
 SELECT scam_id, CAST(sum(total_value) AS BIGINT) AS total_value
 FROM tot JOIN mem USING (address) GROUP BY scam_id"""
@@ -199,7 +241,7 @@ def scam_monthly_sql(dedupe: bool, categories=None) -> str:
     mem = (f"SELECT DISTINCT address, category FROM members {where}" if dedupe
            else f"SELECT address, category FROM members {where}")
     return with_(tx_cte("supplier"), registry_cte(), f"""
-rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, TRY_CAST(trim(f[8]) AS {WEI}) AS value
+rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {whole('f[8]', WEI)} AS value
          FROM txf WHERE {V3}),
 mem AS ({mem})""") + """
 SELECT month, category, CAST(sum(value) AS BIGINT) AS total_value
@@ -212,11 +254,11 @@ def top(sql: str, measure: str, key: str, k: int = 10) -> str:
 
 def contract_totals_sql(naive: bool = False, bag: bool = False) -> str:
     ok = " AND ".join(f"({c})" for _, c in contract_rules_sql(naive))
-    cons = (f"SELECT string_split(line, ',')[1] AS address FROM conall WHERE {ok}")
+    cons = f"SELECT {contract_fields(naive)}[1] AS address FROM conall WHERE {ok}"
     if not bag:
         cons = f"SELECT DISTINCT address FROM ({cons})"
     return with_(tx_cte("part"), contract_cte(), f"""
-tot AS (SELECT f[7] AS address, sum(TRY_CAST(trim(f[8]) AS {AMOUNT})) AS total_value FROM txf WHERE {V2} GROUP BY 1),
+tot AS (SELECT f[7] AS address, sum({amount('f[8]')}) AS total_value FROM txf WHERE {V2} GROUP BY 1),
 cons AS ({cons})""") + """
 SELECT address, CAST(total_value AS DOUBLE) AS total_value FROM tot JOIN cons USING (address)"""
 
@@ -259,7 +301,7 @@ def oracle_queries() -> dict[str, str]:
 
     q["monthly_value"] = with_(txp) + f"""
 SELECT {month_of(F_TS)} AS month, count(*) AS n,
-       CAST(sum(TRY_CAST(trim({F_VALUE}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_value
+       CAST(sum({amount(F_VALUE)}) AS DOUBLE) / count(*) AS avg_value
 FROM txf WHERE {V1} GROUP BY 1"""
 
     q["month_key"] = with_(txp) + f"""
@@ -273,11 +315,11 @@ SELECT hash, CAST(block_timestamp AS BIGINT) AS block_timestamp, {month_of('bloc
     q["filter_header"] = (with_(txp, f"allf AS (SELECT line, string_split(line, ',') AS f FROM txline UNION ALL SELECT {_q(TX_HEADER)}, string_split({_q(TX_HEADER)}, ','))")
                           + "SELECT line AS value FROM allf WHERE coalesce(f[1] <> 'hash', true)")
     q["filter_lenient"] = with_(txp) + f"""
-SELECT count(*) AS n, CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas
+SELECT count(*) AS n, CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas
 FROM txf WHERE {V5_LENIENT}"""
     q["project_fields"] = with_(txp) + f"""
-SELECT f[1] AS hash, f[7] AS to_address, TRY_CAST(trim({F_VALUE}) AS DOUBLE) AS value,
-       TRY_CAST(trim({F_GAS}) AS DOUBLE) AS gas, CAST(trim({F_TS}) AS BIGINT) AS block_timestamp
+SELECT f[1] AS hash, f[7] AS to_address, {amount(F_VALUE, "DOUBLE")} AS value,
+       {amount(F_GAS, "DOUBLE")} AS gas, {whole(F_TS)} AS block_timestamp
 FROM txf WHERE {V1}"""
 
     q["valid_tx_value_time"] = reason_counts_sql([txp], "txf", value_time)
@@ -306,27 +348,30 @@ SELECT reason, n, CAST(sum(n) OVER () AS BIGINT) AS lines,
     q["quality_report_blocks"] = report([block_cte()], "blkf", BLOCK_MINER_RULES)
 
     # typed sources: every field must parse; the damaged lines all fail one
-    typed_ok = (f"len(f) = 15 AND f[1] <> 'hash' AND {integer(F_VALUE)} AND {integer(F_GAS)} "
-                f"AND {integer(F_TS)} AND {integer(F_PRICE)}")
+    typed_ok = (f"len(f) = 15 AND f[1] <> 'hash' AND {integer(F_VALUE, WEI)} AND {integer(F_GAS)} "
+                f"AND {TIME} AND {integer(F_PRICE, WEI)}")
     q["scan_transactions"] = with_(txp) + f"""
-SELECT f[1] AS hash, nullif(f[7], '') AS to_address, CAST(TRY_CAST(trim({F_VALUE}) AS {WEI}) AS BIGINT) AS value,
-       CAST(trim({F_GAS}) AS BIGINT) AS gas, CAST(trim({F_TS}) AS BIGINT) AS block_timestamp
+SELECT f[1] AS hash, nullif(f[7], '') AS to_address, CAST({whole(F_VALUE, WEI)} AS BIGINT) AS value,
+       {whole(F_GAS)} AS gas, {whole(F_TS)} AS block_timestamp
 FROM txf WHERE {typed_ok}"""
     q["scan_blocks"] = with_(block_cte()) + """
-SELECT CAST(f[1] AS BIGINT) AS number, nullif(f[10], '') AS miner, CAST(f[13] AS BIGINT) AS size,
+SELECT CAST(f[1] AS BIGINT) AS number, nullif(f[10], '') AS miner, CAST(trim(f[13]) AS BIGINT) AS size,
        CAST(f[17] AS BIGINT) AS timestamp
 FROM blkf WHERE len(f) = 19 AND f[1] <> 'number' AND """ + integer("f[13]")
-    q["scan_contracts"] = with_(contract_cte()) + """
-SELECT string_split(line, ',')[1] AS address, CAST(nsig AS INTEGER) AS n_signatures, false AS is_erc20
-FROM conall WHERE nsig IS NOT NULL"""
-    q["scan_contracts_compat"] = with_(contract_cte()) + """
-SELECT string_split(line, ',')[1] AS address, CAST(nsig AS INTEGER) AS n_signatures, false AS is_erc20
-FROM conall WHERE nsig IS NOT NULL AND nsig < 2"""
+    for key, naive in (("scan_contracts", False), ("scan_contracts_compat", True)):
+        f = contract_fields(naive)
+        ok = " AND ".join(f"({c})" for _, c in contract_rules_sql(naive))
+        # what is quoted is a signature list: its commas are counted in the line itself
+        n_signatures = (f"CASE WHEN {f}[3] = '' THEN 0 WHEN {f}[3] = 'quoted' "
+                        """THEN len(string_split(regexp_extract(line, '"([^"]*)"', 1), ',')) ELSE 1 END""")
+        q[key] = with_(contract_cte()) + f"""
+SELECT {f}[1] AS address, CAST({n_signatures} AS INTEGER) AS n_signatures, {f}[4] = 'True' AS is_erc20
+FROM conall WHERE {ok}"""
 
     reg = registry_cte()
     q["scan_registry"] = with_(reg) + """
 SELECT entry_address, id, category,
-       CAST(CASE WHEN empty_list THEN 0 ELSE 4 END AS INTEGER) AS n_addresses FROM entries"""
+       CAST(n_listed AS INTEGER) AS n_addresses FROM entries"""
     q["registry_entries"] = q["scan_registry"]
     q["registry_ids"] = with_(reg) + "SELECT entry_address, id || '_' || category AS scam_id FROM entries"
     q["registry_addresses"] = with_(reg) + "SELECT address, id, category, scam_id FROM members"
@@ -334,12 +379,19 @@ SELECT entry_address, id, category,
     q["filter_category"] = with_(reg) + f"SELECT address, category FROM members WHERE category IN ({_in(FILTER_CATEGORIES)})"
 
     q["recipient_totals"] = with_(txp) + f"""
-SELECT f[7] AS address, CAST(sum(TRY_CAST(trim({F_VALUE}) AS {AMOUNT})) AS DOUBLE) AS total_value
+SELECT f[7] AS address, CAST(sum({amount(F_VALUE)}) AS DOUBLE) AS total_value
 FROM txf WHERE {V2} GROUP BY 1"""
     q["contract_totals"] = contract_totals_sql()
     q["top_contracts"] = top(contract_totals_sql(), "total_value", "address")
     q["top_contracts_compat"] = top(contract_totals_sql(naive=True, bag=True), "total_value", "address")
 
+    q["quality_report_registry"] = with_(reg, """
+c AS (SELECT CASE WHEN cut THEN 'json' WHEN id IS NULL THEN 'id' WHEN category IS NULL THEN 'category' ELSE 'ok' END AS reason,
+             count(*) AS n FROM alldocs GROUP BY 1)""") + """
+SELECT reason, n, CAST(sum(n) OVER () AS BIGINT) AS lines,
+       CAST(sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS kept,
+       CAST(sum(n) OVER () - sum(CASE WHEN reason = 'ok' THEN n ELSE 0 END) OVER () AS BIGINT) AS dropped FROM c"""
+
     miner = with_(block_cte()) + f"""
 SELECT f[10] AS miner, sum(CAST(trim(f[13]) AS BIGINT)) AS total_size FROM blkf
 WHERE {" AND ".join(f"({c})" for _, c in BLOCK_MINER_RULES)} GROUP BY 1"""
@@ -354,27 +406,42 @@ WHERE {" AND ".join(f"({c})" for _, c in BLOCK_MINER_RULES)} GROUP BY 1"""
                             f"SELECT (SELECT sum(bits) FROM ({overhead_columns_sql()})) AS a, "
                             f"(SELECT total_bits FROM ({overhead_total_sql()})) AS b)")
 
+    blocks = with_(block_cte(), f"hexed AS (SELECT f FROM blkf WHERE {' AND '.join(f'({c})' for _, c in BLOCK_ANY_RULES)})")
+    names = {5: "sha3_uncles", 6: "logs_bloom", 7: "transactions_root", 8: "state_root", 9: "receipts_root"}
+    q["block_overhead_columns"] = blocks + " UNION ALL ".join(
+        f"(SELECT '{n}' AS \"column\", CAST(sum({hex_bits_sql(f'f[{i}]')}) AS BIGINT) AS bits FROM hexed)" for i, n in names.items())
+    row = " + ".join(hex_bits_sql(f"f[{i}]") for i in names)
+    q["block_overhead_total"] = blocks + (f"SELECT CAST(sum({row}) AS BIGINT) AS total_bits, "
+                                          f"CAST(sum({row}) AS DOUBLE) * {GB_PER_BIT} AS total_gb FROM hexed")
+    columns = " + ".join(f"sum({hex_bits_sql(f'f[{i}]')})" for i in names)
+    q["block_reconcile"] = blocks + (f"SELECT CAST({columns} AS BIGINT) AS sum_of_columns, CAST(sum({row}) AS BIGINT) AS total_bits, "
+                                     f"{columns} = sum({row}) AS agrees FROM hexed")
+
     q["monthly_gas"] = with_(txp) + f"""
 SELECT {month_of(F_TS)} AS month,
-       CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas,
-       CAST(sum(TRY_CAST(trim({F_PRICE}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas_price
+       CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas,
+       CAST(sum({amount(F_PRICE)}) AS DOUBLE) / count(*) AS avg_gas_price
 FROM txf WHERE {V4} GROUP BY 1"""
     q["global_mean_gas"] = with_(txp) + f"""
-SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_STRICT}"""
+SELECT CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_STRICT}"""
     q["global_mean_gas_compat"] = with_(txp) + f"""
-SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_LENIENT}"""
+SELECT CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas FROM txf WHERE {V5_LENIENT}"""
+    ok = " AND ".join(f"({c})" for _, c in contract_rules_sql(False))
+    listed = f"f[7] IN (SELECT {contract_fields(False)}[1] FROM conall WHERE {ok})"
+    for key in ("monthly_gas", "global_mean_gas"):
+        q[key + "_contracts"] = q[key].replace(with_(txp), with_(txp, contract_cte())).replace("FROM txf WHERE", f"FROM txf WHERE {listed} AND")
     q["contract_totals_compat"] = contract_totals_sql(naive=True, bag=True)
     top_naive = top(contract_totals_sql(naive=True), "total_value", "address")
     q["above_below_mean_compat"] = (
         f"WITH per AS ({with_(txp, f'top10 AS ({top_naive})')}"
-        f"SELECT f[7] AS address, CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas "
+        f"SELECT f[7] AS address, CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas "
         f"FROM txf WHERE {V5_STRICT} AND f[7] IN (SELECT address FROM top10) GROUP BY 1), "
         f"g AS ({q['global_mean_gas_compat']})\n"
         "SELECT address, avg_gas, (SELECT avg_gas FROM g) AS global_avg, "
         "CASE WHEN avg_gas >= (SELECT avg_gas FROM g) THEN 'above' ELSE 'below' END AS side FROM per")
     q["filter_in_set"] = _gas_in_set_sql("f[7] AS address, count(*) AS n", "GROUP BY 1")
     q["recipient_mean_gas"] = _gas_in_set_sql(
-        f"f[7] AS address, CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS avg_gas", "GROUP BY 1")
+        f"f[7] AS address, CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas", "GROUP BY 1")
     q["above_below_mean"] = (
         f"WITH per AS ({q['recipient_mean_gas']}), g AS ({q['global_mean_gas']})\n"
         "SELECT address, avg_gas, (SELECT avg_gas FROM g) AS global_avg, "
@@ -383,7 +450,7 @@ SELECT CAST(sum(TRY_CAST(trim({F_GAS}) AS {AMOUNT})) AS DOUBLE) / count(*) AS av
     pairs = f"SELECT row_number() OVER (ORDER BY total_value DESC, address) AS rank, address, total_value FROM ({q['top_contracts']})"
     q["read_pair_result"] = f"SELECT CAST(rank AS INTEGER) AS rank, address AS key, total_value FROM ({pairs})"
     q["sink_roundtrip"] = q["top_contracts"]
-    q["sink_full_result"] = q["monthly_value"]
+    q["sink_full_result"] = q["saved_series"] = q["monthly_value"]
     q["trim_chars"] = f"SELECT CAST(rank AS INTEGER) AS rank, address AS key FROM ({pairs})"
     q["peek_rows"] = with_(txp) + """
 SELECT hash, CAST(block_number AS BIGINT) AS block_number, CAST(transaction_index AS BIGINT) AS transaction_index
@@ -392,7 +459,7 @@ FROM tx ORDER BY CAST(block_number AS BIGINT), CAST(transaction_index AS BIGINT)
 SELECT CAST(sum(CAST(value || '000000000000000000' AS {WEI})) AS VARCHAR) AS total_wei FROM tx"""
 
     q["scam_id_join"] = with_(tx_cte("supplier"), registry_cte(), f"""
-tot AS (SELECT f[7] AS address, sum(TRY_CAST(trim(f[8]) AS {WEI})) AS total_value FROM txf WHERE {V2X} GROUP BY 1)""") + """
+tot AS (SELECT f[7] AS address, sum({whole('f[8]', WEI)}) AS total_value FROM txf WHERE {V2X} GROUP BY 1)""") + """
 SELECT address, scam_id, CAST(total_value AS BIGINT) AS total_value
 FROM tot JOIN (SELECT DISTINCT address, scam_id FROM members) m USING (address)"""
     q["scam_id_totals"] = scam_totals_sql(True)
@@ -403,13 +470,13 @@ FROM tot JOIN (SELECT DISTINCT address, scam_id FROM members) m USING (address)"
     q["best_scam_compat"] = top(scam_totals_sql(False), "total_value", "scam_id", 1)
 
     q["scam_category_join"] = with_(tx_cte("supplier"), registry_cte(), f"""
-rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, TRY_CAST(trim(f[8]) AS {WEI}) AS value
+rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {whole('f[8]', WEI)} AS value
          FROM txf WHERE {V3})""") + """
 SELECT address, month, category, CAST(sum(value) AS BIGINT) AS value
 FROM rows JOIN (SELECT DISTINCT address, category FROM members) m USING (address)
 GROUP BY address, month, category"""
     q["scam_monthly"] = scam_monthly_sql(True)
-    q["scam_monthly_compat"] = scam_monthly_sql(False, FILTER_CATEGORIES)
+    q["scam_monthly_compat"] = scam_monthly_sql(False)
     q["scam_category_totals"] = (f"SELECT category, CAST(sum(total_value) AS BIGINT) AS total_value "
                                  f"FROM ({scam_monthly_sql(True)}) GROUP BY 1")
     series = scam_monthly_sql(True)
@@ -424,8 +491,8 @@ FROM axis a LEFT JOIN s ON a.category = s.category AND a.month = s.month"""
     q["chart_series"] = f"SELECT month, {cols} FROM ({q['zero_filled_series']}) GROUP BY month"
     q["monthly_value_stream"] = q["monthly_value"]
     q["ingest_transactions"] = with_(txp) + f"""
-SELECT f[1] AS hash, f[7] AS to_address, CAST(TRY_CAST(trim({F_VALUE}) AS {AMOUNT}) AS DOUBLE) AS value,
-       CASE WHEN {integer(F_TS)} THEN {month_of(F_TS)} END AS month,
+SELECT f[1] AS hash, f[7] AS to_address, CAST({amount(F_VALUE)} AS DOUBLE) AS value,
+       CASE WHEN {TIME} THEN {month_of(F_TS)} END AS month,
        len(f) = 15 AS ok_arity, {num(F_VALUE)} AS ok_number_value, {integer(F_TS)} AS ok_integer_block_timestamp
 FROM txf"""
     for key in ("monthly_value", "monthly_gas", "top_contracts", "above_below_mean", "top_miners",

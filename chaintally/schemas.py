@@ -40,9 +40,6 @@ HEX_BLOCK_FIELDS = (
     "receipts_root",
 )
 
-# Registry categories the monthly scam series reports on.
-SCAM_CATEGORIES = ("Phishing", "Scamming", "Fake ICO")
-
 # One hex digit stores four bits; "0x" prefix is two characters.
 BITS_PER_HEX_DIGIT = 4
 HEX_PREFIX_LENGTH = 2
@@ -53,8 +50,9 @@ GB_PER_BIT = 1.25e-10
 # Month label format of every monthly series ("2015/08").
 MONTH_FORMAT = "yyyy/MM"
 
-# Wei per ether.
-WEI_PER_ETHER = 10 ** 18
+# First and last second of the years 1 and 9999 (UTC).
+MIN_EPOCH = -62_135_596_800
+MAX_EPOCH = 253_402_300_799
 
 # ---------------------------------------------------------------------------
 # Spark types
@@ -65,6 +63,8 @@ WEI = T.DecimalType(38, 0)
 # Amounts that the lenient number rule accepts (e.g. "5.7", "1e18") keep six
 # fraction digits, so sums stay exact and independent of summation order.
 AMOUNT = T.DecimalType(38, 6)
+# Gas of one transaction: 12 whole digits are plenty, and 18 digits fit one long.
+GAS = T.DecimalType(18, 6)
 
 FIELD_INDEX = {
     "transactions": {n: i for i, n in enumerate(TRANSACTION_FIELDS)},
@@ -72,12 +72,6 @@ FIELD_INDEX = {
     "contracts": {n: i for i, n in enumerate(CONTRACT_FIELDS)},
 }
 
-TABLE_FIELDS = {
-    "transactions": TRANSACTION_FIELDS,
-    "blocks": BLOCK_FIELDS,
-    "contracts": CONTRACT_FIELDS,
-}
-
 REGISTRY_ENTRY = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("category", T.StringType()),
@@ -89,13 +83,3 @@ REGISTRY_ENTRY = T.StructType([
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("result", T.MapType(T.StringType(), REGISTRY_ENTRY)),
 ])
-
-# Typed transactions after validation (what `typed_transactions` yields).
-TRANSACTION_TYPES = {
-    "nonce": "bigint",
-    "block_number": "bigint",
-    "transaction_index": "bigint",
-    "gas": "bigint",
-    "block_timestamp": "bigint",
-    "transaction_type": "int",
-}

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import is_nonempty, parse_long, parse_wei
+from chaintally.functions.parse import is_nonempty, parse_long, parse_time, parse_wei
 from chaintally.operators.validate import (
     REASON,
     Rule,
@@ -23,13 +23,14 @@ from chaintally.operators.validate import (
     passes,
     reject_reason,
 )
+from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
 from chaintally.sources.lines import field, scan_lines, with_fields
 
 
 @dataclass(frozen=True)
 class Field:
     name: str
-    kind: str  # text | long | wei | int | bool | list ; "?" suffix = may be empty
+    kind: str  # text | long | time | wei | int | bool | list ; "?" suffix = may be empty
 
     @property
     def optional(self) -> bool:
@@ -40,35 +41,32 @@ class Field:
         return self.kind.rstrip("?")
 
 
-# The export layouts, field by field, in export order.
-TRANSACTIONS = (
-    Field("hash", "text"), Field("nonce", "long"), Field("block_hash", "text"),
-    Field("block_number", "long"), Field("transaction_index", "long"),
-    Field("from_address", "text"), Field("to_address", "text?"),
-    Field("value", "wei"), Field("gas", "long"), Field("gas_price", "wei"),
-    Field("input", "text?"), Field("block_timestamp", "long"),
-    Field("max_fee_per_gas", "wei?"), Field("max_priority_fee_per_gas", "wei?"),
-    Field("transaction_type", "int?"),
-)
+# Kind of each field that is not plain text, by name ("?" = may be empty).
+KINDS = {
+    "nonce": "long", "block_number": "long", "transaction_index": "long", "to_address": "text?", "value": "wei",
+    "gas": "long", "gas_price": "wei", "input": "text?", "block_timestamp": "time", "max_fee_per_gas": "wei?",
+    "max_priority_fee_per_gas": "wei?", "transaction_type": "int?",
+}
+BLOCK_KINDS = {
+    "number": "long", "nonce": "text?", "sha3_uncles": "text?", "logs_bloom": "text?", "transactions_root": "text?",
+    "state_root": "text?", "receipts_root": "text?", "miner": "text?", "difficulty": "wei", "total_difficulty": "wei",
+    "size": "long", "extra_data": "text?", "gas_limit": "long", "gas_used": "long", "timestamp": "time",
+    "transaction_count": "long", "base_fee_per_gas": "wei?",
+}
+CONTRACT_KINDS = {
+    "bytecode": "text?", "function_sighashes": "list?", "is_erc20": "bool?", "is_erc721": "bool?", "block_number": "long?",
+}
 
-BLOCKS = (
-    Field("number", "long"), Field("hash", "text"), Field("parent_hash", "text"),
-    Field("nonce", "text?"), Field("sha3_uncles", "text?"), Field("logs_bloom", "text?"),
-    Field("transactions_root", "text?"), Field("state_root", "text?"),
-    Field("receipts_root", "text?"), Field("miner", "text?"),
-    Field("difficulty", "wei"), Field("total_difficulty", "wei"), Field("size", "long"),
-    Field("extra_data", "text?"), Field("gas_limit", "long"), Field("gas_used", "long"),
-    Field("timestamp", "long"), Field("transaction_count", "long"),
-    Field("base_fee_per_gas", "wei?"),
-)
 
-CONTRACTS = (
-    Field("address", "text"), Field("bytecode", "text?"),
-    Field("function_sighashes", "list?"), Field("is_erc20", "bool?"),
-    Field("is_erc721", "bool?"), Field("block_number", "long?"),
-)
+def _layout(names: tuple[str, ...], kinds: dict[str, str]) -> tuple[Field, ...]:
+    return tuple(Field(n, kinds.get(n, "text")) for n in names)
 
-LAYOUTS = {"transactions": TRANSACTIONS, "blocks": BLOCKS, "contracts": CONTRACTS}
+
+LAYOUTS = {
+    "transactions": _layout(TRANSACTION_FIELDS, KINDS),
+    "blocks": _layout(BLOCK_FIELDS, BLOCK_KINDS),
+    "contracts": _layout(CONTRACT_FIELDS, CONTRACT_KINDS),
+}
 
 _BOOL_TEXT = ("true", "false")
 
@@ -83,6 +81,7 @@ def _check(f: Field, c: Column) -> Column:
     base = {
         "text": is_nonempty(c),
         "long": parse_long(c).isNotNull(),
+        "time": parse_time(c).isNotNull(),
         "int": parse_long(c).try_cast("int").isNotNull(),
         "wei": parse_wei(c).isNotNull(),
         "bool": _is_bool(c),
@@ -97,7 +96,7 @@ def _typed(f: Field, c: Column) -> Column:
     empty = F.length(c) == 0
     if f.base == "text":
         value = F.when(~empty, c)
-    elif f.base == "long":
+    elif f.base in ("long", "time"):
         value = parse_long(c)
     elif f.base == "int":
         value = parse_long(c).try_cast("int")
@@ -147,12 +146,3 @@ def scan_blocks(spark: SparkSession, path, csv_mode: str = "quoted",
 def scan_contracts(spark: SparkSession, path, csv_mode: str = "quoted",
                    with_rejects: bool = False) -> DataFrame:
     return parse_export(scan_lines(spark, path), "contracts", csv_mode, with_rejects)
-
-
-def ingest(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write a typed table to Parquet once, so later jobs get column pruning
-    and filter pushdown instead of re-splitting text."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)

@@ -1,21 +1,24 @@
 """Parsed (columnar) form of the transaction and block exports.
 
-``parsed_transactions(lines)`` splits each line once and keeps, per line,
-the parsed values the questions use plus the outcome of every rule as a
-boolean ``ok_*`` column.  Every question accepts either raw lines (parsed
-on the fly, inside the scan stage) or this table.  Written to Parquet once
-with ``ingest_parsed``, later questions read only the columns they need
-and their rule checks become boolean filters pushed into the Parquet scan,
-instead of re-splitting terabytes of text per question.  Both forms give
-the same answers, line for line.
+``parsed_transactions(lines)`` splits each line once, parses each needed
+field once, and keeps, per line, the parsed values the questions use plus
+the outcome of every rule as a boolean ``ok_*`` column (a value rule's
+outcome is that the parsed value is present).  Every question accepts either
+raw lines (parsed on the fly, inside the scan stage) or this table.  Written
+to Parquet once with ``ingest_parsed``, later questions read only the columns
+they need and their rule checks become boolean filters pushed into the
+Parquet scan, instead of re-splitting terabytes of text per question.  Lines
+that fail a rule keep their text in ``rejected_line``, so the reject lane
+survives the ingest.  Both forms give the same answers, line for line.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_amount, parse_long, parse_wei
-from chaintally.functions.scalar import month_key
+from chaintally.functions.parse import parse_amount, parse_gas, parse_long, parse_wei
+from chaintally.functions.scalar import month_number
 from chaintally.operators.validate import (
     field_count,
     integer,
@@ -23,13 +26,17 @@ from chaintally.operators.validate import (
     nonempty,
     not_header,
     numeric,
-    outcome_columns,
+    timestamp,
+    whole_wei,
 )
-from chaintally.schemas import FIELD_INDEX, HEX_BLOCK_FIELDS
-from chaintally.sources.lines import field, scan_lines, with_fields
+from chaintally.schemas import BLOCK_FIELDS, FIELD_INDEX, TRANSACTION_FIELDS
+from chaintally.sources.lines import LINE, computed_once, field, scan_lines, with_fields
 
 TX = FIELD_INDEX["transactions"]
 BLK = FIELD_INDEX["blocks"]
+REJECTED = "rejected_line"
+# Rows of one file of a partitioned ingest.
+FILE_ROWS = 5_000_000
 
 
 def transaction_checks():
@@ -40,10 +47,10 @@ def transaction_checks():
         not_header(TX["hash"], "hash"),
         nonempty(TX["to_address"], "to_address"),
         numeric(TX["value"], "value"),
-        integer(TX["value"], "value"),
+        whole_wei(TX["value"], "value"),
         numeric(TX["gas"], "gas"),
         numeric(TX["gas_price"], "gas_price"),
-        integer(TX["block_timestamp"], "block_timestamp"),
+        *timestamp(TX["block_timestamp"], "block_timestamp"),
     ]
 
 
@@ -60,31 +67,59 @@ def is_parsed(df: DataFrame) -> bool:
     return "ok_arity" in df.columns
 
 
+# Fields kept as text by an ingest, besides the parsed ones.
+TRANSACTION_TEXTS = tuple(n for n in TRANSACTION_FIELDS if n not in ("value", "gas", "gas_price", "block_timestamp"))
+BLOCK_TEXTS = tuple(n for n in BLOCK_FIELDS if n not in ("size",))
+
 TRANSACTION_VALUES = {
-    "hash": lambda: field(TX["hash"]),
-    "to_address": lambda: field(TX["to_address"]),
+    **{c: (lambda c=c: field(TX[c])) for c in TRANSACTION_TEXTS},
     "value": lambda: parse_amount(field(TX["value"])),
     "value_wei": lambda: parse_wei(field(TX["value"])),
-    "gas": lambda: parse_amount(field(TX["gas"])),
+    "gas": lambda: parse_gas(field(TX["gas"])),
     "gas_price": lambda: parse_amount(field(TX["gas_price"])),
     "block_timestamp": lambda: parse_long(field(TX["block_timestamp"])),
-    "month": lambda: month_key(parse_long(field(TX["block_timestamp"]))),
 }
 
 BLOCK_VALUES = {
-    "miner": lambda: field(BLK["miner"]),
+    **{c: (lambda c=c: field(BLK[c])) for c in BLOCK_TEXTS},
     "size": lambda: parse_long(field(BLK["size"])),
-    **{c: (lambda c=c: field(BLK[c])) for c in HEX_BLOCK_FIELDS},
 }
 
+# Values derived from parsed ones: name -> (source, expression).
+DERIVED = {"month_no": ("block_timestamp", lambda: month_number("block_timestamp"))}
+
+# The parsed value a value rule's outcome is read from.
+_RULE_VALUE = {"ok_number_value": "value", "ok_integer_value": "value_wei", "ok_number_gas": "gas",
+               "ok_number_gas_price": "gas_price", "ok_integer_block_timestamp": "block_timestamp",
+               "ok_range_block_timestamp": "block_timestamp", "ok_integer_size": "size"}
+
 
 def _parse(lines: DataFrame, values: dict, checks, columns) -> DataFrame:
-    if columns is None:
-        cols = [build().alias(name) for name, build in values.items()] + outcome_columns(checks)
-    else:
-        by_outcome = {r.outcome: r for r in checks}
-        cols = [values[c]().alias(c) if c in values else by_outcome[c].column().alias(c) for c in columns]
-    return with_fields(lines).select(*cols)
+    """Split once, parse each needed field once, then name values and outcomes."""
+    rules = {r.outcome: r for r in checks}
+    everything = columns is None
+    if everything:
+        columns = [*values, *(d for d, (source, _) in DERIVED.items() if source in values), *rules]
+    wanted = [DERIVED[c][0] if c in DERIVED else _RULE_VALUE.get(c, c) for c in columns]
+    once = {n: values[n]().alias(n) for n in wanted if n in values}
+    once |= {n: rules[n].column().alias(n) for n in wanted if n in rules}
+    line = [F.col(LINE).alias("__line")] if everything else []
+    parsed = computed_once(with_fields(lines), *once.values(), *line)
+    out = {c: DERIVED[c][1]() if c in DERIVED else F.col(c) if c in once else F.coalesce(rules[c].parsed(), F.lit(False))
+           for c in columns}
+    kept = [e.alias(c) for c, e in out.items()]
+    if everything:
+        # lenient arity is a choice of one question, not damage
+        fine = [e for c, e in out.items() if c in rules and c not in ("ok_arity_lenient", "ok_header")]
+        kept.append(F.when(~_all(fine), F.col("__line")).alias(REJECTED))
+    return parsed.select(*kept)
+
+
+def _all(conditions):
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
 
 
 def parsed_transactions(tx: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -115,11 +150,17 @@ def needs(values: list[str], *rule_sets) -> list[str]:
 
 
 def ingest_parsed(parsed: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Write a parsed table as Parquet (optionally partitioned, e.g. by month)."""
-    writer = parsed.write.mode("overwrite")
+    """Write a parsed table as Parquet (optionally partitioned, e.g. by month_no).
+
+    A partitioned table is dealt by that column first, so a task writes few
+    folders; ``rebalance`` splits a large month over several tasks and joins small ones, and
+    no file holds more than ``FILE_ROWS`` rows.
+    """
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        dealt = parsed.hint("rebalance", F.col(partition_by))
+        dealt.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy(partition_by).parquet(path)
+    else:
+        parsed.write.mode("overwrite").parquet(path)
 
 
 def ingest_transactions(spark: SparkSession, lines_path, out_path: str,

@@ -5,28 +5,34 @@ The published registry is one JSON document on one line:
 Each line of the input is read as one such document, so a registry split
 over many lines (or files) is read by many tasks; the schema is declared,
 never inferred, and ``id`` is read as text whether the file holds a number
-or a string.
+or a string.  A document that is no such JSON keeps its text in the
+``_corrupt_record`` column, for the reject lane, and has no ``result``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chaintally.schemas import REGISTRY_SCHEMA
 
+CORRUPT = "_corrupt_record"
+
 
 def scan_registry(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Registry documents as ``DataFrame[result: map<string, struct<..>>]``.
+    """Registry documents as ``DataFrame[result: map<string, struct<..>>, _corrupt_record: string]``.
 
     ``multi_line=True`` reads pretty-printed files (one document per file).
     """
-    return (spark.read.schema(REGISTRY_SCHEMA)
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .json(path))
+    return parse_registry(spark.read.text(path, wholetext=multi_line))
 
 
 def parse_registry(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Registry documents from JSON text lines already in a DataFrame."""
-    return lines.select(F.from_json(F.col(line), REGISTRY_SCHEMA).getField("result").alias("result"))
+    """Registry documents from JSON text lines already in a DataFrame; blank lines are no documents."""
+    text = F.col(line)
+    schema = T.StructType([*REGISTRY_SCHEMA, T.StructField(CORRUPT, T.StringType())])
+    doc = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    read = lines.where(F.length(F.trim(text)) > 0).select(F.inline(F.array(F.struct(doc.alias("doc"), text.alias("text")))))
+    broken = F.col(f"doc.{CORRUPT}").isNotNull() | F.col("doc.result").isNull()
+    return read.select(F.when(~broken, F.col("doc.result")).alias("result"), F.when(broken, F.col("text")).alias(CORRUPT))

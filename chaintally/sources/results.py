@@ -1,5 +1,9 @@
 """Result sinks and the saved-result source.
 
+A saved row is a JSON array of its values, text quoted and numbers bare
+(``["2015/08", 85609, 4.8E20]``); digits are written and read as text, so a
+25-digit wei total keeps every one.
+
 Results are written by the executors (``df.write``), never collected to the
 driver.  The one exception is the pair-list format ``[[key, value], ...]`` of
 the published top-k results, which is a single JSON document: it is only
@@ -9,8 +13,13 @@ task that assembles it holds at most ``limit`` rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chaintally.functions.scalar import trim_chars
 
 
 def save_result(df: DataFrame, path: str, fmt: str = "parquet",
@@ -30,44 +39,68 @@ def load_result(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def number_text(c, dtype: T.DataType) -> Column:
+    """A number as JSON text: a decimal without trailing zeros, others as Spark prints them."""
+    if isinstance(dtype, T.DecimalType):
+        whole = c.cast(T.DecimalType(dtype.precision, 0))
+        plain = F.when(c % F.lit(1) == 0, whole.cast("string")).otherwise(F.rtrim(c.cast("string"), F.lit("0")))
+        return F.coalesce(plain, F.lit("null"))
+    return F.coalesce(c.cast("string"), F.lit("null"))
+
+
+def _json_row(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The columns of a row as one JSON array."""
+    def item(name):
+        c, dtype = F.col(name), df.schema[name].dataType
+        if isinstance(dtype, T.NumericType):
+            return number_text(c, dtype)
+        quoted = F.to_json(F.array(c.cast("string")))
+        return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+
+    return F.concat(F.lit("["), F.concat_ws(", ", *[item(n) for n in columns]), F.lit("]"))
+
+
 def save_top_pairs(df: DataFrame, path: str, key: str, value: str,
                    order: list, limit: int) -> None:
-    """Save the first ``limit`` rows as one JSON array of ``[key, value]``.
-
-    Values are written as JSON text of their exact decimal form, so big
-    integers survive the round trip.
-    """
+    """Save the first ``limit`` rows as one JSON document ``[[key, value], ...]``."""
     if limit <= 0:
         raise ValueError("limit must be positive")
     top = df.orderBy(*order).limit(limit)
-    ranked = top.select(
-        F.struct(
-            F.row_number().over(_rank_window(order)).alias("rank"),
-            F.array(F.col(key).cast("string"), F.col(value).cast("string")).alias("pair"),
-        ).alias("item"))
+    rank = F.row_number().over(Window.orderBy(*order)).alias("rank")
+    ranked = top.select(F.struct(rank, _json_row(df, [key, value]).alias("pair")).alias("item"))
     doc = ranked.agg(F.array_sort(F.collect_list("item")).alias("items")).select(
-        F.to_json(F.transform("items", lambda x: x["pair"])).alias("value"))
+        F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["pair"]), ", "), F.lit("]")).alias("value"))
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
-def _rank_window(order: list):
-    from pyspark.sql import Window
-    return Window.orderBy(*order)
+def save_rows(df: DataFrame, path: str) -> None:
+    """Save a full result as text, one JSON array per row, written by the executors."""
+    df.select(_json_row(df, df.columns).alias("value")).write.mode("overwrite").text(path)
+
+
+def _items(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, item) of every saved row: a line holds one array, or an array of them."""
+    docs = spark.read.text(path)
+    many = F.ltrim("value").startswith("[[")
+    listed = F.from_json(F.when(many, F.col("value")).otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]"))),
+                         "array<array<string>>")
+    return docs.select(F.posexplode(listed).alias("pos", "item"))
+
+
+def read_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Saved rows as typed columns: element i is column i of ``schema``."""
+    fields = T.StructType.fromDDL(schema).fields
+    return _items(spark, path).select(*[F.get("item", F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
 def read_pair_result(spark: SparkSession, path: str) -> DataFrame:
     """Rows ``(rank, key, value)`` of a saved ``[[key, value], ...]`` result.
 
-    Every line is one JSON array; ``value`` stays text so 25-digit wei totals
-    keep every digit (cast it where a number is needed).
+    ``value`` stays text so 25-digit wei totals keep every digit (cast it
+    where a number is needed).
     """
-    docs = spark.read.text(path)
-    pairs = docs.select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("pos", "pair"))
-    return pairs.select(
-        (F.col("pos") + 1).alias("rank"),
-        F.col("pair")[0].alias("key"),
-        F.col("pair")[1].alias("value"),
-    )
+    return _items(spark, path).select((F.col("pos") + 1).alias("rank"), F.get("item", F.lit(0)).alias("key"),
+                                      F.get("item", F.lit(1)).alias("value"))
 
 
 def read_pair_keys_raw(spark: SparkSession, path: str, chars: str = ' []"') -> DataFrame:
@@ -76,5 +109,4 @@ def read_pair_keys_raw(spark: SparkSession, path: str, chars: str = ' []"') -> D
     docs = spark.read.text(path)
     pieces = docs.select(F.posexplode(F.split("value", ",", -1)).alias("pos", "piece"))
     return (pieces.where(F.col("pos") % 2 == 0)
-            .select((F.col("pos") / 2 + 1).cast("int").alias("rank"),
-                    F.btrim(F.col("piece"), F.lit(chars)).alias("key")))
+            .select((F.col("pos") / 2 + 1).cast("int").alias("rank"), trim_chars("piece", chars).alias("key")))

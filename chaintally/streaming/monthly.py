@@ -5,7 +5,8 @@ through the same rules and month key as the batch question, and update a
 running (month -> count, exact sum) state kept in the checkpoint folder,
 so a restarted or failed job resumes where it stopped.  Every micro-batch
 writes the complete, small result table (one row per month) with the
-DataFrame writer.
+DataFrame writer, into a folder of its own; only the newest whole one is read,
+so a crash while writing leaves the result before it.
 """
 
 from __future__ import annotations
@@ -13,22 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_amount, parse_long
-from chaintally.functions.scalar import mean_of, month_key
+from chaintally.functions.scalar import mean_of, month_label
 from chaintally.operators.validate import keep_valid, tx_value_time
-from chaintally.schemas import FIELD_INDEX
-from chaintally.sources.lines import field, with_fields
-
-TX = FIELD_INDEX["transactions"]
+from chaintally.sources.parsed import needs, parsed_transactions
 
 
 def monthly_totals_stream(lines: DataFrame) -> DataFrame:
     """Streaming aggregate: month, n, total_value (exact), avg_value."""
-    rows = keep_valid(with_fields(lines), tx_value_time()).select(
-        month_key(parse_long(field(TX["block_timestamp"]))).alias("month"),
-        parse_amount(field(TX["value"])).alias("value"))
-    agg = rows.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total_value"))
-    return agg.select("month", "n", "total_value", mean_of(F.col("total_value"), F.col("n")).alias("avg_value"))
+    rules = tx_value_time()
+    rows = keep_valid(parsed_transactions(lines, needs(["month_no", "value"], rules)), rules)
+    agg = rows.groupBy("month_no").agg(F.count(F.lit(1)).alias("n"), F.try_sum("value").alias("total_value"))
+    return agg.select(month_label("month_no").alias("month"), "n", "total_value", mean_of(F.col("total_value"), F.col("n")).alias("avg_value"))
 
 
 def start_monthly_value_stream(spark: SparkSession, source_dir: str, out_dir: str,
@@ -38,8 +34,10 @@ def start_monthly_value_stream(spark: SparkSession, source_dir: str, out_dir: st
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(source_dir)
     result = monthly_totals_stream(lines)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+        done = batch.sparkSession.range(epoch, epoch + 1).withColumnRenamed("id", "epoch")
+        done.coalesce(1).write.mode("append").parquet(f"{out_dir}/written")
 
     writer = (result.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint_dir)
@@ -55,4 +53,10 @@ def run_monthly_value_stream(spark: SparkSession, source_dir: str, work_dir: str
     query = start_monthly_value_stream(spark, source_dir, out_dir, f"{work_dir}/checkpoint",
                                        available_now=True)
     query.awaitTermination()
-    return spark.read.parquet(out_dir).select("month", "n", "avg_value").orderBy("month")
+    return newest_result(spark, out_dir).select("month", "n", "avg_value").orderBy("month")
+
+
+def newest_result(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The table of the newest epoch that was written whole."""
+    newest = spark.read.parquet(f"{out_dir}/written").agg(F.max("epoch")).first()[0]
+    return spark.read.parquet(f"{out_dir}/epoch={newest}")

@@ -12,7 +12,9 @@ from chaintally.functions import (
     is_number,
     month_key,
     parse_amount,
+    parse_gas,
     parse_long,
+    parse_time,
     parse_wei,
     trim_chars,
 )
@@ -44,11 +46,22 @@ def test_parsers_never_round_or_fail(spark):
 
 @pytest.mark.parametrize("seconds,month", [
     (1438922527, "2015/08"), (1438387199, "2015/07"), (1438387200, "2015/08"), (0, "1970/01"), (-1, "1969/12"),
+    (-62135596800, "0001/01"), (253402300799, "9999/12"), (253402300800, None), (-62135596801, None),
+    (999999999999999999, None), (1500000000000, None), (None, None),
 ])
 def test_month_key_is_utc(spark, seconds, month):
     assert one(spark, month_key, seconds, "bigint") == month
 
 
+def test_times_out_of_the_calendar_do_not_parse(spark):
+    assert one(spark, parse_time, "1438922527") == 1438922527
+    assert [one(spark, parse_time, t) for t in ("9" * 20, "9" * 18, "1500000000000", "x", None)] == [None] * 5
+
+
+def test_gas_beyond_its_type_does_not_parse(spark):
+    assert one(spark, parse_gas, " 21000 ") == 21000 and one(spark, parse_gas, "9" * 40) is None
+
+
 def test_month_key_ignores_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
@@ -66,4 +79,4 @@ def test_trim_and_composite_id(spark):
     assert one(spark, trim_chars, ' ["0xabc"') == "0xabc"
     row = spark.createDataFrame([("5622", "Scamming"), (None, "Phishing")], "i string, c string") \
         .select(composite_id("i", "c").alias("k")).collect()
-    assert [r.k for r in row] == ["5622_Scamming", "Phishing"]
+    assert [r.k for r in row] == ["5622_Scamming", None]

@@ -15,7 +15,8 @@ KEYS = ["monthly_value", "top_contracts", "top_contracts_compat", "top_miners",
         "overhead_total", "monthly_gas", "above_below_mean", "top_scams", "top_scams_compat",
         "scam_monthly", "zero_filled_series", "chart_series", "quality_report", "scan_transactions",
         "scan_registry", "read_pair_result", "filter_lenient", "valid_contract_compat", "exact_amount",
-        "quality_report_contracts", "quality_report_blocks", "top_scams_columnar", "sink_full_result"]
+        "quality_report_contracts", "quality_report_blocks", "top_scams_columnar", "sink_full_result", "saved_series",
+        "quality_report_registry", "block_overhead_columns", "block_reconcile", "monthly_gas_contracts"]
 
 
 @pytest.fixture(scope="module")
@@ -36,8 +37,9 @@ def canon(rows):
     return sorted((tuple(norm(x) for x in r) for r in rows), key=repr)
 
 
-def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+def test_every_ledger_query_has_an_oracle():
+    from chaintally.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(oracle_sql())
 
 
 def test_entry_runs(spark):

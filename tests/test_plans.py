@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from chaintally.operators import join as J
-from chaintally.operators.validate import observe_quality, tx_value_time
+from chaintally.operators.validate import observe_quality, quality_report, tx_value_time
 from chaintally.plans import binding as B
 from chaintally.plans import ledger as L
 from chaintally.session import staging_path
@@ -13,11 +12,7 @@ from chaintally.sources.parsed import ingest_blocks, ingest_transactions
 from chaintally.sources.registry import scan_registry
 
 from conftest import SF_SMALL
-
-
-def plan(df):
-    """The executed plan; after a run, only AQE's final plan."""
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+from tools.plan_shapes import final_plan as plan
 
 
 @pytest.fixture
@@ -29,87 +24,142 @@ def inputs(spark):
     return tx, txs, contracts, reg
 
 
-def test_large_side_path_gives_the_same_answers(spark, inputs, monkeypatch):
-    tx, txs, contracts, reg = inputs
-    small = {
-        "top": sorted(L.top_contracts(tx, contracts).collect()),
-        "c6": sorted(L.above_below_mean(tx, contracts).collect()),
-        "c7": sorted(L.top_scams(txs, reg).collect()),
-        "c8": sorted(L.scam_monthly(txs, reg).collect()),
-    }
-    monkeypatch.setattr(J, "BROADCAST_ROW_BOUND", 1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+BUILDERS = {
+    "c1": lambda tx, txs, contracts, reg: L.monthly_value(tx),
+    "c2": lambda tx, txs, contracts, reg: L.top_contracts(tx, contracts),
+    "c5": lambda tx, txs, contracts, reg: L.monthly_gas(tx, L.contract_addresses(contracts)),
+    "c6": lambda tx, txs, contracts, reg: L.above_below_mean(tx, contracts),
+    "c6 lenient": lambda tx, txs, contracts, reg: L.above_below_mean(tx, contracts, lenient=True),
+    "c7": lambda tx, txs, contracts, reg: L.top_scams(txs, reg),
+    "c7 bag": lambda tx, txs, contracts, reg: L.top_scams(txs, reg, dedupe=False),
+    "c8": lambda tx, txs, contracts, reg: L.scam_monthly(txs, reg),
+    "c8 bag": lambda tx, txs, contracts, reg: L.scam_monthly(txs, reg, dedupe=False),
+}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def test_building_a_plan_runs_no_job(spark, inputs):
+    tracker = spark.sparkContext.statusTracker()
+    blocks = B.export_lines(spark, SF_SMALL, "blocks")
+    spark.sparkContext.setJobGroup("only-plans", "builders")
     try:
-        top = L.top_contracts(tx, contracts)
-        totals = L.contract_totals(tx, contracts)
-        totals.collect()
-        text = plan(totals)
-        # both sides arrive hash-partitioned by address from their own
-        # aggregates: the sort-merge join adds no exchange of its own
-        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
-        assert text.count("Exchange hashpartitioning") == 2
-        large = {
-            "top": sorted(top.collect()),
-            "c6": sorted(L.above_below_mean(tx, contracts).collect()),
-            "c7": sorted(L.top_scams(txs, reg).collect()),
-            "c8": sorted(L.scam_monthly(txs, reg).collect()),
-        }
+        for build in BUILDERS.values():
+            build(*inputs)
+        L.top_miners(blocks)
+        assert list(tracker.getJobIdsForGroup("only-plans")) == []
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert large == small
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_transactions_are_summed_before_the_registry_join(spark, inputs):
-    _, txs, _, reg = inputs
-    df = L.scam_monthly(txs, reg)
+def test_answers_do_not_depend_on_broadcasts(spark, inputs, request):
+    on = {k: sorted(b(*inputs).collect()) for k, b in BUILDERS.items()}
+    joins = plan_after_run(L.contract_totals(inputs[0], inputs[2]))
+    assert "BroadcastHashJoin" in joins
+    request.getfixturevalue("no_broadcast")
+    off = {k: sorted(b(*inputs).collect()) for k, b in BUILDERS.items()}
+    assert on == off
+
+
+def plan_after_run(df):
     df.collect()
-    text = plan(df)
-    # partial aggregate per (address, month) below the join on address
-    join_at = min(i for i in (text.find("BroadcastHashJoin [address"), text.find("SortMergeJoin [address")) if i >= 0)
-    assert "partial_sum" in text[join_at:]
+    return plan(df)
+
+
+def test_contract_join_adds_no_exchange(spark, inputs, no_broadcast):
+    text = plan_after_run(L.contract_totals(inputs[0], inputs[2]))
+    # both sides arrive hash-partitioned by address from their own aggregates
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_scams_take_one_join_and_one_aggregate(spark, inputs):
+    _, txs, _, reg = inputs
+    text = plan_after_run(L.scam_monthly(txs, reg))
+    assert text.count("FileScan text") == 2                       # transactions once, registry once
+    assert text.count("Join [address") == 1
+    above = text[:text.index("Join [address")]
+    assert above.count("partial_try_sum") + above.count("partial_sum") >= 1
+    assert above.count("Exchange hashpartitioning") == 1          # one aggregate of transactions
     assert "TakeOrderedAndProject" in plan(L.top_scams(txs, reg))
 
 
-def test_one_scan_for_the_gas_comparison(spark, inputs):
+def test_hot_address_is_split_where_nothing_is_broadcast(spark, lines, no_broadcast):
+    """A third of the rows go to one listed address: the join's skewed partition is
+    split, and the sums are those of plain Python."""
+    from test_ledger import registry_lines
+    from test_validate import tx
+
+    rows, want = [], 0
+    for i in range(6000):
+        hot = i % 3 == 0
+        rows.append(tx(to_address="0xa" if hot else f"0x{i}", value=str(10 ** 18 + i), input="0x" + "ab" * 20))
+        want += 10 ** 18 + i if hot else 0
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = L.scam_monthly(lines(rows, 8), registry_lines(lines))
+        text = plan_after_run(df)
+        assert "skew=true" in text
+        assert {r.category: int(r.total_value) for r in df.collect()} == {"Phishing": want}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("lenient", [False, True])
+def test_one_scan_for_the_gas_comparison(spark, inputs, lenient):
     tx, _, contracts, _ = inputs
-    df = L.above_below_mean(tx, contracts)
-    df.collect()
-    text = plan(df)
-    assert text.count("FileScan text") == 2        # transactions once, contracts once
+    text = plan_after_run(L.above_below_mean(tx, contracts, lenient=lenient))
+    assert "Expand" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # transactions once, contracts once; the grand total reads the profile's exchange again
+    assert text.count("FileScan text") == 2 and "ReusedExchange" in text, text
 
 
 def test_observe_quality_counts_without_a_second_scan(spark, inputs):
     tx = inputs[0]
-    kept, obs = observe_quality(with_fields(tx), tx_value_time())
-    n = kept.count()
-    got = obs.get
-    assert got["kept"] == n and got["lines"] == tx.count() > n
+    observed, obs = observe_quality(with_fields(tx), tx_value_time())
+    lines = observed.count()
+    want = {r.reason: r.n for r in quality_report(with_fields(tx), tx_value_time()).collect()}
+    got = dict(obs.get)
+    assert got.pop("lines") == lines == tx.count()
+    assert {k: n for k, n in got.items() if n} == want
 
 
 def test_ingest_functions_round_trip(spark, inputs):
     tx = inputs[0]
     src = staging_path(spark, "ingest-src")
     tx.write.text(src)
-    parsed = ingest_transactions(spark, src, staging_path(spark, "ingest-out"), partition_by="month")
+    parsed = ingest_transactions(spark, src, staging_path(spark, "ingest-out"), partition_by="month_no")
     assert sorted(L.monthly_value(parsed).collect()) == sorted(L.monthly_value(tx).collect())
-    monthly = L.monthly_value(parsed.where(F.col("month") == "1996/01"))
-    assert "PartitionFilters: [isnotnull(month" in monthly._jdf.queryExecution().executedPlan().toString() \
-        or monthly.count() == 1
+    month = 1996 * 12
+    monthly = L.monthly_value(parsed.where(F.col("month_no") == month))
+    assert [r.month for r in monthly.collect()] == ["1996/01"]
+    assert f"PartitionFilters: [isnotnull(month_no" in monthly._jdf.queryExecution().executedPlan().toString()
+    # a file per month, not one per month and task; rejected lines keep their text
+    assert len(parsed.inputFiles()) <= 2 * parsed.select("month_no").distinct().count()
+    rejected = parsed.where(F.col("rejected_line").isNotNull())
+    assert rejected.count() == parsed.where("not (ok_arity and ok_number_value and ok_integer_value and ok_number_gas and ok_number_gas_price"
+                                            " and ok_integer_block_timestamp and ok_range_block_timestamp and ok_empty_to_address)").count() > 0
     blocks_src = staging_path(spark, "ingest-blocks")
     B.export_lines(spark, SF_SMALL, "blocks").write.text(blocks_src)
     pb = ingest_blocks(spark, blocks_src, staging_path(spark, "ingest-blocks-out"))
     assert sorted(L.top_miners(pb).collect()) == sorted(L.top_miners(B.export_lines(spark, SF_SMALL, "blocks")).collect())
 
 
-def test_size_check(spark):
-    df = spark.range(0, 1000, 1, 8)
-    assert J.has_at_most(df, 1000) and not J.has_at_most(df, 999)
-    assert J.has_at_most(df.where("id < 0"), 0)
-
-
 def test_scan_stage_is_one_codegen_span(spark, inputs):
     df = L.monthly_value(inputs[0])
     df.collect()

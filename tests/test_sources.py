@@ -5,12 +5,12 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from chaintally.operators.registry import registry_addresses, registry_entries
+from chaintally.operators.registry import registry_addresses, registry_entries, registry_report
 from chaintally.session import staging_path
 from chaintally.sources.export import parse_export, scan_transactions
 from chaintally.sources.lines import split_line
 from chaintally.sources.registry import parse_registry, scan_registry
-from chaintally.sources.results import read_pair_keys_raw, read_pair_result, save_top_pairs
+from chaintally.sources.results import read_pair_keys_raw, read_pair_result, read_rows, save_rows, save_top_pairs
 
 from test_validate import SAMPLE, tx
 
@@ -50,6 +50,34 @@ def test_typed_contracts_quoted_and_naive(lines):
     assert sorted(r.address for r in naive) == ["0xa", "0xb"]
 
 
+def test_many_quotes_take_linear_time(lines):
+    """A damaged line of 20,000 quote pairs lands in the reject lane."""
+    damaged = "0xd,0x60," + '"0x1",' * 20_000 + ",False,False,"
+    odd = '0xe,0x60,"never closed,False,False,'
+    df = lines([damaged, odd, '0xc,0x60,"0x1,0x2",False,False,'], 1)
+    got = {r.reject_reason: r.n for r in parse_export(df, "contracts", with_rejects=True).groupBy("reject_reason").agg(
+        F.count("*").alias("n")).collect()}
+    assert got == {None: 1, "arity": 2}
+
+
+def test_typed_and_rule_sets_agree_on_shared_fields(lines):
+    """A field that does not fit its type is refused by the typed source and by the rules alike."""
+    from chaintally.operators.validate import keep_valid, tx_gas, tx_recipient_time
+    from chaintally.sources.lines import with_fields
+
+    cases = [("value", t) for t in ("9" * 78, "value", "nan", "1_000", " 7", "+5", "5.7")]
+    cases += [("block_timestamp", t) for t in ("9" * 20, "9" * 18, "1500000000000", "x", " 1438922527", "+1")]
+    rows = [tx(**{k: t}) for k, t in cases]
+    typed = {r.value: r.reject_reason is None for r in
+             parse_export(lines(rows), "transactions", with_rejects=True).toDF(*[f"c{i}" for i in range(15)], "reject_reason", "value").collect()}
+    ruled = {r.value for r in keep_valid(with_fields(lines(rows)), tx_recipient_time()).collect()}
+    assert {r for r, ok in typed.items() if ok} == ruled
+    gas = [tx(gas=t) for t in ("9" * 40, "g", " 21000 ", "+7", "1_0")]
+    kept = {r.value for r in keep_valid(with_fields(lines(gas)), tx_gas()).collect()}
+    assert kept == {r.hash and r.value for r in parse_export(lines(gas), "transactions", with_rejects=True).toDF(
+        "hash", *[f"c{i}" for i in range(1, 15)], "reject_reason", "value").where("reject_reason is null").collect()}
+
+
 def registry_doc():
     return {"result": {
         "0x1": {"id": 130, "category": "Phishing", "addresses": ["0x1"]},
@@ -72,6 +100,36 @@ def test_registry_json_one_line(spark, lines):
     assert sorted(again.collect()) == sorted(entries.collect())
 
 
+def test_registry_reject_lane(lines):
+    ok = {"id": 1, "category": "Phishing", "addresses": ["0xa"]}
+    docs = ['{"result":{"0x1":{"id":1,"cat', json.dumps({"result": {"0x2": {"id": 2, "addresses": ["0xb"]}, "0x3": ok}}),
+            json.dumps({"result": {"0x4": {"category": "Scamming", "addresses": ["0xc"]}}}),
+            json.dumps({"result": {"0x5": {"id": 5, "category": "Fake ICO"}}}),
+            '{"result":{"0x6":{"id":6,"category":"OLD","addresses":["0xo"]},"0x6":{"id":6,"category":"NEW","addresses":["0xn"]}}}',
+            "not json", "", '{"other": 1}']
+    registry = parse_registry(lines(docs))
+    assert {r.reason: r.n for r in registry_report(registry).collect()} == {"ok": 3, "json": 3, "id": 1, "category": 1}
+    entries = registry_entries(registry)
+    assert {(r.entry_address, r.id, r.category) for r in entries.collect()} == {
+        ("0x3", "1", "Phishing"), ("0x5", "5", "Fake ICO"), ("0x6", "6", "NEW")}   # a repeated key: the last counts
+    assert {(r.address, r.scam_id) for r in registry_addresses(entries).collect()} == {("0xa", "1_Phishing"), ("0xn", "6_NEW")}
+
+
+def test_saved_rows_come_back_as_numbers(spark):
+    df = spark.createDataFrame([("2015/08", 85609, 4.8052118459597475e20, Decimal("5.700000")), ("a\"b,[", 0, 0.0, Decimal("0.000000")),
+                                ("c", -3, 1.5, None)], "m string, n long, v double, d decimal(38,6)")
+    path = staging_path(spark, "rows")
+    save_rows(df, path)
+    back = read_rows(spark, path, "m string, n long, v double, d decimal(38,6)")
+    assert sorted(back.collect()) == sorted(df.collect())
+    published = staging_path(spark, "published")
+    spark.createDataFrame([('[["2015/08", 85609, 4.8052118459597475e+20], ["2015/09", 173805, 7.04e+19]]',)], "value string").write.text(published)
+    assert [(r.m, r.n, r.v) for r in read_rows(spark, published, "m string, n long, v double").collect()] == [
+        ("2015/08", 85609, 4.8052118459597475e20), ("2015/09", 173805, 7.04e19)]
+    for line in spark.read.text(path).collect():
+        assert len(json.loads(line.value)) == 4
+
+
 def test_pair_result_roundtrip_keeps_big_integers(spark):
     df = spark.createDataFrame(
         [("5622_Scamming", Decimal("16709083588073530571339")), ("2135_Phishing", Decimal("6583972305381559340034")),
@@ -79,7 +137,7 @@ def test_pair_result_roundtrip_keeps_big_integers(spark):
     path = staging_path(spark, "pairs")
     save_top_pairs(df, path, "k", "v", [F.col("v").desc(), F.col("k")], 2)
     text = spark.read.text(path).first().value
-    assert json.loads(text) == [["5622_Scamming", "16709083588073530571339"], ["2135_Phishing", "6583972305381559340034"]]
+    assert json.loads(text) == [["5622_Scamming", 16709083588073530571339], ["2135_Phishing", 6583972305381559340034]]
     back = read_pair_result(spark, path).orderBy("rank").collect()
     assert [(r.rank, r.key, Decimal(r.value)) for r in back] == [
         (1, "5622_Scamming", Decimal("16709083588073530571339")), (2, "2135_Phishing", Decimal("6583972305381559340034"))]

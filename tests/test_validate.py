@@ -83,3 +83,24 @@ def test_contract_rules_naive_and_quoted(lines):
     assert reasons(df.select("value"), contract_rules()) == {"header": 1, "ok": 2, "arity": 1, "empty:address": 1}
     quoted = {r.reason: r.n for r in reason_counts(with_fields(df, "quoted"), contract_rules()).collect()}
     assert quoted == {"header": 1, "ok": 3, "empty:address": 1}
+
+
+def test_numbers_that_do_not_fit_are_rejected(lines):
+    """Means and totals only see values that are there."""
+    from chaintally.plans import ledger as L
+    rows = [tx(value="100"), tx(value="300"), tx(value="9" * 78)]
+    assert reasons(lines(rows), tx_value_time()) == {"ok": 2, "number:value": 1}
+    assert [(r.n, r.avg_value) for r in L.monthly_value(lines(rows)).collect()] == [(2, 200.0)]
+    assert [r.total_value for r in L.recipient_totals(lines(rows)).collect()] == [400]
+    assert L.global_mean_gas(lines([tx(gas="10"), tx(gas="9" * 40)])).first().avg_gas == 10.0
+    times = [tx(block_timestamp=t) for t in ("9" * 20, "9" * 18, "1500000000000")] + [tx()]
+    assert reasons(lines(times), tx_value_time()) == {"ok": 1, "integer:block_timestamp": 1, "range:block_timestamp": 2}
+    assert [r.month for r in L.monthly_value(lines(times)).collect()] == ["2015/08"]
+
+
+def test_a_sum_beyond_38_digits_is_null_and_first(lines):
+    from chaintally.plans import ledger as L
+    big = "9" * 32
+    rows = [tx(to_address="0xa", value=big)] * 3 + [tx(to_address="0xb", value="5")]
+    contracts = lines(["0xa,0x60,,False,False,1", "0xb,0x60,,False,False,1"])
+    assert [(r.address, r.total_value) for r in L.top_contracts(lines(rows), contracts).collect()] == [("0xa", None), ("0xb", 5)]
