@@ -82,6 +82,17 @@ def extended(batch: pa.RecordBatch, schema: T.StructType, values: dict[str, list
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def least_rows(df: DataFrame, key: Column, n: int, ties: list[str]) -> DataFrame:
+    """The n rows of least ``key`` (a hash), ties by further columns.
+
+    The n-th key is found on the keys alone; then hardly more than n whole
+    rows pass the filter, however many tasks read the table.
+    """
+    keyed = df.withColumn("__key", key)
+    last = keyed.select("__key").orderBy("__key").limit(n).agg(F.max("__key")).first()[0]
+    return keyed.where(F.col("__key") <= F.lit(last)).orderBy("__key", *ties).limit(n).drop("__key")
+
+
 def dense_index(df: DataFrame, order: list[str], name: str, index: str = "index") -> DataFrame:
     """Number the rows 0, 1, ... in the given order (ascending, nulls first).
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, table, text_strings, with_columns
+from chaintally.llm.common import extended, least_rows, table, text_strings, with_columns
 
 SAMPLE, SAMPLE_CHARS = 300, 20_000
 PATH_BUCKETS, WORD_BUCKETS, SHAPE = 512, 32, 6
@@ -405,8 +405,8 @@ def train(pages: list[str], variants: int = 4) -> dict[str, np.ndarray]:
 
 def learn(pages: DataFrame) -> dict[str, np.ndarray]:
     """Weights from the sample of pages."""
-    sample = (pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("html", F.xxhash64("page_id", "url").alias("h"))
-                   .orderBy("h", "html").limit(SAMPLE).collect())
+    fit = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("page_id", "url", "html")
+    sample = least_rows(fit, F.xxhash64("page_id", "url"), SAMPLE, ["html"]).select("html").collect()
     return train([r["html"] for r in sample])
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chaintally.llm.common import dense_index, stage, table
+from chaintally.llm.common import dense_index, least_rows, stage, table
 
 K = 10
 SCALE = 1024
@@ -171,7 +171,7 @@ def _as_matrix(rows: list, width: int) -> np.ndarray:
 
 def ordered(vectors: DataFrame) -> DataFrame:
     """The vectors numbered (``index``) so that those nearest the same pivot stand together."""
-    chosen = vectors.orderBy(F.xxhash64("v"), "vec_id").limit(PIVOTS).select("v").collect()
+    chosen = least_rows(vectors, F.xxhash64("vec_id", "v"), PIVOTS, ["vec_id"]).select("v").collect()
     width = max((len(r["v"]) for r in chosen), default=0)
     pivots = _as_matrix(chosen, width).astype(float)
     lengths = np.sqrt((pivots ** 2).sum(axis=1)) + 1e-9
@@ -199,7 +199,7 @@ def search(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
     first = wanted.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
     width = first["width"] or 0
     per_block = max(1, QUERY_BYTES // (8 * (width + 2 + k)))
-    seed = stage(rows.orderBy(F.xxhash64("index")).limit(SEED_ROWS), "topk-seed")
+    seed = stage(least_rows(rows, F.xxhash64("index"), SEED_ROWS, ["index"]), "topk-seed")
     found = []
     for start in range(0, first["n"], per_block):
         block = wanted.where(F.col("query").between(start, start + per_block - 1)).orderBy("query").collect()

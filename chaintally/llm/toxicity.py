@@ -1,10 +1,11 @@
 """Toxicity by multiple-instance learning.
 
 Method.  A document is a bag of sentences.  A logistic model over hashed words
-gives each sentence a probability; the document is toxic if any sentence is
-(noisy-or).  Weights are learned from document labels alone, by proximal
-gradient steps on the noisy-or likelihood; sentences at 0.5 or more are then
-the located offenders.
+and word beginnings (a stem with another ending is seen as well) gives each
+sentence a probability; the document is toxic if any sentence is (noisy-or).
+Weights are learned from document labels alone, by proximal gradient steps on
+the noisy-or likelihood.  In a toxic document, the sentences at 0.5 or more (or,
+if none is, the likeliest ones) are then the located offenders.
 
 Scale.  Learning uses a bounded sample of labelled rows (``PER_CLASS`` of each
 label by least hash, of documents up to ``MAX_TRAIN_CHARS`` characters).
@@ -28,9 +29,13 @@ from pyspark.sql import types as T
 from chaintally.llm.common import extended, fold, stage, table, text_bytes, with_columns
 
 # Bounds of the training sample.
-PER_CLASS, MAX_TRAIN_CHARS = 2000, 20_000
-FEATURES = 1 << 18
-ROUNDS, RATE, L1 = 250, 0.5, 2e-4
+PER_CLASS, MAX_TRAIN_CHARS = {0: 4000, 1: 2000}, 20_000
+FEATURES = 1 << 20
+# Lengths in bytes of the word beginnings, and the bags a feature must be in to be learned.
+BEGINNINGS, MIN_BAGS = (4, 5, 6, 7, 8), 3
+# Share of the toxic bags in the likelihood, and the first logit of a sentence without known words.
+TOXIC_SHARE, FIRST_BIAS = 0.3, -9.0
+ROUNDS, RATE, L1 = 250, 1.5, 5e-5
 THRESHOLD = 0.5
 
 _ENDS = b".!?\n\r|;"
@@ -40,64 +45,70 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 or c
 _IS_END = np.array([c in _ENDS for c in range(256)])
 
 
-def sentence_words(raw: bytes) -> list[bytes]:
-    """Words in order, with b"." after each sentence."""
-    return raw.translate(_FOLD).replace(b".", b" . ").split() + [b"."]
+def sentences(raw: bytes) -> list[set[bytes]]:
+    """The different words of each sentence, in order; a sentence may have none."""
+    return [set(s.split()) for s in raw.translate(_FOLD).split(b".")]
+
+
+def word_features(word: bytes) -> list[int]:
+    """Hashed features of a word: the word and its beginnings."""
+    return [zlib.crc32(word) % FEATURES] + [zlib.crc32(b"^" + word[:k]) % FEATURES for k in BEGINNINGS if len(word) > k]
 
 
 class Weights(dict):
-    """Weight by word; unknown words are hashed to their feature once and remembered."""
+    """Weight by word, summed over its features once and remembered."""
 
     LIMIT = 500_000
 
     def __init__(self, weights: np.ndarray):
-        super().__init__({b".": 0.0})
+        super().__init__()
         self.weights = weights
 
     def __missing__(self, word: bytes) -> float:
         if len(self) > self.LIMIT:
             self.clear()
-            self[b"."] = 0.0
-        self[word] = w = float(self.weights[zlib.crc32(word) % FEATURES])
+        self[word] = w = float(self.weights[word_features(word)].sum())
         return w
 
 
 def sentence_logits(raw: bytes, weights: Weights, bias: float) -> tuple[np.ndarray, np.ndarray]:
     """Logit of every sentence, and whether it has words."""
-    tokens = sentence_words(raw)
-    total = np.concatenate(([0.0], np.cumsum(np.fromiter(map(weights.__getitem__, tokens), dtype=np.float64, count=len(tokens)))))
-    ends = np.array([i for i, t in enumerate(tokens) if t == b"."])
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    return bias + total[ends] - total[starts], ends > starts
+    weight = weights.__getitem__
+    found = sentences(raw)
+    return (np.array([bias + sum(map(weight, s)) for s in found]),
+            np.fromiter(map(len, found), dtype=np.int64, count=len(found)) > 0)
 
 
 def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0.0, logits).sum()))
 
 
-def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, float]:
-    """Weights and bias from (text, label) rows."""
-    weights, bias = np.zeros(FEATURES), -7.0
+def _flat_bags(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of all sentences in a row, the sentence of each, and the bag of each sentence."""
+    known: dict[bytes, list[int]] = {}
+    feature, sentence, bag = [], [], []
+    for k, (raw, _) in enumerate(bags):
+        for tokens in filter(None, sentences(raw)):
+            held = [f for t in tokens for f in known.get(t) or known.setdefault(t, word_features(t))]
+            feature += held
+            sentence += [len(bag)] * len(held)
+            bag.append(k)
+    return (np.array(x, dtype=np.int64) for x in (feature, sentence, bag))
+
+
+def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]:
+    """(features, their weights, bias) from (text, label) rows; features without weight are left out."""
     labels = np.array([y for _, y in bags], dtype=float)
     if not len(labels) or labels.min() == labels.max():
-        return weights, float("-inf")
-    feature, sentence, bag, count = [], [], [], 0
-    for k, (raw, _) in enumerate(bags):
-        words: set[int] = set()
-        for t in sentence_words(raw):
-            if t != b".":
-                words.add(zlib.crc32(t) % FEATURES)
-            elif words:
-                feature += words
-                sentence += [count] * len(words)
-                bag.append(k)
-                count += 1
-                words = set()
-    feature, sentence, bag = np.array(feature, dtype=np.int64), np.array(sentence, dtype=np.int64), np.array(bag, dtype=np.int64)
+        return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
+    feature, sentence, bag = _flat_bags(bags)
+    n, count, bias = len(bags), len(bag), FIRST_BIAS
     used, feature = np.unique(feature, return_inverse=True)
-    w, grown, n = np.zeros(len(used)), np.full(len(used), 1e-8), len(bags)
-    step_bias = 1e-8
-    share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
+    met = np.bincount(np.unique(feature * n + bag[sentence]) // n, minlength=len(used)) >= min(MIN_BAGS, n)
+    keep = met[feature]
+    used, feature, sentence = used[met], (np.cumsum(met) - 1)[feature[keep]], sentence[keep]
+    w, grown, grown_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
+    share = np.where(labels == 1, TOXIC_SHARE / max(labels.sum(), 1), (1 - TOXIC_SHARE) / max((1 - labels).sum(), 1))
     for _ in range(ROUNDS):
         z = bias + np.bincount(sentence, w[feature], minlength=count)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -109,21 +120,27 @@ def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, float]:
         rate = RATE / np.sqrt(grown)
         w = w - rate * g
         w = np.sign(w) * np.maximum(np.abs(w) - rate * L1, 0.0)
-        step_bias += g_sentence.sum() ** 2
-        bias -= 0.1 * g_sentence.sum() / np.sqrt(step_bias)
-    weights[used] = w
-    return weights, float(bias)
+        grown_bias += g_sentence.sum() ** 2
+        bias -= 0.1 * g_sentence.sum() / np.sqrt(grown_bias)
+    return used[w != 0], w[w != 0], float(bias)
+
+
+def model_weights(model: tuple[np.ndarray, np.ndarray, float]) -> tuple[Weights, float]:
+    """Weights by word and the bias of a trained model."""
+    dense = np.zeros(FEATURES)
+    dense[model[0]] = model[1]
+    return Weights(dense), model[2]
 
 
-def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarray, float]:
-    """Weights and bias from the labelled documents that ``teaches`` (over doc_id) selects."""
+def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarray, np.ndarray, float]:
+    """Model from the labelled documents that ``teaches`` (over doc_id) selects."""
     marked = labels.where(teaches & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     known = docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", F.xxhash64("doc_id").alias("h")).join(marked, "doc_id")
-    sample = known.where("toxic = 0").orderBy("h", "doc_id").limit(PER_CLASS).union(
-        known.where("toxic = 1").orderBy("h", "doc_id").limit(PER_CLASS))
+    clean, toxic = (known.where(F.col("toxic") == y).orderBy("h", "doc_id").limit(n) for y, n in PER_CLASS.items())
+    sample = clean.union(toxic)
     sample = stage(sample.select("doc_id", "toxic").distinct(), "toxicity-sample")
     rows = (docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", "text").join(sample, "doc_id")
-                .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(2 * PER_CLASS).collect())
+                .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(sum(PER_CLASS.values())).collect())
     return train([(r["text"].encode(), r["toxic"]) for r in rows])
 
 
@@ -132,11 +149,11 @@ SENTENCES = T.ArrayType(T.StructType([
 
 
 def offenders(raw: bytes, logits: np.ndarray) -> list[dict]:
-    """Place (code points) and probability of each sentence at or over the threshold."""
+    """Place (code points) and probability of each sentence at 0.5 or more, or else of the likeliest."""
     cuts = np.flatnonzero(_IS_END[np.frombuffer(raw, dtype=np.uint8)]).tolist()
     starts, ends = [0] + [c + 1 for c in cuts], cuts + [len(raw)]
     out = []
-    for k in np.flatnonzero(logits >= 0).tolist():
+    for k in np.flatnonzero(logits >= min(0.0, logits.max())).tolist():
         text = raw[starts[k]:ends[k]].decode("utf-8", "replace")
         at = len(raw[:starts[k]].decode("utf-8", "replace"))
         lead = len(text) - len(text.lstrip())
@@ -144,20 +161,19 @@ def offenders(raw: bytes, logits: np.ndarray) -> list[dict]:
     return out
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
     """The documents with ``toxic_score`` and ``offending``, the sentences that make them so."""
     schema = with_columns(docs.schema, ("toxic_score", T.DoubleType()), ("offending", SENTENCES))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        weights, bias = Weights(shared.value[0]), shared.value[1]
+        weights, bias = model_weights(shared.value)
         for batch in batches:
             scores, found = [], []
             for raw in text_bytes(batch):
                 logits, worded = sentence_logits(raw, weights, bias)
                 scores.append(noisy_or(logits[worded]))
-                hit = worded & (logits >= 0)
-                found.append(offenders(raw, np.where(worded, logits, -np.inf)) if hit.any() else [])
+                found.append(offenders(raw, np.where(worded, logits, -np.inf)) if scores[-1] >= THRESHOLD else [])
             yield extended(batch, schema, {"toxic_score": scores, "offending": found})
 
     return docs.mapInArrow(run, schema)

@@ -20,10 +20,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def plain_pipeline(spark, docs, benchmark, model):
     """The five stages in plain Python over lists of rows; the toxicity model's weights are given."""
-    weights = toxicity.Weights(model[0])
+    weights, bias = toxicity.model_weights(model)
 
     def toxic(text):
-        z, worded = toxicity.sentence_logits((text or "").encode(), weights, model[1])
+        z, worded = toxicity.sentence_logits((text or "").encode(), weights, bias)
         return 1 - float((1 - 1 / (1 + 2.718281828459045 ** -z[worded])).prod()) >= 0.5
 
     rows = [r for r in docs if not toxic(r[1])]

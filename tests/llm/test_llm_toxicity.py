@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from chaintally.llm import toxicity as tx
 
 BAD = ["rotten", "vile", "nasty"]
+WORDS = [a + b + c for a in "bdfgklmp" for b in ("a", "e", "i", "o", "u") for c in ("na", "re", "to", "li", "su", "ka", "mo", "pe", "x", "nd")]
 
 
 def make(n, rng):
     rows, labels = [], []
     for i in range(n):
-        sentences = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(8)) for _ in range(rng.randint(2, 30))]
+        sentences = [" ".join(WORDS[rng.randrange(400)] for _ in range(8)) for _ in range(rng.randint(2, 30))]
         toxic = int(i % 4 == 0)
         if toxic:
             k = rng.randrange(len(sentences))
@@ -47,11 +48,11 @@ def test_noisy_or_is_the_chance_of_any():
 
 
 def test_edge_texts(spark, learned):
-    rows = [(1, None), (2, ""), (3, "..."), (4, "vile. " * 20_000), (4, "é vile!! ok"), (None, "w1 w2. w3")]
+    rows = [(1, None), (2, ""), (3, "..."), (4, "vile. " * 20_000), (4, "é vile here!! ok"), (None, "w1 w2. w3")]
     got = tx.score(spark.createDataFrame(rows, "doc_id long, text string"), learned[2]).collect()
     assert [r.toxic_score for r in got[:3]] == [0, 0, 0]
     assert got[3].toxic_score > 0.5 and len(got[3].offending) == 20_000
-    assert got[4].text[got[4].offending[0].start:got[4].offending[0].end] == "é vile"
+    assert got[4].text[got[4].offending[0].start:got[4].offending[0].end] == "é vile here"
     assert got[5].toxic_score < 0.5
 
 
