@@ -20,6 +20,7 @@ extra columns pass through, and one named like a new column is replaced.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from chaintally.llm.common import extended, fold, stage, table, text_bytes, with_columns
 
 # Bounds of the training sample.
-PER_CLASS, MAX_TRAIN_CHARS = {0: 4000, 1: 2000}, 20_000
+PER_CLASS, MAX_TRAIN_CHARS = {0: 4000, 1: 2000}, 10_000
 FEATURES = 1 << 20
 # Lengths in bytes of the word beginnings, and the bags a feature must be in to be learned.
 BEGINNINGS, MIN_BAGS = (4, 5, 6, 7, 8), 3
@@ -85,15 +86,20 @@ def noisy_or(logits: np.ndarray) -> float:
 
 def _flat_bags(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of all sentences in a row, the sentence of each, and the bag of each sentence."""
-    known: dict[bytes, list[int]] = {}
-    feature, sentence, bag = [], [], []
+    known: dict[bytes, array] = {}
+    feature, sizes, bag = array("i"), array("i"), array("i")
     for k, (raw, _) in enumerate(bags):
         for tokens in filter(None, sentences(raw)):
-            held = [f for t in tokens for f in known.get(t) or known.setdefault(t, word_features(t))]
-            feature += held
-            sentence += [len(bag)] * len(held)
+            before = len(feature)
+            for t in tokens:
+                if t not in known:
+                    known[t] = array("i", word_features(t))
+                feature.extend(known[t])
+            sizes.append(len(feature) - before)
             bag.append(k)
-    return (np.array(x, dtype=np.int64) for x in (feature, sentence, bag))
+    sizes = np.frombuffer(sizes, dtype=np.int32)
+    return (np.frombuffer(feature, dtype=np.int32), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
+            np.frombuffer(bag, dtype=np.int32))
 
 
 def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]:
@@ -103,10 +109,14 @@ def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]
         return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
     feature, sentence, bag = _flat_bags(bags)
     n, count, bias = len(bags), len(bag), FIRST_BIAS
-    used, feature = np.unique(feature, return_inverse=True)
-    met = np.bincount(np.unique(feature * n + bag[sentence]) // n, minlength=len(used)) >= min(MIN_BAGS, n)
+    # features met in enough bags, numbered from 0
+    bags_with = np.zeros(FEATURES, dtype=np.int32)
+    for part in np.split(feature, np.flatnonzero(np.diff(bag[sentence])) + 1):
+        bags_with[np.unique(part)] += 1
+    met = bags_with >= min(MIN_BAGS, n)
+    used, number = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.int32)
     keep = met[feature]
-    used, feature, sentence = used[met], (np.cumsum(met) - 1)[feature[keep]], sentence[keep]
+    feature, sentence = number[feature[keep]], sentence[keep]
     w, grown, grown_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     share = np.where(labels == 1, TOXIC_SHARE / max(labels.sum(), 1), (1 - TOXIC_SHARE) / max((1 - labels).sum(), 1))
     for _ in range(ROUNDS):
