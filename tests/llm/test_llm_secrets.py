@@ -61,5 +61,5 @@ def test_spark_results_and_masks(spark):
                 assert r.text == before
             else:
                 assert "[SECRET]" in r.text and r.n_chars == len(r.text)
-                assert all(before[s[3]:s[4]] not in r.text for s in secrets.scan(before))
+                assert [x for x in secrets.scan(r.text) if x[0] != "guess"] == []
     assert secrets.redact(docs.limit(0)).count() == 0
