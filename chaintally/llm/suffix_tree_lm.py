@@ -1,19 +1,17 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Method.  The root of the tree is the add-one distribution of single words.  A
-context of up to ``MAX_DEPTH`` preceding words is retained if it is frequent and the distribution of its next
+context of up to ``MAX_DEPTH`` preceding words is retained if it occurs at least ``MIN_CONTEXT`` times and the distribution of its next
 word diverges from its parent's (the context without its oldest word) by more than its parameters cost
 (log-likelihood gain against half a log of its count per next word).  A
 retained context's distribution is smoothed with its parent's, weighted by its
 number of different next words, and a text is scored word by word from the longest retained suffix of what precedes.
 
-Scale.  All counts cover all training texts: words are counted in tasks,
-summed by Spark and written.  What is broadcast is bounded by shares of the
-corpus, not by its size: words of at least ``WORD_SHARE`` of all tokens (at
-most 1 / WORD_SHARE of them), context words of at least ``SYMBOL_SHARE``,
-contexts and next words of at least ``CONTEXT_SHARE`` and ``NEXT_SHARE``.  Each
-depth is one more pass that counts below frequent contexts only.  The counts
-of all other words are joined to the documents by word; none of them can be hot.
+Scale.  All counts cover all words of all training texts: words and grams (a context
+and its next word) are counted in tasks, summed by Spark and written.  Each depth is two tables, of grams and of
+retained contexts, that grow with the input and are joined by gram and by context.  Only what is broadcast is
+bounded by shares of the corpus: words of at least ``WORD_SHARE`` of all tokens and grams of at least ``HEAD_SHARE``
+are scored where they are read; all others meet the same tables by joins.
 
 Defined cases: a null text is empty (only its end is a token); a null doc_id is in fold 0, thus
 learned from; repeated rows count as often as they stand; without training
@@ -25,8 +23,8 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
-from itertools import chain, repeat
-from math import ceil, log, log10
+from itertools import chain, compress, repeat
+from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +34,14 @@ from pyspark.sql import functions as F
 from chaintally.llm.common import fold, pieces, stage, table, text_bytes, words
 
 MAX_DEPTH = 2
+MIN_CONTEXT = 2
 WORD_SHARE = 2e-6
-SYMBOL_SHARE = 5e-4
-CONTEXT_SHARE = 1e-4
-NEXT_SHARE = 4e-6
+HEAD_SHARE = 4e-6
 # Distinct words a task holds before it hands its counts on.
 HELD_WORDS = 250_000
 END = b""
+# Stands before the first word of a text; no word holds white space.
+START = b"\n"
 
 
 def parts(batches):
@@ -72,13 +71,42 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("n").alias("c"))
 
 
+def grams(tokens: list[bytes], depth: int) -> list[bytes]:
+    """Each token after the up to ``depth`` tokens before it, parted by spaces."""
+    line = [START, *tokens]
+    early = [b" ".join(line[:k + 2]) for k in range(min(depth - 1, len(tokens)))]
+    return early + list(map(b" ".join, zip(*(line[k:] for k in range(depth + 1)))))
+
+
+def gram_counts(texts: DataFrame, depth: int) -> DataFrame:
+    """(gram, size, n): longest grams over all texts, with their number of tokens."""
+    def run(batches):
+        held: Counter[bytes] = Counter()
+
+        def handed():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), type=pa.binary()), pa.array([g.count(b" ") + 1 for g in held], type=pa.int32()),
+                 pa.array(list(held.values()), type=pa.int64())], names=["gram", "size", "n"])
+
+        for batch in parts(batches):
+            for raw in text_bytes(batch):
+                held.update(grams(words(raw) + [END], depth))
+                if len(held) > HELD_WORDS:
+                    yield handed()
+                    held.clear()
+        yield handed()
+
+    counted = texts.select("text").mapInArrow(run, "gram binary, size int, n long")
+    return counted.groupBy(F.col("gram").cast("string").alias("gram"), "size").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class Level:
-    """Contexts of one depth: sorted codes, log10 of the weight of the parent, and next words' log10 probability."""
+    """The frequent part of one depth: sorted codes of contexts, log10 of the weight of the parent, and log10 gain of grams over the root."""
     codes: np.ndarray
     log_weight: np.ndarray
     next_codes: np.ndarray
-    next_logs: np.ndarray
+    next_gains: np.ndarray
 
 
 @dataclass
@@ -89,6 +117,8 @@ class Tree:
     distinct: int
     symbols: int
     levels: list[Level] = field(default_factory=list)
+    # whether the levels hold every gram
+    whole: bool = True
 
     @property
     def base(self) -> int:
@@ -129,108 +159,119 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def next_counts(texts: DataFrame, tree: Tree, depth: int, frequent: np.ndarray | None) -> DataFrame:
-    """(context, next, n): next symbols (0: any other word) after contexts of a depth, those in ``frequent`` only."""
-    shared = texts.sparkSession.sparkContext.broadcast((tree, frequent))
+def grow(texts: DataFrame, counts: DataFrame, max_depth: int = MAX_DEPTH) -> list[tuple[DataFrame, DataFrame]]:
+    """Of each depth from 1: (gram, n, p, root) of all grams, and (context, log_weight) of the retained contexts.
 
-    def run(batches):
-        tree, frequent = shared.value
-        for batch in parts(batches):
-            _, numbers, sizes = tree.number(text_bytes(batch))
-            symbol, code = tree.contexts(numbers, sizes, depth)
-            taken = code > 0 if frequent is None else _find(frequent, code) >= 0
-            both, n = np.unique(code[taken] * tree.base + symbol[taken], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(both // tree.base), pa.array(both % tree.base), pa.array(n)],
-                                             names=["context", "next", "n"])
-
-    counted = texts.select("text").mapInArrow(run, "context long, next long, n long")
-    return counted.groupBy("context", "next").agg(F.sum("n").alias("n"))
-
-
-def _parent_log(tree: Tree, suffix: list[int], symbol: int, log_root: np.ndarray) -> float:
-    """log10 probability of a symbol from the longest retained context that ends ``suffix`` (oldest word first)."""
-    total = 0.0
-    for depth in range(len(suffix), 0, -1):
-        level, code = tree.levels[depth - 1], 0
-        for s in suffix[-depth:]:
-            code = code * tree.base + s
-        at = _find(level.codes, np.array([code]))[0]
-        if at >= 0:
-            hit = _find(level.next_codes, np.array([code * tree.base + symbol]))[0]
-            if hit >= 0:
-                return total + level.next_logs[hit]
-            total += level.log_weight[at]
-    return total + log_root[symbol - 1]
-
-
-def grow(tree: Tree, depth: int, totals: list, following: dict[int, list[tuple[int, int]]]) -> None:
-    """Add the level of a depth: contexts (code, n, types) that pass the divergence test."""
-    log_root = tree.log_base()
-    kept, pairs = [], []
-    for code, n, types in totals:
-        symbols, rest = [], code
-        for _ in range(depth):
-            symbols.insert(0, rest % tree.base)
-            rest //= tree.base
-        nexts = following.get(code, [])
-        parent = {s: 10.0 ** _parent_log(tree, symbols[1:], s, log_root) for s, _ in nexts}
-        known, parent_known = sum(m for _, m in nexts), min(sum(parent.values()), 1 - 1e-12)
-        gain = sum(m * log(m / n / parent[s]) for s, m in nexts)
-        if n > known:
-            gain += (n - known) * log((n - known) / n / (1 - parent_known))
-        if not nexts or gain < 0.5 * (len(nexts) + 1) * log(n):
-            continue
-        weight = types / (n + types)
-        kept.append((code, log10(weight + (n - known) / ((n + types) * (1 - parent_known)))))
-        pairs += [(code * tree.base + s, log10(m / (n + types) + weight * parent[s])) for s, m in nexts]
-    kept.sort()
-    pairs.sort()
-    tree.levels.append(Level(np.array([k for k, _ in kept], dtype=np.int64), np.array([w for _, w in kept]),
-                             np.array([k for k, _ in pairs], dtype=np.int64), np.array([w for _, w in pairs])))
+    ``p`` is the next word's probability in the longest retained suffix of the
+    gram's context, ``root`` the one of the word alone.
+    """
+    if max_depth < 1:
+        return []
+    total = counts.agg(F.sum("c"), F.count("*")).first()
+    root = (F.col("c") + 1) / F.lit(float(int(total[0] or 0) + int(total[1]) + 1))
+    below = counts.select(F.col("token").cast("string").alias("gram"), root.alias("p"), root.alias("root"))
+    counted = stage(gram_counts(texts, max_depth), "lm-grams")
+    of_depth = {max_depth: counted.where(F.col("size") == max_depth + 1).select("gram", "n")}
+    for depth in range(max_depth - 1, 0, -1):
+        shorter = of_depth[depth + 1].select(_without_oldest(depth + 1).alias("gram"), "n")
+        starts = counted.where(F.col("size") == depth + 1).select("gram", "n")
+        of_depth[depth] = shorter.union(starts).groupBy("gram").agg(F.sum("n").alias("n"))
+    levels = []
+    for depth in range(1, max_depth + 1):
+        parent = below.select(F.col("gram").alias("lower"), F.col("p").alias("parent"), "root")
+        rows = stage(of_depth[depth].withColumn("lower", _without_oldest(depth)).join(parent, "lower").drop("lower"), f"lm-parents-{depth}")
+        rows = rows.withColumn("context", _context(depth))
+        told = F.sum(F.col("n") * F.log(F.col("n") / F.col("parent"))) - F.sum("n") * F.log(F.sum("n"))
+        contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("types"), told.alias("told"))
+        contexts = contexts.where((F.col("total") >= MIN_CONTEXT) & (F.col("told") >= 0.5 * (F.col("types") + 1) * F.log("total")))
+        contexts = stage(contexts.select("context", "total", "types"), f"lm-contexts-{depth}")
+        smoothed = (F.col("n") + F.col("types") * F.col("parent")) / (F.col("total") + F.col("types"))
+        below = stage(rows.join(contexts, "context", "left").select(
+            "gram", "n", F.coalesce(smoothed, F.col("parent")).alias("p"), "root"), f"lm-depth-{depth}")
+        levels.append((below, contexts.select("context", F.log10(F.col("types") / (F.col("total") + F.col("types"))).alias("log_weight"))))
+    return levels
 
 
-def learn(texts: DataFrame, counts: DataFrame, max_depth: int = MAX_DEPTH) -> Tree:
-    """The tree of the training texts; ``counts`` is their written word_counts."""
+def _without_oldest(depth: int) -> Column:
+    """The gram of a depth without its first token."""
+    return F.substring_index("gram", " ", -depth)
+
+
+def _context(depth: int) -> Column:
+    """The gram of a depth without its last token."""
+    return F.substring_index("gram", " ", depth)
+
+
+def head(counts: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> Tree:
+    """What is broadcast of the tree: the frequent words and grams, and the contexts if that is all grams."""
     total = counts.agg(F.sum("c"), F.count("*")).first()
     tokens, distinct = int(total[0] or 0), int(total[1])
     often = counts.where(F.col("c") >= WORD_SHARE * tokens).orderBy(F.desc("c"), "token").toArrow()
-    tree = Tree({t: i for i, t in enumerate(often.column("token").to_pylist())}, often.column("c").to_numpy(), tokens, distinct,
-                int((often.column("c").to_numpy() >= SYMBOL_SHARE * tokens).sum()))
-    frequent = None
-    for depth in range(1, max_depth + 1):
-        pairs = stage(next_counts(texts, tree, depth, frequent), f"lm-depth-{depth}")
-        at_least = max(2, ceil(CONTEXT_SHARE * tokens))
-        totals = [(r["context"], r["n"], r["types"]) for r in pairs.groupBy("context").agg(
-            F.sum("n").alias("n"), F.count("*").alias("types")).where(F.col("n") >= at_least).collect()]
-        common = pairs.where((F.col("next") > 0) & (F.col("n") >= max(2, ceil(NEXT_SHARE * tokens)))).toArrow()
-        following: dict[int, list[tuple[int, int]]] = {}
-        for c, s, n in zip(*(common.column(k).to_pylist() for k in ("context", "next", "n"))):
-            following.setdefault(c, []).append((s, n))
-        grow(tree, depth, totals, following)
-        # contexts one word longer: a context of this depth and its next word, frequent together
-        frequent = np.array(sorted(c * tree.base + s for c, more in following.items() for s, n in more if n >= at_least), dtype=np.int64)
-        if not len(frequent):
-            break
+    # the code of a whole gram must fit 63 bits
+    symbols = min(often.num_rows, int(2 ** (62 / (len(levels) + 1))) - 2)
+    tree = Tree({t: i for i, t in enumerate(often.column("token").to_pylist())}, often.column("c").to_numpy(), tokens, distinct, symbols)
+
+    def coded(column: pa.ChunkedArray) -> np.ndarray:
+        """Codes of grams or contexts, -1 with a word that has no symbol."""
+        out = np.empty(len(column), dtype=np.int64)
+        for k, raw in enumerate(column.to_pylist()):
+            code = 0
+            for word in raw.split(b" "):
+                number = symbols if word == START else tree.vocabulary.get(word, -1)
+                if number < 0 or number >= symbols and word != START:
+                    code = -1
+                    break
+                code = code * tree.base + number + 1
+            out[k] = code
+        return out
+
+    found = []
+    for of_grams, _ in levels:
+        common = of_grams.where(F.col("n") >= HEAD_SHARE * tokens).select(
+            F.col("gram").cast("binary").alias("gram"), F.log10(F.col("p") / F.col("root")).alias("gain")).toArrow()
+        codes = coded(common.column("gram"))
+        order = np.argsort(codes)[(codes < 0).sum():]
+        found.append((codes[order], common.column("gain").to_numpy()[order]))
+        tree.whole = tree.whole and len(order) == of_grams.count()
+    for (next_codes, next_gains), (_, contexts) in zip(found, levels):
+        codes, log_weight = np.empty(0, dtype=np.int64), np.empty(0)
+        if tree.whole:
+            kept = contexts.select(F.col("context").cast("binary").alias("context"), "log_weight").toArrow()
+            codes, log_weight = coded(kept.column("context")), kept.column("log_weight").to_numpy()
+            order = np.argsort(codes)
+            codes, log_weight = codes[order], log_weight[order]
+        tree.levels.append(Level(codes, log_weight, next_codes, next_gains))
     return tree
 
 
-def log_gain(tree: Tree, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """log10 of each token's probability in its longest retained context, over the root's."""
-    log_root = tree.log_base()
+def learn(texts: DataFrame, counts: DataFrame, max_depth: int = MAX_DEPTH) -> Tree:
+    """The head of the training texts' tree; ``counts`` is their written word_counts."""
+    return head(counts, grow(texts, counts, max_depth))
+
+
+def resolve(tree: Tree, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of each token's probability in its longest retained context, over the root's, and whether the head tells it (else 0)."""
     out, open_ = np.zeros(len(numbers)), np.ones(len(numbers), dtype=bool)
+    sure = np.full(len(numbers), tree.whole)
+    longest = np.minimum(np.arange(len(numbers)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1, len(tree.levels))
     for depth in range(len(tree.levels), 0, -1):
         level = tree.levels[depth - 1]
         symbol, code = tree.contexts(numbers, sizes, depth)
         at = np.flatnonzero(open_ & (code > 0))
-        state = _find(level.codes, code[at])
-        at, state = at[state >= 0], state[state >= 0]
         hit = _find(level.next_codes, code[at] * tree.base + symbol[at])
         hit = np.where(symbol[at] > 0, hit, -1)
-        known = at[hit >= 0]
-        out[known] += level.next_logs[hit[hit >= 0]] - log_root[symbol[known] - 1]
+        known, missed = at[hit >= 0], at[hit < 0]
+        out[known] += level.next_gains[hit[hit >= 0]]
         open_[known] = False
-        out[at[hit < 0]] += level.log_weight[state[hit < 0]]
-    return out
+        sure[known] |= longest[known] == depth
+        state = _find(level.codes, code[missed])
+        out[missed[state >= 0]] += level.log_weight[state[state >= 0]]
+    return np.where(sure, out, 0.0), sure
+
+
+def log_gain(tree: Tree, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """log10 of each token's probability in its longest retained context, over the root's, as far as the head tells it."""
+    return resolve(tree, numbers, sizes)[0]
 
 
 def _first_scores(docs: DataFrame, tree: Tree) -> DataFrame:
@@ -244,8 +285,9 @@ def _first_scores(docs: DataFrame, tree: Tree) -> DataFrame:
             flat, numbers, sizes = tree.number(text_bytes(batch))
             starts = np.cumsum(sizes) - sizes
             held = numbers >= 0
+            gain, sure = resolve(tree, numbers, sizes)
             sums = [np.add.reduceat(x, starts) for x in (
-                held.astype(np.int64), np.where(held, log_count[numbers] if len(log_count) else 0.0, 0.0), log_gain(tree, numbers, sizes))]
+                held.astype(np.int64), np.where(held, log_count[numbers] if len(log_count) else 0.0, 0.0), gain)]
             tails, times, offsets = [], [], [0]
             rare = np.flatnonzero(~held)
             cuts = np.searchsorted(rare, np.append(starts, len(numbers)))
@@ -255,22 +297,60 @@ def _first_scores(docs: DataFrame, tree: Tree) -> DataFrame:
                     tails += tail
                     times += tail.values()
                 offsets.append(len(tails))
+            kept, kept_times, kept_offsets = [], [], [0]
+            for s, n in zip(starts.tolist(), sizes.tolist()):
+                if not sure[s:s + n].all():
+                    left = Counter(compress(grams(flat[s:s + n], len(tree.levels)), (~sure[s:s + n]).tolist()))
+                    kept += left
+                    kept_times += left.values()
+                kept_offsets.append(len(kept))
+            left_over = pa.StructArray.from_arrays(
+                [pa.array(kept, type=pa.binary()), pa.array([g.count(b" ") + 1 for g in kept], type=pa.int32()),
+                 pa.array(kept_times, type=pa.int64())], names=["gram", "size", "times"])
             pairs = pa.StructArray.from_arrays([pa.array(tails, type=pa.binary()), pa.array(times, type=pa.int64())], names=["token", "times"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes), *map(pa.array, sums),
-                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pairs)],
-                names=["row", "doc_id", "n_tokens", "n_often", "log_often", "gain", "tail"])
+                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pairs),
+                 pa.ListArray.from_arrays(pa.array(kept_offsets, type=pa.int32()), left_over)],
+                names=["row", "doc_id", "n_tokens", "n_often", "log_often", "gain", "tail", "grams"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return numbered.mapInArrow(run, "row long, doc_id long, n_tokens long, n_often long, log_often double, gain double, "
-                                    "tail array<struct<token: binary, times: long>>")
+                                    "tail array<struct<token: binary, times: long>>, grams array<struct<gram: binary, size: int, times: long>>")
+
+
+def _tail_gains(scored: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(row, tail_gain) of the tokens the head doesn't tell, from the tables of each depth, deepest first."""
+    tail = scored.select("row", F.explode("grams").alias("g")).select(
+        "row", F.col("g.gram").cast("string").alias("gram"), "g.size", "g.times", F.lit(0.0).alias("weight"))
+    missed, sums = None, []
+    for depth in range(len(levels), 0, -1):
+        of_grams, contexts = levels[depth - 1]
+        here = tail.where(F.col("size") == depth + 1).select("row", "gram", "times", "weight")
+        here = here if missed is None else here.unionByName(missed)
+        met = here.join(of_grams.select("gram", F.log10(F.col("p") / F.col("root")).alias("told")), "gram", "left")
+        # a row's grams that were never met stay with it for the next shorter context
+        met = stage(met.groupBy("row").agg(
+            F.sum(F.col("times") * (F.col("weight") + F.col("told"))).alias("found"),
+            F.collect_list(F.when(F.col("told").isNull(), F.struct("gram", "times", "weight"))).alias("missed")), f"lm-met-{depth}")
+        sums.append(met.select("row", F.col("found").alias("part")))
+        rest = met.select("row", F.explode("missed").alias("m")).select("row", "m.*").withColumn("context", _context(depth))
+        missed = rest.join(contexts, "context", "left").select(
+            "row", _without_oldest(depth).alias("gram"), "times", (F.col("weight") + F.coalesce("log_weight", F.lit(0.0))).alias("weight"))
+    if missed is not None:
+        sums.append(missed.select("row", (F.col("times") * F.col("weight")).alias("part")))
+    parts_ = sums[0]
+    for more in sums[1:]:
+        parts_ = parts_.union(more)
+    return parts_.groupBy("row").agg(F.sum("part").alias("tail_gain"))
 
 
 def score(docs: DataFrame, teaches: Column, max_depth: int = MAX_DEPTH) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every document; learns from rows that ``teaches`` selects."""
     texts = docs.where(teaches).select("text")
     counts = stage(word_counts(texts), "lm-words")
-    tree = learn(texts, counts, max_depth)
+    levels = grow(texts, counts, max_depth)
+    tree = head(counts, levels)
     scored = stage(_first_scores(docs, tree), "lm-scores")
     tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.times")
     rare = counts.where(F.col("c") < WORD_SHARE * tree.tokens)
@@ -278,9 +358,14 @@ def score(docs: DataFrame, teaches: Column, max_depth: int = MAX_DEPTH) -> DataF
         F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("log_rare"))
     total = log10(tree.tokens + tree.distinct + 1)
     base = F.col("log_often") + F.coalesce("log_rare", F.lit(0.0)) - F.col("n_tokens") * F.lit(total)
-    return scored.drop("tail").join(met, "row", "left").select(
+    gain = F.col("gain")
+    found = scored.drop("tail", "grams").join(met, "row", "left")
+    if not tree.whole:
+        found = found.join(_tail_gains(scored, levels), "row", "left")
+        gain = gain + F.coalesce("tail_gain", F.lit(0.0))
+    return found.select(
         "doc_id", "n_tokens", (F.col("n_often") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+        F.lit(tree.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"))
 
 
 def op9_suffix_tree_lm(spark, sf_dir: str) -> DataFrame:

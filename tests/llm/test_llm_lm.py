@@ -84,3 +84,28 @@ def test_no_training_rows_and_empty(spark):
     got = lm.score(docs, F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score == 0 for r in got)
     assert lm.score(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_rare_contexts_and_next_words_are_scored(spark, monkeypatch):
+    rng = random.Random(5)
+    rare = [(i, f"key{i} value{i} end{i}", None) for i in range(40)] * 4
+    rows = rare + [(100 + i, " ".join(rng.choice("abcdefgh") for _ in range(200)), None) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    # of 40,000 tokens each rare word is a tenth of a thousandth
+    whole = {r.doc_id: r for r in lm.score(docs, F.lit(True)).collect()}
+    assert all(whole[i].score > whole[i].base_score + 6 for i in range(40))
+    for words, grams in ((1e-3, 1e-3), (2e-6, 2e-4), (2.0, 2.0)):
+        # scored by the joins alone or in part, the results are the same
+        monkeypatch.setattr(lm, "WORD_SHARE", words)
+        monkeypatch.setattr(lm, "HEAD_SHARE", grams)
+        part = {r.doc_id: r for r in lm.score(docs, F.lit(True)).collect()}
+        assert {i: (round(r.base_score, 6), round(r.score, 6)) for i, r in part.items()} == {
+            i: (round(r.base_score, 6), round(r.score, 6)) for i, r in whole.items()}
+
+
+def test_held_out_tail_backs_off_as_the_head_does(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(), SCHEMA).repartition(4)
+    teaches = fold(F.col("doc_id"), 7) != 2
+    whole = sorted((str(r.doc_id), round(r.score, 6)) for r in lm.score(docs, teaches, 3).collect())
+    monkeypatch.setattr(lm, "HEAD_SHARE", 1e-3)
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in lm.score(docs, teaches, 3).collect()) == whole
