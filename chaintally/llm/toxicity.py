@@ -4,11 +4,15 @@ Method.  A document is a bag of sentences.  A logistic model over hashed words
 and word beginnings (a stem with another ending is seen as well) gives each
 sentence a probability; the document is toxic if any sentence is (noisy-or).
 Weights are learned from document labels alone, by proximal gradient steps on
-the noisy-or likelihood.  In a toxic document, the sentences at 0.5 or more (or,
+the noisy-or likelihood.  A sentence whose words have no weight tells nothing and counts as 0: the
+bias alone doesn't add up with the length of a text.  In a toxic document, the sentences at 0.5 or more (or,
 if none is, the likeliest ones) are then the located offenders.
 
-Scale.  Learning uses a bounded sample of labelled rows (``PER_CLASS`` of each
-label by least hash, of documents up to ``MAX_TRAIN_CHARS`` characters).
+Scale.  Learning uses a bounded sample of labelled rows of every length (``PER_CLASS`` of each
+label by least hash).  Tasks turn them into features; equal sentences of a bag are one with its number.
+Whole bags teach as long as the sample has up to ``TRAIN_WORDS`` words.  Beyond, the longest bags are
+thinned to one common number of words, in sentences drawn by hash over the whole bag (at least one), each of
+which counts for its share of the bag's true number of sentences.
 Scoring covers every whole text, row by row over Arrow batches.
 
 Defined cases: a null or word-less text has the score of no sentence, 0; without
@@ -21,16 +25,18 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, fold, stage, table, text_bytes, with_columns
+from chaintally.llm.common import extended, fold, pieces, stage, table, text_bytes, with_columns
 
 # Bounds of the training sample.
-PER_CLASS, MAX_TRAIN_CHARS = {0: 4000, 1: 2000}, 10_000
+PER_CLASS, TRAIN_WORDS = {0: 4000, 1: 2000}, 10_000_000
 FEATURES = 1 << 20
 # Lengths in bytes of the word beginnings, and the bags a feature must be in to be learned.
 BEGINNINGS, MIN_BAGS = (4, 5, 6, 7, 8), 3
@@ -73,58 +79,99 @@ class Weights(dict):
 
 
 def sentence_logits(raw: bytes, weights: Weights, bias: float) -> tuple[np.ndarray, np.ndarray]:
-    """Logit of every sentence, and whether it has words."""
+    """Logit of every sentence, and whether a word of it has weight."""
     weight = weights.__getitem__
-    found = sentences(raw)
-    return (np.array([bias + sum(map(weight, s)) for s in found]),
-            np.fromiter(map(len, found), dtype=np.int64, count=len(found)) > 0)
+    sums = np.array([sum(map(weight, s)) for s in sentences(raw)], dtype=float)
+    return bias + sums, sums != 0
 
 
 def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0.0, logits).sum()))
 
 
-def _flat_bags(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of all sentences in a row, the sentence of each, and the bag of each sentence."""
-    known: dict[bytes, array] = {}
-    feature, sizes, bag = array("i"), array("i"), array("i")
-    for k, (raw, _) in enumerate(bags):
-        for tokens in filter(None, sentences(raw)):
-            before = len(feature)
-            for t in tokens:
-                if t not in known:
-                    known[t] = array("i", word_features(t))
-                feature.extend(known[t])
-            sizes.append(len(feature) - before)
-            bag.append(k)
-    sizes = np.frombuffer(sizes, dtype=np.int32)
-    return (np.frombuffer(feature, dtype=np.int32), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-            np.frombuffer(bag, dtype=np.int32))
+class Bag(NamedTuple):
+    """The different sentences of a text that have words: all their features in a row, and of each sentence the
+    number of features, of words, and how many times it stands (a share of the bag's sentences where it is thinned)."""
+    features: np.ndarray
+    sizes: np.ndarray
+    words: np.ndarray
+    times: np.ndarray
+
+
+def bag_of(raw: bytes, known: dict[bytes, list[int]]) -> Bag:
+    """The whole bag of a text; ``known`` remembers the features of words."""
+    counted = Counter(map(frozenset, filter(None, sentences(raw))))
+    feature, sizes = array("i"), array("i")
+    if len(known) > Weights.LIMIT:
+        known.clear()
+    for tokens in counted:
+        before = len(feature)
+        for t in sorted(tokens):
+            if t not in known:
+                known[t] = word_features(t)
+            feature.extend(known[t])
+        sizes.append(len(feature) - before)
+    return Bag(np.frombuffer(feature, dtype=np.int32), np.frombuffer(sizes, dtype=np.int32),
+               np.fromiter(map(len, counted), dtype=np.int32, count=len(counted)),
+               np.fromiter(counted.values(), dtype=np.float64, count=len(counted)))
+
+
+def thinned(bag: Bag, limit: int) -> Bag:
+    """A bag of more than ``limit`` words by sentences of least hash up to that; their times sum up to the bag's."""
+    if bag.words.sum() <= limit:
+        return bag
+    ends = np.cumsum(bag.sizes)
+    place = np.arange(len(ends), dtype=np.int64)
+    order = np.argsort([zlib.crc32(k.tobytes()) for k in place], kind="stable")
+    taken = np.sort(order[:max(1, int(np.searchsorted(np.cumsum(bag.words[order], dtype=np.int64), limit, side="right")))])
+    times = bag.times[taken] * (bag.times.sum() / bag.times[taken].sum())
+    held = np.isin(np.repeat(place, bag.sizes), taken)
+    return Bag(bag.features[held], bag.sizes[taken], bag.words[taken], times)
+
+
+def words_limit(sizes: np.ndarray, total: int) -> int:
+    """The largest common limit that leaves bags of these numbers of words with ``total`` words at most."""
+    if sizes.sum() <= total:
+        return int(sizes.max(initial=0))
+    ordered = np.sort(sizes).astype(np.int64)
+    # words left with the limit at each size
+    left = np.cumsum(ordered) + ordered * np.arange(len(ordered) - 1, -1, -1)
+    k = int(np.searchsorted(left, total, side="right"))
+    return int((total - ordered[:k].sum()) // (len(ordered) - k))
 
 
 def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, their weights, bias) from (text, label) rows; features without weight are left out."""
-    labels = np.array([y for _, y in bags], dtype=float)
+    known: dict[bytes, list[int]] = {}
+    return fit([bag_of(raw, known) for raw, _ in bags], np.array([y for _, y in bags], dtype=float))
+
+
+def fit(bags: list[Bag], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(features, their weights, bias) from bags and their labels."""
     if not len(labels) or labels.min() == labels.max():
         return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
-    feature, sentence, bag = _flat_bags(bags)
-    n, count, bias = len(bags), len(bag), FIRST_BIAS
+    n, bias = len(bags), FIRST_BIAS
+    bag = np.repeat(np.arange(n, dtype=np.int32), [len(b.sizes) for b in bags])
+    count, times = len(bag), np.concatenate([b.times for b in bags])
     # features met in enough bags, numbered from 0
     bags_with = np.zeros(FEATURES, dtype=np.int32)
-    for part in np.split(feature, np.flatnonzero(np.diff(bag[sentence])) + 1):
-        bags_with[np.unique(part)] += 1
+    for b in bags:
+        bags_with[np.unique(b.features)] += 1
     met = bags_with >= min(MIN_BAGS, n)
     used, number = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.int32)
+    feature = np.concatenate([b.features for b in bags])
+    sentence = np.repeat(np.arange(count, dtype=np.int32), np.concatenate([b.sizes for b in bags]))
     keep = met[feature]
     feature, sentence = number[feature[keep]], sentence[keep]
+    del keep
     w, grown, grown_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     share = np.where(labels == 1, TOXIC_SHARE / max(labels.sum(), 1), (1 - TOXIC_SHARE) / max((1 - labels).sum(), 1))
     for _ in range(ROUNDS):
         z = bias + np.bincount(sentence, w[feature], minlength=count)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        survive = np.exp(-np.bincount(bag, np.logaddexp(0.0, z), minlength=n))
+        survive = np.exp(-np.bincount(bag, times * np.logaddexp(0.0, z), minlength=n))
         toward = np.where(labels == 1, -survive / np.maximum(1 - survive, 1e-9), 1.0) * share
-        g_sentence = p * toward[bag]
+        g_sentence = times * p * toward[bag]
         g = np.bincount(feature, g_sentence[sentence], minlength=len(used))
         grown += g * g
         rate = RATE / np.sqrt(grown)
@@ -145,13 +192,57 @@ def model_weights(model: tuple[np.ndarray, np.ndarray, float]) -> tuple[Weights,
 def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarray, np.ndarray, float]:
     """Model from the labelled documents that ``teaches`` (over doc_id) selects."""
     marked = labels.where(teaches & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-    known = docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", F.xxhash64("doc_id").alias("h")).join(marked, "doc_id")
+    texts = docs.where(F.col("text").isNotNull())
+    known = texts.select("doc_id", F.xxhash64("doc_id").alias("h")).join(marked, "doc_id")
     clean, toxic = (known.where(F.col("toxic") == y).orderBy("h", "doc_id").limit(n) for y, n in PER_CLASS.items())
-    sample = clean.union(toxic)
-    sample = stage(sample.select("doc_id", "toxic").distinct(), "toxicity-sample")
-    rows = (docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id", "text").join(sample, "doc_id")
-                .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(sum(PER_CLASS.values())).collect())
-    return train([(r["text"].encode(), r["toxic"]) for r in rows])
+    sample = stage(clean.union(toxic).select("doc_id", "toxic").distinct(), "toxicity-sample")
+    keys = ["h", "doc_id", "toxic", "t"]
+    rows = texts.select("doc_id", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text").join(sample, "doc_id")
+    rows = stage(_bags(rows.select(*keys, "text")), "toxicity-bags")
+    total = sum(PER_CLASS.values())
+    sizes = rows.select(*keys, "n_words").orderBy(*keys).limit(total).collect()
+    limit = words_limit(np.array([r["n_words"] for r in sizes], dtype=np.int64), TRAIN_WORDS)
+    found = _thin_bags(rows, limit).orderBy(*keys).limit(total).collect()
+    bags = [Bag(*(np.frombuffer(r[k], dtype=d) for k, d in BAG_TYPES.items())) for r in found]
+    return fit(bags, np.array([r["toxic"] for r in found], dtype=float))
+
+
+BAG_TYPES = {"features": np.int32, "sizes": np.int32, "words": np.int32, "times": np.float64}
+
+
+def _bag_schema(schema: T.StructType) -> T.StructType:
+    return with_columns(T.StructType([f for f in schema if f.name != "text"]),
+                        *((k, T.BinaryType()) for k in BAG_TYPES), ("n_words", T.LongType()))
+
+
+def _bag_columns(bags: list[Bag]) -> dict[str, list]:
+    return {k: [getattr(b, k).tobytes() for b in bags] for k in BAG_TYPES} | {"n_words": [int(b.words.sum()) for b in bags]}
+
+
+def _bags(rows: DataFrame) -> DataFrame:
+    """The rows with their bag in place of ``text``."""
+    schema = _bag_schema(rows.schema)
+
+    def run(batches):
+        known: dict[bytes, list[int]] = {}
+        for batch in batches:
+            for part in pieces(batch):
+                yield extended(part, schema, _bag_columns([bag_of(raw, known) for raw in text_bytes(part)]))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _thin_bags(rows: DataFrame, limit: int) -> DataFrame:
+    """The rows of bags, each thinned to at most ``limit`` words."""
+    schema = rows.schema
+
+    def run(batches):
+        for batch in batches:
+            read = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in BAG_TYPES]
+            bags = [Bag(*map(np.frombuffer, bag, BAG_TYPES.values())) for bag in zip(*read)]
+            yield extended(batch, schema, _bag_columns([thinned(b, limit) for b in bags]))
+
+    return rows.mapInArrow(run, schema)
 
 
 SENTENCES = T.ArrayType(T.StructType([
@@ -181,9 +272,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
         for batch in batches:
             scores, found = [], []
             for raw in text_bytes(batch):
-                logits, worded = sentence_logits(raw, weights, bias)
-                scores.append(noisy_or(logits[worded]))
-                found.append(offenders(raw, np.where(worded, logits, -np.inf)) if scores[-1] >= THRESHOLD else [])
+                logits, told = sentence_logits(raw, weights, bias)
+                scores.append(noisy_or(logits[told]))
+                found.append(offenders(raw, np.where(told, logits, -np.inf)) if scores[-1] >= THRESHOLD else [])
             yield extended(batch, schema, {"toxic_score": scores, "offending": found})
 
     return docs.mapInArrow(run, schema)

@@ -64,3 +64,54 @@ def test_nothing_to_learn_from(spark, learned):
     assert tx.score(docs.limit(0), learned[2]).count() == 0
     kept = tx.drop_toxic(docs, none)
     assert kept.columns == docs.columns and kept.count() == 400
+
+
+def long_rows(n, rng, vile_at):
+    """Texts of over 10,000 characters; ``vile_at`` gives the place of the one bad sentence of a toxic one."""
+    rows, labels = [], []
+    for i in range(n):
+        parts = [" ".join(WORDS[rng.randrange(400)] for _ in range(8)) for _ in range(400)]
+        if i % 4 == 0:
+            parts[vile_at(len(parts))] += " " + rng.choice(BAD) + " here"
+        rows.append((i, ". ".join(parts) + "."))
+        labels.append((i, int(i % 4 == 0)))
+    return rows, labels
+
+
+def test_documents_of_any_length_teach(spark):
+    rng = random.Random(3)
+    rows, labels = long_rows(120, rng, lambda n: n - 1)
+    assert min(len(t) for _, t in rows) > 10_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = tx.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    fresh, marks = long_rows(40, rng, rng.randrange)
+    got = {r.doc_id: r.toxic_score for r in tx.score(spark.createDataFrame(fresh, "doc_id long, text string"), model).collect()}
+    assert {i: int(s >= 0.5) for i, s in got.items()} == dict(marks)
+
+
+def test_a_sentence_counts_as_often_as_it_stands():
+    rng = random.Random(4)
+    rows, labels = make(80, rng)
+    again = [(i, (text + " ") * 3) for i, text, _ in rows]
+    whole = tx.train([(t.encode(), y) for (_, t), (_, y) in zip(again, labels)])
+    bags = [tx.bag_of(t.encode(), {}) for _, t in again]
+    assert all((b.times % 3 == 0).all() for b in bags)
+    thin = [tx.thinned(b, int(b.words.sum()) - 1) for b in bags]
+    assert all(t.times.sum() == pytest.approx(b.times.sum()) and len(t.sizes) == len(b.sizes) - 1 or len(b.sizes) == 1
+               for t, b in zip(thin, bags))
+    assert all(t.features.size == t.sizes.sum() for t in thin)
+    assert np.isfinite(whole[2])
+
+
+def test_words_limit_fills_the_total():
+    sizes = np.array([5, 100, 20, 7])
+    assert tx.words_limit(sizes, 132) == 100 and tx.words_limit(sizes, 62) == 30
+    assert tx.words_limit(np.array([9, 9]), 10) == 5 and tx.words_limit(np.array([], dtype=int), 5) == 0
+
+
+def test_sentences_of_unseen_words_do_not_add_up(spark, learned):
+    unseen = ". ".join(f"zq{i} vvk{i}" for i in range(50_000))
+    docs = spark.createDataFrame([(1, unseen), (3, unseen + ". vile here")], "doc_id long, text string")
+    got = {r.doc_id: r for r in tx.score(docs, learned[2]).collect()}
+    assert got[1].toxic_score == 0
+    assert got[3].toxic_score >= 0.5 and len(got[3].offending) == 1
