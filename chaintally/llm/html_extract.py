@@ -18,7 +18,8 @@ Scale.  The sample is ``SAMPLE`` pages by least hash of up to ``SAMPLE_CHARS``
 characters; every page is labelled whole, row by row over Arrow batches, in groups of pages of like length.
 
 Defined cases: a null or empty html has no text; a page without main blocks has an
-empty text; unclosed and stray tags are closed or ignored; repeated rows give
+empty text; unclosed and stray tags are closed or ignored; only the
+content of raw-text elements (``OPAQUE``) is left out before labelling; repeated rows give
 repeated results; a null url stays null; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -46,14 +47,17 @@ SEED = 7
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-# Elements whose content is no text of the page.
-OPAQUE = frozenset(("script", "style", "template", "noscript", "textarea", "svg", "iframe", "object", "select", "math", "canvas"))
+# Raw-text elements, whose content is no markup and no text of the page.
+OPAQUE = frozenset(("script", "style", "template", "textarea", "iframe"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 # Elements that stand inside a line of text and don't end a block.
 INLINE = frozenset(("a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
                     "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"))
 # Elements an opening tag closes, if they are open with nothing but inline elements above.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Elements that stand inside a paragraph as blocks of their own; in the first two an element may close itself.
+FOREIGN = ("svg", "math")
+CLOSES |= dict.fromkeys((*FOREIGN, "object", "canvas", "select", "noscript"), ())
 MAIN = frozenset(("article", "main"))
 BOILERPLATE = frozenset(("nav", "header", "footer", "aside", "form", "head", "title", "menu", "button", "dialog"))
 SPACE = re.compile(r"\s+")
@@ -152,7 +156,7 @@ def blocks(page: str) -> list[Block]:
             if not m[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else size
-        elif tag in VOID:
+        elif tag in VOID or m[3].rstrip().endswith("/") and (tag in FOREIGN or any(elements.count[f] for f in FOREIGN)):
             if tag not in INLINE:
                 flush()
         else:

@@ -107,3 +107,15 @@ def test_spark_rows(spark, weights):
     assert [r.text for r in got[:4]] == ["\n".join(want), "", "", "\n".join(want)]
     assert got[4].text.count("more text here.") == 5000
     assert he.extract(df.limit(0), he.learn(df.limit(0))).count() == 0
+
+
+def test_only_raw_elements_are_left_out():
+    for tag in ("math", "object", "svg", "canvas", "select", "noscript"):
+        got = " ".join(b.text for b in he.blocks(f"<article><p>before <{tag}>inner</{tag}> after</p><{tag}><p>open</p><p>rest</p></article>"))
+        assert got == "before inner after open rest"
+        nested = he.blocks(f"<p>a</p><{tag}><{tag}>b</{tag}>c</{tag}><p>d</p>")
+        assert " ".join(b.text for b in nested) == "a b c d"
+    assert [(b.text, b.path) for b in he.blocks("<p>a <svg><path d='x'/><text>t</text></svg> b <math/>c")] == [
+        ("a", ("p",)), ("t", ("p", "svg", "text")), ("b", ("p",)), ("c", ("p",))]
+    for tag in ("script", "style", "template", "textarea", "iframe"):
+        assert [b.text for b in he.blocks(f"<p>a</p><{tag}><p>b</p></{tag}><p>c</p>")] == ["a", "c"]
