@@ -14,13 +14,13 @@ kinds (headers, sidebars, notices, forms, comments, adverts) made of the
 sample's own words are added, so that the network learns from words of
 class names, position and neighbours, not from one template.
 
-Scale.  The sample is ``SAMPLE`` pages by least hash of up to ``SAMPLE_CHARS``
-characters; every page is labelled whole, row by row over Arrow batches, in groups of pages of like length.
+Scale.  The sample is ``SAMPLE`` pages of any length by least hash, cut into blocks in tasks; a page of more than
+``PAGE_BLOCKS`` blocks teaches with so many, spread evenly over it.  Every page is labelled whole, row by row over Arrow batches, in groups of pages of like length.
 
 Defined cases: a null or empty html has no text; a page without main blocks has an
 empty text; unclosed and stray tags are closed or ignored; only the
-content of raw-text elements (``OPAQUE``) is left out before labelling; repeated rows give
-repeated results; a null url stays null; an empty table gives an empty result;
+content of raw-text elements (``OPAQUE``) is left out before labelling; where no page
+has a block to learn from, the teacher itself labels; repeated rows give repeated results; a null url stays null; an empty table gives an empty result;
 extra columns are ignored.
 """
 
@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, least_rows, table, text_strings, with_columns
+from chaintally.llm.common import extended, pieces, table, text_strings, with_columns
 
-SAMPLE, SAMPLE_CHARS = 300, 20_000
+SAMPLE, PAGE_BLOCKS = 300, 400
 PATH_BUCKETS, WORD_BUCKETS, SHAPE = 512, 32, 6
 PATH_SIZE, HIDDEN = 16, 12
 EPOCHS, PAGES_PER_STEP, LEARNING_RATE = 8, 24, 0.02
@@ -390,28 +390,52 @@ def features(page: list[Block], reader: Reader) -> tuple[list[np.ndarray], np.nd
             np.stack([reader.dense(b, k / n) for k, b in enumerate(page)]) if n else np.zeros((0, WORD_BUCKETS + SHAPE)))
 
 
+def drawn(page: list[Block]) -> list[Block]:
+    """Up to ``PAGE_BLOCKS`` blocks, spread evenly over the page."""
+    if len(page) <= PAGE_BLOCKS:
+        return page
+    return [page[k] for k in np.linspace(0, len(page) - 1, PAGE_BLOCKS).astype(int)]
+
+
 def train(pages: list[str], variants: int = 4) -> dict[str, np.ndarray]:
     """Weights learned from sampled pages."""
+    return fit([drawn(blocks(raw)) for raw in pages], variants)
+
+
+def fit(pages: list[list[Block]], variants: int = 4) -> dict[str, np.ndarray]:
+    """Weights learned from the blocks of pages; none where there is no block."""
     rng, reader, rows = np.random.default_rng(SEED), Reader(), []
-    for raw in pages:
-        found = blocks(raw)[:400]
+    for found in pages:
         if found:
             for k in range(variants):
                 page, labels = varied(found, rng) if k else (found, [int(is_main(b.path)) for b in found])
                 paths, dense = features(page, reader)
                 hidden = [ids[rng.random(len(ids)) > 0.1] if k else ids for ids in paths]
                 rows.append((hidden, dense, np.array(labels)))
+    if not rows:
+        return {}
     model = Labeller()
-    if rows:
-        model.fit(rows)
+    model.fit(rows)
     return model.p
 
 
 def learn(pages: DataFrame) -> dict[str, np.ndarray]:
     """Weights from the sample of pages."""
-    fit = pages.where(F.length("html").between(1, SAMPLE_CHARS)).select("page_id", "url", "html")
-    sample = least_rows(fit, F.xxhash64("page_id", "url"), SAMPLE, ["html"]).select("html").collect()
-    return train([r["html"] for r in sample])
+    keyed = pages.where(F.length("html") > 0).select(F.xxhash64("page_id", "url").alias("h"), F.xxhash64("html").alias("t"), "html")
+    last = keyed.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    schema = with_columns(keyed.drop("html").schema, ("blocks", BLOCKS))
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "html"):
+                yield extended(part, schema, {"blocks": [[vars(b) for b in drawn(blocks(p))] for p in text_strings(part, "html")]})
+
+    sample = keyed.where(F.col("h") <= F.lit(last)).mapInArrow(run, schema).orderBy("h", "t").limit(SAMPLE).select("blocks").collect()
+    return fit([[Block(b["text"], tuple(b["path"]), b["link_chars"]) for b in r["blocks"]] for r in sample])
+
+
+BLOCKS = T.ArrayType(T.StructType([
+    T.StructField("text", T.StringType()), T.StructField("path", T.ArrayType(T.StringType())), T.StructField("link_chars", T.LongType())]))
 
 
 # Padded blocks labelled at once.
@@ -421,6 +445,8 @@ GROUP_BLOCKS = 40_000
 def main_texts(pages: list[str], model: Labeller, reader: Reader) -> list[str]:
     """The main text of each page."""
     cut = [blocks(p) for p in pages]
+    if not model.p:  # nothing was learned
+        return ["\n".join(b.text for b in page if is_main(b.path)) for page in cut]
     order = sorted((k for k in range(len(cut)) if cut[k]), key=lambda k: len(cut[k]))
     out, at = [""] * len(cut), 0
     while at < len(order):

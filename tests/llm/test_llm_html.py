@@ -119,3 +119,28 @@ def test_only_raw_elements_are_left_out():
         ("a", ("p",)), ("t", ("p", "svg", "text")), ("b", ("p",)), ("c", ("p",))]
     for tag in ("script", "style", "template", "textarea", "iframe"):
         assert [b.text for b in he.blocks(f"<p>a</p><{tag}><p>b</p></{tag}><p>c</p>")] == ["a", "c"]
+
+
+def test_pages_of_any_length_teach(spark):
+    rng = np.random.default_rng(8)
+    pages = []
+    for k in range(40):
+        page, _ = make_page(rng, k)
+        pages.append(page.replace("</article>", f"<p>{sentences(rng, 60)}</p>" * 60 + "</article>"))
+    assert min(map(len, pages)) > 20_000
+    df = spark.createDataFrame([(k, "u", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    rows = he.extract(df, he.learn(df)).collect()
+    want = ["\n".join(b.text for b in he.blocks(p) if he.is_main(b.path)) for p in pages]
+    assert [r.text for r in sorted(rows, key=lambda r: r.page_id)] == want
+
+
+def test_blocks_are_drawn_over_the_whole_page():
+    page = he.blocks("".join(f"<p>{k}</p>" for k in range(1001)))
+    got = [int(b.text) for b in he.drawn(page)]
+    assert len(got) == he.PAGE_BLOCKS and got[0] == 0 and got[-1] == 1000 and got == sorted(set(got))
+    assert he.drawn(page[:50]) == page[:50]
+
+
+def test_nothing_learned_is_the_teacher():
+    assert he.train([""]) == {}
+    assert texts(["<nav>x</nav><article><p>a</p><p>b</p></article>", ""], {}) == ["a\nb", ""]
