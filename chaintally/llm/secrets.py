@@ -82,6 +82,21 @@ def _char_cost(ch: str) -> float:
     return log10(62) if "A" <= ch <= "Z" else log10(95)
 
 
+# The longest word or date.
+_WINDOW = max(_LONGEST, 10)
+
+
+def _lengths(least: int, most: int) -> list[int]:
+    """Lengths at which a run may end in a cheapest segmentation.
+
+    A word, date or other run that goes on beyond its end overlaps it by a word
+    or date at most, and one inside it pays only after a short beginning.
+    """
+    if most - least <= 2 * _WINDOW:
+        return list(range(least, most + 1))
+    return [*range(least, least + _WINDOW), *range(most - _WINDOW, most + 1)]
+
+
 def guess_cost(value: str) -> float:
     """log10 guesses of the cheapest segmentation of a value."""
     n, low = len(value), value.lower()
@@ -94,6 +109,11 @@ def guess_cost(value: str) -> float:
     for i in range(n - 2, -1, -1):
         same[i] = same[i + 1] + 1 if value[i] == value[i + 1] else 1
         walk[i] = walk[i + 1] + 1 if (low[i], low[i + 1]) in _NEAR else 1
+    # characters from each place that are equal to the one a block further
+    again = {size: [0] * (n + 1) for size in (2, 3, 4)}
+    for size, equal in again.items():
+        for i in range(n - size - 1, -1, -1):
+            equal[i] = equal[i + 1] + 1 if value[i] == value[i + size] else 0
 
     def offer(i: int, j: int, cost: float) -> None:
         if best[i] + cost < best[j]:
@@ -108,18 +128,16 @@ def guess_cost(value: str) -> float:
                     mixed = 0.0 if value[i:i + size] == text[i:i + size] else 0.5
                     offer(i, i + size, log10(rank + 1) + extra + mixed)
         if same[i] >= 3:
-            offer(i, i + same[i], _char_cost(value[i]) + log10(same[i]))
+            for k in _lengths(3, same[i]):
+                offer(i, i + k, _char_cost(value[i]) + log10(k))
         if walk[i] >= 3:
-            offer(i, i + walk[i], log10(47 * 4) + log10(walk[i]))
-        for size in (2, 3, 4):  # a block written again and again
-            block = value[i:i + size]
-            times = 1
-            while len(block) == size and value.startswith(block, i + times * size):
-                times += 1
-                if times == 64:
-                    break
-            if times >= 2:
-                offer(i, i + times * size, sum(map(_char_cost, block)) + log10(times))
+            for k in _lengths(3, walk[i]):
+                offer(i, i + k, log10(47 * 4) + log10(k))
+        for size, equal in again.items():  # a block written again and again
+            if equal[i] >= size:
+                block = sum(map(_char_cost, value[i:i + size]))
+                for times in _lengths(2, 1 + equal[i] // size):
+                    offer(i, i + times * size, block + log10(times))
         if value[i].isdigit():
             for pattern, cost in ((_DATE, log10(365 * 120)), (_YEAR, log10(120))):
                 m = pattern.match(value, i)

@@ -63,3 +63,17 @@ def test_spark_results_and_masks(spark):
                 assert "[SECRET]" in r.text and r.n_chars == len(r.text)
                 assert [x for x in secrets.scan(r.text) if x[0] != "guess"] == []
     assert secrets.redact(docs.limit(0)).count() == 0
+
+
+def test_long_repeats_and_shortened_walks_are_cheap():
+    from math import log10
+
+    from chaintally.llm.secrets import guess_cost
+
+    one_block = 2 * log10(26) + log10(500)
+    assert abs(guess_cost("xk" * 500) - one_block) < 1e-9
+    # the walk ends before the t of the word
+    word = guess_cost("test")
+    assert guess_cost("12345test") <= log10(188) + log10(5) + word + 1e-9
+    assert guess_cost("ttttest") <= log10(26) + log10(3) + word + 1e-9
+    assert guess_cost("x" * 100_000) < 10
