@@ -27,10 +27,11 @@ from chaintally.functions.scalar import (
     month_number,
     trim_chars,
 )
+from chaintally.functions.whole import digits_of, limbs, parse_whole, whole_order
 
 __all__ = [
     "INTEGER_PATTERN", "NUMBER_PATTERN", "is_integer", "is_nonempty",
     "is_number", "parse_amount", "parse_double", "parse_gas", "parse_long", "parse_time",
-    "parse_wei", "bits_to_gb", "composite_id", "hex_bits", "mean_of", "month_key",
+    "parse_wei", "parse_whole", "digits_of", "limbs", "whole_order", "bits_to_gb", "composite_id", "hex_bits", "mean_of", "month_key",
     "month_label", "month_number", "trim_chars",
 ]

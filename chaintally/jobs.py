@@ -22,6 +22,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chaintally.operators.rank import measure_order
 from chaintally.operators.registry import registry_report
 from chaintally.operators.validate import (
     block_any,
@@ -170,7 +171,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         key, value = job.pair
         # read the written result back with its own schema: exact decimals, no recomputation
         saved = spark.read.schema(result.schema).format(a.format).load(f"{a.out}/result")
-        save_top_pairs(saved, f"{a.out}/pairs", key, value, [F.col(value).desc(), F.col(key)], a.k)
+        save_top_pairs(saved, f"{a.out}/pairs", key, value, [measure_order(saved, value).desc(), F.col(key)], a.k)
     if a.quality:
         for name, seen in inputs.seen.items():
             save_result(observed_report(spark, seen), f"{a.out}/quality/{name}", fmt=a.format)

@@ -1,6 +1,6 @@
 """DataFrame operators: validation, aggregation, joins, registry, ranking."""
 
-from chaintally.operators.aggregate import global_mean, means_by, totals_by, weighted_totals
+from chaintally.operators.aggregate import global_mean, limb_sums, means_by, sums_to_totals, totals_by, whole_totals
 from chaintally.operators.rank import (
     above_below,
     best_row,
@@ -29,7 +29,7 @@ from chaintally.operators.validate import (
 )
 
 __all__ = [
-    "global_mean", "means_by", "totals_by", "weighted_totals",
+    "global_mean", "limb_sums", "means_by", "sums_to_totals", "totals_by", "whole_totals",
     "above_below", "best_row", "pivot_series", "reconcile", "top_k", "zero_fill",
     "address_counts", "counted_members", "registry_addresses", "registry_entries",
     "registry_report",

@@ -5,9 +5,10 @@ partial aggregate before the shuffle and a final one after it (map-side
 combine), so a hot key — one address holding a third of all rows — is
 reduced to one row per task before anything moves.  Sums are exact
 (decimal or integer); means are taken at the end as ``sum / count`` in
-double, so the answer does not depend on the order rows arrive in.  A sum
-beyond its type is NULL instead of a failed job; as no input is NULL, that
-is the only meaning of a NULL total.
+double, so the answer does not depend on the order rows arrive in.  A decimal
+sum beyond its type is NULL instead of a failed job; as no input is NULL, that
+is the only meaning of a NULL total.  Whole numbers are summed as text of any
+length, by limbs (``whole_totals``), and have no such bound.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chaintally.functions.scalar import mean_of
-from chaintally.schemas import WEI
+from chaintally.functions.whole import SUM, as_whole, digits_of, limbs
 
 
 def totals_by(df: DataFrame, keys: Sequence[str], value, alias: str = "total_value",
@@ -48,10 +49,30 @@ def global_mean(df: DataFrame, measure: Column, alias: str) -> DataFrame:
     return df.agg(mean_of(F.try_sum(measure), F.count(F.lit(1))).alias(alias))
 
 
-def weighted_totals(df: DataFrame, keys: Sequence[str], value: str, weight: str, alias: str) -> DataFrame:
-    """Exact sum of ``value * weight`` per key, NULL where a product or the sum passes 38 digits."""
-    product = F.when(F.col(weight) == 1, F.col(value)).otherwise(
-        F.try_multiply(F.col(value), F.col(weight).cast("decimal(10,0)")).try_cast(WEI.simpleString()))
-    grouped = df.withColumn("__product", product).groupBy(*keys).agg(
-        F.try_sum("__product").alias("__total"), F.count_if(F.col("__product").isNull()).alias("__lost"))
-    return grouped.select(*keys, F.when(F.col("__lost") == 0, F.col("__total")).alias(alias))
+def limb_sums(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """Sums of the limbs of ``value`` (whole-number text) per key: keys, limb, part.
+
+    A number of up to 18 digits is one limb and one row; a longer one is as many
+    rows as it has limbs.  The sums are a partial and a final aggregate, so a hot
+    key moves one row per limb and task.  They can be added up again, in any grouping.
+    """
+    part = F.col("__part").cast(SUM)
+    if weight is not None:
+        part = (part * F.col(weight).cast("decimal(18,0)")).cast(SUM)
+    kept = [*keys, *([weight] if weight is not None else [])]
+    cut = df.select(*kept, F.posexplode(limbs(value)).alias("limb", "__part"))
+    return cut.groupBy(*keys, "limb").agg(F.sum(part).cast(SUM).alias("part"))
+
+
+def sums_to_totals(sums: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
+    """The totals of limb sums, as whole-number text: one row per key, which holds a few limbs."""
+    # a limb that no number of the key reaches is 0
+    placed = F.map_from_entries(F.collect_list(F.struct("limb", "part")))
+    grouped = sums.groupBy(*keys).agg(placed.alias("__limbs"), F.max("limb").alias("__top"))
+    every = F.transform(F.sequence(F.lit(0), F.col("__top")), lambda i: F.coalesce(F.try_element_at("__limbs", i), F.lit(0).cast(SUM)))
+    return grouped.select(*keys, as_whole(digits_of(every), alias))
+
+
+def whole_totals(df: DataFrame, keys: Sequence[str], value: str, alias: str, weight: str | None = None) -> DataFrame:
+    """Exact sum of ``value`` (whole-number text of any length; times ``weight``, a whole number) per key, as text."""
+    return sums_to_totals(limb_sums(df, keys, value, weight), keys, alias)

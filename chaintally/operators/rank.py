@@ -13,7 +13,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from chaintally.functions.whole import whole_order
 from chaintally.schemas import MONTH_FORMAT
 from chaintally.session import materialize
 
@@ -21,19 +23,28 @@ from chaintally.session import materialize
 def top_k(df: DataFrame, measure: str, key: str, k: int = 10) -> DataFrame:
     """The k rows with the largest ``measure`` (ties: smaller key first).
 
-    A NULL total is one beyond 38 digits, so it comes before all others.
+    Whole-number text is ordered as numbers.  A NULL decimal total is one
+    beyond 38 digits, so it comes before all others.
     """
-    return df.orderBy(F.col(measure).desc_nulls_first(), F.col(key).asc()).limit(k)
+    return df.orderBy(measure_order(df, measure).desc_nulls_first(), F.col(key).asc()).limit(k)
+
+
+def measure_order(df: DataFrame, measure: str) -> Column:
+    """What a measure is ordered by: itself, or the number it spells."""
+    return whole_order(measure) if df.schema[measure].dataType == T.StringType() else F.col(measure)
 
 
 def best_row(df: DataFrame, key: str, measure: str) -> DataFrame:
     """The single row with the largest measure, as one aggregate pass.
 
-    ``max_by`` alone would pick any row among equal maxima; taking the
-    smallest (-measure, key) pair makes the smallest key win a tie.
+    ``max_by`` alone would pick any row among equal maxima; the smallest
+    (falling measure, key) makes the smallest key win a tie.  No row gives one of NULLs, as a maximum does.
     """
-    order = F.struct((-F.col(measure)).alias("m"), F.col(key).alias("k"))
-    return df.agg(F.min_by(F.col(key), order).alias(key), F.max(measure).alias(measure))
+    text = df.schema[measure].dataType == T.StringType()
+    falling = whole_order(measure, falling=True) if text else -F.col(measure)
+    row = F.struct(falling.alias("falling"), F.col(key).alias("key"), F.col(measure).alias("measure"))
+    return df.agg(F.min(F.when(F.col(measure).isNotNull(), row)).alias("best")).select(
+        F.col("best.key").alias(key), F.col("best.measure").alias(measure))
 
 
 def above_below(df: DataFrame, measure: str, mean: Column, mean_alias: str = "global_avg",

@@ -22,8 +22,8 @@ from chaintally.functions.parse import (
     parse_gas,
     parse_long,
     parse_time,
-    parse_wei,
 )
+from chaintally.functions.whole import parse_whole
 from chaintally.schemas import FIELD_INDEX
 from chaintally.sources.lines import arity, field
 
@@ -87,8 +87,8 @@ def integer(i: int, name: str) -> Rule:
 
 
 def whole_wei(i: int, name: str) -> Rule:
-    """A whole number that fits decimal(38,0)."""
-    return _present("integer", i, name, parse_wei, f"{name}_wei")
+    """A whole number of any length."""
+    return _present("integer", i, name, parse_whole, f"{name}_wei")
 
 
 def timestamp(i: int, name: str) -> list[Rule]:

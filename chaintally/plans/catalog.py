@@ -3,9 +3,8 @@
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``plans/oracle.py``
 holds the DuckDB statement with the same name.  Ledger inputs are derived
 from the tables by ``plans/binding.py``; file sources read files the same
-job first writes under the checkpoint root.  Wei totals of the exact
-questions are cast to BIGINT at this edge only (test amounts are cents),
-the library itself returns decimal(38,0).
+job first writes under the checkpoint root.  Totals of the exact questions
+are whole-number text of any length (damaged test amounts have 78 digits).
 """
 
 from __future__ import annotations
@@ -15,9 +14,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_double, parse_gas, parse_long, parse_wei
+from chaintally.functions.parse import parse_double, parse_gas, parse_long
 from chaintally.functions.scalar import bits_to_gb, composite_id, hex_bits, month_key, month_label
+from chaintally.functions.whole import parse_whole
 from chaintally.operators import rank
+from chaintally.operators.aggregate import whole_totals
 from chaintally.operators.registry import address_counts, registry_entries, registry_report
 from chaintally.operators.validate import (
     block_any,
@@ -57,10 +58,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 TX = L.TX
 
 
-def _bigint(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*[F.col(c).cast("bigint").alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 def _double(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -176,9 +173,17 @@ def q_peek_rows(spark, d):
 
 
 def q_exact_amount(spark, d):
+    """P4: whole amounts of up to 78 digits, of both signs, parsed and summed exactly."""
     cols = B.tx_columns(B.table(spark, d, "lineitem"))
-    wei = parse_wei(F.concat(F.col("value"), F.lit("0" * 18)))
-    return cols.agg(F.sum(wei).cast("string").alias("total_wei"))
+    sign = F.when(F.col("__k") % 3 == 0, F.lit("-")).otherwise(F.lit(" +00"))
+    wei = parse_whole(F.concat(sign, F.col("value"), F.repeat(F.lit("7"), (F.col("__k") % 70).cast("int"))))
+    return whole_totals(cols.select((F.col("__k") % 10).alias("digit"), wei.alias("wei")), ["digit"], "wei", "total_wei")
+
+
+def q_top_recipients_exact(spark, d):
+    """A2, O3 with uint256 amounts: the ten largest exact totals."""
+    totals = L.recipient_totals(_txp(spark, d), exact=True)
+    return rank.top_k(totals, "total_value", "address", 10)
 
 
 # --- registry ---------------------------------------------------------------------------------
@@ -287,16 +292,16 @@ def q_hex_bits(spark, d):
 
 
 def _scam_totals(spark, d, dedupe):
-    return _bigint(L.scam_id_totals(_txs(spark, d), _registry(spark, d), dedupe), "total_value")
+    return L.scam_id_totals(_txs(spark, d), _registry(spark, d), dedupe)
 
 
 def _top_scams(spark, d, dedupe, k=10):
-    return _bigint(L.top_scams(_txs(spark, d), _registry(spark, d), k, dedupe), "total_value")
+    return L.top_scams(_txs(spark, d), _registry(spark, d), k, dedupe)
 
 
 def _best_scam(spark, d, dedupe):
     totals = L.scam_id_totals(_txs(spark, d), _registry(spark, d), dedupe)
-    return _bigint(rank.best_row(totals, "scam_id", "total_value"), "total_value")
+    return rank.best_row(totals, "scam_id", "total_value")
 
 
 def _scam_monthly(spark, d, dedupe=True, categories=None):
@@ -304,7 +309,7 @@ def _scam_monthly(spark, d, dedupe=True, categories=None):
 
 
 def q_zero_filled(spark, d):
-    return _bigint(rank.zero_fill(_scam_monthly(spark, d), "month", "category", "total_value"), "total_value")
+    return rank.zero_fill(_scam_monthly(spark, d), "month", "category", "total_value")
 
 
 def q_chart_series(spark, d):
@@ -380,6 +385,8 @@ QUERIES: dict[str, Query] = {
     "registry_counts": lambda s, d: address_counts(L.scam_members(_registry(s, d))),
     # C2 contracts
     "recipient_totals": lambda s, d: _double(L.recipient_totals(_txp(s, d)), "total_value"),
+    "recipient_totals_exact": lambda s, d: L.recipient_totals(_txp(s, d), exact=True),
+    "top_recipients_exact": q_top_recipients_exact,
     "contract_totals": lambda s, d: _double(L.contract_totals(_txp(s, d), _contracts(s, d)), "total_value"),
     "top_contracts": _top_contracts,
     "top_contracts_compat": lambda s, d: _double(L.top_contracts(
@@ -409,7 +416,7 @@ QUERIES: dict[str, Query] = {
         _txp(s, d), L.top_contracts(_txp(s, d), _contracts(s, d)), top=True),
     "above_below_mean": lambda s, d: L.above_below_mean(_txp(s, d), _contracts(s, d)),
     # C7 scam ids
-    "scam_id_join": lambda s, d: _bigint(L.scam_value_by_address(_txs(s, d), _registry(s, d)), "total_value"),
+    "scam_id_join": lambda s, d: L.scam_value_by_address(_txs(s, d), _registry(s, d)),
     "scam_id_totals": lambda s, d: _scam_totals(s, d, True),
     "scam_id_totals_compat": lambda s, d: _scam_totals(s, d, False),
     "top_scams": lambda s, d: _top_scams(s, d, True),
@@ -417,10 +424,10 @@ QUERIES: dict[str, Query] = {
     "best_scam": lambda s, d: _best_scam(s, d, True),
     "best_scam_compat": lambda s, d: _best_scam(s, d, False),
     # C8 scam categories over time
-    "scam_category_join": lambda s, d: _bigint(L.scam_category_rows(_txs(s, d), _registry(s, d)), "value"),
-    "scam_monthly": lambda s, d: _bigint(_scam_monthly(s, d), "total_value"),
-    "scam_monthly_compat": lambda s, d: _bigint(_scam_monthly(s, d, False), "total_value"),
-    "scam_category_totals": lambda s, d: _bigint(L.scam_category_totals(_scam_monthly(s, d)), "total_value"),
+    "scam_category_join": lambda s, d: L.scam_category_rows(_txs(s, d), _registry(s, d)),
+    "scam_monthly": lambda s, d: _scam_monthly(s, d),
+    "scam_monthly_compat": lambda s, d: _scam_monthly(s, d, False),
+    "scam_category_totals": lambda s, d: L.scam_category_totals(_scam_monthly(s, d)),
     "zero_filled_series": q_zero_filled,
     "chart_series": q_chart_series,
     # streaming form of C1
@@ -433,6 +440,6 @@ QUERIES: dict[str, Query] = {
     "top_contracts_columnar": lambda s, d: _double(L.top_contracts(_pq(s, d, "tx_part"), _contracts(s, d)), "total_value"),
     "above_below_mean_columnar": lambda s, d: L.above_below_mean(_pq(s, d, "tx_part"), _contracts(s, d)),
     "top_miners_columnar": lambda s, d: L.top_miners(_pq(s, d, "blocks")),
-    "top_scams_columnar": lambda s, d: _bigint(L.top_scams(_pq(s, d, "tx_supplier"), _registry(s, d)), "total_value"),
-    "scam_monthly_columnar": lambda s, d: _bigint(L.scam_monthly(_pq(s, d, "tx_supplier"), _registry(s, d)), "total_value"),
+    "top_scams_columnar": lambda s, d: L.top_scams(_pq(s, d, "tx_supplier"), _registry(s, d)),
+    "scam_monthly_columnar": lambda s, d: L.scam_monthly(_pq(s, d, "tx_supplier"), _registry(s, d)),
 }

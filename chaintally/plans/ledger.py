@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of, month_label
-from chaintally.operators.aggregate import global_mean, means_by, totals_by, weighted_totals
+from chaintally.operators.aggregate import global_mean, means_by, totals_by, whole_totals
 from chaintally.operators.rank import above_below, reconcile, top_k
 from chaintally.operators.registry import (
     counted_members,
@@ -67,16 +67,17 @@ def monthly_value(tx_lines: DataFrame) -> DataFrame:
 
 
 def recipient_totals(tx_lines: DataFrame, exact: bool = False) -> DataFrame:
-    """Value received per recipient: address, total_value (exact decimal).
+    """Value received per recipient: address, total_value.
 
     ``exact=False`` accepts any number text (as the float-based published
-    job did); ``exact=True`` requires whole wei.
+    job did) and sums decimals; ``exact=True`` requires whole wei of any length
+    and gives whole-number text.
     """
     rules = tx_recipient(exact)
     value = "value_wei" if exact else "value"
     rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", value], rules)), rules).select(
         F.col("to_address").alias("address"), F.col(value).alias("value"))
-    return totals_by(rows, ["address"], "value", "total_value")
+    return (whole_totals if exact else totals_by)(rows, ["address"], "value", "total_value")
 
 
 def contract_addresses(contract_lines: DataFrame, csv_mode: str = "quoted",
@@ -301,15 +302,15 @@ def _member_rows(tx_lines: DataFrame, registry: DataFrame, rules, values: list[s
 
 
 def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
-    """Value per listed address and scam: address, scam_id, total_value."""
+    """Value per listed address and scam: address, scam_id, total_value (whole-number text)."""
     rows = _member_rows(tx_lines, registry, tx_recipient(exact=True), ["value_wei"], "scam_id", dedupe)
-    return weighted_totals(rows, ["address", "scam_id"], "value_wei", "copies", "total_value")
+    return whole_totals(rows, ["address", "scam_id"], "value_wei", "total_value", "copies")
 
 
 def scam_id_totals(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
     """Value received per scam ("<id>_<category>"): scam_id, total_value."""
     rows = _member_rows(tx_lines, registry, tx_recipient(exact=True), ["value_wei"], "scam_id", dedupe)
-    return weighted_totals(rows, ["scam_id"], "value_wei", "copies", "total_value")
+    return whole_totals(rows, ["scam_id"], "value_wei", "total_value", "copies")
 
 
 def top_scams(tx_lines: DataFrame, registry: DataFrame, k: int = 10, dedupe: bool = True) -> DataFrame:
@@ -320,7 +321,7 @@ def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool =
                        categories: Sequence[str] | None = None) -> DataFrame:
     """Monthly value per scam address and its category: address, month, category, value."""
     rows = _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories)
-    totals = weighted_totals(rows, ["address", "month_no", "category"], "value_wei", "copies", "value")
+    totals = whole_totals(rows, ["address", "month_no", "category"], "value_wei", "value", "copies")
     return totals.select("address", month_label("month_no").alias("month"), "category", "value")
 
 
@@ -328,10 +329,10 @@ def scam_monthly(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True,
                  categories: Sequence[str] | None = None) -> DataFrame:
     """Value received per month and scam category: month, category, total_value."""
     rows = _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories)
-    return _labelled(weighted_totals(rows, ["month_no", "category"], "value_wei", "copies", "total_value")).orderBy(
+    return _labelled(whole_totals(rows, ["month_no", "category"], "value_wei", "total_value", "copies")).orderBy(
         "month", "category")
 
 
 def scam_category_totals(monthly: DataFrame) -> DataFrame:
     """Grand total per category from a monthly series: category, total_value."""
-    return totals_by(monthly, ["category"], "total_value", "total_value")
+    return whole_totals(monthly, ["category"], "total_value", "total_value")

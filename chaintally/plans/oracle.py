@@ -3,8 +3,8 @@
 Each statement rebuilds the ledger input with the binding rules of
 ``plans/binding.py`` (in SQL), splits lines with ``string_split`` and
 checks fields with its own patterns and casts, so a match tests the
-Spark plan end to end.  Sums are exact (DECIMAL / integer) and cast at the
-end: wei totals to BIGINT, means as ``CAST(sum AS DOUBLE) / count``.
+Spark plan end to end.  Sums are exact: wei totals are BIGNUM sums, written as
+text; means are ``CAST(sum AS DOUBLE) / count`` of DECIMAL sums.
 """
 
 from __future__ import annotations
@@ -64,6 +64,16 @@ def in_years(x: str) -> str:
     return f"coalesce(({whole(x)}) BETWEEN epoch(TIMESTAMP '0001-01-01 00:00:00') AND epoch(TIMESTAMP '9999-12-31 23:59:59'), false)"
 
 
+def is_whole(x: str) -> str:
+    """A whole number of any length."""
+    return f"coalesce(regexp_full_match({x}, {_q(_WHOLE)}), false)"
+
+
+def bignum(x: str) -> str:
+    """A whole number of any length as BIGNUM, NULL for what is none."""
+    return f"CASE WHEN {is_whole(x)} THEN CAST(regexp_replace({x}, '[[:space:]+]', '', 'g') AS BIGNUM) END"
+
+
 def nonempty(x: str) -> str:
     return f"coalesce(length({x}) > 0, false)"
 
@@ -129,7 +139,7 @@ F_TO, F_VALUE, F_GAS, F_PRICE, F_TS = "f[7]", "f[8]", "f[9]", "f[10]", "f[12]"
 TIME = f"{integer(F_TS)} AND {in_years(F_TS)}"
 V1 = f"len(f) = 15 AND {num(F_VALUE)} AND {TIME}"
 V2 = f"len(f) = 15 AND {nonempty(F_TO)} AND {num(F_VALUE)}"
-V2X = f"len(f) = 15 AND {nonempty(F_TO)} AND {integer(F_VALUE, WEI)}"
+V2X = f"len(f) = 15 AND {nonempty(F_TO)} AND {is_whole(F_VALUE)}"
 V3 = f"{V2X} AND {TIME}"
 V4 = f"len(f) = 15 AND {num(F_GAS, GAS)} AND {num(F_PRICE)} AND {TIME}"
 V5_STRICT = f"len(f) = 15 AND {num(F_GAS, GAS)}"
@@ -150,7 +160,7 @@ TX_RULES = {
     "recipient": [("arity", "len(f) = 15"), ("empty:to_address", nonempty(F_TO)),
                   ("number:value", num(F_VALUE))],
     "recipient_time": [("arity", "len(f) = 15"), ("empty:to_address", nonempty(F_TO)),
-                       ("integer:value", integer(F_VALUE, WEI)), *TIME_RULES],
+                       ("integer:value", is_whole(F_VALUE)), *TIME_RULES],
     "gas": [("arity", "len(f) = 15"), ("number:gas", num(F_GAS, GAS)), ("number:gas_price", num(F_PRICE)),
             *TIME_RULES],
 }
@@ -230,9 +240,9 @@ def _in(values) -> str:
 def scam_totals_sql(dedupe: bool) -> str:
     mem = "SELECT DISTINCT address, scam_id FROM members" if dedupe else "SELECT address, scam_id FROM members"
     return with_(tx_cte("supplier"), registry_cte(), f"""
-tot AS (SELECT f[7] AS address, sum({whole('f[8]', WEI)}) AS total_value FROM txf WHERE {V2X} GROUP BY 1),
+tot AS (SELECT f[7] AS address, sum({bignum('f[8]')}) AS total_value FROM txf WHERE {V2X} GROUP BY 1),
 mem AS ({mem})""") + """
-SELECT scam_id, CAST(sum(total_value) AS BIGINT) AS total_value
+SELECT scam_id, CAST(sum(total_value) AS VARCHAR) AS total_value
 FROM tot JOIN mem USING (address) GROUP BY scam_id"""
 
 
@@ -241,13 +251,17 @@ def scam_monthly_sql(dedupe: bool, categories=None) -> str:
     mem = (f"SELECT DISTINCT address, category FROM members {where}" if dedupe
            else f"SELECT address, category FROM members {where}")
     return with_(tx_cte("supplier"), registry_cte(), f"""
-rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {whole('f[8]', WEI)} AS value
+rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {bignum('f[8]')} AS value
          FROM txf WHERE {V3}),
 mem AS ({mem})""") + """
-SELECT month, category, CAST(sum(value) AS BIGINT) AS total_value
+SELECT month, category, CAST(sum(value) AS VARCHAR) AS total_value
 FROM rows JOIN mem USING (address) GROUP BY month, category"""
 
 
+# Whole-number text in the order of numbers.
+EXACT = "CAST(total_value AS BIGNUM)"
+
+
 def top(sql: str, measure: str, key: str, k: int = 10) -> str:
     return f"SELECT * FROM ({sql}) ORDER BY {measure} DESC, {key} LIMIT {k}"
 
@@ -455,29 +469,35 @@ SELECT CAST(sum({amount(F_GAS, GAS)}) AS DOUBLE) / count(*) AS avg_gas FROM txf
     q["peek_rows"] = with_(txp) + """
 SELECT hash, CAST(block_number AS BIGINT) AS block_number, CAST(transaction_index AS BIGINT) AS transaction_index
 FROM tx ORDER BY CAST(block_number AS BIGINT), CAST(transaction_index AS BIGINT) LIMIT 5"""
-    q["exact_amount"] = with_(txp) + f"""
-SELECT CAST(sum(CAST(value || '000000000000000000' AS {WEI})) AS VARCHAR) AS total_wei FROM tx"""
+    q["exact_amount"] = with_(txp) + """
+SELECT l_orderkey % 10 AS digit,
+       CAST(sum(CAST(CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE '' END || value || repeat('7', CAST(l_orderkey % 70 AS INTEGER)) AS BIGNUM)) AS VARCHAR)
+         AS total_wei
+FROM (SELECT CAST(block_number AS BIGINT) AS l_orderkey, value FROM tx) GROUP BY 1"""
+    q["recipient_totals_exact"] = with_(txp) + f"""
+SELECT f[7] AS address, CAST(sum({bignum(F_VALUE)}) AS VARCHAR) AS total_value FROM txf WHERE {V2X} GROUP BY 1"""
+    q["top_recipients_exact"] = top(q["recipient_totals_exact"], EXACT, "address")
 
     q["scam_id_join"] = with_(tx_cte("supplier"), registry_cte(), f"""
-tot AS (SELECT f[7] AS address, sum({whole('f[8]', WEI)}) AS total_value FROM txf WHERE {V2X} GROUP BY 1)""") + """
-SELECT address, scam_id, CAST(total_value AS BIGINT) AS total_value
+tot AS (SELECT f[7] AS address, sum({bignum('f[8]')}) AS total_value FROM txf WHERE {V2X} GROUP BY 1)""") + """
+SELECT address, scam_id, CAST(total_value AS VARCHAR) AS total_value
 FROM tot JOIN (SELECT DISTINCT address, scam_id FROM members) m USING (address)"""
     q["scam_id_totals"] = scam_totals_sql(True)
     q["scam_id_totals_compat"] = scam_totals_sql(False)
-    q["top_scams"] = top(scam_totals_sql(True), "total_value", "scam_id")
-    q["top_scams_compat"] = top(scam_totals_sql(False), "total_value", "scam_id")
-    q["best_scam"] = top(scam_totals_sql(True), "total_value", "scam_id", 1)
-    q["best_scam_compat"] = top(scam_totals_sql(False), "total_value", "scam_id", 1)
+    q["top_scams"] = top(scam_totals_sql(True), EXACT, "scam_id")
+    q["top_scams_compat"] = top(scam_totals_sql(False), EXACT, "scam_id")
+    q["best_scam"] = top(scam_totals_sql(True), EXACT, "scam_id", 1)
+    q["best_scam_compat"] = top(scam_totals_sql(False), EXACT, "scam_id", 1)
 
     q["scam_category_join"] = with_(tx_cte("supplier"), registry_cte(), f"""
-rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {whole('f[8]', WEI)} AS value
+rows AS (SELECT f[7] AS address, {month_of(F_TS)} AS month, {bignum('f[8]')} AS value
          FROM txf WHERE {V3})""") + """
-SELECT address, month, category, CAST(sum(value) AS BIGINT) AS value
+SELECT address, month, category, CAST(sum(value) AS VARCHAR) AS value
 FROM rows JOIN (SELECT DISTINCT address, category FROM members) m USING (address)
 GROUP BY address, month, category"""
     q["scam_monthly"] = scam_monthly_sql(True)
     q["scam_monthly_compat"] = scam_monthly_sql(False)
-    q["scam_category_totals"] = (f"SELECT category, CAST(sum(total_value) AS BIGINT) AS total_value "
+    q["scam_category_totals"] = (f"SELECT category, CAST(sum(CAST(total_value AS BIGNUM)) AS VARCHAR) AS total_value "
                                  f"FROM ({scam_monthly_sql(True)}) GROUP BY 1")
     series = scam_monthly_sql(True)
     q["zero_filled_series"] = f"""
@@ -485,7 +505,7 @@ WITH s AS ({series}),
 bounds AS (SELECT min(strptime(month || '/01', '%Y/%m/%d')) AS lo, max(strptime(month || '/01', '%Y/%m/%d')) AS hi FROM s),
 axis AS (SELECT c.category, strftime(d, '%Y/%m') AS month
          FROM (SELECT DISTINCT category FROM s) c, bounds, LATERAL (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS d))
-SELECT a.month, a.category, CAST(coalesce(s.total_value, 0) AS BIGINT) AS total_value
+SELECT a.month, a.category, coalesce(s.total_value, '0') AS total_value
 FROM axis a LEFT JOIN s ON a.category = s.category AND a.month = s.month"""
     cols = ", ".join(f"max(CASE WHEN category = {_q(c)} THEN total_value END) AS \"{c}\"" for c in ALL_CATEGORIES)
     q["chart_series"] = f"SELECT month, {cols} FROM ({q['zero_filled_series']}) GROUP BY month"

@@ -14,17 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import is_nonempty, parse_long, parse_time, parse_wei
-from chaintally.operators.validate import (
-    REASON,
-    Rule,
-    field_count,
-    not_header,
-    passes,
-    reject_reason,
-)
+from chaintally.functions.parse import in_calendar, parse_long, parse_wei
+from chaintally.functions.whole import as_whole, parse_whole
+from chaintally.operators.validate import REASON, Rule, passes, reject_reason
 from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
-from chaintally.sources.lines import field, scan_lines, with_fields
+from chaintally.sources.lines import LINE, arity, computed_once, field, scan_lines, with_fields
 
 
 @dataclass(frozen=True)
@@ -71,78 +65,86 @@ LAYOUTS = {
 _BOOL_TEXT = ("true", "false")
 
 
-def _is_bool(c: Column) -> Column:
-    return F.coalesce(F.lower(F.trim(c)).isin(*_BOOL_TEXT), F.lit(False))
-
-
-def _check(f: Field, c: Column) -> Column:
-    # numbers must match the integer rule *and* fit the type (a 78-digit
-    # uint256 matches but does not fit decimal(38,0): reject, do not NULL)
-    base = {
-        "text": is_nonempty(c),
-        "long": parse_long(c).isNotNull(),
-        "time": parse_time(c).isNotNull(),
-        "int": parse_long(c).try_cast("int").isNotNull(),
-        "wei": parse_wei(c).isNotNull(),
-        "bool": _is_bool(c),
-        "list": F.lit(True),
-    }[f.base]
-    if f.base == "text" and f.optional:
-        return c.isNotNull()
-    return (c.isNotNull() & (F.length(c) == 0)) | base if f.optional else base
-
-
-def _typed(f: Field, c: Column) -> Column:
-    empty = F.length(c) == 0
+def _value(f: Field, c: Column, wide: bool) -> Column:
+    """The typed value of a field's text, NULL where it has none."""
     if f.base == "text":
-        value = F.when(~empty, c)
-    elif f.base in ("long", "time"):
-        value = parse_long(c)
-    elif f.base == "int":
-        value = parse_long(c).try_cast("int")
-    elif f.base == "wei":
-        value = parse_wei(c)
-    elif f.base == "bool":
-        value = F.when(~empty, F.lower(F.trim(c)) == "true")
-    else:  # list: comma separated text inside one (unquoted) field
-        value = F.when(empty, F.array().cast("array<string>")).otherwise(F.split(c, ",", -1))
-    return value.alias(f.name)
+        return F.when(F.length(c) > 0, c)
+    if f.base in ("long", "time"):
+        return parse_long(c)
+    if f.base == "int":
+        return parse_long(c).try_cast("int")
+    if f.base == "wei":
+        return parse_whole(c) if wide else parse_wei(c)
+    if f.base == "bool":
+        low = F.lower(F.trim(c))
+        return F.when(low.isin(*_BOOL_TEXT), low == "true")
+    # list: comma separated text inside one (unquoted) field
+    return F.when(F.length(c) == 0, F.array().cast("array<string>")).otherwise(F.split(c, ",", -1))
+
+
+def _sound(f: Field, value: Column, size: Column) -> Column:
+    """Whether a field is as its kind says, from its parsed value and its length (NULL: the line is too short).
+
+    A number that does not fit its type has no value, so it is rejected and not NULL.
+    """
+    if f.base == "list":
+        return F.lit(True)
+    if f.base == "time":
+        return in_calendar(value)
+    if not f.optional:
+        return value.isNotNull()
+    return size.isNotNull() if f.base == "text" else value.isNotNull() | F.coalesce(size == 0, F.lit(False))
 
 
 def layout_rules(layout: tuple[Field, ...]) -> list[Rule]:
-    """Field count, header line, then one parse rule per field."""
-    rules = [field_count(len(layout)), not_header(0, layout[0].name)]
+    """Field count, header line, then one rule per field, over the columns of ``_parsed_once``."""
+    rules = [Rule("arity", lambda: F.col("__arity") == len(layout)), Rule("header", lambda: F.coalesce(F.col("__first") != layout[0].name, F.lit(True)))]
     for i, f in enumerate(layout):
-        rules.append(Rule(f"{f.base}:{f.name}", lambda i=i, f=f: _check(f, field(i))))
+        rules.append(Rule(f"{f.base}:{f.name}", lambda i=i, f=f: _sound(f, F.col(f"__v{i}"), F.col(f"__n{i}"))))
     return rules
 
 
+def _parsed_once(lines: DataFrame, layout: tuple[Field, ...], csv_mode: str, wide: bool) -> DataFrame:
+    """Each field parsed one time: its value (``__v``) and length (``__n``), with the arity, the first field and the line."""
+    values = [_value(f, field(i), wide).alias(f"__v{i}") for i, f in enumerate(layout)]
+    sizes = [F.length(field(i)).alias(f"__n{i}") for i, f in enumerate(layout) if f.optional]
+    return computed_once(with_fields(lines, csv_mode), *values, *sizes, arity().alias("__arity"), field(0).alias("__first"), F.col(LINE))
+
+
 def parse_export(lines: DataFrame, table: str, csv_mode: str = "quoted",
-                 with_rejects: bool = False) -> DataFrame:
+                 with_rejects: bool = False, wide: bool = False) -> DataFrame:
     """Typed rows of an export table from its text lines.
 
     ``with_rejects=False`` keeps valid rows only; ``True`` keeps every line
     with ``reject_reason`` (NULL when valid) and the raw ``value`` text.
+    Amounts are decimal(38,0), and longer ones are rejected; ``wide=True`` gives
+    them as whole-number text of any length (``functions.whole``).
+
+    Every field's pattern runs once a line: the rules read the parsed values.
     """
     layout = LAYOUTS[table]
     rules = layout_rules(layout)
-    split = with_fields(lines, csv_mode)
-    typed = [_typed(f, field(i)) for i, f in enumerate(layout)]
+    parsed = _parsed_once(lines, layout, csv_mode, wide)
+
+    def named(i: int, f: Field) -> Column:
+        return as_whole(F.col(f"__v{i}"), f.name) if wide and f.base == "wei" else F.col(f"__v{i}").alias(f.name)
+
+    typed = [named(i, f) for i, f in enumerate(layout)]
     if with_rejects:
-        return split.select(*typed, reject_reason(rules).alias(REASON), F.col("value"))
-    return split.where(passes(rules)).select(*typed)
+        return parsed.select(*typed, reject_reason(rules).alias(REASON), F.col(LINE))
+    return parsed.where(passes(rules)).select(*typed)
 
 
 def scan_transactions(spark: SparkSession, path, csv_mode: str = "quoted",
-                      with_rejects: bool = False) -> DataFrame:
-    return parse_export(scan_lines(spark, path), "transactions", csv_mode, with_rejects)
+                 with_rejects: bool = False, wide: bool = False) -> DataFrame:
+    return parse_export(scan_lines(spark, path), "transactions", csv_mode, with_rejects, wide)
 
 
 def scan_blocks(spark: SparkSession, path, csv_mode: str = "quoted",
-                with_rejects: bool = False) -> DataFrame:
-    return parse_export(scan_lines(spark, path), "blocks", csv_mode, with_rejects)
+                 with_rejects: bool = False, wide: bool = False) -> DataFrame:
+    return parse_export(scan_lines(spark, path), "blocks", csv_mode, with_rejects, wide)
 
 
 def scan_contracts(spark: SparkSession, path, csv_mode: str = "quoted",
-                   with_rejects: bool = False) -> DataFrame:
-    return parse_export(scan_lines(spark, path), "contracts", csv_mode, with_rejects)
+                 with_rejects: bool = False, wide: bool = False) -> DataFrame:
+    return parse_export(scan_lines(spark, path), "contracts", csv_mode, with_rejects, wide)

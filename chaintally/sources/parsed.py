@@ -17,8 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_amount, parse_gas, parse_long, parse_wei
+from chaintally.functions.parse import parse_amount, parse_gas, parse_long
 from chaintally.functions.scalar import month_number
+from chaintally.functions.whole import parse_whole
 from chaintally.operators.validate import (
     field_count,
     integer,
@@ -74,7 +75,7 @@ BLOCK_TEXTS = tuple(n for n in BLOCK_FIELDS if n not in ("size",))
 TRANSACTION_VALUES = {
     **{c: (lambda c=c: field(TX[c])) for c in TRANSACTION_TEXTS},
     "value": lambda: parse_amount(field(TX["value"])),
-    "value_wei": lambda: parse_wei(field(TX["value"])),
+    "value_wei": lambda: parse_whole(field(TX["value"])),
     "gas": lambda: parse_gas(field(TX["gas"])),
     "gas_price": lambda: parse_amount(field(TX["gas_price"])),
     "block_timestamp": lambda: parse_long(field(TX["block_timestamp"])),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chaintally.functions.scalar import trim_chars
+from chaintally.functions.whole import WHOLE
 
 
 def save_result(df: DataFrame, path: str, fmt: str = "parquet",
@@ -52,6 +53,8 @@ def _json_row(df: DataFrame, columns: Sequence[str]) -> Column:
     """The columns of a row as one JSON array."""
     def item(name):
         c, dtype = F.col(name), df.schema[name].dataType
+        if df.schema[name].metadata == WHOLE:
+            return F.coalesce(c, F.lit("null"))
         if isinstance(dtype, T.NumericType):
             return number_text(c, dtype)
         quoted = F.to_json(F.array(c.cast("string")))

@@ -40,16 +40,16 @@ def test_set_mode_never_exceeds_bag_mode(spark):
     txs = B.export_lines(spark, SF_SMALL, "tx_supplier")
     path = B.export_path(spark, SF_SMALL, "registry")
     reg = scan_registry(spark, path)
-    set_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(txs, reg).collect()}
-    bag_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(txs, reg, dedupe=False).collect()}
+    set_mode = {r.scam_id: int(r.total_value) for r in L.scam_id_totals(txs, reg).collect()}
+    bag_mode = {r.scam_id: int(r.total_value) for r in L.scam_id_totals(txs, reg, dedupe=False).collect()}
     assert set(set_mode) == set(bag_mode) and set_mode
     assert all(set_mode[k] <= bag_mode[k] for k in set_mode)
     assert any(set_mode[k] < bag_mode[k] for k in set_mode)
     monthly = L.scam_monthly(txs, reg)
-    by_cat = {r.category: r.total_value for r in L.scam_category_totals(monthly).collect()}
+    by_cat = {r.category: int(r.total_value) for r in L.scam_category_totals(monthly).collect()}
     summed = {}
     for r in monthly.collect():
-        summed[r.category] = summed.get(r.category, 0) + r.total_value
+        summed[r.category] = summed.get(r.category, 0) + int(r.total_value)
     assert by_cat == summed
 
 

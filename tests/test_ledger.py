@@ -90,30 +90,30 @@ def registry_lines(lines):
 
 def test_top_scams_set_and_bag(lines):
     t, reg = lines(tx_rows()), registry_lines(lines)
-    set_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(t, reg).collect()}
-    bag_mode = {r.scam_id: r.total_value for r in L.scam_id_totals(t, reg, dedupe=False).collect()}
-    assert set_mode == {"1_Phishing": Decimal(650), "2_Scamming": Decimal(250)}
-    assert bag_mode == {"1_Phishing": Decimal(1300), "2_Scamming": Decimal(250)}
+    set_mode = {r.scam_id: int(r.total_value) for r in L.scam_id_totals(t, reg).collect()}
+    bag_mode = {r.scam_id: int(r.total_value) for r in L.scam_id_totals(t, reg, dedupe=False).collect()}
+    assert set_mode == {"1_Phishing": 650, "2_Scamming": 250}
+    assert bag_mode == {"1_Phishing": 1300, "2_Scamming": 250}
     assert all(set_mode[k] <= bag_mode[k] for k in set_mode)
     best = best_row(L.scam_id_totals(t, reg), "scam_id", "total_value").first()
-    assert (best.scam_id, best.total_value) == ("1_Phishing", Decimal(650))
+    assert (best.scam_id, best.total_value) == ("1_Phishing", "650")
 
 
 def test_scam_monthly_fill_and_pivot(lines, spark):
     t, reg = lines(tx_rows()), registry_lines(lines)
     monthly = L.scam_monthly(t, reg)
-    got = {(r.month, r.category): r.total_value for r in monthly.collect()}
-    assert got == {("2015/08", "Phishing"): Decimal(100), ("2015/09", "Phishing"): Decimal(550),
-                   ("2015/09", "Scamming"): Decimal(250)}
-    filled = {(r.month, r.category): r.total_value
+    got = {(r.month, r.category): int(r.total_value) for r in monthly.collect()}
+    assert got == {("2015/08", "Phishing"): 100, ("2015/09", "Phishing"): 550,
+                   ("2015/09", "Scamming"): 250}
+    filled = {(r.month, r.category): int(r.total_value)
               for r in zero_fill(monthly, "month", "category", "total_value").collect()}
     assert filled[("2015/08", "Scamming")] == 0 and len(filled) == 4
-    totals = {r.category: r.total_value for r in L.scam_category_totals(monthly).collect()}
-    assert totals == {"Phishing": Decimal(650), "Scamming": Decimal(250)}
+    totals = {r.category: int(r.total_value) for r in L.scam_category_totals(monthly).collect()}
+    assert totals == {"Phishing": 650, "Scamming": 250}
     wide = pivot_series(zero_fill(monthly, "month", "category", "total_value"), "month", "category",
                         "total_value", ["Phishing", "Scamming", "Fake ICO"]).orderBy("month").collect()
     assert [(r.month, r.Phishing, r.Scamming, r["Fake ICO"]) for r in wide] == [
-        ("2015/08", Decimal(100), Decimal(0), None), ("2015/09", Decimal(550), Decimal(250), None)]
+        ("2015/08", "100", "0", None), ("2015/09", "550", "250", None)]
 
 
 def test_zero_fill_spans_gaps(spark):
@@ -154,7 +154,7 @@ def test_hot_address_holding_a_third_of_all_rows(lines):
     doc = {"result": {"0xhot": {"id": 9, "category": "Scamming", "addresses": ["0xhot"]}}}
     reg = parse_registry(lines([json.dumps(doc)], 1))
     monthly = L.scam_monthly(t, reg).collect()
-    assert sum(r.total_value for r in monthly) == expected["0xhot"]
+    assert sum(int(r.total_value) for r in monthly) == expected["0xhot"]
 
 
 def defaultdict_int():

@@ -61,7 +61,7 @@ def test_many_quotes_take_linear_time(lines):
 
 
 def test_typed_and_rule_sets_agree_on_shared_fields(lines):
-    """A field that does not fit its type is refused by the typed source and by the rules alike."""
+    """A field that is no number, or does not fit its type, is refused by the typed source and by the rules alike."""
     from chaintally.operators.validate import keep_valid, tx_gas, tx_recipient_time
     from chaintally.sources.lines import with_fields
 
@@ -69,9 +69,10 @@ def test_typed_and_rule_sets_agree_on_shared_fields(lines):
     cases += [("block_timestamp", t) for t in ("9" * 20, "9" * 18, "1500000000000", "x", " 1438922527", "+1")]
     rows = [tx(**{k: t}) for k, t in cases]
     typed = {r.value: r.reject_reason is None for r in
-             parse_export(lines(rows), "transactions", with_rejects=True).toDF(*[f"c{i}" for i in range(15)], "reject_reason", "value").collect()}
+             parse_export(lines(rows), "transactions", with_rejects=True, wide=True).toDF(*[f"c{i}" for i in range(15)], "reject_reason", "value").collect()}
     ruled = {r.value for r in keep_valid(with_fields(lines(rows)), tx_recipient_time()).collect()}
     assert {r for r, ok in typed.items() if ok} == ruled
+    assert tx(value="9" * 78) in ruled
     gas = [tx(gas=t) for t in ("9" * 40, "g", " 21000 ", "+7", "1_0")]
     kept = {r.value for r in keep_valid(with_fields(lines(gas)), tx_gas()).collect()}
     assert kept == {r.hash and r.value for r in parse_export(lines(gas), "transactions", with_rejects=True).toDF(
@@ -149,3 +150,24 @@ def test_int_overflow_goes_to_reject_lane(lines):
     rows = [tx(transaction_type="99999999999"), tx(transaction_type="2"), tx(transaction_type="")]
     typed = parse_export(lines(rows), "transactions").collect()
     assert sorted((r.transaction_type is None, r.transaction_type) for r in typed) == [(False, 2), (True, None)]
+
+
+def test_wide_amounts_are_kept_as_text(lines):
+    rows = lines([tx(value="9" * 78, gas_price="+" + "0" * 50 + "7"), tx(value="x")])
+    assert [(r.value, r.gas_price) for r in parse_export(rows, "transactions", wide=True).collect()] == [("9" * 78, "7")]
+    assert parse_export(rows, "transactions").collect() == []
+
+
+def test_every_field_is_parsed_once(spark, lines):
+    """One pattern per number field in the executed plan, whether rejects are asked for or not."""
+    from chaintally.sources.export import LAYOUTS
+
+    numbers = sum(f.base in ("long", "time", "int", "wei") for f in LAYOUTS["transactions"])
+    for rejects in (False, True):
+        df = parse_export(lines([tx()]), "transactions", with_rejects=rejects)
+        spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+        try:
+            planned = df._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.debug.maxToStringFields")
+        assert planned.count("RLIKE") == numbers
