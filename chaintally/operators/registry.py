@@ -19,15 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chaintally.functions.scalar import composite_id
-from chaintally.sources.registry import CORRUPT
-
-
-def _last_entries(registry: DataFrame) -> DataFrame:
-    """One row per (document, key): the last entry of a repeated key."""
-    numbered = registry.select(F.monotonically_increasing_id().alias("__doc"), F.map_entries("result").alias("e"))
-    flat = numbered.select("__doc", F.posexplode("e").alias("__pos", "e"))
-    last = flat.groupBy("__doc", F.col("e.key").alias("entry_address")).agg(F.max_by("e.value", "__pos").alias("entry"))
-    return last.select("entry_address", "entry.id", "entry.category", "entry.addresses")
+from chaintally.sources.registry import CORRUPT, stream_entries
 
 
 def _reason(entries: DataFrame):
@@ -36,12 +28,12 @@ def _reason(entries: DataFrame):
 
 def registry_entries(registry: DataFrame) -> DataFrame:
     """One row per valid entry: entry_address, id, category, addresses."""
-    return _last_entries(registry).where(F.col("id").isNotNull() & F.col("category").isNotNull())
+    return stream_entries(registry).where(F.col("id").isNotNull() & F.col("category").isNotNull())
 
 
 def registry_report(registry: DataFrame) -> DataFrame:
     """Entries per outcome (documents for ``json``): reason, n, lines, kept, dropped."""
-    entries = _last_entries(registry)
+    entries = stream_entries(registry)
     reasons = entries.select(_reason(entries).alias("reason")).union(
         registry.where(F.col(CORRUPT).isNotNull()).select(F.lit("json").alias("reason")))
     everything = Window.partitionBy()

@@ -71,15 +71,3 @@ FIELD_INDEX = {
     "blocks": {n: i for i, n in enumerate(BLOCK_FIELDS)},
     "contracts": {n: i for i, n in enumerate(CONTRACT_FIELDS)},
 }
-
-REGISTRY_ENTRY = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("addresses", T.ArrayType(T.StringType())),
-])
-
-# {"result": {<address>: {"id": .., "category": .., "addresses": [..]}}}
-# Declaring id as a string accepts both JSON numbers and strings.
-REGISTRY_SCHEMA = T.StructType([
-    T.StructField("result", T.MapType(T.StringType(), REGISTRY_ENTRY)),
-])

@@ -171,3 +171,18 @@ def test_every_field_is_parsed_once(spark, lines):
         finally:
             spark.conf.unset("spark.sql.debug.maxToStringFields")
         assert planned.count("RLIKE") == numbers
+
+
+def test_one_document_of_200_000_entries(spark, lines):
+    """The entries stream out of the document's binary form: no map of them is in the plan, and a repeated key's last entry counts."""
+    n = 200_000
+    entry = '"0x%040x":{"id":%d,"category":"Scamming","addresses":["0x%040x","0x%040x"]}'
+    doc = '{"result":{' + ",".join(entry % (k, k % 1000, k, k + 1) for k in range(n)) + ',"0x%040x":{"id":"last","category":"Phishing"}}}' % 7
+    registry = parse_registry(lines([doc, '{"result":', '{"result":7}', '{"other":{}}', '{"result":{}}'], 1))
+    entries = registry_entries(registry)
+    assert "map<" not in entries._jdf.queryExecution().optimizedPlan().toString()
+    got = entries.agg(F.count("*").alias("n"), F.countDistinct("entry_address").alias("d"), F.sum(F.size("addresses")).alias("a"),
+                      F.max(F.when(F.col("id") == "last", F.col("category"))).alias("last")).first()
+    assert (got.n, got.d, got.a, got.last) == (n, n, 2 * (n - 1), "Phishing")
+    assert registry_addresses(entries).where("address is not null").count() == 2 * (n - 1)
+    assert {r.reason: r.n for r in registry_report(registry).collect()} == {"ok": n, "json": 3}
