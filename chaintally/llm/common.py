@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -57,17 +59,76 @@ def pieces(batch: pa.RecordBatch, name: str = "text", limit: int = 4 << 20):
         at = to
 
 
+def parts(batches, name: str = "text"):
+    """Arrow batches cut so that the texts of one stay small in memory."""
+    for batch in batches:
+        yield from pieces(batch, name)
+
+
 def words(raw: bytes) -> list[bytes]:
     """Words of a text, A-Z lower-cased; bytes.split() cuts at the same six characters as WORD_PATTERN."""
     return raw.lower().split()
 
 
+# Different words a task counts at once.
+HELD_WORDS = 250_000
+
+
+def frequent_words(docs: DataFrame, share: float, split, held_words: int = HELD_WORDS) -> list[tuple[bytes, int]]:
+    """(word, n) of the words with at least ``share`` of all words of all texts, most frequent first; at most 1 / share.
+
+    ``split`` gives the words of a text.  A word with that share of the whole has it in some part of it: one pass
+    names each part's words of that share, another counts those in all texts.
+    """
+    texts = docs.select("text")
+
+    def counted(batches, report):
+        held: Counter[bytes] = Counter()
+        for part in parts(batches):
+            for raw in text_bytes(part):
+                held.update(split(raw))
+            if len(held) > held_words:
+                yield report(held)
+                held.clear()
+        yield report(held)
+
+    def naming(held):
+        least = share * held.total()
+        return pa.RecordBatch.from_arrays([pa.array([w for w, c in held.items() if c >= least], type=pa.binary())], names=["word"])
+
+    named = stage(texts.mapInArrow(lambda b: counted(b, naming), "word binary").distinct(), "words-named")
+    # each part names 1 / share words at most, and the parts mostly name the same
+    shared = docs.sparkSession.sparkContext.broadcast({bytes(r[0]) for r in named.toLocalIterator()})
+
+    def counting(held):
+        kept = {w: held[w] for w in shared.value if w in held}
+        return pa.RecordBatch.from_arrays(
+            [pa.array([None, *kept], type=pa.binary()), pa.array([held.total(), *kept.values()], type=pa.int64())], names=["word", "n"])
+
+    counts = stage(texts.mapInArrow(lambda b: counted(b, counting), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words-counted")
+    total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
+    kept = counts.where(F.col("word").isNotNull() & (F.col("n") >= share * total)).collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in kept), key=lambda r: (-r[1], r[0]))
+
+
 def with_columns(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     """The schema plus new fields; a new field replaces one of the same name."""
     new = {n for n, _ in fields}
     return T.StructType([f for f in schema if f.name not in new] + [T.StructField(n, t) for n, t in fields])
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with underscores before it until the frame has no column of that name."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def extended(batch: pa.RecordBatch, schema: T.StructType, values: dict[str, list]) -> pa.RecordBatch:
     """The batch with new columns, in the order of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_type

@@ -11,15 +11,15 @@ text into runs, and a run shorter than the shortest phrase holds no
 occurrence: neither enters the index.  Nothing else is left out.
 
 Scale.  A shard is a bounded number of words within one task (a longer
-document is a shard of its own), so there is no shuffle.  Phrases are
-broadcast in blocks of at most ``BLOCK_WORDS`` benchmark words; each block is
-one more pass over the documents, which carry their spans along.
+document is a shard of its own), so there is no shuffle.  Words are numbered as they are split.  Phrases are
+broadcast in blocks of at most ``BLOCK_WORDS`` benchmark words; a task searches its texts for one block
+after the other, in one pass over the documents, and holds one block at a time.
 
 Defined cases: a null text has no words; an item without words has no window;
 a null item_id is left out of the item list but its words are removed; repeated
 items of one id count once; an empty benchmark hits nothing; an empty table gives an
-empty result; extra columns pass through, and one named like a new column is
-replaced.
+empty result; extra columns pass through ``remove_contamination`` whatever their names; in
+``find_contamination`` one named like a new column is replaced.
 """
 
 from __future__ import annotations
@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, stage, table, text_bytes, with_columns
+from chaintally.llm.common import extended, pieces, stage, table, text_bytes, with_columns
 from chaintally.llm.fm_index import FMIndex
 
 WINDOW = 10
-# Words of one FM-index; the arrays of a shard stay near 100 MB.
-SHARD_WORDS = 1 << 20
+# Words of one FM-index; the arrays of a shard stay near 30 MB.
+SHARD_WORDS = 1 << 18
+# Bytes of text searched at once: with one block of phrases, and with several, which are read again for each piece.
+PIECE, MANY_PIECE = 4 << 20, 32 << 20
 # Benchmark words broadcast at once (about 100 bytes each in a worker).
 BLOCK_WORDS = 2_000_000
 
@@ -69,19 +71,23 @@ class Phrases:
         self.owners = [sorted(o) for o in owners.values()]
         self.shortest = int(self.lengths.min(initial=window))
 
+    def numbers(self, raw: bytes) -> np.ndarray:
+        """The numbers of a text's words, 0 for one that no phrase holds."""
+        tokens = item_words(raw)
+        return np.fromiter(map(self.vocabulary.get, tokens, repeat(0)), dtype=np.int32, count=len(tokens))
+
 
-def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[tuple[int, int]], set[str]]]:
-    """For each document (its words): removal spans [from, to) in words, and the items found."""
+def search_shard(docs: list[np.ndarray], phrases: Phrases) -> list[tuple[list[tuple[int, int]], set[str]]]:
+    """For each document (the numbers of its words): removal spans [from, to) in words, and the items found."""
     found: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in docs]
     sizes = np.fromiter(map(len, docs), dtype=np.int64, count=len(docs))
     if not len(phrases.lengths) or not sizes.sum():
         return found
-    number = phrases.vocabulary.get
     # all words in a row, one 0 after each document
     flat = np.zeros(int(sizes.sum()) + len(docs), dtype=np.int32)
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))
     for at, d in zip(starts, docs):
-        flat[at:at + len(d)] = np.fromiter(map(number, d, repeat(0)), dtype=np.int32, count=len(d))
+        flat[at:at + len(d)] = d
     # runs of known words that can hold a phrase
     known = np.concatenate(([False], flat != 0))
     edges = np.flatnonzero(known[1:] != known[:-1])
@@ -118,16 +124,16 @@ def search_shard(docs: list[list[bytes]], phrases: Phrases) -> list[tuple[list[t
 
 
 def _search_all(texts: list[bytes], phrases: Phrases):
-    """search_shard over a batch, cut into shards of a bounded number of words."""
+    """(words, spans, items) of each text, in shards of a bounded number of words."""
     shard, size = [], 0
     for raw in texts:
-        tokens = item_words(raw)
-        if shard and size + len(tokens) > SHARD_WORDS:
-            yield from zip(map(len, shard), search_shard(shard, phrases))
+        numbers = phrases.numbers(raw)
+        if shard and size + len(numbers) > SHARD_WORDS:
+            yield from ((len(d), *f) for d, f in zip(shard, search_shard(shard, phrases)))
             shard, size = [], 0
-        shard.append(tokens)
-        size += len(tokens)
-    yield from zip(map(len, shard), search_shard(shard, phrases))
+        shard.append(numbers)
+        size += len(numbers)
+    yield from ((len(d), *f) for d, f in zip(shard, search_shard(shard, phrases)))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,69 +160,77 @@ def phrase_blocks(benchmark: DataFrame, window: int, block_words: int):
         yield Phrases([(r["item_id"], (r["text"] or "").encode()) for r in part.select("item_id", "text").toLocalIterator()], window)
 
 
+def _searcher(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int):
+    """A function that gives (words, spans, items) of each of a list of texts, searching one block of phrases after the other."""
+    shared = [docs.sparkSession.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, window, block_words)]
+
+    def search(texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+        found = list(_search_all(texts, shared[0].value))
+        for k in range(1, len(shared)):
+            # a worker holds one block at a time and reads it again from its executor's copy
+            vars(shared[k - 1]).pop("_value", None)
+            more = _search_all(texts, shared[k].value)
+            found = [(n, merged(s + t), i | j) for (n, s, i), (_, t, j) in zip(found, more)]
+        if len(shared) > 1:
+            vars(shared[-1]).pop("_value", None)
+        return found
+
+    return search, (PIECE if len(shared) == 1 else MANY_PIECE)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents with n_words, ``spans`` (merged removal spans in words) and ``items`` (ids, sorted as strings)."""
     schema = with_columns(docs.schema, ("n_words", T.LongType()), ("spans", SPANS), ("items", T.ArrayType(T.StringType())))
-    spark, out = docs.sparkSession, docs
-    for k, phrases in enumerate(phrase_blocks(benchmark, window, block_words)):
-        shared = spark.sparkContext.broadcast(phrases)
-
-        def run(batches, shared=shared, first=k == 0):
-            for batch in batches:
-                n_words, spans, items = [], [], []
-                for n, (found, ids) in _search_all(text_bytes(batch), shared.value):
-                    n_words.append(n)
-                    spans.append(found)
-                    items.append(ids)
-                if not first:
-                    old = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-                    spans = [merged(s + [(o["start"], o["end"]) for o in was]) for s, was in zip(spans, old)]
-                    old = batch.column(batch.schema.get_field_index("items")).to_pylist()
-                    items = [i | set(was) for i, was in zip(items, old)]
-                yield extended(batch, schema, {
-                    "n_words": n_words, "items": [sorted(i) for i in items],
-                    "spans": [[{"start": s, "end": e} for s, e in found] for found in spans]})
-
-        out = out.mapInArrow(run, schema)
-    return out
+    search, size = _searcher(docs, benchmark, window, block_words)
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", size):
+                found = search(text_bytes(part))
+                yield extended(part, schema, {
+                    "n_words": [n for n, _, _ in found], "items": [sorted(ids) for _, _, ids in found],
+                    "spans": [[{"start": s, "end": e} for s, e in spans] for _, spans, _ in found]})
+
+    return docs.mapInArrow(run, schema)
 
 
-def cut(raw: bytes, spans: list[dict]) -> bytes:
+def cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans, from each first word's start to the last one's end."""
     held = np.concatenate(([False], _KEPT[np.frombuffer(raw, dtype=np.uint8)], [False]))
     edges = np.flatnonzero(held[1:] != held[:-1])
     starts, ends = edges[::2], edges[1::2]
     out, at = [], 0
-    for s in spans:
-        out.append(raw[at:starts[s["start"]]])
-        at = int(ends[s["end"] - 1])
+    for first, after in spans:
+        out.append(raw[at:starts[first]])
+        at = int(ends[after - 1])
     return b"".join(out) + raw[at:]
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without their removal spans, n_chars counted anew.
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents without their removal spans, n_chars counted anew, all other columns as they are.
 
-    A document all of whose words are removed goes; one without spans stays as it is.
+    A document all of whose words are removed goes; one without spans stays as it is.  One pass finds and cuts.
     """
-    columns = docs.columns
-    marked = find_contamination(docs, benchmark, window)
-    left = F.col("n_words") > F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    marked = marked.where((F.size("spans") == 0) | left)
-    schema = marked.schema
+    schema = docs.schema
+    search, size = _searcher(docs, benchmark, window, block_words)
 
     def run(batches):
         for batch in batches:
-            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-            raw = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            clean = [cut(t, s) if s else t for t, s in zip(raw, spans)]
-            values = {"text": [t if t is None else t.decode("utf-8", "replace") for t in clean]}
-            if "n_chars" in columns:
-                old = batch.column(batch.schema.get_field_index("n_chars")).to_pylist()
-                values["n_chars"] = [len(t) if s else n for n, t, s in zip(old, values["text"], spans)]
-            yield extended(batch, schema, values)
-
-    return marked.mapInArrow(run, schema).select(*columns)
+            for whole in pieces(batch, "text", size):
+                found = search(text_bytes(whole))
+                left = [not spans or n > sum(e - s for s, e in spans) for n, spans, _ in found]
+                part = whole.filter(pa.array(left, type=pa.bool_()))
+                spans = [s for (_, s, _), kept in zip(found, left) if kept]
+                raw = part.column(part.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
+                clean = [None if t is None else (cut(t, s) if s else t).decode("utf-8", "replace") for t, s in zip(raw, spans)]
+                values = {"text": clean}
+                if "n_chars" in schema.names:
+                    old = part.column(part.schema.get_field_index("n_chars")).to_pylist()
+                    values["n_chars"] = [len(t) if s else n for n, t, s in zip(old, clean, spans)]
+                yield extended(part, schema, values)
+
+    return docs.mapInArrow(run, schema)
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -29,8 +29,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
-from collections import Counter
-from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -64,11 +63,55 @@ SPACE = re.compile(r"\s+")
 WORD = re.compile(r"\w+")
 
 
-@dataclass
+class Element:
+    """An open element that shows in paths, with what the whole path to it holds: its parts' hashed set and the teacher's marks.
+
+    Each is its parent's with its own parts added, so a path of any depth is known whole at the cost of its last element.
+    """
+
+    __slots__ = ("part", "parent", "held", "main", "boilerplate")
+
+    def __init__(self, part: str = "", parent: Element | None = None):
+        self.part, self.parent = part, parent
+        if parent is None:
+            self.held, self.main, self.boilerplate = 0, False, False
+            return
+        tag, bits, names = _parts_of(part)
+        self.held = parent.held | bits
+        self.main = parent.main or tag in MAIN
+        self.boilerplate = parent.boilerplate or tag in BOILERPLATE or bool(names & BOILERPLATE_NAMES)
+
+    @staticmethod
+    def of(path) -> Element:
+        element = Element()
+        for part in path:
+            element = Element(part, element)
+        return element
+
+    def path(self) -> tuple[str, ...]:
+        out, element = [], self
+        while element.parent is not None:
+            out.append(element.part)
+            element = element.parent
+        return tuple(reversed(out))
+
+    def last_tags(self) -> str:
+        above = self.parent.part.split(".")[0] + ">" if self.parent is not None and self.parent.parent is not None else ""
+        return above + self.part.split(".")[0]
+
+
 class Block:
-    text: str
-    path: tuple[str, ...]
-    link_chars: int = 0
+    """A leaf text block and the element that holds it."""
+
+    __slots__ = ("text", "element", "link_chars")
+
+    def __init__(self, text: str, place: Element | tuple[str, ...], link_chars: int = 0):
+        self.text, self.link_chars = text, link_chars
+        self.element = place if isinstance(place, Element) else Element.of(place)
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.element.path()
 
 
 def attribute_words(raw: str) -> str:
@@ -78,46 +121,46 @@ def attribute_words(raw: str) -> str:
 
 
 class OpenElements:
-    """The open elements, with what must be known of them at once."""
-
-    # A path shows the outermost and innermost elements of a deeper nesting; an opening tag looks back so far.
-    OUTER, INNER, LOOK_BACK = 8, 24, 64
+    """The open elements, with what must be known of them at once; every step takes constant time for each element it opens or ends."""
 
     def __init__(self):
-        self.stack: list[tuple[str, str]] = []  # (tag, words of its attributes)
-        self.count: Counter[str] = Counter()
+        self.stack: list[tuple[str, Element]] = []
+        # depths of the open elements of each tag, and of those that are not inline
+        self.depths: dict[str, list[int]] = {}
+        self.firm: list[int] = []
+        self.root = Element()
+
+    def open(self, tag: str) -> bool:
+        return bool(self.depths.get(tag))
+
+    def here(self) -> Element:
+        return self.stack[-1][1] if self.stack else self.root
 
     def push(self, tag: str, words: str) -> None:
-        self.stack.append((tag, words))
-        self.count[tag] += 1
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.firm.append(len(self.stack))
+        shown = tag not in INLINE or words
+        self.stack.append((tag, Element(f"{tag}.{words}" if words else tag, self.here()) if shown else self.here()))
 
     def cut(self, depth: int) -> None:
-        self.count.subtract(t for t, _ in self.stack[depth:])
-        del self.stack[depth:]
+        while len(self.stack) > depth:
+            tag, _ = self.stack.pop()
+            self.depths[tag].pop()
+            if tag not in INLINE:
+                self.firm.pop()
 
     def close(self, tag: str) -> None:
         """An end tag; a stray inline one doesn't close the blocks above it."""
-        if self.count[tag] > 0:
-            for depth in range(len(self.stack) - 1, -1, -1):
-                if self.stack[depth][0] == tag:
-                    return self.cut(depth)
-                if tag in INLINE and self.stack[depth][0] not in INLINE:
-                    return None
-        return None
+        if self.open(tag):
+            depth = self.depths[tag][-1]
+            if tag not in INLINE or not self.firm or depth > self.firm[-1]:
+                self.cut(depth)
 
     def close_before(self, tag: str) -> None:
         """What an opening block tag ends: an open paragraph, or its like in lists and tables."""
-        closes = CLOSES.get(tag, ("p",))
-        for depth in range(len(self.stack) - 1, max(-1, len(self.stack) - 1 - self.LOOK_BACK), -1):
-            if self.stack[depth][0] in closes:
-                return self.cut(depth)
-            if self.stack[depth][0] not in INLINE:
-                return None
-        return None
-
-    def path(self) -> tuple[str, ...]:
-        shown = self.stack if len(self.stack) <= self.OUTER + self.INNER else self.stack[:self.OUTER] + self.stack[-self.INNER:]
-        return tuple(f"{t}.{w}" if w else t for t, w in shown if t not in INLINE or w)
+        if self.firm and self.stack[self.firm[-1]][0] in CLOSES.get(tag, ("p",)):
+            self.cut(self.firm[-1])
 
 
 def blocks(page: str) -> list[Block]:
@@ -132,7 +175,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
             if text:
-                out.append(Block(text, elements.path(), linked))
+                out.append(Block(text, elements.here(), linked))
             pieces.clear()
         linked = 0
 
@@ -144,7 +187,7 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             if not m[0].startswith(("<!", "<?")):
                 pieces.append(m[0])
-                linked += len(m[0]) if elements.count["a"] else 0
+                linked += len(m[0]) if elements.open("a") else 0
         elif tag == "br":
             pieces.append(" ")
         elif m[1]:
@@ -156,7 +199,7 @@ def blocks(page: str) -> list[Block]:
             if not m[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else size
-        elif tag in VOID or m[3].rstrip().endswith("/") and (tag in FOREIGN or any(elements.count[f] for f in FOREIGN)):
+        elif tag in VOID or m[3].rstrip().endswith("/") and (tag in FOREIGN or any(map(elements.open, FOREIGN))):
             if tag not in INLINE:
                 flush()
         else:
@@ -168,33 +211,39 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def path_parts(path: tuple[str, ...]) -> list[str]:
-    """What of a path is hashed: each tag, each attribute word, and the last two tags together."""
-    tags = [p.split(".")[0] for p in path]
-    # plural and singular are one word
-    names = [w.rstrip("s") for p in path for w in p.split(".")[1:]]
-    return tags + ["#" + n for n in names] + [">" + ">".join(tags[-2:])]
-
-
 def bucket(part: str, size: int) -> int:
     return zlib.crc32(part.encode("utf-8", "replace")) % size
 
 
+@lru_cache(maxsize=1 << 14)
+def _parts_of(part: str) -> tuple[str, int, frozenset[str]]:
+    """Tag of a path part, the set of its hashed tag and attribute words as bits, and these words."""
+    tag, *words = part.split(".")
+    names = frozenset(w.rstrip("s") for w in words)  # plural and singular are one word
+    bits = 1 << bucket(tag, PATH_BUCKETS)
+    for name in names:
+        bits |= 1 << bucket("#" + name, PATH_BUCKETS)
+    return tag, bits, names
+
+
 class Reader:
     """Block features; what is hashed is remembered while it is common."""
 
     LIMIT = 200_000
 
     def __init__(self):
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.paths: dict[int, np.ndarray] = {}
         self.words: dict[str, int] = {}
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
-        found = self.paths.get(path)
+    def path(self, element: Element) -> np.ndarray:
+        """Hashed parts of the whole path: each tag, each attribute word, and the last two tags together."""
+        held = element.held | 1 << bucket(">" + element.last_tags(), PATH_BUCKETS)
+        found = self.paths.get(held)
         if found is None:
             if len(self.paths) > self.LIMIT // 10:
                 self.paths.clear()
-            found = self.paths[path] = np.unique([bucket(p, PATH_BUCKETS) for p in path_parts(path)])
+            bits = np.frombuffer(held.to_bytes(PATH_BUCKETS // 8, "little"), dtype=np.uint8)
+            found = self.paths[held] = np.flatnonzero(np.unpackbits(bits, bitorder="little"))
         return found
 
     def word(self, word: str) -> int:
@@ -329,11 +378,9 @@ class Labeller:
         return [p[:len(page)] for p, page in zip(self.forward(*self.inputs(paths, dense))[0], paths)]
 
 
-def is_main(path: tuple[str, ...]) -> bool:
+def is_main(block: Block) -> bool:
     """The teacher: below an article or main element, and below no boilerplate element inside or outside it."""
-    tags = {p.split(".")[0] for p in path}
-    names = {w.rstrip("s") for p in path for w in p.split(".")[1:]}
-    return bool(tags & MAIN) and not tags & BOILERPLATE and not names & BOILERPLATE_NAMES
+    return block.element.main and not block.element.boilerplate
 
 
 # Words of class and id that name boilerplate, and those that name main text (fixed values of the teacher).
@@ -348,7 +395,7 @@ MAIN_NAMES = ("content", "article", "post", "entry", "story", "main", "body", "t
 
 def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[int]]:
     """A training variant of a page: renamed and hidden path parts, and further boilerplate blocks."""
-    labels = [int(is_main(b.path)) for b in page]
+    labels = [int(is_main(b)) for b in page]
     names = sorted(BOILERPLATE_NAMES)
     rename, bare = rng.random() < 0.65, rng.random() < 0.2
     holder = ("div", "section", "main", "article", "td")[rng.integers(5)]
@@ -386,7 +433,7 @@ def varied(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], li
 
 def features(page: list[Block], reader: Reader) -> tuple[list[np.ndarray], np.ndarray]:
     n = len(page)
-    return ([reader.path(b.path) for b in page],
+    return ([reader.path(b.element) for b in page],
             np.stack([reader.dense(b, k / n) for k, b in enumerate(page)]) if n else np.zeros((0, WORD_BUCKETS + SHAPE)))
 
 
@@ -408,7 +455,7 @@ def fit(pages: list[list[Block]], variants: int = 4) -> dict[str, np.ndarray]:
     for found in pages:
         if found:
             for k in range(variants):
-                page, labels = varied(found, rng) if k else (found, [int(is_main(b.path)) for b in found])
+                page, labels = varied(found, rng) if k else (found, [int(is_main(b)) for b in found])
                 paths, dense = features(page, reader)
                 hidden = [ids[rng.random(len(ids)) > 0.1] if k else ids for ids in paths]
                 rows.append((hidden, dense, np.array(labels)))
@@ -428,7 +475,7 @@ def learn(pages: DataFrame) -> dict[str, np.ndarray]:
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "html"):
-                yield extended(part, schema, {"blocks": [[vars(b) for b in drawn(blocks(p))] for p in text_strings(part, "html")]})
+                yield extended(part, schema, {"blocks": [[{"text": b.text, "path": b.path, "link_chars": b.link_chars} for b in drawn(blocks(p))] for p in text_strings(part, "html")]})
 
     sample = keyed.where(F.col("h") <= F.lit(last)).mapInArrow(run, schema).orderBy("h", "t").limit(SAMPLE).select("blocks").collect()
     return fit([[Block(b["text"], tuple(b["path"]), b["link_chars"]) for b in r["blocks"]] for r in sample])
@@ -446,7 +493,7 @@ def main_texts(pages: list[str], model: Labeller, reader: Reader) -> list[str]:
     """The main text of each page."""
     cut = [blocks(p) for p in pages]
     if not model.p:  # nothing was learned
-        return ["\n".join(b.text for b in page if is_main(b.path)) for page in cut]
+        return ["\n".join(b.text for b in page if is_main(b)) for page in cut]
     order = sorted((k for k in range(len(cut)) if cut[k]), key=lambda k: len(cut[k]))
     out, at = [""] * len(cut), 0
     while at < len(order):
@@ -470,8 +517,7 @@ def extract(pages: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
         model, reader = Labeller(), Reader()
         model.p = shared.value
         for batch in batches:
-            for s in range(0, batch.num_rows, 1000):
-                part = batch.slice(s, 1000)
+            for part in pieces(batch, "html"):
                 yield extended(part, schema, {"text": main_texts(text_strings(part, "html"), model, reader)})
 
     return pages.mapInArrow(run, schema).drop("html")

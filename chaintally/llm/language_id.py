@@ -10,9 +10,9 @@ most word parts are that short; texts up to ``SHORT`` bytes, where each byte
 decides, are encoded at a slower, closer level.
 
 Scale.  Training takes one slice per language and slot, by the least hash, in
-a map-side combined aggregate: at most ``MAX_LANGUAGES * SLOTS`` slices of
-``SLICE`` characters reach the driver, whatever the input holds.  Prediction is
-row by row over Arrow batches.
+a map-side combined aggregate: ``SLOTS`` slices of ``SLICE`` characters of each language reach
+the driver, whatever the input holds.  Every language is learned; more than ``BLOCK`` are encoded block
+after block, so that a task holds the compressors of one block.  Prediction is row by row over Arrow batches.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; if no
 language could be learned every text is; a null lang teaches nothing; ties
@@ -30,10 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, fold, table, with_columns
+from chaintally.llm.common import extended, fold, parts, table, text_strings, with_columns
 
-# Bounds of the model: languages (those with most documents), slices of each, characters of each.
-MAX_LANGUAGES, SLOTS, SLICE = 256, 64, 1024
+# Bounds of the model: slices of each language, characters of each; languages whose compressors are held at once.
+SLOTS, SLICE, BLOCK = 64, 1024, 256
 PIECE = 2048
 SHORT, SHORT_LEVEL = 400, 12
 _PLAIN = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
@@ -63,11 +63,13 @@ def learn(docs: DataFrame, teaches: Column) -> dict[str, bytes]:
     picked = picked.cache()
     try:
         languages = [r["lang"] for r in picked.groupBy("lang").agg(F.sum("n").alias("n"))
-                                              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
-        pieces = picked.where(F.col("lang").isin(languages)).orderBy("lang", "slot").select("lang", "least.piece").collect()
+                                              .orderBy(F.desc("n"), "lang").collect()]
+        slices: dict[str, list[str]] = {lang: [] for lang in languages}
+        for p in picked.orderBy("lang", "slot").select("lang", "least.piece").toLocalIterator():
+            slices[p["lang"]].append(p["piece"])
     finally:
         picked.unpersist()
-    return {lang: normal("\n".join(p["piece"] for p in pieces if p["lang"] == lang)) for lang in languages}
+    return {lang: normal("\n".join(held)) for lang, held in slices.items()}
 
 
 class Coder:
@@ -87,33 +89,52 @@ class Coder:
             dictionary.precompute_compress(**how)
             yield dictionary
 
-    def predict(self, text: str | None) -> tuple[str, float, bool]:
-        """(language, score, accepted) of a whole text."""
-        if not text or not self.coders or not _LETTER.search(text):
-            return UNDECIDED, 0.0, False
-        raw = normal(text)
-        pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+    def sizes(self, raw: bytes) -> list[int]:
+        """Bytes of a normal text with each language's dictionary."""
+        cut = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
         coders = self.short_coders if len(raw) <= SHORT else self.coders
-        sizes = [sum(map(len, map(code, pieces))) for code in coders]
-        least = min(sizes)
-        best = sizes.index(least)
-        score = 1.0 / sum(exp(-SHARPNESS * (s - least) / least) for s in sizes)
-        others = sizes[:best] + sizes[best + 1:]
-        margin = (min(others) - least) / min(others) if others else 1.0
-        return self.languages[best], score, margin >= MIN_MARGIN
+        return [sum(map(len, map(code, cut))) for code in coders]
+
+
+def told(text: str | None) -> bytes:
+    """The normal text of one that can be told, empty for one without letters."""
+    return normal(text) if text and _LETTER.search(text) else b""
+
+
+def decide(languages: list[str], sizes: list[int]) -> tuple[str, float, bool]:
+    """(language, score, accepted) from the sizes with all languages."""
+    if not sizes:
+        return UNDECIDED, 0.0, False
+    least = min(sizes)
+    best = sizes.index(least)
+    score = 1.0 / sum(exp(-SHARPNESS * (s - least) / least) for s in sizes)
+    others = sizes[:best] + sizes[best + 1:]
+    margin = (min(others) - least) / min(others) if others else 1.0
+    return languages[best], score, margin >= MIN_MARGIN
 
 
 def identify(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
     """The documents with ``lang_pred``, ``score`` and ``accepted`` (the margin is wide enough)."""
     schema = with_columns(docs.schema, ("lang_pred", T.StringType()), ("score", T.DoubleType()), ("accepted", T.BooleanType()))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names, block = ("lang_pred", "score", "accepted"), BLOCK
 
     def run(batches):
-        coder = Coder(shared.value)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            found = [coder.predict(t) for t in texts]
-            yield extended(batch, schema, {k: [f[i] for f in found] for i, k in enumerate(("lang_pred", "score", "accepted"))})
+        model = shared.value
+        languages = list(model)
+        blocks = [languages[k:k + block] for k in range(0, len(languages), block)]
+        held: list[Coder] = []
+        for part in parts(batches):
+            raws = [told(t) for t in text_strings(part)]
+            sizes: list[list[int]] = [[] for _ in raws]
+            for of_block in blocks:
+                coder = held[0] if held else Coder({lang: model[lang] for lang in of_block})
+                held = [coder] if len(blocks) == 1 else []
+                for line, raw in zip(sizes, raws):
+                    if raw:
+                        line += coder.sizes(raw)
+            found = [decide(languages, line) for line in sizes]
+            yield extended(part, schema, {n: [f[i] for f in found] for i, n in enumerate(names)})
 
     return docs.mapInArrow(run, schema)
 

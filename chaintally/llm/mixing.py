@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chaintally.llm.common import WORD_PATTERN, dense_index, stage, table
+from chaintally.llm.common import WORD_PATTERN, dense_index, free_names, stage, table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -81,12 +81,11 @@ def copies(rate: Column, drawn: Column) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     sizes = docs.select("source", n_words(F.col("text")).alias("size"))
-    targets = source_targets(sizes, weights, max_repeat).select(F.col("source").alias("__source"), "rate")
-    columns = docs.columns
-    rated = docs.withColumn("__draw", draw(seed)).join(
-        targets.withColumnRenamed("rate", "__rate"), docs["source"].eqNullSafe(F.col("__source")))
-    times = rated.withColumn("__copies", copies(F.col("__rate"), F.col("__draw"))).where("__copies > 0")
-    return times.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "__copies")).alias("__copy")).drop("__copy")
+    source, rate, drawn, times, copy = free_names(docs, "of_source", "rate", "drawn", "times", "copy")
+    targets = source_targets(sizes, weights, max_repeat).select(F.col("source").alias(source), F.col("rate").alias(rate))
+    rated = docs.withColumn(drawn, draw(seed)).join(targets, F.col("source").eqNullSafe(F.col(source)))
+    taken = rated.withColumn(times, copies(F.col(rate), F.col(drawn))).where(F.col(times) > 0)
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias(copy)).drop(copy)
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:

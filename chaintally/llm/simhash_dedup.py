@@ -30,11 +30,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, stage, text_bytes, with_columns, words
+from chaintally.llm.common import extended, free_names, pieces, stage, text_bytes, with_columns, words
 from chaintally.session import materialize
 
 SHINGLE_WORDS = 4
@@ -43,6 +43,8 @@ HASH_SEED = 42
 BYTES = 8
 # Fingerprints per block of a long posting list; a cell of two blocks is compared at once.
 BLOCK = 2048
+# Edges a node must have to be a hub, besides more than one in HUBS of all.
+HUB, HUBS = 500, 1024
 # Rows of a cell compared with the whole cell in one numpy step.
 STRIP = 256
 
@@ -73,8 +75,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
 
     def run(batches):
         for batch in batches:
-            found = np.array([simhash(b, shingle_words, seed) for b in text_bytes(batch)], dtype=np.uint64)
-            yield extended(batch, schema, {"fp": found.view(np.int64)})
+            for part in pieces(batch):
+                found = np.array([simhash(b, shingle_words, seed) for b in text_bytes(part)], dtype=np.uint64)
+                yield extended(part, schema, {"fp": found.view(np.int64)})
 
     return docs.mapInArrow(run, schema)
 
@@ -164,16 +167,18 @@ def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected ``a``-``b`` edges, root the least node.
 
     Alternating large-star and small-star steps; each is a map-side combined
-    minimum joined back to the edges, so a hub's edges need not meet in one
-    task.  Stops when a round leaves the edges as they were.
+    minimum joined back to the edges.  A hub's edges need not meet in one task: a node with more than
+    its share of all edges (at most ``2 * HUBS`` have so many) gets its minimum by a broadcast.
+    Stops when a round leaves the edges as they were.
     """
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, size: int) -> DataFrame:
         if large:
             both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             both = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        met = both.join(least, "a")
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+        hubs = F.broadcast(least.where(F.col("n") > max(HUB, size // HUBS)).select("a", "m"))
+        met = both.join(hubs, "a").unionByName(both.join(hubs, "a", "left_anti").join(least.select("a", "m"), "a"))
         if large:
             return met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         moved = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
@@ -185,7 +190,7 @@ def connected(edges: DataFrame) -> DataFrame:
     edges = materialize(edges)
     now = state(edges)
     while now[0]:
-        edges = materialize(star(star(edges, True), False))
+        edges = materialize(star(materialize(star(edges, True, now[0])), False, now[0]))
         before, now = now, state(edges)
         if before == now:
             break
@@ -209,14 +214,23 @@ def components(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: in
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents, one of each component: the least doc_id (null last), ties by row hash, one row of equal rows."""
+    """The documents, one of each component: the least doc_id (null last), ties by row hash, one row of equal rows.
+
+    Which row stays is decided on ids and hashes alone; whole rows are dealt once, by the hash they are found and counted by.
+    """
     columns = docs.columns
+    hashed, missing, number, nth = free_names(docs, "row_hash", "no_id", "id", "nth")
+    none = F.lit(0).cast(docs.schema["doc_id"].dataType)
     placed = components(docs, shingle_words, max_bits)
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("k"))
-    keep = stage(first.select(F.col("k.doc_id").alias("__id"), F.col("k.row_hash").alias("__hash")), "simhash-keep")
-    hashed = docs.withColumn("__hash", F.xxhash64(*[F.col(c) for c in columns]))
-    kept = hashed.join(keep, (hashed["__hash"] == keep["__hash"]) & hashed["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__hash"]).select(*columns)
+    keep = stage(first.select(F.col("k.row_hash").alias(hashed), F.col("k.no_id").alias(missing),
+                              F.coalesce("k.doc_id", none).alias(number)), "simhash-keep")
+    keys = [hashed, missing, number]
+    keyed = (docs.withColumn(hashed, F.xxhash64(*[F.col(c) for c in columns])).withColumn(missing, F.col("doc_id").isNull())
+                 .withColumn(number, F.coalesce("doc_id", none)))
+    kept = keyed.join(keep, keys, "left_semi")
+    one = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed))
+    return kept.withColumn(nth, one).where(F.col(nth) == 1).select(*columns)
 
 
 def op8_simhash_dedup(spark, sf_dir: str) -> DataFrame:

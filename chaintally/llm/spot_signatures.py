@@ -12,9 +12,8 @@ without common words has signatures; and where ``GAP`` words go by without an an
 so that a text in a language whose words are not common in the corpus is covered all over.
 
 Scale.  Anchors are words with at least ``ANCHOR_SHARE`` of all words of all
-documents, so at most 1 / ``ANCHOR_SHARE`` words are broadcast.  A word with that share of the
-whole has it in some part of it: one pass names each part's words of that share, another
-counts those in all documents.  Fingerprints are made row by row.  ``near_duplicates`` collapses equal
+documents, so at most 1 / ``ANCHOR_SHARE`` words are broadcast; all documents are
+counted.  Fingerprints are made row by row.  ``near_duplicates`` collapses equal
 fingerprints, partitions sets by length so that only neighbouring partitions
 can hold alike ones, and posts each set under its rarest signatures only
 (any two alike sets share one of them).  Short lists give pairs; the sets of long lists are
@@ -29,7 +28,6 @@ fingerprints; a null doc_id comes last; an empty table gives an empty result; ex
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from itertools import repeat
 
 import numpy as np
@@ -39,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chaintally.llm.common import pieces, stage, table, text_bytes, text_strings
+from chaintally.llm.common import HELD_WORDS, frequent_words, pieces, stage, table, text_bytes, text_strings
 from chaintally.llm.simhash_dedup import connected
 
 CHAIN = 3
@@ -48,8 +46,6 @@ GAP, CLASSES = 16, 8
 SIMILARITY = 0.8
 # Bits of a signature; it is written as 12 hex digits.
 BITS = 48
-# Different words a task counts or remembers at once.
-HELD_WORDS = 250_000
 # Sets of a short list, and of a block of a long one.
 LIST, BLOCK = 64, 128
 # Parts of the order of documents for each shuffle partition.
@@ -142,38 +138,9 @@ def as_text(found: np.ndarray) -> str:
     return found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - BITS // 8:].tobytes().hex()
 
 
-def _counted(batches, report):
-    """Counts of words, part by part, as ``report`` turns them into batches."""
-    held: Counter[bytes] = Counter()
-    for batch in batches:
-        for part in pieces(batch):
-            for raw in text_bytes(part):
-                held.update(spot_words(raw))
-            if len(held) > HELD_WORDS:
-                yield report(held)
-                held.clear()
-    yield report(held)
-
-
 def learn_anchors(docs: DataFrame, share: float = ANCHOR_SHARE) -> list[bytes]:
-    """The words with at least ``share`` of all words of all documents, sorted (at most 1 / share)."""
-    def frequent(held):
-        least = share * held.total()
-        return pa.RecordBatch.from_arrays([pa.array([w for w, c in held.items() if c >= least], type=pa.binary())], names=["word"])
-
-    texts = docs.select("text")
-    named = stage(texts.mapInArrow(lambda b: _counted(b, frequent), "word binary").distinct(), "spots-candidates")
-    # each part names 1 / share words at most, and the parts mostly name the same
-    shared = docs.sparkSession.sparkContext.broadcast({bytes(r[0]) for r in named.toLocalIterator()})
-
-    def told(held):
-        kept = {w: held[w] for w in shared.value if w in held}
-        return pa.RecordBatch.from_arrays(
-            [pa.array([None, *kept], type=pa.binary()), pa.array([held.total(), *kept.values()], type=pa.int64())], names=["word", "n"])
-
-    counts = stage(texts.mapInArrow(lambda b: _counted(b, told), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "spots-counts")
-    total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
-    return sorted(bytes(r[0]) for r in counts.where(F.col("word").isNotNull() & (F.col("n") >= share * total)).select("word").collect())
+    """The words with at least ``share`` of all words of all documents, sorted."""
+    return sorted(word for word, _ in frequent_words(docs, share, spot_words, HELD_WORDS))
 
 
 def fingerprints(docs: DataFrame, anchors: list[bytes]) -> DataFrame:

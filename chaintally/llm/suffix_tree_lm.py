@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chaintally.llm.common import fold, pieces, stage, table, text_bytes, words
+from chaintally.llm.common import fold, parts, stage, table, text_bytes, words
 
 MAX_DEPTH = 2
 MIN_CONTEXT = 2
@@ -44,11 +44,6 @@ END = b""
 START = b"\n"
 
 
-def parts(batches):
-    """Arrow batches cut so that the words of one stay small in memory."""
-    return chain.from_iterable(map(pieces, batches))
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """(token, c) over all texts; the end token is empty."""
     def run(batches):

@@ -26,14 +26,16 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections import Counter
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chaintally.llm.common import extended, fold, pieces, stage, table, text_bytes, with_columns
+from chaintally.llm.common import extended, fold, parts, pieces, stage, table, text_bytes, with_columns
 
 # Bounds of the training sample.
 PER_CLASS, TRAIN_WORDS = {0: 4000, 1: 2000}, 10_000_000
@@ -43,6 +45,8 @@ BEGINNINGS, MIN_BAGS = (4, 5, 6, 7, 8), 3
 # Share of the toxic bags in the likelihood, and the first logit of a sentence without known words.
 TOXIC_SHARE, FIRST_BIAS = 0.3, -9.0
 ROUNDS, RATE, L1 = 250, 1.5, 5e-5
+# Features of a gradient step held at once.
+CHUNK = 1 << 20
 THRESHOLD = 0.5
 
 _ENDS = b".!?\n\r|;"
@@ -65,7 +69,7 @@ def word_features(word: bytes) -> list[int]:
 class Weights(dict):
     """Weight by word, summed over its features once and remembered."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
@@ -148,31 +152,50 @@ def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]
 
 def fit(bags: list[Bag], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, their weights, bias) from bags and their labels."""
-    if not len(labels) or labels.min() == labels.max():
-        return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
-    n, bias = len(bags), FIRST_BIAS
-    bag = np.repeat(np.arange(n, dtype=np.int32), [len(b.sizes) for b in bags])
-    count, times = len(bag), np.concatenate([b.times for b in bags])
-    # features met in enough bags, numbered from 0
-    bags_with = np.zeros(FEATURES, dtype=np.int32)
-    for b in bags:
+    return fit_stream(lambda: zip(bags, labels))
+
+
+def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> tuple[np.ndarray, np.ndarray, float]:
+    """As ``fit``, from (bag, label) rows that can be read twice in one order: for the features met in enough bags, then for their numbers."""
+    bags_with, labels = np.zeros(FEATURES, dtype=np.int32), []
+    for b, label in rows():
         bags_with[np.unique(b.features)] += 1
+        labels.append(label)
+    if len(set(labels)) < 2:
+        return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
+    n, bias, labels = len(labels), FIRST_BIAS, np.array(labels, dtype=float)
     met = bags_with >= min(MIN_BAGS, n)
     used, number = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.int32)
-    feature = np.concatenate([b.features for b in bags])
-    sentence = np.repeat(np.arange(count, dtype=np.int32), np.concatenate([b.sizes for b in bags]))
-    keep = met[feature]
-    feature, sentence = number[feature[keep]], sentence[keep]
-    del keep
+    features, sizes, times, of_bag = [], [], [], []
+    for b, _ in rows():
+        keep = met[b.features]
+        features.append(number[b.features[keep]])
+        sizes.append(np.bincount(np.repeat(np.arange(len(b.sizes)), b.sizes)[keep], minlength=len(b.sizes)).astype(np.int32))
+        times.append(np.array(b.times))
+        of_bag.append(len(b.sizes))
+    bag = np.repeat(np.arange(n, dtype=np.int32), of_bag)
+    feature, size, times = np.concatenate(features), np.concatenate(sizes), np.concatenate(times)
+    del features, sizes
+    count = len(bag)
+    # sentences in chunks of a bounded number of features: first sentence, last, first feature, last
+    ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    cuts = [0]
+    while cuts[-1] < count:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + CHUNK, side="right")) - 1))
+    chunks = [(s, e, int(ends[s]), int(ends[e])) for s, e in zip(cuts[:-1], cuts[1:])]
     w, grown, grown_bias = np.zeros(len(used)), np.full(len(used), 1e-8), 1e-8
     share = np.where(labels == 1, TOXIC_SHARE / max(labels.sum(), 1), (1 - TOXIC_SHARE) / max((1 - labels).sum(), 1))
+    z = np.empty(count)
     for _ in range(ROUNDS):
-        z = bias + np.bincount(sentence, w[feature], minlength=count)
+        for s, e, f, t in chunks:
+            z[s:e] = bias + np.bincount(np.repeat(np.arange(e - s), size[s:e]), w[feature[f:t]], minlength=e - s)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         survive = np.exp(-np.bincount(bag, times * np.logaddexp(0.0, z), minlength=n))
         toward = np.where(labels == 1, -survive / np.maximum(1 - survive, 1e-9), 1.0) * share
         g_sentence = times * p * toward[bag]
-        g = np.bincount(feature, g_sentence[sentence], minlength=len(used))
+        g = np.zeros(len(used))
+        for s, e, f, t in chunks:
+            g += np.bincount(feature[f:t], np.repeat(g_sentence[s:e], size[s:e]), minlength=len(used))
         grown += g * g
         rate = RATE / np.sqrt(grown)
         w = w - rate * g
@@ -202,9 +225,13 @@ def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarr
     total = sum(PER_CLASS.values())
     sizes = rows.select(*keys, "n_words").orderBy(*keys).limit(total).collect()
     limit = words_limit(np.array([r["n_words"] for r in sizes], dtype=np.int64), TRAIN_WORDS)
-    found = _thin_bags(rows, limit).orderBy(*keys).limit(total).collect()
-    bags = [Bag(*(np.frombuffer(r[k], dtype=d) for k, d in BAG_TYPES.items())) for r in found]
-    return fit(bags, np.array([r["toxic"] for r in found], dtype=float))
+    thin = stage(_thin_bags(rows, limit).orderBy(*keys).limit(total).select("toxic", *BAG_TYPES), "toxicity-thin")
+
+    def read():
+        for r in thin.toLocalIterator():
+            yield Bag(*(np.frombuffer(r[k], dtype=d) for k, d in BAG_TYPES.items())), float(r["toxic"])
+
+    return fit_stream(read)
 
 
 BAG_TYPES = {"features": np.int32, "sizes": np.int32, "words": np.int32, "times": np.float64}
@@ -269,21 +296,31 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
 
     def run(batches):
         weights, bias = model_weights(shared.value)
-        for batch in batches:
+        for part in parts(batches):
             scores, found = [], []
-            for raw in text_bytes(batch):
+            for raw in text_bytes(part):
                 logits, told = sentence_logits(raw, weights, bias)
                 scores.append(noisy_or(logits[told]))
                 found.append(offenders(raw, np.where(told, logits, -np.inf)) if scores[-1] >= THRESHOLD else [])
-            yield extended(batch, schema, {"toxic_score": scores, "offending": found})
+            yield extended(part, schema, {"toxic_score": scores, "offending": found})
 
     return docs.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents the model does not call toxic."""
-    model = learn(docs, labels, F.lit(True))
-    return score(docs, model).where(F.col("toxic_score") < THRESHOLD).select(*docs.columns)
+    """The documents the model does not call toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, F.lit(True)))
+
+    def run(batches):
+        weights, bias = model_weights(shared.value)
+        for part in parts(batches):
+            keep = []
+            for raw in text_bytes(part):
+                logits, told = sentence_logits(raw, weights, bias)
+                keep.append(noisy_or(logits[told]) < THRESHOLD)
+            yield part.filter(pa.array(keep, type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def test_shards_match_brute_force():
         items = [(str(i), " ".join(rng.choices(voc, k=rng.randint(0, 7)))) for i in range(rng.randint(0, 5))]
         texts = [" ".join(rng.choices(voc + ["zz"], k=rng.randint(0, 40))) for _ in range(rng.randint(0, 6))]
         phrases = dc.Phrases([(i, t.encode()) for i, t in items], 4)
-        for t, (spans, ids) in zip(texts, dc.search_shard([dc.item_words(x.encode()) for x in texts], phrases)):
+        for t, (spans, ids) in zip(texts, dc.search_shard([phrases.numbers(x.encode()) for x in texts], phrases)):
             n, hit, own = plain(t, items, 4)
             assert [k for s, e in spans for k in range(s, e)] == hit and sorted(ids) == own
 
@@ -86,3 +86,17 @@ def test_empty_tables(spark):
     _, _, d, b = tables(spark)
     assert dc.find_contamination(d.limit(0), b).count() == 0
     assert all(r.spans == [] for r in dc.find_contamination(d, b.limit(0)).collect())
+
+
+def test_many_blocks_are_one_pass(spark):
+    """Any number of phrase blocks is searched in one Python pass, with the same result."""
+    rng = random.Random(8)
+    voc = [f"w{k}" for k in range(30)]
+    bench = spark.createDataFrame([(k, " ".join(rng.choices(voc, k=rng.randint(2, 14)))) for k in range(60)], "item_id long, text string")
+    texts = spark.createDataFrame([(k, " ".join(rng.choices(voc, k=rng.randint(0, 400)))) for k in range(40)], "doc_id long, text string").repartition(3)
+    one, many = (dc.find_contamination(texts, bench, 3, words) for words in (10_000, 10))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    for df in (many, dc.remove_contamination(texts, bench, 3, 10)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    a, b = (sorted(map(tuple, dc.remove_contamination(texts, bench, 3, words).collect())) for words in (10_000, 10))
+    assert a == b

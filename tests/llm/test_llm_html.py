@@ -130,7 +130,7 @@ def test_pages_of_any_length_teach(spark):
     assert min(map(len, pages)) > 20_000
     df = spark.createDataFrame([(k, "u", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
     rows = he.extract(df, he.learn(df)).collect()
-    want = ["\n".join(b.text for b in he.blocks(p) if he.is_main(b.path)) for p in pages]
+    want = ["\n".join(b.text for b in he.blocks(p) if he.is_main(b)) for p in pages]
     assert [r.text for r in sorted(rows, key=lambda r: r.page_id)] == want
 
 
@@ -144,3 +144,34 @@ def test_blocks_are_drawn_over_the_whole_page():
 def test_nothing_learned_is_the_teacher():
     assert he.train([""]) == {}
     assert texts(["<nav>x</nav><article><p>a</p><p>b</p></article>", ""], {}) == ["a\nb", ""]
+
+
+def test_paths_are_whole_at_any_depth():
+    deep = "<div>" * 10 + "<article>" + "<div class=x>" * 40 + "<p>text</p>" + "</div>" * 40 + "</article>" + "</div>" * 10
+    only, = he.blocks(deep)
+    assert len(only.path) == 52 and "article" in only.path and he.is_main(only)
+    advert = "<article><aside>" + "<div>" * 30 + "<p>buy</p>" + "</div>" * 30 + "</aside><p>text</p></article>"
+    assert [(b.text, he.is_main(b)) for b in he.blocks(advert)] == [("buy", False), ("text", True)]
+    # inline elements that stay open hide no paragraph from the next one, however many they are
+    many = he.blocks("<article><p>a" + "<b>" * 500 + "b<p>c</article>")
+    assert [(b.text, b.path) for b in many] == [("ab", ("article", "p")), ("c", ("article", "p"))]
+
+
+def test_features_know_the_whole_path():
+    reader = he.Reader()
+    path = ("article", *["div"] * 100, "section.x", "p")
+    want = {he.bucket(p, he.PATH_BUCKETS) for p in ("article", "div", "section", "p", "#x", ">section>p")}
+    assert set(reader.path(he.Element.of(path)).tolist()) == want
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    def seconds(n):
+        page = "".join(f"<div class=c{chr(97 + k % 26)}>x" for k in range(n))
+        start = time.process_time()
+        he.main_texts([page], he.Labeller(), he.Reader())
+        return time.process_time() - start
+
+    seconds(1_000)
+    assert seconds(20_000) < 60 * max(seconds(2_000), 0.02)

@@ -49,3 +49,22 @@ def test_predictions_ignore_labels(docs):
     other = docs.withColumn("lang", F.lit("aa")).withColumn("source", F.lit("z"))
     a, b = (sorted((r.doc_id, r.lang_pred, r.score) for r in li.identify(d, model).collect()) for d in (docs, other))
     assert a == b
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """Three hundred languages, more than one block of compressors: the one with fewest documents is predicted too."""
+    rng = random.Random(6)
+    stems = {f"l{k:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)] for k in range(300)}
+
+    def spoken(lang, n):
+        return " ".join("".join(rng.choices(stems[lang], k=2)) for _ in range(n))
+
+    rows = [(i, spoken(lang, 60), lang) for i, lang in enumerate(list(stems) + list(stems)[:299])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.learn(docs, F.lit(True))
+    assert len(model) == 300 and list(model)[-1] == "l299"
+    asked = spark.createDataFrame([(k, spoken(lang, 40), lang) for k, lang in enumerate(("l299", "l000", "l150", "l298"))], docs.schema)
+    got = [(r.doc_id, r.lang_pred, r.score) for r in li.identify(asked, model).collect()]
+    assert [lang for _, lang, _ in got] == ["l299", "l000", "l150", "l298"]
+    monkeypatch.setattr(li, "BLOCK", 1000)
+    assert [(r.doc_id, r.lang_pred, r.score) for r in li.identify(asked, model).collect()] == got

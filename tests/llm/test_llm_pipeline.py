@@ -1,5 +1,6 @@
 import importlib
 import sys
+from collections import Counter
 
 import duckdb
 import pytest
@@ -46,8 +47,12 @@ def plain_pipeline(spark, docs, benchmark, model):
                 at = places[k][1]
             text = kept + text[at:]
             size = len(text)
-        clean = text and secrets.masked(text, "[SECRET]")
-        out.append((r[0], clean, r[2], r[3], size if clean == text else len(clean)))
+        out.append((r[0], text, r[2], r[3], size))
+    spoken = Counter(w for r in out for w in secrets.corpus_words((r[1] or "").encode()))
+    frequent = sorted((w for w, n in spoken.items() if n >= secrets.WORD_SHARE * spoken.total()), key=lambda w: (-spoken[w], w))
+    guesser = secrets.Guesser([*secrets.COMMON, *(w.decode() for w in frequent)])
+    clean = [r[1] and secrets.masked(r[1], "[SECRET]", guesser) for r in out]
+    out = [(*r[:1], c, *r[2:4], r[4] if c == r[1] else len(c)) for r, c in zip(out, clean)]
     sizes = {}
     for r in out:
         sizes[r[3]] = sizes.get(r[3], 0) + len(simhash_dedup.words((r[1] or "").encode()))
@@ -65,6 +70,36 @@ def test_pipeline_matches_plain_stages(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == want
 
 
+CLASHES = ("spans", "items", "n_words", "__hash", "row_hash", "no_id", "id", "nth", "__id", "__rate", "rate", "of_source", "drawn", "times", "copy",
+           "__source", "toxic_score", "offending", "fp", "size", "lang_pred")
+
+
+def test_stages_keep_the_values_of_clashing_columns(spark, tmp_path):
+    """What a document's own columns hold leaves every stage as it came, whatever they are called."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    texts = [None, "", "some words here now ok", "long text " * 20_000, "token = abcdefghijkl", "a planted benchmark passage of ten words in this text here, and more"]
+    rows = [(k, t, "en", "s", len(t or ""), *[f"{c}-{k}" for c in CLASHES]) for k, t in enumerate(texts)]
+    rows += rows[2:3] + [(None, "no id", "en", None, None, *[None] * len(CLASHES))]
+    spark.createDataFrame([(1, "a planted benchmark passage of ten words in this text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    for name, step in corpus_pipeline.STAGES:
+        before = {(r.doc_id, *r[5:]) for r in docs.collect()}
+        docs = corpus_pipeline.stage(step(spark, docs, str(tmp_path)), f"clash-{name}")
+        after = [(r.doc_id, *r[5:]) for r in docs.collect()]
+        assert docs.columns == [*COLUMNS, *CLASHES] and after and set(after) <= before
+    assert any(r.doc_id == 5 and "planted" not in r.text for r in docs.collect())
+
+
+def test_operators_replace_columns_of_their_names_only(spark):
+    rows = [(1, "token = abcdefghijkl and words", "mine", 7, "x", "y", 0.5, None), (2, None, None, 8, None, "z", None, "keep")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_words long, __hash string, other string, toxic_score double, items string")
+    bench = spark.createDataFrame([(1, "never found")], "item_id long, text string")
+    own = [c for c in docs.columns if c not in ("spans", "n_words", "items", "toxic_score")]
+    for found in (dc.find_contamination(docs, bench), secrets.find_secrets(docs), toxicity.score(docs, toxicity.train([(b"a", 0)]))):
+        assert sorted(tuple(r[c] for c in own) for r in found.collect()) == sorted(tuple(r[c] for c in own) for r in docs.collect())
+
+
 def test_stages_keep_columns_and_take_edge_rows(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long, spans string, __id long"
     rows = [(1, None, None, None, None, "a", 1), (2, "", "en", "s", 0, None, None), (2, "", "en", "s", 0, None, None), (None, "some words here now ok", "en", None, 3, "b", 2),
@@ -111,10 +146,15 @@ def test_contract_columns(spark):
         "op8": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
         "op9": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
         "op10": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
+        "op11": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
+                 "near_edited": "double", "near_next": "double"},
+        "op12": {"conv_id": "bigint", **dict.fromkeys(("gaps", "blank", "duplicate", "truncated", "illegal", "cost"), "bigint"), "audit": "string",
+                 "repaired_sha256": "string"},
+        "op13": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
     }
     known = __spark_entry__.queries()
     found = {k.split("_")[0]: k for k in known if k.startswith("op") and k[2].isdigit()}
-    assert len(found) == 10 and "pipeline" in known
+    assert len(found) == 13 and "pipeline" in known
     for op, columns in types.items():
         got = dict(known[found[op]](spark, SF).dtypes)
         assert {c: got.get(c) for c in columns} == columns

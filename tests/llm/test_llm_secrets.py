@@ -77,3 +77,56 @@ def test_long_repeats_and_shortened_walks_are_cheap():
     assert guess_cost("12345test") <= log10(188) + log10(5) + word + 1e-9
     assert guess_cost("ttttest") <= log10(26) + log10(3) + word + 1e-9
     assert guess_cost("x" * 100_000) < 10
+
+
+def plain_repetitions(value):
+    """Maximal runs of least blocks, by trying every size and place."""
+    found = {}
+    for size in range(1, len(value) // 2 + 1):
+        for i in range(len(value) - 2 * size + 1):
+            if value[i:i + size] == value[i + size:i + 2 * size]:
+                start, end = i, i + 2 * size
+                while start and value[start - 1] == value[start - 1 + size]:
+                    start -= 1
+                while end < len(value) and value[end] == value[end - size]:
+                    end += 1
+                found.setdefault((start, end), size)
+    return sorted((s, e, size) for (s, e), size in found.items())
+
+
+def test_repetitions_are_all_found():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(300):
+        value = "".join(rng.choice("ab" if rng.random() < 0.5 else "abcé") for _ in range(rng.randint(0, 24))) * rng.randint(1, 3)
+        assert secrets.repetitions(value) == plain_repetitions(value)
+    assert secrets.repetitions("k7Qz9" * 40_000) == [(0, 200_000, 5)]
+
+
+def test_blocks_of_any_length_repeat_cheaply():
+    from math import log10
+
+    for block in ("k7Qz", "k7Qz9", "k7Qz9mW", "k7Qz9mWx4Tj2Bp"):
+        assert secrets.guess_cost(block * 10) <= secrets.guess_cost(block) + 2 * len(block) + log10(10)
+        assert secrets.guess_cost(block * 10) < secrets.guess_cost(block) * 2 + 2
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    """Planted guess spans are found, and ordinary words in a credential context are not, once the corpus has told them."""
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("bcdfglmnprst", k=1) + rng.choices("aeiou", k=1) + rng.choices("lmnrst", k=1) + rng.choices("aeiou", k=1)
+                     + rng.choices("nrstl", k=1) + rng.choices("aeiou", k=1) + rng.choices("nrst", k=1)) for _ in range(900)]
+    keys = ["".join(rng.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!$%", k=14)) for _ in range(60)]
+    plain = [rng.choice(words) + rng.choice(words) for _ in range(60)]
+    rows = [(k, " ".join(rng.choices(words, k=200))) for k in range(300)]
+    rows += [(1000 + k, f"pwd := {key} .") for k, key in enumerate(keys)] + [(2000 + k, f"passphrase: {w} .") for k, w in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secrets.find_secrets(docs).collect() if r.spans}
+    assert sum(k in found for k in range(1000, 1060)) == 60
+    assert not [k for k in found if k >= 2000 or k < 1000]
+    # without the corpus most of these words look like brute force
+    blind = secrets.find_secrets(docs, list(secrets.COMMON)).where("doc_id >= 2000 and size(spans) > 0").count()
+    assert blind > 50
