@@ -40,7 +40,7 @@ from chaintally.plans import ledger as L
 from chaintally.sources.lines import scan_lines
 from chaintally.sources.parsed import ingest_blocks, ingest_transactions, parsed_blocks, parsed_transactions
 from chaintally.sources.registry import scan_registry
-from chaintally.sources.results import save_result, save_top_pairs
+from chaintally.sources.results import load_result, save_result, save_top_pairs
 
 
 @dataclass(frozen=True)
@@ -170,7 +170,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     if a.pairs:
         key, value = job.pair
         # read the written result back with its own schema: exact decimals, no recomputation
-        saved = spark.read.schema(result.schema).format(a.format).load(f"{a.out}/result")
+        saved = load_result(spark, f"{a.out}/result", a.format, result.schema)
         save_top_pairs(saved, f"{a.out}/pairs", key, value, [measure_order(saved, value).desc(), F.col(key)], a.k)
     if a.quality:
         for name, seen in inputs.seen.items():

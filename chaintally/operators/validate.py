@@ -222,10 +222,24 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     totals are a window over that result, which has one row per rule at
     most, so the single window partition stays tiny.
     """
+    return _with_totals(reason_counts(df, rules))
+
+
+def outcome_report(outcomes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The quality report from counts per outcome of all rules (``ok_*`` columns and ``n``), as an ingest writes them.
+
+    Nothing but the counts is read: the reason of a row of counts is that of each line it counts.
+    """
+    reason = F.coalesce(reject_reason(rules, outcomes), F.lit(OK)).alias("reason")
+    return _with_totals(outcomes.select(reason, "n").groupBy("reason").agg(F.sum("n").alias("n")))
+
+
+def _with_totals(counts: DataFrame) -> DataFrame:
+    """Counts per reason with the lines in all, kept and dropped."""
     everything = Window.partitionBy()
     kept = F.sum(F.when(F.col("reason") == OK, F.col("n")).otherwise(F.lit(0))).over(everything)
     lines = F.sum("n").over(everything)
-    return (reason_counts(df, rules)
+    return (counts
             .select("reason", "n", lines.alias("lines"), kept.alias("kept"))
             .withColumn("dropped", F.col("lines") - F.col("kept")))
 

@@ -239,7 +239,7 @@ def staged_lines(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
 def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parsed Parquet table of a staged export file (tx_part, tx_supplier,
     blocks), ingested once per application: the text is parsed one time."""
-    from chaintally.sources.parsed import parsed_blocks, parsed_transactions
+    from chaintally.sources.parsed import ingest_parsed, parsed_blocks, parsed_transactions
 
     key = (app_id(spark), sf_dir.rstrip("/"), name + "@parquet")
     path = _STAGED.get(key)
@@ -247,11 +247,37 @@ def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         lines = export_lines(spark, sf_dir, name)
         parsed = parsed_blocks(lines) if name.startswith("blocks") else parsed_transactions(lines)
         path = staging_path(spark, name + "-parquet")
-        parsed.write.mode("overwrite").parquet(path)
+        ingest_parsed(parsed, path)
         _STAGED[key] = path
     return spark.read.parquet(path)
 
 
+def ingested_outcomes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Outcome counts of an ingested export file."""
+    from chaintally.sources.parsed import read_outcomes
+
+    ingested(spark, sf_dir, name)
+    return read_outcomes(spark, _STAGED[(app_id(spark), sf_dir.rstrip("/"), name + "@parquet")])
+
+
+def clustered(spark: SparkSession, sf_dir: str, name: str):
+    """An ingested export file clustered by recipient, once per application."""
+    from chaintally.sources.clustered import ingest_clustered, open_clustered
+
+    key = (app_id(spark), sf_dir.rstrip("/"), name + "@clustered")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if key not in _STAGED:
+        path = staging_path(spark, name + "-clustered")
+        _STAGED[key] = f"{buckets}:{path}"
+        return ingest_clustered(ingested(spark, sf_dir, name), path, _table_name(path), buckets)
+    buckets, path = _STAGED[key].split(":", 1)
+    return open_clustered(spark, path, _table_name(path), int(buckets))
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
+
+
 def export_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a staged export file (written on first use)."""
     export_lines(spark, sf_dir, name)

@@ -19,6 +19,7 @@ from chaintally.functions.scalar import bits_to_gb, composite_id, hex_bits, mont
 from chaintally.functions.whole import parse_whole
 from chaintally.operators import rank
 from chaintally.operators.aggregate import whole_totals
+from chaintally.operators.compare import compare_results
 from chaintally.operators.registry import address_counts, registry_entries, registry_report
 from chaintally.operators.validate import (
     block_any,
@@ -30,6 +31,7 @@ from chaintally.operators.validate import (
     nonempty,
     not_header,
     numeric,
+    outcome_report,
     quality_report,
     reason_counts,
     tx_gas,
@@ -335,6 +337,54 @@ def q_ingest_transactions(spark, d):
                     "ok_arity", "ok_number_value", "ok_integer_block_timestamp")
 
 
+def q_quality_report_columnar(spark, d):
+    """S10, Q1 without a scan: the report of the ingested form from the counts its ingest wrote."""
+    rules = [field_count(15), not_header(0, "hash")] + tx_value_time()[1:]
+    return outcome_report(B.ingested_outcomes(spark, d, "tx_part_header"), rules)
+
+
+def q_compare_saved(spark, d):
+    """S8: the monthly series against a saved one with planted differences: a month less, a month more, values far and near."""
+    now = L.monthly_value(_txp(spark, d))
+    month = F.substring("month", 6, 2)
+    planted = (now.where(month != "02")
+                  .withColumn("avg_value", F.when(month == "03", F.col("avg_value") * 1.000001)
+                              .when(month == "04", F.col("avg_value") * (1 + 1e-12)).otherwise(F.col("avg_value")))
+                  .withColumn("n", F.when(month == "05", F.col("n") + 1).when(month != "06", F.col("n")))
+                  .withColumn("month", F.when(month == "07", F.concat(F.lit("x"), "month")).otherwise(F.col("month"))))
+    path = staging_path(spark, "monthly-value-planted")
+    save_rows(planted, path)
+    saved = read_rows(spark, path, "month string, n bigint, avg_value double")
+    return compare_results(now, saved, ["month"]).select("month", "kind", "column")
+
+
+def _incremental(spark, d, name, series):
+    """M: the text files added to a store one batch after the other, one of them twice."""
+    from chaintally.streaming import incremental
+
+    files = sorted(spark.read.text(_staged_path(spark, d, name)).inputFiles())
+    store = staging_path(spark, f"{name}-store")
+    for batch in (files[: len(files) // 2], files[len(files) // 3:]):
+        if batch:
+            incremental.add_files(spark, store, series, batch)
+    return incremental.answer(spark, store, series)
+
+
+def q_monthly_value_incremental(spark, d):
+    from chaintally.streaming.incremental import monthly_value
+    return _incremental(spark, d, "tx_part", monthly_value())
+
+
+def q_monthly_gas_incremental(spark, d):
+    from chaintally.streaming.incremental import monthly_gas
+    return _incremental(spark, d, "tx_part", monthly_gas())
+
+
+def q_scam_monthly_incremental(spark, d):
+    from chaintally.streaming.incremental import scam_monthly
+    return _incremental(spark, d, "tx_supplier", scam_monthly(_registry(spark, d)))
+
+
 QUERIES: dict[str, Query] = {
     # C1 monthly activity
     "monthly_value": lambda s, d: L.monthly_value(_txp(s, d)),
@@ -439,6 +489,18 @@ QUERIES: dict[str, Query] = {
     "monthly_gas_columnar": lambda s, d: L.monthly_gas(_pq(s, d, "tx_part")),
     "top_contracts_columnar": lambda s, d: _double(L.top_contracts(_pq(s, d, "tx_part"), _contracts(s, d)), "total_value"),
     "above_below_mean_columnar": lambda s, d: L.above_below_mean(_pq(s, d, "tx_part"), _contracts(s, d)),
+    "quality_report_columnar": q_quality_report_columnar,
+    "compare_saved": q_compare_saved,
+    # the monthly series from a store of partial sums, to which files are added
+    "monthly_value_incremental": q_monthly_value_incremental,
+    "monthly_gas_incremental": q_monthly_gas_incremental,
+    "scam_monthly_incremental": q_scam_monthly_incremental,
+    # over transactions clustered by recipient: no transaction row moves
+    "top_contracts_clustered": lambda s, d: _double(L.top_contracts(B.clustered(s, d, "tx_part"), _contracts(s, d)), "total_value"),
+    "above_below_mean_clustered": lambda s, d: L.above_below_mean(B.clustered(s, d, "tx_part"), _contracts(s, d)),
+    "top_scams_clustered": lambda s, d: L.top_scams(B.clustered(s, d, "tx_supplier"), _registry(s, d)),
+    # hot recipients dealt over salts, for a registry too large to be broadcast
+    "scam_monthly_salted": lambda s, d: L.scam_monthly(_txs(s, d), _registry(s, d), salts=16),
     "top_miners_columnar": lambda s, d: L.top_miners(_pq(s, d, "blocks")),
     "top_scams_columnar": lambda s, d: L.top_scams(_pq(s, d, "tx_supplier"), _registry(s, d)),
     "scam_monthly_columnar": lambda s, d: L.scam_monthly(_pq(s, d, "tx_supplier"), _registry(s, d)),

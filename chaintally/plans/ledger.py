@@ -15,6 +15,7 @@ where it was not known before, and splits skewed partitions otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from chaintally.functions.scalar import bits_to_gb, hex_bits, mean_of, month_label
 from chaintally.operators.aggregate import global_mean, means_by, totals_by, whole_totals
 from chaintally.operators.rank import above_below, reconcile, top_k
+from chaintally.operators.skew import salted_join
 from chaintally.operators.registry import (
     counted_members,
     registry_addresses,
@@ -41,6 +43,7 @@ from chaintally.operators.validate import (
     tx_value_time,
 )
 from chaintally.schemas import FIELD_INDEX, HEX_BLOCK_FIELDS
+from chaintally.sources.clustered import parts
 from chaintally.sources.lines import computed_once, field, with_fields
 from chaintally.sources.parsed import needs, parsed_blocks, parsed_transactions
 
@@ -97,7 +100,7 @@ def contract_addresses(contract_lines: DataFrame, csv_mode: str = "quoted",
 
 def contract_totals(tx_lines: DataFrame, contract_lines: DataFrame,
                     csv_mode: str = "quoted", bag: bool = False) -> DataFrame:
-    """Value received by each contract: address, total_value.
+    """Value received by each contract: address, total_value (``tx_lines`` may be clustered by recipient).
 
     Set mode (default) gives one row per contract.  ``bag=True`` joins every
     contract line, so an address listed twice appears twice (the published
@@ -106,11 +109,10 @@ def contract_totals(tx_lines: DataFrame, contract_lines: DataFrame,
     key, so both join sides arrive partitioned by address and the join adds
     no exchange; where one side is small, it is broadcast by its measured bytes.
     """
-    totals = recipient_totals(tx_lines)
     contracts = contract_addresses(contract_lines, csv_mode)
     if not bag:
         contracts = contracts.distinct()
-    return totals.join(contracts, "address", "inner").select("address", "total_value")
+    return each_part(tx_lines, lambda tx: recipient_totals(tx).join(contracts, "address", "inner").select("address", "total_value"))
 
 
 def top_contracts(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10,
@@ -266,7 +268,8 @@ def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10
     from the per-recipient profile by a scalar subquery, which reads the same columns as
     the ranking does, so both reuse one exchange.
     """
-    profile = recipient_profile(tx_lines, lenient)
+    profiles = [recipient_profile(tx, lenient) for tx in parts(tx_lines)]
+    profile = reduce(DataFrame.unionByName, profiles)
     columns = [c for c in profile.columns if c != "address"]
     sums = profile.agg(F.struct(*[F.try_sum(c).alias(c) for c in columns]).alias("sums")).scalar()
     overall = mean_of(sums.getField("gas_total_all"), sums.getField("n_gas_all"))
@@ -275,7 +278,8 @@ def above_below_mean(tx_lines: DataFrame, contract_lines: DataFrame, k: int = 10
     contracts = computed_once(contract_addresses(contract_lines, csv_mode), F.col("address").alias("address")).distinct()
     # the overall rule is never the stricter one, so the last condition holds for all
     alike = (F.col("n_gas_all") >= F.col("n_gas")) & ((F.col("n_gas_all") == 0) | (F.col("gas_total_all").isNotNull() | F.col("gas_total").isNull()))
-    top = top_k(profile.where(F.col("n_value") > 0).join(contracts, "address").where(alike), "total_value", "address", k)
+    listed = reduce(DataFrame.unionByName, [p.where(F.col("n_value") > 0).join(contracts, "address").where(alike) for p in profiles])
+    top = top_k(listed, "total_value", "address", k)
     per = top.where(F.col("n_gas") > 0).select("address", mean_of(F.col("gas_total"), F.col("n_gas")).alias("avg_gas"))
     return above_below(per, "avg_gas", overall).orderBy(F.col("avg_gas").desc(), F.col("address"))
 
@@ -288,17 +292,36 @@ def scam_members(registry: DataFrame, categories: Sequence[str] | None = None) -
     return registry_addresses(registry_entries(registry), categories)
 
 
-def _member_rows(tx_lines: DataFrame, registry: DataFrame, rules, values: list[str], key: str, dedupe: bool,
-                 categories: Sequence[str] | None = None) -> DataFrame:
+def _member_rows(tx_lines, registry: DataFrame, rules, values: list[str], key: str, dedupe: bool,
+                 categories: Sequence[str] | None = None, salts: int = 0) -> DataFrame:
     """Valid transactions of listed addresses, one row per (transaction, key): address, values, key, copies.
 
     The one join of these questions: transactions meet each (address, key)
-    once, with the number of copies the registry lists.
+    once, with the number of copies the registry lists.  ``salts``: deal the rows of hot addresses
+    over so many tasks, for a registry too large to be broadcast.
     """
     members = counted_members(scam_members(registry, categories), key, dedupe)
-    rows = keep_valid(parsed_transactions(tx_lines, needs(["to_address", *values], rules)), rules).select(
-        F.col("to_address").alias("address"), *values)
-    return rows.join(members, "address")
+
+    def met(tx: DataFrame) -> DataFrame:
+        rows = keep_valid(parsed_transactions(tx, needs(["to_address", *values], rules)), rules).select(
+            F.col("to_address").alias("address"), *values)
+        if not salts:
+            return rows.join(members, "address")
+        # equal rows are one with their number, so that a hot address spreads over the salts
+        counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__times"))
+        return salted_join(counted, members, "address", salts).withColumn("copies", F.col("copies") * F.col("__times")).drop("__times")
+
+    return each_part(tx_lines, met)
+
+
+def each_part(tx_lines, question: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A question whose answer is per recipient, over clustered transactions: the union over its parts."""
+    return reduce(DataFrame.unionByName, [question(part) for part in parts(tx_lines)])
+
+
+def scam_value_rows(tx_lines, registry: DataFrame, dedupe: bool = True, categories: Sequence[str] | None = None, salts: int = 0) -> DataFrame:
+    """Valid dated transactions of listed addresses: address, month_no, value_wei, category, copies."""
+    return _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories, salts)
 
 
 def scam_value_by_address(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -325,10 +348,10 @@ def scam_category_rows(tx_lines: DataFrame, registry: DataFrame, dedupe: bool =
     return totals.select("address", month_label("month_no").alias("month"), "category", "value")
 
 
-def scam_monthly(tx_lines: DataFrame, registry: DataFrame, dedupe: bool = True,
-                 categories: Sequence[str] | None = None) -> DataFrame:
+def scam_monthly(tx_lines, registry: DataFrame, dedupe: bool = True,
+                 categories: Sequence[str] | None = None, salts: int = 0) -> DataFrame:
     """Value received per month and scam category: month, category, total_value."""
-    rows = _member_rows(tx_lines, registry, tx_recipient_time(), ["month_no", "value_wei"], "category", dedupe, categories)
+    rows = scam_value_rows(tx_lines, registry, dedupe, categories, salts)
     return _labelled(whole_totals(rows, ["month_no", "category"], "value_wei", "total_value", "copies")).orderBy(
         "month", "category")
 

@@ -516,6 +516,18 @@ SELECT f[1] AS hash, f[7] AS to_address, CAST({amount(F_VALUE)} AS DOUBLE) AS va
        len(f) = 15 AS ok_arity, {num(F_VALUE)} AS ok_number_value, {integer(F_TS)} AS ok_integer_block_timestamp
 FROM txf"""
     for key in ("monthly_value", "monthly_gas", "top_contracts", "above_below_mean", "top_miners",
-                "top_scams", "scam_monthly"):
+                "top_scams", "scam_monthly", "quality_report"):
         q[key + "_columnar"] = q[key]
+    for key in ("monthly_value", "monthly_gas", "scam_monthly"):
+        q[key + "_incremental"] = q[key]
+    for key in ("top_contracts", "above_below_mean", "top_scams"):
+        q[key + "_clustered"] = q[key]
+    q["scam_monthly_salted"] = q["scam_monthly"]
+    q["compare_saved"] = f"""
+-- the limit keeps the conditions on months from being asked of lines that have none
+WITH s AS (SELECT * FROM ({q["monthly_value"]}) LIMIT 1000000), m AS (SELECT month, substr(month, 6, 2) AS mm FROM s)
+SELECT month, 'extra' AS kind, CAST(NULL AS VARCHAR) AS "column" FROM m WHERE mm IN ('02', '07')
+UNION ALL SELECT 'x' || month, 'missing', NULL FROM m WHERE mm = '07'
+UNION ALL SELECT month, 'different', 'avg_value' FROM m WHERE mm = '03'
+UNION ALL SELECT month, 'different', 'n' FROM m WHERE mm IN ('05', '06')"""
     return q

@@ -32,6 +32,7 @@ from chaintally.operators.validate import (
 )
 from chaintally.schemas import BLOCK_FIELDS, FIELD_INDEX, TRANSACTION_FIELDS
 from chaintally.sources.lines import LINE, computed_once, field, scan_lines, with_fields
+from chaintally.sources.results import load_result, save_result
 
 TX = FIELD_INDEX["transactions"]
 BLK = FIELD_INDEX["blocks"]
@@ -162,6 +163,28 @@ def ingest_parsed(parsed: DataFrame, path: str, partition_by: str | None = None)
         dealt.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).partitionBy(partition_by).parquet(path)
     else:
         parsed.write.mode("overwrite").parquet(path)
+    count_outcomes(parsed.sparkSession, path)
+
+
+def outcomes_path(path: str) -> str:
+    return f"{path.rstrip('/')}_outcomes"
+
+
+def count_outcomes(spark: SparkSession, path: str) -> None:
+    """Write, next to an ingested table, how many lines of each of its files had each outcome of all rules.
+
+    Only the outcome columns are read.  A quality report for any rule set comes from these
+    few rows (``operators.validate.outcome_report``).
+    """
+    table = spark.read.parquet(path)
+    outcomes = [c for c in table.columns if c.startswith("ok_")]
+    counts = table.select(F.col("_metadata.file_name").alias("file"), *outcomes).groupBy("file", *outcomes).agg(F.count(F.lit(1)).alias("n"))
+    save_result(counts.coalesce(1), outcomes_path(path))
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """The outcome counts of an ingested table: file, ok_* columns, n."""
+    return load_result(spark, outcomes_path(path))
 
 
 def ingest_transactions(spark: SparkSession, lines_path, out_path: str,

@@ -4,9 +4,9 @@ New transaction files dropped into a folder are read as a text stream, go
 through the same rules and month key as the batch question, and update a
 running (month -> count, exact sum) state kept in the checkpoint folder,
 so a restarted or failed job resumes where it stopped.  Every micro-batch
-writes the complete, small result table (one row per month) with the
-DataFrame writer, into a folder of its own; only the newest whole one is read,
-so a crash while writing leaves the result before it.
+publishes the complete, small result table (one row per month) as a new version
+(``sources.results.publish``): a crash while writing leaves the result before it, and older
+versions are deleted.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from chaintally.functions.scalar import mean_of, month_label
 from chaintally.operators.validate import keep_valid, tx_value_time
 from chaintally.sources.parsed import needs, parsed_transactions
+from chaintally.sources.results import newest, publish
+
+RESULT = "month string, n long, total_value decimal(38,6), avg_value double"
 
 
 def monthly_totals_stream(lines: DataFrame) -> DataFrame:
@@ -35,9 +38,7 @@ def start_monthly_value_stream(spark: SparkSession, source_dir: str, out_dir: st
     result = monthly_totals_stream(lines)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
-        done = batch.sparkSession.range(epoch, epoch + 1).withColumnRenamed("id", "epoch")
-        done.coalesce(1).write.mode("append").parquet(f"{out_dir}/written")
+        publish(batch.sparkSession, out_dir, batch.write.parquet)
 
     writer = (result.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint_dir)
@@ -57,6 +58,8 @@ def run_monthly_value_stream(spark: SparkSession, source_dir: str, work_dir: str
 
 
 def newest_result(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The table of the newest epoch that was written whole."""
-    newest = spark.read.parquet(f"{out_dir}/written").agg(F.max("epoch")).first()[0]
-    return spark.read.parquet(f"{out_dir}/epoch={newest}")
+    """The table of the newest micro-batch that was written whole; an empty one where none was."""
+    folder = newest(spark, out_dir)
+    if folder == out_dir:
+        return spark.createDataFrame([], RESULT)
+    return spark.read.parquet(folder)

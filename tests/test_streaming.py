@@ -21,3 +21,10 @@ def test_stream_equals_batch_and_is_incremental(spark):
     second = sorted(run_monthly_value_stream(spark, f"{src}/*", work).collect())
     assert [(r.month, r.n) for r in second] == [(r.month, r.n) for r in batch]
     assert all(abs(a.avg_value - b.avg_value) <= 1e-9 * abs(b.avg_value) for a, b in zip(second, batch))
+
+
+def test_a_stream_without_input_has_an_empty_result(spark):
+    src, work = staging_path(spark, "stream-none"), staging_path(spark, "stream-none-work")
+    spark.range(0).selectExpr("cast(id as string) as value").write.text(src)
+    empty = run_monthly_value_stream(spark, src, work)
+    assert empty.columns == ["month", "n", "avg_value"] and empty.collect() == []
