@@ -45,8 +45,8 @@ BEGINNINGS, MIN_BAGS = (4, 5, 6, 7, 8), 3
 # Share of the toxic bags in the likelihood, and the first logit of a sentence without known words.
 TOXIC_SHARE, FIRST_BIAS = 0.3, -9.0
 ROUNDS, RATE, L1 = 250, 1.5, 5e-5
-# Features of a gradient step held at once.
-CHUNK = 1 << 20
+# Features of a gradient step held at once, and files of the sample, of which the driver reads one at a time.
+CHUNK, THIN_FILES = 1 << 20, 32
 THRESHOLD = 0.5
 
 _ENDS = b".!?\n\r|;"
@@ -157,25 +157,29 @@ def fit(bags: list[Bag], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, fl
 
 def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> tuple[np.ndarray, np.ndarray, float]:
     """As ``fit``, from (bag, label) rows that can be read twice in one order: for the features met in enough bags, then for their numbers."""
-    bags_with, labels = np.zeros(FEATURES, dtype=np.int32), []
+    bags_with, labels, most = np.zeros(FEATURES, dtype=np.int32), [], 0
     for b, label in rows():
         bags_with[np.unique(b.features)] += 1
         labels.append(label)
+        most += len(b.features)
     if len(set(labels)) < 2:
         return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
     n, bias, labels = len(labels), FIRST_BIAS, np.array(labels, dtype=float)
     met = bags_with >= min(MIN_BAGS, n)
     used, number = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.int32)
-    features, sizes, times, of_bag = [], [], [], []
+    feature, filled = np.empty(most, dtype=np.int32), 0
+    sizes, times, of_bag = [], [], []
     for b, _ in rows():
         keep = met[b.features]
-        features.append(number[b.features[keep]])
+        kept = number[b.features[keep]]
+        feature[filled:filled + len(kept)] = kept
+        filled += len(kept)
         sizes.append(np.bincount(np.repeat(np.arange(len(b.sizes)), b.sizes)[keep], minlength=len(b.sizes)).astype(np.int32))
         times.append(np.array(b.times))
         of_bag.append(len(b.sizes))
     bag = np.repeat(np.arange(n, dtype=np.int32), of_bag)
-    feature, size, times = np.concatenate(features), np.concatenate(sizes), np.concatenate(times)
-    del features, sizes
+    size, times = np.concatenate(sizes), np.concatenate(times)
+    del sizes
     count = len(bag)
     # sentences in chunks of a bounded number of features: first sentence, last, first feature, last
     ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
@@ -225,7 +229,7 @@ def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarr
     total = sum(PER_CLASS.values())
     sizes = rows.select(*keys, "n_words").orderBy(*keys).limit(total).collect()
     limit = words_limit(np.array([r["n_words"] for r in sizes], dtype=np.int64), TRAIN_WORDS)
-    thin = stage(_thin_bags(rows, limit).orderBy(*keys).limit(total).select("toxic", *BAG_TYPES), "toxicity-thin")
+    thin = stage(_thin_bags(rows, limit).orderBy(*keys).limit(total).select("toxic", *BAG_TYPES).repartition(THIN_FILES), "toxicity-thin")
 
     def read():
         for r in thin.toLocalIterator():

@@ -1,25 +1,26 @@
 """WARC fixity audit with Merkle trees.
 
-Method.  Records stand in files in a fixed order, so every record has an
-offset range.  A leaf is the SHA-256 of a record's length and digest; an inner
-node is the SHA-256 of its children's slots and hashes in order and covers
-their ranges; the top level is one root.  Two replicas' roots are compared
-first; only below nodes that differ are the children compared, down to the
-damaged records and their offsets.
-
-Scale.  A node has at most ``FANOUT`` children, so no group is larger, and each
-level is a FANOUT-th of the one below.  Record bytes are hashed where they are
-read and never shuffled; the descent joins the differing nodes of a level with
-the next level, so its cost follows the damage.
-
-Records match by their number in the replica.  Status: ``changed``, ``missing`` (not
-in the second replica) or ``extra`` (not in the first).
+Method.  A replica is files of records in an order of their own.  Every record has an offset range in its
+file; a leaf is the SHA-256 of (file, offset, length, digest).  An inner node covers the range
+from its first child's start to its last one's end, and is the SHA-256 of that range and of its children's
+slots and hashes.  A file's tree ends in one node; above the files, nodes are slots of the hash of the file's name, up to
+one root.  Two replicas' roots are compared first; only below nodes that differ are the children compared.  Each
+replica is numbered from its own file order, so a record cut out shifts all that follow it in its file, and all
+these leaves differ; below the differing branches the records of both replicas are therefore aligned by
+their ids, and those that only moved are not reported.
+
+Scale.  A node has at most ``FANOUT`` children, so no group is larger (in the lowest slots of
+file names, a few files), and each level is a FANOUT-th of the one below.  Record bytes are hashed where they are
+read and never shuffled; records are numbered file by file.  The descent joins the differing nodes of a level with
+the next level, so its cost follows the damage: at most the damaged files.
+
+Status: ``changed``, ``missing`` (not in the second replica) or ``extra`` (not in the first).
 
 Defined cases: a null url or payload is an empty one; a null page_id sorts
-first; rows that repeat a page are records of their own; a number that a
+first; rows that repeat a page are records of their own; an id that a
 replica holds twice counts with its least digest, and its copies make it
-differ; equal replicas and empty tables give an empty result; extra columns
-are ignored.
+differ; a file that one replica lacks has all its records missing; equal replicas and empty tables give an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,41 +47,97 @@ def fixity(text: Column) -> Column:
 
 
 def with_offsets(records: DataFrame) -> DataFrame:
-    """file and offset (bytes before the record in its file) from (index, length)."""
-    before = Window.partitionBy("file").orderBy("index").rowsBetween(Window.unboundedPreceding, -1)
-    return (records.withColumn("file", F.floor(F.col("index") / FILE_RECORDS))
+    """node (number of the record in its file) and offset (bytes before it) from (file, place, length): ``place`` gives the order."""
+    order = Window.partitionBy("file").orderBy("place")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return (records.withColumn("node", F.row_number().over(order).cast("long") - 1)
                    .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))))
 
 
-def tree(records: DataFrame, size: int, fanout: int, name: str) -> list[DataFrame]:
-    """Levels (node, hash) from the leaves up to one root, over numbers 0 to size - 1."""
-    leaf = F.sha2(F.concat_ws(":", F.col("n").cast("string"), F.col("length").cast("string"), "digest"), 256)
-    held = records.groupBy(F.col("index").alias("node")).agg(
-        F.count("*").alias("n"), F.min(F.struct("digest", "length")).alias("least"))
-    levels = [stage(held.select("node", "n", "least.length", "least.digest").select("node", leaf.alias("hash")), f"{name}-0")]
-    while size > 1:
-        size = -(-size // fanout)
-        slots = F.transform(F.sort_array(F.collect_list(F.struct("node", "hash"))),
-                            lambda c: F.concat_ws(":", (c["node"] % fanout).cast("string"), c["hash"]))
-        parents = levels[-1].groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(slots.alias("slots"))
-        levels.append(stage(parents.select("node", F.sha2(F.concat_ws("|", "slots"), 256).alias("hash")), f"{name}-{len(levels)}"))
-    return levels
+def _parents(level: DataFrame, keys: list, node, slot, fanout_range: bool) -> DataFrame:
+    """The next level: the hash of each node's range, slots and children's hashes."""
+    children = F.sort_array(F.collect_list(F.struct(slot.alias("slot"), F.col("hash"))))
+    ranges = [F.min("start").alias("start"), F.max("end").alias("end")] if fanout_range else []
+    grouped = level.groupBy(*keys, node.alias("node")).agg(children.alias("children"), *ranges)
+    texts = F.transform("children", lambda c: F.concat_ws(":", c["slot"].cast("string"), c["hash"]))
+    covered = [F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string"))] if fanout_range else []
+    kept = [*keys, "node", *(["start", "end"] if fanout_range else [])]
+    return grouped.select(*kept, F.sha2(F.concat_ws("|", *covered, F.array_join(texts, "|")), 256).alias("hash"))
+
+
+def tree(records: DataFrame, depth: int, widths: list[int], fanout: int, name: str) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """Leaves, the levels of the files' trees (lowest first), and the levels above the files (lowest first).
+
+    ``depth``: levels above the leaves within a file; ``widths``: slots of file names at each level above, down to 1.
+    """
+    numbered = with_offsets(records)
+    leaf = F.sha2(F.concat_ws(":", F.col("file").cast("string"), F.col("offset").cast("string"), F.col("length").cast("string"), "digest"), 256)
+    leaves = stage(numbered.select("record_id", "file", "node", "offset", "length", "digest", leaf.alias("hash")), f"{name}-leaves")
+    levels = [leaves.select("file", "node", F.col("offset").alias("start"), (F.col("offset") + F.col("length")).alias("end"), "hash")]
+    for k in range(depth):
+        levels.append(stage(_parents(levels[-1], ["file"], F.floor(F.col("node") / fanout), F.col("node") % fanout, True), f"{name}-{k + 1}"))
+    above, below = [], levels[-1].select(F.col("file").alias("slot"), _slot(widths[0]).alias("node"), "hash")
+    for k, width in enumerate(widths):
+        if k:
+            below = above[-1].select((F.col("node") % fanout).alias("slot"), F.floor(F.col("node") / fanout).alias("node"), "hash")
+        above.append(stage(_parents(below, [], F.col("node"), F.col("slot"), False), f"{name}-above-{k}"))
+    return leaves, levels, above
+
+
+def _slot(width: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("file").cast("string")), F.lit(width))
+
+
+def _differing(one: DataFrame, two: DataFrame, keys: list[str], name: str) -> DataFrame:
+    pairs = one.select(*keys, F.col("hash").alias("a")).join(two.select(*keys, F.col("hash").alias("b")), keys, "full_outer")
+    return stage(pairs.where(~F.col("a").eqNullSafe(F.col("b"))).select(*keys), name)
+
+
+def _by_id(leaves: DataFrame, tag: str) -> DataFrame:
+    """One row per record id: how often it stands, and its least digest and length."""
+    return leaves.groupBy("record_id").agg(F.struct(F.count("*").alias("n"), F.min(F.struct("digest", "length")).alias("least")).alias(tag))
 
 
 def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """index and status of every record that differs between replicas (index, length, digest)."""
-    size = max((df.agg(F.max("index")).first()[0] for df in (first, second)), key=lambda m: -1 if m is None else m)
-    size = 0 if size is None else size + 1
-    trees = [tree(df, size, fanout, f"fixity-{tag}") for df, tag in ((first, "a"), (second, "b"))]
+    """record_id and status of every record that differs between replicas (record_id, file, place, length, digest)."""
+    sizes = [df.groupBy("file").agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*")).first() for df in (first, second)]
+    longest, files = (max(int(s[k] or 0) for s in sizes) for k in (0, 1))
+    depth, width = 0, 1
+    while fanout ** depth < longest:
+        depth += 1
+    while width < files:
+        width *= fanout
+    widths = [width]
+    while widths[-1] > 1:
+        widths.append(widths[-1] // fanout)
+    (leaves_a, a, above_a), (leaves_b, b, above_b) = (tree(df, depth, widths, fanout, f"fixity-{tag}") for df, tag in ((first, "a"), (second, "b")))
     differing = None
-    for one, two in zip(reversed(trees[0]), reversed(trees[1])):
+    for one, two in zip(reversed(above_a), reversed(above_b)):
         if differing is not None:
-            below = differing.select(F.col("node").alias("parent"))
-            one, two = (t.join(below, F.floor(F.col("node") / fanout) == F.col("parent"), "left_semi") for t in (one, two))
-        pairs = one.withColumnRenamed("hash", "a").join(two.withColumnRenamed("hash", "b"), "node", "full_outer")
-        differing = stage(pairs.where(~F.col("a").eqNullSafe(F.col("b"))), "fixity-differing")
+            parent = differing.withColumnRenamed("node", "parent")
+            one, two = (t.join(parent, F.floor(F.col("node") / fanout) == F.col("parent"), "left_semi") for t in (one, two))
+        differing = _differing(one, two, ["node"], "fixity-slots")
+    slots, below = differing.withColumnRenamed("node", "parent"), None
+    for one, two in zip(reversed(a), reversed(b)):
+        if below is None:
+            one, two = (t.join(slots, _slot(widths[0]) == F.col("parent"), "left_semi") for t in (one, two))
+        else:
+            one, two = (_under(t, below, fanout) for t in (one, two))
+        below = _differing(one, two, ["file", "node"], "fixity-differing")
+    # the records of the differing leaves; a record that only moved is in both lists
+    found = [_by_id(leaves.join(below, ["file", "node"], "left_semi"), tag) for leaves, tag in ((leaves_a, "a"), (leaves_b, "b"))]
+    odd = found[0].join(found[1], "record_id", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select("record_id")
+    odd = stage(odd, "fixity-odd")
+    # what the whole replicas hold of these ids decides
+    held = [_by_id(leaves.join(odd, "record_id", "left_semi"), tag) for leaves, tag in ((leaves_a, "a"), (leaves_b, "b"))]
     status = F.when(F.col("a").isNull(), "extra").when(F.col("b").isNull(), "missing").otherwise("changed")
-    return differing.select(F.col("node").alias("index"), status.alias("status"))
+    return held[0].join(held[1], "record_id", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select("record_id", status.alias("status"))
+
+
+def _under(level: DataFrame, parents: DataFrame, fanout: int) -> DataFrame:
+    """The nodes of a level below differing ones."""
+    up = parents.select(F.col("file").alias("of"), F.col("node").alias("parent"))
+    return level.join(up, F.col("file").eqNullSafe(F.col("of")) & (F.floor(F.col("node") / fanout) == F.col("parent")), "left_semi")
 
 
 def op7_warc_fixity(spark, sf_dir: str) -> DataFrame:
@@ -97,10 +154,13 @@ def op7_warc_fixity(spark, sf_dir: str) -> DataFrame:
     slim = pages.select("page_id", "url", fixity(record_text(F.col("url"), payload)).alias("a"),
                         fixity(record_text(F.col("url"), damaged)).alias("b")).withColumn("digest", F.col("a.digest"))
     rows = stage(dense_index(slim, ["page_id", "url", "digest"], "fixity-order"), "fixity-records")
-    first = rows.where(F.coalesce(rule != 3, F.lit(True))).select("index", "a.length", "a.digest")
-    second = rows.where(F.coalesce(rule != 2, F.lit(True))).select("index", "b.length", "b.digest")
-    placed = with_offsets(rows.select("index", "page_id", "url", "a.length"))
-    return audit(first, second).join(placed, "index").select("index", "page_id", "url", "file", "offset", "length", "status")
+    rows = rows.withColumn("file", F.floor(F.col("index") / FILE_RECORDS)).withColumn("place", F.col("index"))
+    # each replica holds the same files, numbered and measured by the records it has
+    first = rows.where(F.coalesce(rule != 3, F.lit(True))).select(F.col("index").alias("record_id"), "file", "place", "a.length", "a.digest")
+    second = rows.where(F.coalesce(rule != 2, F.lit(True))).select(F.col("index").alias("record_id"), "file", "place", "b.length", "b.digest")
+    placed = with_offsets(rows.select("index", "page_id", "url", "file", "place", "a.length"))
+    found = audit(first, second).withColumnRenamed("record_id", "index")
+    return found.join(placed, "index").select("index", "page_id", "url", "file", "offset", "length", "status")
 
 
 OP7_SQL = r"""
