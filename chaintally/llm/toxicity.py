@@ -5,7 +5,9 @@ and word beginnings (a stem with another ending is seen as well) gives each
 sentence a probability; the document is toxic if any sentence is (noisy-or).
 Weights are learned from document labels alone, by proximal gradient steps on
 the noisy-or likelihood.  A sentence whose words have no weight tells nothing and counts as 0: the
-bias alone doesn't add up with the length of a text.  In a toxic document, the sentences at 0.5 or more (or,
+bias alone doesn't add up with the length of a text; nor do sentences of small probability: the model learns
+a floor, the highest below which hardly a toxic training document needs a sentence, and sentences under it are not
+heard (a document with none above has its likeliest sentence's probability).  In a toxic document, the sentences at 0.5 or more (or,
 if none is, the likeliest ones) are then the located offenders.
 
 Scale.  Learning uses a bounded sample of labelled rows of every length (``PER_CLASS`` of each
@@ -48,6 +50,8 @@ ROUNDS, RATE, L1 = 250, 1.5, 5e-5
 # Features of a gradient step held at once, and files of the sample, of which the driver reads one at a time.
 CHUNK, THIN_FILES = 1 << 20, 32
 THRESHOLD = 0.5
+# Probabilities tried as the floor, highest first, and the share of found toxic documents it may lose.
+FLOORS, LOST_SHARE = (0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01, 0.005), 0.005
 
 _ENDS = b".!?\n\r|;"
 # letters of A-Z lower-cased, bytes beyond ASCII and apostrophes kept, sentence ends as dots, the rest as spaces
@@ -93,6 +97,38 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0.0, logits).sum()))
 
 
+class Model(NamedTuple):
+    """Features with weight, their weights, the bias, and the logit from which a sentence is heard."""
+    features: np.ndarray
+    weights: np.ndarray
+    bias: float
+    floor: float
+
+
+NOTHING = Model(np.empty(0, dtype=np.int64), np.empty(0), float("-inf"), float("-inf"))
+
+
+def bag_score(logits: np.ndarray, floor: float) -> float:
+    """Noisy-or of the sentences that are heard; where none is, the likeliest one's probability."""
+    heard = logits[logits >= floor]
+    if len(heard) or not len(logits):
+        return noisy_or(heard)
+    return noisy_or(logits[[logits.argmax()]])
+
+
+def learned_floor(z: np.ndarray, bag: np.ndarray, times: np.ndarray, labels: np.ndarray) -> float:
+    """The highest of ``FLOORS`` (as a logit) at which hardly a toxic training document that the plain noisy-or finds is lost."""
+    def found(floor: float) -> np.ndarray:
+        heard = np.where(z >= floor, times * np.logaddexp(0.0, z), 0.0)
+        return (-np.expm1(-np.bincount(bag, heard, minlength=len(labels))) >= THRESHOLD) & (labels == 1)
+
+    whole = int(found(float("-inf")).sum())
+    for p in FLOORS:
+        if whole - int(found(np.log(p / (1 - p))).sum()) <= LOST_SHARE * whole:
+            return float(np.log(p / (1 - p)))
+    return float("-inf")
+
+
 class Bag(NamedTuple):
     """The different sentences of a text that have words: all their features in a row, and of each sentence the
     number of features, of words, and how many times it stands (a share of the bag's sentences where it is thinned)."""
@@ -144,18 +180,18 @@ def words_limit(sizes: np.ndarray, total: int) -> int:
     return int((total - ordered[:k].sum()) // (len(ordered) - k))
 
 
-def train(bags: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, float]:
+def train(bags: list[tuple[bytes, int]]) -> Model:
     """(features, their weights, bias) from (text, label) rows; features without weight are left out."""
     known: dict[bytes, list[int]] = {}
     return fit([bag_of(raw, known) for raw, _ in bags], np.array([y for _, y in bags], dtype=float))
 
 
-def fit(bags: list[Bag], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(bags: list[Bag], labels: np.ndarray) -> Model:
     """(features, their weights, bias) from bags and their labels."""
     return fit_stream(lambda: zip(bags, labels))
 
 
-def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> Model:
     """As ``fit``, from (bag, label) rows that can be read twice in one order: for the features met in enough bags, then for their numbers."""
     bags_with, labels, most = np.zeros(FEATURES, dtype=np.int32), [], 0
     for b, label in rows():
@@ -163,7 +199,7 @@ def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> tuple[np.ndar
         labels.append(label)
         most += len(b.features)
     if len(set(labels)) < 2:
-        return np.empty(0, dtype=np.int64), np.empty(0), float("-inf")
+        return NOTHING
     n, bias, labels = len(labels), FIRST_BIAS, np.array(labels, dtype=float)
     met = bags_with >= min(MIN_BAGS, n)
     used, number = np.flatnonzero(met), (np.cumsum(met) - 1).astype(np.int32)
@@ -206,17 +242,22 @@ def fit_stream(rows: Callable[[], Iterable[tuple[Bag, float]]]) -> tuple[np.ndar
         w = np.sign(w) * np.maximum(np.abs(w) - rate * L1, 0.0)
         grown_bias += g_sentence.sum() ** 2
         bias -= 0.1 * g_sentence.sum() / np.sqrt(grown_bias)
-    return used[w != 0], w[w != 0], float(bias)
+    known = np.zeros(count, dtype=bool)
+    for s, e, f, t in chunks:
+        z[s:e] = np.bincount(np.repeat(np.arange(e - s), size[s:e]), w[feature[f:t]], minlength=e - s)
+        known[s:e] = z[s:e] != 0
+    floor = learned_floor(np.where(known, z + bias, -np.inf), bag, times, labels)
+    return Model(used[w != 0], w[w != 0], float(bias), floor)
 
 
-def model_weights(model: tuple[np.ndarray, np.ndarray, float]) -> tuple[Weights, float]:
+def model_weights(model: Model) -> tuple[Weights, float]:
     """Weights by word and the bias of a trained model."""
     dense = np.zeros(FEATURES)
-    dense[model[0]] = model[1]
-    return Weights(dense), model[2]
+    dense[model.features] = model.weights
+    return Weights(dense), model.bias
 
 
-def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> tuple[np.ndarray, np.ndarray, float]:
+def learn(docs: DataFrame, labels: DataFrame, teaches: Column) -> Model:
     """Model from the labelled documents that ``teaches`` (over doc_id) selects."""
     marked = labels.where(teaches & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     texts = docs.where(F.col("text").isNotNull())
@@ -293,7 +334,7 @@ def offenders(raw: bytes, logits: np.ndarray) -> list[dict]:
     return out
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``toxic_score`` and ``offending``, the sentences that make them so."""
     schema = with_columns(docs.schema, ("toxic_score", T.DoubleType()), ("offending", SENTENCES))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -304,7 +345,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
             scores, found = [], []
             for raw in text_bytes(part):
                 logits, told = sentence_logits(raw, weights, bias)
-                scores.append(noisy_or(logits[told]))
+                scores.append(bag_score(logits[told], shared.value.floor))
                 found.append(offenders(raw, np.where(told, logits, -np.inf)) if scores[-1] >= THRESHOLD else [])
             yield extended(part, schema, {"toxic_score": scores, "offending": found})
 
@@ -321,7 +362,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             keep = []
             for raw in text_bytes(part):
                 logits, told = sentence_logits(raw, weights, bias)
-                keep.append(noisy_or(logits[told]) < THRESHOLD)
+                keep.append(bag_score(logits[told], shared.value.floor) < THRESHOLD)
             yield part.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,9 @@ def plain_pipeline(spark, docs, benchmark, model):
 
     def toxic(text):
         z, worded = toxicity.sentence_logits((text or "").encode(), weights, bias)
-        return 1 - float((1 - 1 / (1 + 2.718281828459045 ** -z[worded])).prod()) >= 0.5
+        p = 1 / (1 + 2.718281828459045 ** -z[worded])
+        heard = p[z[worded] >= model.floor]
+        return max(1 - float((1 - heard).prod()), p.max(initial=0)) >= 0.5
 
     rows = [r for r in docs if not toxic(r[1])]
     parts = {}

@@ -115,3 +115,24 @@ def test_sentences_of_unseen_words_do_not_add_up(spark, learned):
     got = {r.doc_id: r for r in tx.score(docs, learned[2]).collect()}
     assert got[1].toxic_score == 0
     assert got[3].toxic_score >= 0.5 and len(got[3].offending) == 1
+
+
+def test_small_probabilities_do_not_add_up(spark, learned):
+    """Long texts of sentences of clean held-out documents stay clean; one bad sentence among them is found."""
+    docs, labels, model = learned
+    assert np.isfinite(model.floor)
+    rng = random.Random(9)
+    clean = [s for r in docs.where("doc_id % 5 = 0").collect() if not labels[r.doc_id][1] for s in r.text.split(".") if s.strip()]
+    texts = [". ".join(rng.choices(clean, k=10_000)) for _ in range(5)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(10 + k, t + ". you vile here") for k, t in enumerate(texts)]
+    got = {r.doc_id: r for r in tx.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert all(got[k].toxic_score < 0.5 for k in range(5)) and all(got[10 + k].toxic_score >= 0.5 for k in range(5))
+
+
+def test_floor_loses_hardly_a_toxic_document():
+    z = np.array([2.0, -1.6, -1.6, -1.6, -1.6, -6.0])
+    bag, times = np.array([0, 1, 1, 1, 1, 2]), np.ones(6)
+    # the second document needs its four sentences of 0.17
+    assert tx.learned_floor(z, bag, times, np.array([1.0, 1.0, 0.0])) == pytest.approx(np.log(0.15 / 0.85))
+    assert tx.learned_floor(z, bag, times, np.array([1.0, 0.0, 0.0])) == pytest.approx(np.log(0.2 / 0.8))
+    assert tx.bag_score(z[1:5], 0.0) == pytest.approx(1 / (1 + np.exp(1.6))) and tx.bag_score(np.array([]), 0.0) == 0
