@@ -77,35 +77,43 @@ HELD_WORDS = 250_000
 def frequent_words(docs: DataFrame, share: float, split, held_words: int = HELD_WORDS) -> list[tuple[bytes, int]]:
     """(word, n) of the words with at least ``share`` of all words of all texts, most frequent first; at most 1 / share.
 
-    ``split`` gives the words of a text.  A word with that share of the whole has it in some part of it: one pass
-    names each part's words of that share, another counts those in all texts.
+    ``split`` gives the words of a text.  A word with that share of the whole has it in some task's texts: one pass
+    names each task's words that may have that share, another counts those in all texts; each hands on one list a task.
     """
     texts = docs.select("text")
 
-    def counted(batches, report):
-        held: Counter[bytes] = Counter()
+    def name(batches):
+        # counts of a task's words; where they are too many, the least are dropped and what they may have had is remembered
+        held, dropped, total = Counter(), 0, 0
         for part in parts(batches):
             for raw in text_bytes(part):
-                held.update(split(raw))
-            if len(held) > held_words:
-                yield report(held)
-                held.clear()
-        yield report(held)
-
-    def naming(held):
-        least = share * held.total()
-        return pa.RecordBatch.from_arrays([pa.array([w for w, c in held.items() if c >= least], type=pa.binary())], names=["word"])
-
-    named = stage(texts.mapInArrow(lambda b: counted(b, naming), "word binary").distinct(), "words-named")
-    # each part names 1 / share words at most, and the parts mostly name the same
+                found = split(raw)
+                total += len(found)
+                held.update(found)
+            while len(held) > held_words:
+                cut = int(np.median(np.fromiter(held.values(), dtype=np.int64, count=len(held))))
+                held = Counter({w: c - cut for w, c in held.items() if c > cut})
+                dropped += cut
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, c in held.items() if c + dropped >= share * total], type=pa.binary())], names=["word"])
+
+    named = stage(texts.mapInArrow(name, "word binary").distinct(), "words-named")
+    # a task names 1 / share words or few more, and the tasks mostly name the same
     shared = docs.sparkSession.sparkContext.broadcast({bytes(r[0]) for r in named.toLocalIterator()})
 
-    def counting(held):
-        kept = {w: held[w] for w in shared.value if w in held}
-        return pa.RecordBatch.from_arrays(
-            [pa.array([None, *kept], type=pa.binary()), pa.array([held.total(), *kept.values()], type=pa.int64())], names=["word", "n"])
-
-    counts = stage(texts.mapInArrow(lambda b: counted(b, counting), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words-counted")
+    def count(batches):
+        wanted, total = dict.fromkeys(shared.value, 0), 0
+        for part in parts(batches):
+            held: Counter[bytes] = Counter()
+            for raw in text_bytes(part):
+                held.update(split(raw))
+            total += held.total()
+            for w in wanted.keys() & held.keys():
+                wanted[w] += held[w]
+        kept = {w: n for w, n in wanted.items() if n}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *kept], type=pa.binary()), pa.array([total, *kept.values()], type=pa.int64())], names=["word", "n"])
+
+    counts = stage(texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words-counted")
     total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
     kept = counts.where(F.col("word").isNotNull() & (F.col("n") >= share * total)).collect()
     return sorted(((bytes(r["word"]), r["n"]) for r in kept), key=lambda r: (-r[1], r[0]))
