@@ -44,6 +44,7 @@ from chaintally.plans import binding as B
 from chaintally.plans import ledger as L
 from chaintally.sources.export import scan_blocks, scan_contracts, scan_transactions
 from chaintally.sources.lines import field, scan_lines, with_fields
+from chaintally.sources.parsed import needs, parsed_transactions
 from chaintally.sources.registry import scan_registry
 from chaintally.sources.results import (
     load_result,
@@ -164,7 +165,8 @@ def q_month_key(spark, d):
 
 def q_quality_report(spark, d):
     rules = [field_count(15), not_header(0, "hash")] + tx_value_time()[1:]
-    return quality_report(with_fields(_tx_with_header(spark, d)), rules)
+    # the outcomes of the parsed form: each field is parsed once for all its rules
+    return quality_report(parsed_transactions(_tx_with_header(spark, d), needs([], rules)), rules)
 
 
 def q_peek_rows(spark, d):
