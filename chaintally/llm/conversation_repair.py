@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from chaintally.llm.common import stage, table
 
 REROLE, DELETE, INSERT, CUT = 2, 3, 2, 1
-SEGMENT = 64
+SEGMENT = 16
 # States of the grammar: nothing yet, after s, after u, after a.
 NOTHING, AFTER_S, AFTER_U, AFTER_A = range(4)
 ENDS = (NOTHING, AFTER_A)
