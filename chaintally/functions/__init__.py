@@ -12,8 +12,10 @@ from chaintally.functions.parse import (
     is_number,
     parse_amount,
     parse_double,
+    parse_double_compat,
     parse_gas,
     parse_long,
+    parse_long_compat,
     parse_time,
     parse_wei,
 )
@@ -31,7 +33,7 @@ from chaintally.functions.whole import digits_of, limbs, parse_whole, whole_orde
 
 __all__ = [
     "INTEGER_PATTERN", "NUMBER_PATTERN", "is_integer", "is_nonempty",
-    "is_number", "parse_amount", "parse_double", "parse_gas", "parse_long", "parse_time",
+    "is_number", "parse_amount", "parse_double", "parse_double_compat", "parse_gas", "parse_long", "parse_long_compat", "parse_time",
     "parse_wei", "parse_whole", "digits_of", "limbs", "whole_order", "bits_to_gb", "composite_id", "hex_bits", "mean_of", "month_key",
     "month_label", "month_number", "trim_chars",
 ]

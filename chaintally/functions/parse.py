@@ -7,6 +7,10 @@ The patterns refuse "nan", "inf", "1_000", "1d" and hex text.  A value that
 matches but does not fit the target type (a 78-digit uint256) becomes NULL.
 Validity rules are ``parse_*(field) IS NOT NULL``, so such a value lands in
 the reject lane; a kept line never carries a NULL where a number is summed.
+
+The published jobs checked numbers with a scripting language's own conversions, which
+take more: single underscores between digits, a bare point at either end, infinities and
+"nan" in any case.  ``*_compat`` accept what those do (of ASCII digits and white space).
 """
 
 from __future__ import annotations
@@ -19,6 +23,12 @@ from chaintally.schemas import AMOUNT, GAS, MAX_EPOCH, MIN_EPOCH, WEI
 # Accepted number and integer text (leading/trailing blanks ok).
 NUMBER_PATTERN = r"^\s*[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+# The same for the published jobs' conversions.
+_DIGITS = r"\d(_?\d)*"
+NUMBER_COMPAT = rf"^\s*[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\s*$"
+INTEGER_COMPAT = rf"^\s*[+-]?{_DIGITS}\s*$"
+INFINITY_COMPAT = r"^\s*[+-]?(?i:inf|infinity)\s*$"
+NAN_COMPAT = r"^\s*[+-]?(?i:nan)\s*$"
 
 
 def _col(c) -> Column:
@@ -74,6 +84,21 @@ def parse_double(c) -> Column:
     return F.when(is_number(c), _try_cast(c, "double"))
 
 
+def parse_double_compat(c) -> Column:
+    """Text to double as the published jobs converted it, NaN and infinities included; NULL for what they refused."""
+    c = _col(c)
+    infinity = F.when(c.contains("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return (F.when(c.rlike(NUMBER_COMPAT), F.regexp_replace(c, r"[\s_]", "").try_cast("double"))
+             .when(c.rlike(INFINITY_COMPAT), infinity)
+             .when(c.rlike(NAN_COMPAT), F.lit(float("nan"))))
+
+
+def parse_long_compat(c) -> Column:
+    """Whole-number text to bigint as the published jobs converted it; NULL for what they refused or on overflow."""
+    c = _col(c)
+    return F.when(c.rlike(INTEGER_COMPAT), F.regexp_replace(c, r"[\s_]", "").try_cast("bigint"))
+
+
 def in_calendar(epoch_seconds) -> Column:
     """True for seconds whose UTC date has a year from 1 to 9999; NULL is False."""
     return F.coalesce(_col(epoch_seconds).between(MIN_EPOCH, MAX_EPOCH), F.lit(False))

@@ -19,8 +19,10 @@ from chaintally.functions.parse import (
     in_calendar,
     is_nonempty,
     parse_amount,
+    parse_double_compat,
     parse_gas,
     parse_long,
+    parse_long_compat,
     parse_time,
 )
 from chaintally.functions.whole import parse_whole
@@ -86,6 +88,16 @@ def integer(i: int, name: str) -> Rule:
     return _present("integer", i, name, parse_long)
 
 
+def numeric_compat(i: int, name: str) -> Rule:
+    """A number as the published jobs accepted it: also "1_000", ".5", "5.", infinities and "nan"."""
+    return Rule(f"number:{name}", lambda: parse_double_compat(field(i)).isNotNull(), key=f"ok_number_{name}_compat")
+
+
+def integer_compat(i: int, name: str) -> Rule:
+    """A whole number that fits a bigint, as the published jobs accepted it: also "1_000"."""
+    return Rule(f"integer:{name}", lambda: parse_long_compat(field(i)).isNotNull(), key=f"ok_integer_{name}_compat")
+
+
 def whole_wei(i: int, name: str) -> Rule:
     """A whole number of any length."""
     return _present("integer", i, name, parse_whole, f"{name}_wei")
@@ -133,6 +145,13 @@ def tx_value_time() -> list[Rule]:
     return [field_count(15), _tx(numeric, "value"), *_tx(timestamp, "block_timestamp")]
 
 
+def tx_value_time_compat() -> list[Rule]:
+    """Monthly activity with the published jobs' own conversions (a time outside the calendar is still refused)."""
+    i = _TX["block_timestamp"]
+    return [field_count(15), _tx(numeric_compat, "value"), integer_compat(i, "block_timestamp"),
+            Rule("range:block_timestamp", lambda: in_calendar(parse_long_compat(field(i))), key="ok_range_block_timestamp_compat")]
+
+
 def tx_recipient(exact: bool = False) -> list[Rule]:
     """Recipient totals: 15 fields, recipient present, value a number.
 
@@ -175,6 +194,7 @@ def block_any() -> list[Rule]:
 
 RULE_SETS: dict[str, Callable[[], list[Rule]]] = {
     "tx_value_time": tx_value_time,
+    "tx_value_time_compat": tx_value_time_compat,
     "tx_recipient": tx_recipient,
     "tx_recipient_exact": lambda: tx_recipient(exact=True),
     "tx_recipient_time": tx_recipient_time,

@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chaintally.functions.parse import parse_double, parse_gas, parse_long
+from chaintally.functions.parse import parse_double, parse_double_compat, parse_gas, parse_long, parse_long_compat
 from chaintally.functions.scalar import bits_to_gb, composite_id, hex_bits, month_key, month_label
 from chaintally.functions.whole import parse_whole
 from chaintally.operators import rank
@@ -31,6 +31,7 @@ from chaintally.operators.validate import (
     nonempty,
     not_header,
     numeric,
+    numeric_compat,
     outcome_report,
     quality_report,
     reason_counts,
@@ -39,6 +40,7 @@ from chaintally.operators.validate import (
     tx_recipient,
     tx_recipient_time,
     tx_value_time,
+    tx_value_time_compat,
 )
 from chaintally.plans import binding as B
 from chaintally.plans import ledger as L
@@ -157,6 +159,15 @@ def q_project_fields(spark, d):
                        parse_long(field(TX["block_timestamp"])).alias("block_timestamp"))
 
 
+def q_project_fields_compat(spark, d):
+    """F3, P3 as the published jobs converted numbers: the kind of the value, and its double where it is finite."""
+    rows = keep_valid(with_fields(_txp(spark, d)), tx_value_time_compat())
+    value = parse_double_compat(field(TX["value"]))
+    kind = (F.when(F.isnan(value), F.lit("nan")).when(F.abs(value) == float("inf"), F.lit("infinite")).otherwise(F.lit("finite")))
+    return rows.select(field(TX["hash"]).alias("hash"), kind.alias("kind"), F.when(kind == "finite", value).alias("value"),
+                       parse_long_compat(field(TX["block_timestamp"])).alias("block_timestamp"))
+
+
 def q_month_key(spark, d):
     cols = B.tx_columns(B.table(spark, d, "lineitem"))
     ts = parse_long(F.col("block_timestamp"))
@@ -408,12 +419,14 @@ QUERIES: dict[str, Query] = {
     "filter_arity": lambda s, d: _filtered(_txp(s, d), field_count(15)),
     "filter_nonempty": lambda s, d: _filtered(_txp(s, d), nonempty(TX["to_address"], "to_address")),
     "filter_numeric": lambda s, d: _filtered(_txp(s, d), numeric(TX["value"], "value")),
+    "filter_numeric_compat": lambda s, d: _filtered(_txp(s, d), numeric_compat(TX["value"], "value")),
     "filter_integer": lambda s, d: _filtered(_txp(s, d), integer(TX["block_timestamp"], "block_timestamp")),
     "filter_header": q_filter_header,
     "filter_lenient": q_filter_lenient,
     "filter_in_set": q_filter_in_set,
     "filter_category": q_filter_category,
     "valid_tx_value_time": lambda s, d: reason_counts(with_fields(_txp(s, d)), tx_value_time()),
+    "valid_tx_value_time_compat": lambda s, d: reason_counts(with_fields(_txp(s, d)), tx_value_time_compat()),
     "valid_tx_recipient": lambda s, d: reason_counts(with_fields(_txp(s, d)), tx_recipient()),
     "valid_tx_recipient_time": lambda s, d: reason_counts(with_fields(_txs(s, d)), tx_recipient_time()),
     "valid_tx_gas": lambda s, d: reason_counts(with_fields(_txp(s, d)), tx_gas()),
@@ -428,6 +441,7 @@ QUERIES: dict[str, Query] = {
         with_fields(_contracts_with_header(s, d), "naive"), contract_rules()),
     "quality_report_registry": lambda s, d: registry_report(_registry(s, d)),
     "quality_report_blocks": lambda s, d: quality_report(with_fields(_blocks_with_header(s, d)), block_miner()),
+    "project_fields_compat": q_project_fields_compat,
     "project_fields": q_project_fields,
     "exact_amount": q_exact_amount,
     # registry

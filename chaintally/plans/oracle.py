@@ -51,6 +51,22 @@ def whole(x: str, kind: str = "BIGINT") -> str:
     return f"CASE WHEN regexp_full_match({x}, {_q(_WHOLE)}) THEN TRY_CAST(trim({x}) AS {kind}) END"
 
 
+# The published jobs' conversions, written out on their own.
+_GROUPED = "[0-9]+(_[0-9]+)*"
+_LOOSE = f"[[:space:]]*[-+]?(({_GROUPED}[.]?({_GROUPED})?)|([.]{_GROUPED}))([eE][-+]?{_GROUPED})?[[:space:]]*"
+_LOOSE_WHOLE = f"[[:space:]]*[-+]?{_GROUPED}[[:space:]]*"
+_NOT_FINITE = "[[:space:]]*[-+]?(inf|infinity|nan)[[:space:]]*"
+
+
+def loose(x: str, pattern: str, kind: str) -> str:
+    """The value as the published jobs converted it, NULL for what they refused and for no finite number."""
+    return f"CASE WHEN regexp_full_match({x}, {_q(pattern)}) THEN TRY_CAST(regexp_replace({x}, '[[:space:]_]', '', 'g') AS {kind}) END"
+
+
+def not_finite(x: str) -> str:
+    return f"coalesce(regexp_full_match(lower({x}), {_q(_NOT_FINITE)}), false)"
+
+
 def num(x: str, kind: str = AMOUNT) -> str:
     return f"(({amount(x, kind)}) IS NOT NULL)"
 
@@ -325,6 +341,16 @@ SELECT hash, CAST(block_timestamp AS BIGINT) AS block_timestamp, {month_of('bloc
     q["filter_arity"] = with_(txp) + "SELECT line AS value FROM txf WHERE len(f) = 15"
     q["filter_nonempty"] = with_(txp) + f"SELECT line AS value FROM txf WHERE {nonempty(F_TO)}"
     q["filter_numeric"] = with_(txp) + f"SELECT line AS value FROM txf WHERE {num(F_VALUE)}"
+    loose_value, loose_time = loose(F_VALUE, _LOOSE, "DOUBLE"), loose(F_TS, _LOOSE_WHOLE, "BIGINT")
+    loose_num = f"(({loose_value}) IS NOT NULL OR {not_finite(F_VALUE)})"
+    loose_rules = [("arity", "len(f) = 15"), ("number:value", loose_num), ("integer:block_timestamp", f"(({loose_time}) IS NOT NULL)"),
+                   ("range:block_timestamp", in_years(F_TS))]
+    q["filter_numeric_compat"] = with_(txp) + f"SELECT line AS value FROM txf WHERE {loose_num}"
+    q["valid_tx_value_time_compat"] = reason_counts_sql([txp], "txf", loose_rules)
+    q["project_fields_compat"] = with_(txp) + f"""
+SELECT f[1] AS hash, CASE WHEN {not_finite(F_VALUE)} THEN CASE WHEN contains(lower({F_VALUE}), 'nan') THEN 'nan' ELSE 'infinite' END ELSE 'finite' END AS kind,
+       {loose_value} AS value, {loose_time} AS block_timestamp
+FROM txf WHERE {" AND ".join(c for _, c in loose_rules)}"""
     q["filter_integer"] = with_(txp) + f"SELECT line AS value FROM txf WHERE {integer(F_TS)}"
     q["filter_header"] = (with_(txp, f"allf AS (SELECT line, string_split(line, ',') AS f FROM txline UNION ALL SELECT {_q(TX_HEADER)}, string_split({_q(TX_HEADER)}, ','))")
                           + "SELECT line AS value FROM allf WHERE coalesce(f[1] <> 'hash', true)")

@@ -12,8 +12,10 @@ from chaintally.functions import (
     is_number,
     month_key,
     parse_amount,
+    parse_double_compat,
     parse_gas,
     parse_long,
+    parse_long_compat,
     parse_time,
     parse_wei,
     trim_chars,
@@ -35,6 +37,27 @@ def test_number_and_integer_rules(spark, text, number, integer):
     assert one(spark, is_integer, text) is integer
 
 
+def test_published_conversions(spark):
+    """The compat parsers take what the published jobs' own conversions take, and give the same values."""
+    texts = ["5", " 5\t", "+5", "-5", "5.7", ".5", "5.", ".", "", " ", "1e18", "1E+2", "1e-2", "1e", "e5", "1_000", "1__0", "_1", "1_", "1_0.0_1", "1_.0",
+             "1._0", "1e1_0", "1e_1", "nan", " NaN ", "-nan", "inf", "-Infinity", "+INF", "infinit", "1d", "5f", "0x10", "value", "--5", "+ 5", "1 0",
+             "9" * 78, "1e400", "-1e400", "9" * 25, "007", "0_7"]
+
+    def converted(kind, text):
+        try:
+            return kind(text)
+        except ValueError:
+            return None
+
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, x string").select(
+        "i", parse_double_compat("x").alias("double"), parse_long_compat("x").alias("long")).orderBy("i").collect()
+    for text, row in zip(texts, rows):
+        whole = converted(int, text)
+        assert repr(row.double) == repr(converted(float, text)), text
+        assert row.long == (whole if whole is not None and abs(whole) < 2 ** 63 else None), text
+    assert rows[-1].double is None and rows[-1].long is None
+
+
 def test_parsers_never_round_or_fail(spark):
     assert one(spark, parse_wei, "5.7") is None            # not rounded to 6
     assert one(spark, parse_amount, "5.7") == Decimal("5.7")

@@ -16,7 +16,8 @@ KEYS = ["monthly_value", "top_contracts", "top_contracts_compat", "top_miners",
         "scam_monthly", "zero_filled_series", "chart_series", "quality_report", "scan_transactions",
         "scan_registry", "read_pair_result", "filter_lenient", "valid_contract_compat", "exact_amount",
         "quality_report_contracts", "quality_report_blocks", "top_scams_columnar", "sink_full_result", "saved_series",
-        "quality_report_registry", "block_overhead_columns", "block_reconcile", "monthly_gas_contracts"]
+        "quality_report_registry", "block_overhead_columns", "block_reconcile", "monthly_gas_contracts",
+        "filter_numeric_compat", "valid_tx_value_time_compat", "project_fields_compat"]
 
 
 @pytest.fixture(scope="module")
