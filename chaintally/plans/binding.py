@@ -220,7 +220,7 @@ _STAGED: dict[tuple[str, str, str], str] = {}
 
 def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
     """Write lines as text files under the checkpoint root; return the folder."""
-    path = staging_path(spark, name)
+    path = staging_path(spark, name, kept=True)
     lines.write.mode("overwrite").text(path)
     return path
 
@@ -246,7 +246,7 @@ def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if path is None:
         lines = export_lines(spark, sf_dir, name)
         parsed = parsed_blocks(lines) if name.startswith("blocks") else parsed_transactions(lines)
-        path = staging_path(spark, name + "-parquet")
+        path = staging_path(spark, name + "-parquet", kept=True)
         ingest_parsed(parsed, path)
         _STAGED[key] = path
     return spark.read.parquet(path)
@@ -267,7 +267,7 @@ def clustered(spark: SparkSession, sf_dir: str, name: str):
     key = (app_id(spark), sf_dir.rstrip("/"), name + "@clustered")
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if key not in _STAGED:
-        path = staging_path(spark, name + "-clustered")
+        path = staging_path(spark, name + "-clustered", kept=True)
         _STAGED[key] = f"{buckets}:{path}"
         return ingest_clustered(ingested(spark, sf_dir, name), path, _table_name(path), buckets)
     buckets, path = _STAGED[key].split(":", 1)

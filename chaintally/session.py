@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,9 +66,43 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the checkpoint root (never reused)."""
-    return f"{checkpoint_root(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex[:12]}"
+# Folders staged within the innermost ``staged_scope``.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def staging_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A fresh folder name under the checkpoint root (never reused); ``kept`` folders outlive a ``staged_scope``."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex[:12]}"
+    if not kept and _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of any file system Spark reaches; one that isn't there is passed over."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(conf).delete(place, True)
+
+
+@contextmanager
+def staged_scope(spark: SparkSession):
+    """Delete at the end what is staged within, also after a failure.
+
+    What is made from the staged folders must be written by then, to a path named outside:
+
+        path = staging_path(spark, "result")
+        with staged_scope(spark):
+            operator(df).write.parquet(path)
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        delete_folders(spark, made)
 
 
 def materialize(df):

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from chaintally.functions.scalar import trim_chars
 from chaintally.functions.whole import WHOLE
+from chaintally.session import delete_folders
 from chaintally.sources.lines import computed_once
 
 
@@ -48,7 +49,7 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None], keep:
     write(f"{path}/{name}")
     row = spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(name).alias("folder"))
     row.coalesce(1).write.mode("append").parquet(f"{path}/{MANIFEST}")
-    _delete(spark, [f"{path}/{folder}" for n, folder in known if n < number - keep])
+    delete_folders(spark, [f"{path}/{folder}" for n, folder in known if n < number - keep])
     return f"{path}/{name}"
 
 
@@ -68,13 +69,6 @@ def newest(spark: SparkSession, path: str) -> str:
     return f"{path}/{max(known)[1]}" if known else path
 
 
-def _delete(spark: SparkSession, folders: list[str]) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in folders:
-        place = jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(conf).delete(place, True)
-
-
 def save_result(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: str | None = None) -> str:
     """Save a full result (every row) with the DataFrame writer as a new version; return its folder."""

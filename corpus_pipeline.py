@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chaintally.llm import decontaminate, mixing, secrets, simhash_dedup, toxicity
-from chaintally.llm.common import stage, table
+from chaintally.llm.common import table
+from chaintally.session import delete_folders, staged_scope, staging_path
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The documents of the last stage; what a stage staged, and the result before it, go when its own is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = staging_path(spark, f"pipeline-{name}")
+        with staged_scope(spark):
+            kept = step(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        delete_folders(spark, before)
+        before = [path]
     return docs
