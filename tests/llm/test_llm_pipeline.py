@@ -1,6 +1,7 @@
 import importlib
 import sys
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -10,7 +11,8 @@ import __spark_entry__
 import corpus_pipeline
 from chaintally.llm import decontaminate as dc
 from chaintally.llm import mixing, secrets, simhash_dedup, toxicity
-from chaintally.llm.common import dense_index, table
+from chaintally.llm.common import dense_index, stage, table
+from chaintally.session import checkpoint_root
 from test_llm_decontaminate import plain as plain_hits
 from test_llm_mixing import plain_taken, plain_targets
 from test_llm_simhash import plain_components
@@ -87,7 +89,7 @@ def test_stages_keep_the_values_of_clashing_columns(spark, tmp_path):
     docs = spark.createDataFrame(rows, schema)
     for name, step in corpus_pipeline.STAGES:
         before = {(r.doc_id, *r[5:]) for r in docs.collect()}
-        docs = corpus_pipeline.stage(step(spark, docs, str(tmp_path)), f"clash-{name}")
+        docs = stage(step(spark, docs, str(tmp_path)), f"clash-{name}")
         after = [(r.doc_id, *r[5:]) for r in docs.collect()]
         assert docs.columns == [*COLUMNS, *CLASHES] and after and set(after) <= before
     assert any(r.doc_id == 5 and "planted" not in r.text for r in docs.collect())
@@ -111,7 +113,7 @@ def test_stages_keep_columns_and_take_edge_rows(spark, tmp_path):
     for part in (rows, []):
         docs = spark.createDataFrame(part, schema)
         for name, step in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.stage(step(spark, docs, str(tmp_path)), f"edge-{name}")
+            docs = stage(step(spark, docs, str(tmp_path)), f"edge-{name}")
             assert docs.columns == [f.split()[0] for f in schema.split(", ")]
         assert bool(docs.count()) == bool(part)
 
@@ -178,3 +180,21 @@ def test_entry_without_the_subpackage(monkeypatch):
     entry = importlib.reload(__spark_entry__)
     assert not [k for k in entry.queries() if k == "pipeline" or (k.startswith("op") and k[2].isdigit())]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_run_leaves_only_the_last_result(spark, monkeypatch):
+    """What the stages staged, and the results between, are deleted as soon as the next one is written."""
+    staged = []
+
+    def twice(spark, docs, sf_dir):
+        staged.append(stage(docs.limit(7), "within"))
+        assert staged[-1].count() == 7
+        return staged[-1].union(staged[-1])
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", twice), ("second", twice)])
+    found = corpus_pipeline.run(spark, SF)
+    assert found.count() == 14 and found.columns == COLUMNS
+    folders = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+    assert len(folders) == 1 and "pipeline-second" in folders.pop()
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    assert not [p for p in root.glob("staged-*") if p.name.startswith(("staged-within", "staged-pipeline-first"))]
