@@ -1,6 +1,8 @@
 import html
+import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from chaintally.llm import html_extract as he
@@ -175,3 +177,25 @@ def test_deep_nesting_takes_linear_time():
 
     seconds(1_000)
     assert seconds(20_000) < 60 * max(seconds(2_000), 0.02)
+
+
+def test_held_out_pages_without_telling_names():
+    """Words of main text found on pages that did not teach, with classes, ids and telling elements hidden."""
+    table = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["page_id", "html"]).sort_by("page_id")
+    pages = [p for p in table.column("html").to_pylist() if p]
+    model, reader = he.Labeller(), he.Reader()
+    model.p = he.train(pages[0::2][:100])
+    for tags in ("", "article|main|aside|nav|header|footer|section"):
+        right = wrong = missed = 0
+        for page in pages[1::2]:
+            hidden = re.sub(r"""\s(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+            hidden = re.sub(rf"<(/?)({tags})\b", r"<\1div", hidden, flags=re.I) if tags else hidden
+            known, shown = he.blocks(page), he.blocks(hidden)
+            assert [b.text for b in known] == [b.text for b in shown]
+            paths, dense = he.features(shown, reader)
+            for block, p in zip(known, model.label([paths], [dense])[0]):
+                n, main = len(block.text.split()), he.is_main(block)
+                right += n * (main and p >= 0.5)
+                wrong += n * (not main and p >= 0.5)
+                missed += n * (main and p < 0.5)
+        assert right > 10_000 and right >= 0.98 * (right + wrong) and right >= 0.98 * (right + missed)
