@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from chaintally.schemas import BLOCK_FIELDS, CONTRACT_FIELDS, TRANSACTION_FIELDS
 from chaintally.session import app_id, staging_path
+from chaintally.sources.lines import LINE, computed_once
 
 # Fixed values of the binding (the oracle SQL states the same ones).
 ONE_SIGNATURE = "0xa9059cbb"
@@ -90,7 +91,8 @@ def tx_columns(lineitem: DataFrame, recipients: str = "part") -> DataFrame:
     key = {"part": F.concat(account, _s(F.col("l_partkey"))),
            "supplier": F.concat(F.lit("s"), _s(F.col("l_suppkey")))}[recipients]
     to = F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(key)
-    return lineitem.select(
+    # a column of its own, so that it is worked out once for the parts of the time
+    return lineitem.withColumn("__shipped", _with_gaps(F.col("l_shipdate"))).select(
         F.col("l_orderkey").alias("__k"),
         F.concat(F.lit("0x"), _s(F.col("l_orderkey")), F.lit("_"), _s(F.col("l_linenumber"))).alias("hash"),
         _s(F.col("l_linenumber")).alias("nonce"),
@@ -103,7 +105,7 @@ def tx_columns(lineitem: DataFrame, recipients: str = "part") -> DataFrame:
         _s(F.col("l_quantity").cast("bigint")).alias("gas"),
         _s(_cents(F.col("l_tax"))).alias("gas_price"),
         F.lit("0x").alias("input"),
-        _s(_epoch_seconds(_with_gaps(F.col("l_shipdate")))).alias("block_timestamp"),
+        _s(_epoch_seconds(F.col("__shipped"))).alias("block_timestamp"),
         F.lit("").alias("max_fee_per_gas"),
         F.lit("").alias("max_priority_fee_per_gas"),
         F.lit("0").alias("transaction_type"),
@@ -207,33 +209,25 @@ def registry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.when(rule == 1, F.substring(doc, 1, 25)).otherwise(doc).alias("value"))
 
 
-# --- staged export files ------------------------------------------------------------------------
+# --- export files and lines ---------------------------------------------------------------------
 #
-# The export is text files, so the derived lines are written once per
-# session and table under the checkpoint root and read back with the text
-# source, as a real export would be.  Reading the files also stops the
-# optimizer from pushing every rule check into the expression that builds
-# each line (which re-built the line once per rule).
+# Questions over lines read them as they are derived, so no copy of a table is
+# written for them.  Sources that take a path get the export as gzip text files, written once
+# per session and table under the checkpoint root; a file is as large as what one task of the scan derives.
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
 def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
-    """Write lines as text files under the checkpoint root; return the folder."""
+    """Write lines as lightly compressed gzip text files under the checkpoint root; return the folder."""
     path = staging_path(spark, name, kept=True)
-    lines.write.mode("overwrite").text(path)
+    lines.write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
     return path
 
 
-def staged_lines(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Text lines of a derived export file, written on first use in this
-    application and read with ``spark.read.text`` afterwards."""
-    key = (app_id(spark), sf_dir.rstrip("/"), name)
-    path = _STAGED.get(key)
-    if path is None:
-        path = stage_text(spark, build(), name)
-        _STAGED[key] = path
-    return spark.read.text(path)
+def derived_lines(lines: DataFrame) -> DataFrame:
+    """Lines as the text source gives them (no NULL), each built once however many checks read it."""
+    return computed_once(lines, F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
 
 
 def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -279,13 +273,20 @@ def _table_name(path: str) -> str:
 
 
 def export_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Folder of a staged export file (written on first use)."""
-    export_lines(spark, sf_dir, name)
-    return _STAGED[(app_id(spark), sf_dir.rstrip("/"), name)]
+    """Folder of a staged export file (written on first use in this application)."""
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
+    if key not in _STAGED:
+        _STAGED[key] = stage_text(spark, _export(spark, sf_dir, name), name)
+    return _STAGED[key]
 
 
 def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Staged export files: tx_part, tx_supplier, tx_part_header, contracts,
+    """The lines of an export file, derived where they are read."""
+    return derived_lines(_export(spark, sf_dir, name))
+
+
+def _export(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lines of tx_part, tx_supplier, tx_part_header, contracts,
     contracts_header, blocks, blocks_header, registry."""
     builders = {
         "tx_part": lambda: tx_lines(spark, sf_dir, "part"),
@@ -297,4 +298,4 @@ def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "blocks_header": lambda: with_header(spark, block_lines(spark, sf_dir), BLOCK_FIELDS),
         "registry": lambda: registry_lines(spark, sf_dir),
     }
-    return staged_lines(spark, sf_dir, name, builders[name])
+    return builders[name]()
