@@ -23,6 +23,8 @@ from chaintally.schemas import AMOUNT, GAS, MAX_EPOCH, MIN_EPOCH, WEI
 # Accepted number and integer text (leading/trailing blanks ok).
 NUMBER_PATTERN = r"^\s*[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+# Whole numbers of up to 19 digits, as many as a bigint has, after leading zeros.
+LONG_PATTERN = r"^\s*[+-]?0*\d{1,19}\s*$"
 # The same for the published jobs' conversions.
 _DIGITS = r"\d(_?\d)*"
 NUMBER_COMPAT = rf"^\s*[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\s*$"
@@ -75,7 +77,8 @@ def parse_wei(c) -> Column:
 def parse_long(c) -> Column:
     """Integer text to bigint; NULL unless ``is_integer`` or on overflow."""
     c = _col(c)
-    return F.when(is_integer(c), _try_cast(c, "bigint"))
+    # a cast that overflows raises and catches an error, so no number too long for the type gets there
+    return F.when(c.rlike(LONG_PATTERN), _try_cast(c, "bigint"))
 
 
 def parse_double(c) -> Column:

@@ -23,6 +23,8 @@ SUM = "decimal(38,0)"
 WHOLE = {"number": "whole"}
 # Fixed value: the parts of whole-number text that are kept, sign and digits.
 _CANONICAL = r"^\s*\+?(-?)0*(\d+)\s*$"
+# Fixed value: canonical text that is not negative.
+_PLAIN = r"\A(0|[1-9][0-9]*)\z"
 
 
 def _col(c) -> Column:
@@ -33,7 +35,8 @@ def parse_whole(c) -> Column:
     """Integer text of any length as canonical text; NULL unless ``is_integer``."""
     c = _col(c)
     kept = F.regexp_replace(c, _CANONICAL, "$1$2")
-    return F.when(is_integer(c), F.when(kept == "-0", F.lit("0")).otherwise(kept))
+    # most numbers stand as they are kept, and need no second pattern
+    return F.when(c.rlike(_PLAIN), c).when(is_integer(c), F.when(kept == "-0", F.lit("0")).otherwise(kept))
 
 
 def limbs(whole) -> Column:
@@ -49,7 +52,9 @@ def limbs(whole) -> Column:
         start = F.greatest(end - LIMB, F.lit(0))
         return (F.substring(digits, start + 1, end - start).cast(PART) * sign).cast(PART)
 
-    return F.transform(F.sequence(F.lit(0), F.ceil(size / LIMB).cast("int") - 1), limb)
+    # a number of one limb needs no loop
+    return F.when(size <= LIMB, F.array(whole.cast(PART))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.ceil(size / LIMB).cast("int") - 1), limb))
 
 
 def _carried(sums: Column) -> Column:
