@@ -225,11 +225,6 @@ def stage_text(spark: SparkSession, lines: DataFrame, name: str) -> str:
     return path
 
 
-def derived_lines(lines: DataFrame) -> DataFrame:
-    """Lines as the text source gives them (no NULL), each built once however many checks read it."""
-    return computed_once(lines, F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
-
-
 def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parsed Parquet table of a staged export file (tx_part, tx_supplier,
     blocks), ingested once per application: the text is parsed one time."""
@@ -238,7 +233,7 @@ def ingested(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (app_id(spark), sf_dir.rstrip("/"), name + "@parquet")
     path = _STAGED.get(key)
     if path is None:
-        lines = export_lines(spark, sf_dir, name)
+        lines = derived_lines(spark, sf_dir, name)
         parsed = parsed_blocks(lines) if name.startswith("blocks") else parsed_transactions(lines)
         path = staging_path(spark, name + "-parquet", kept=True)
         ingest_parsed(parsed, path)
@@ -281,8 +276,13 @@ def export_path(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def export_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The lines of an export file, derived where they are read."""
-    return derived_lines(_export(spark, sf_dir, name))
+    """The lines of a staged export file."""
+    return spark.read.text(export_path(spark, sf_dir, name))
+
+
+def derived_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same lines, derived where they are read: as the text source gives them (no NULL), each built once however many checks read it."""
+    return computed_once(_export(spark, sf_dir, name), F.coalesce(F.col(LINE), F.lit("")).alias(LINE))
 
 
 def _export(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -68,11 +68,11 @@ def _double(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _txp(spark, d):
-    return B.export_lines(spark, d, "tx_part")
+    return B.derived_lines(spark, d, "tx_part")
 
 
 def _txs(spark, d):
-    return B.export_lines(spark, d, "tx_supplier")
+    return B.derived_lines(spark, d, "tx_supplier")
 
 
 def _staged_path(spark, d, name):
@@ -84,23 +84,23 @@ def _registry(spark, d):
 
 
 def _contracts(spark, d):
-    return B.export_lines(spark, d, "contracts")
+    return B.derived_lines(spark, d, "contracts")
 
 
 def _blocks(spark, d):
-    return B.export_lines(spark, d, "blocks")
+    return B.derived_lines(spark, d, "blocks")
 
 
 def _contracts_with_header(spark, d):
-    return B.export_lines(spark, d, "contracts_header")
+    return B.derived_lines(spark, d, "contracts_header")
 
 
 def _blocks_with_header(spark, d):
-    return B.export_lines(spark, d, "blocks_header")
+    return B.derived_lines(spark, d, "blocks_header")
 
 
 def _tx_with_header(spark, d):
-    return B.export_lines(spark, d, "tx_part_header")
+    return B.derived_lines(spark, d, "tx_part_header")
 
 
 # --- sources -----------------------------------------------------------------------

@@ -46,7 +46,7 @@ def test_staged_files_are_compressed_and_hold_the_derived_lines(spark, tables, n
     path = B.export_path(spark, tables, name)
     files = glob.glob(path.removeprefix("file:") + "/part-*")
     assert files and all(f.endswith(".txt.gz") for f in files)
-    from_files, derived = spark.read.text(path).collect(), B.export_lines(spark, tables, name).collect()
+    from_files, derived = spark.read.text(path).collect(), B.derived_lines(spark, tables, name).collect()
     assert sorted(r.value for r in from_files) == sorted(r.value for r in derived)
 
 
