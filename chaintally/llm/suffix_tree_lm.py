@@ -7,11 +7,16 @@ word diverges from its parent's (the context without its oldest word) by more th
 retained context's distribution is smoothed with its parent's, weighted by its
 number of different next words, and a text is scored word by word from the longest retained suffix of what precedes.
 
-Scale.  All counts cover all words of all training texts: words and grams (a context
-and its next word) are counted in tasks, summed by Spark and written.  Each depth is two tables, of grams and of
-retained contexts, that grow with the input and are joined by gram and by context.  Only what is broadcast is
-bounded by shares of the corpus: words of at least ``WORD_SHARE`` of all tokens and grams of at least ``HEAD_SHARE``
-are scored where they are read; all others meet the same tables by joins.
+Scale.  All counts cover all words of all training texts.  ``score`` cuts the texts into chunks of about ``CHUNK_TOKENS``
+and sends each chunk's different words, then at each depth its different grams (a context and its next word), as packed numbers to the
+tasks that count them; these sum over all chunks, test the contexts and answer with counts, from which the chunk takes its
+tokens' probabilities.  Words and grams are numbered by the tasks that count them, so a gram is two numbers at any
+depth: its context's and its next word's.  A gram is sent only if its context occurs ``MIN_CONTEXT`` times in all
+training texts, which the depth before has told.  A context with more than half a task's share of all tokens is dealt to several
+tasks by next word, and the chunk adds up their parts.  Nothing is broadcast, and the driver sees no more than the size of all texts.
+
+``learn`` gives the caller the frequent part of the same tree, of words of at least ``WORD_SHARE`` and grams of at least
+``HEAD_SHARE`` of all tokens, from tables that hold all of them.
 
 Defined cases: a null text is empty (only its end is a token); a null doc_id is in fold 0, thus
 learned from; repeated rows count as often as they stand; without training
@@ -21,17 +26,21 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
-from itertools import chain, compress, repeat
+from itertools import chain, pairwise, repeat
 from math import log10
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chaintally.llm.common import fold, parts, stage, table, text_bytes, words
+from chaintally.llm.packed import packed, steps, unpacked
 
 MAX_DEPTH = 2
 MIN_CONTEXT = 2
@@ -39,6 +48,10 @@ WORD_SHARE = 2e-6
 HEAD_SHARE = 4e-6
 # Distinct words a task holds before it hands its counts on.
 HELD_WORDS = 250_000
+# Tokens of a chunk, or few more; a longer text is a chunk of its own.
+CHUNK_TOKENS = 750_000
+# Bytes of text for each counting task, at most.
+TASK_BYTES = 32 << 20
 END = b""
 # Stands before the first word of a text; no word holds white space.
 START = b"\n"
@@ -269,98 +282,336 @@ def log_gain(tree: Tree, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return resolve(tree, numbers, sizes)[0]
 
 
-def _first_scores(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Sums over the words of the vocabulary, and the other words with their times, per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+# What moves between tasks as (key, (level, sender, part, payload)): a chunk's texts; its words or grams, to the task that
+# counts them; and that task's answers, back to the chunk.
+TEXTS, WORDS = -2, -1
+
+
+def _place(key: int) -> int:
+    return key
+
+
+def _spread(ids: np.ndarray) -> np.ndarray:
+    """Evenly spread non-negative numbers of ids."""
+    return ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in order, a place of each, and each place's number among them."""
+    order = np.argsort(keys)
+    held = keys[order]
+    new = np.ones(len(held), dtype=bool)
+    np.not_equal(held[1:], held[:-1], out=new[1:])
+    which = np.empty(len(held), dtype=np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return held[new], order[new], which
+
+
+def _retained(types: np.ndarray, total: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Whether contexts pass the tests; ``told`` is the sum of n * ln(n / parent) over a context's grams."""
+    least = np.log(np.maximum(total, 1))
+    return (total >= MIN_CONTEXT) & (told - total * least >= 0.5 * (types + 1) * least)
+
+
+def _chunks(tasks: int):
+    """Cuts the texts of a task into chunks: a row of each one's numbered tokens, and a row of its words for every counting task."""
     def run(batches):
-        tree = shared.value
-        log_count = np.log10(tree.counts + 1.0)
+        number, serial = TaskContext.get().partitionId(), 0
+        lines, sizes, ids, teaches = [], [], [], []
+
+        def handed():
+            coded = pa.chunked_array(lines).combine_chunks().dictionary_encode()
+            code = coded.indices.to_numpy()
+            learned = np.repeat(np.array(teaches, dtype=bool), sizes)
+            often = np.argsort(-np.bincount(code), kind="stable")
+            rank = np.empty_like(often)
+            rank[often] = np.arange(len(often))
+            n = np.bincount(code, weights=learned, minlength=len(often)).astype(np.int64)[often]
+            word = coded.dictionary.take(pa.array(often))
+            target = np.fromiter(map(crc32, word.to_pylist()), dtype=np.int64, count=len(word)) % tasks
+            known = np.array([i is not None for i in ids])
+            numbers = np.array([i or 0 for i in ids], dtype=np.int64).view(np.uint64)
+            yield -1, packed(rank[code], np.array(sizes), numbers, known, np.array(teaches), target)
+            order = np.argsort(target, kind="stable")
+            word, n = word.take(pa.array(order)), n[order]
+            ends = np.frombuffer(word.buffers()[1], dtype=np.int64, count=len(word) + 1)
+            joined = np.frombuffer(word.buffers()[2], dtype=np.uint8, count=ends[-1]) if ends[-1] else np.empty(0, dtype=np.uint8)
+            cuts = np.searchsorted(target[order], np.arange(tasks + 1)).tolist()
+            for k, (s, e) in enumerate(pairwise(cuts)):
+                yield k, packed(joined[ends[s]:ends[e]], np.diff(ends[s:e + 1]), n[s:e])
+
+        def rows():
+            for target, payload in handed():
+                yield pa.RecordBatch.from_arrays([pa.array([number], type=pa.int32()), pa.array([serial], type=pa.int32()), pa.array([target], type=pa.int32()),
+                                                  pa.array([payload], type=pa.binary())], names=["task", "serial", "target", "payload"])
+
+        held = 0
         for batch in parts(batches):
-            flat, numbers, sizes = tree.number(text_bytes(batch))
-            starts = np.cumsum(sizes) - sizes
-            held = numbers >= 0
-            gain, sure = resolve(tree, numbers, sizes)
-            sums = [np.add.reduceat(x, starts) for x in (
-                held.astype(np.int64), np.where(held, log_count[numbers] if len(log_count) else 0.0, 0.0), gain)]
-            tails, times, offsets = [], [], [0]
-            rare = np.flatnonzero(~held)
-            cuts = np.searchsorted(rare, np.append(starts, len(numbers)))
-            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if e > s:
-                    tail = Counter(map(flat.__getitem__, rare[s:e].tolist()))
-                    tails += tail
-                    times += tail.values()
-                offsets.append(len(tails))
-            kept, kept_times, kept_offsets = [], [], [0]
-            for s, n in zip(starts.tolist(), sizes.tolist()):
-                if not sure[s:s + n].all():
-                    left = Counter(compress(grams(flat[s:s + n], len(tree.levels)), (~sure[s:s + n]).tolist()))
-                    kept += left
-                    kept_times += left.values()
-                kept_offsets.append(len(kept))
-            left_over = pa.StructArray.from_arrays(
-                [pa.array(kept, type=pa.binary()), pa.array([g.count(b" ") + 1 for g in kept], type=pa.int32()),
-                 pa.array(kept_times, type=pa.int64())], names=["gram", "size", "times"])
-            pairs = pa.StructArray.from_arrays([pa.array(tails, type=pa.binary()), pa.array(times, type=pa.int64())], names=["token", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes), *map(pa.array, sums),
-                 pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pairs),
-                 pa.ListArray.from_arrays(pa.array(kept_offsets, type=pa.int32()), left_over)],
-                names=["row", "doc_id", "n_tokens", "n_often", "log_often", "gain", "tail", "grams"])
-
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return numbered.mapInArrow(run, "row long, doc_id long, n_tokens long, n_often long, log_often double, gain double, "
-                                    "tail array<struct<token: binary, times: long>>, grams array<struct<gram: binary, size: int, times: long>>")
-
-
-def _tail_gains(scored: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(row, tail_gain) of the tokens the head doesn't tell, from the tables of each depth, deepest first."""
-    tail = scored.select("row", F.explode("grams").alias("g")).select(
-        "row", F.col("g.gram").cast("string").alias("gram"), "g.size", "g.times", F.lit(0.0).alias("weight"))
-    missed, sums = None, []
-    for depth in range(len(levels), 0, -1):
-        of_grams, contexts = levels[depth - 1]
-        here = tail.where(F.col("size") == depth + 1).select("row", "gram", "times", "weight")
-        here = here if missed is None else here.unionByName(missed)
-        met = here.join(of_grams.select("gram", F.log10(F.col("p") / F.col("root")).alias("told")), "gram", "left")
-        # a row's grams that were never met stay with it for the next shorter context
-        met = stage(met.groupBy("row").agg(
-            F.sum(F.col("times") * (F.col("weight") + F.col("told"))).alias("found"),
-            F.collect_list(F.when(F.col("told").isNull(), F.struct("gram", "times", "weight"))).alias("missed")), f"lm-met-{depth}")
-        sums.append(met.select("row", F.col("found").alias("part")))
-        rest = met.select("row", F.explode("missed").alias("m")).select("row", "m.*").withColumn("context", _context(depth))
-        missed = rest.join(contexts, "context", "left").select(
-            "row", _without_oldest(depth).alias("gram"), "times", (F.col("weight") + F.coalesce("log_weight", F.lit(0.0))).alias("weight"))
-    if missed is not None:
-        sums.append(missed.select("row", (F.col("times") * F.col("weight")).alias("part")))
-    parts_ = sums[0]
-    for more in sums[1:]:
-        parts_ = parts_.union(more)
-    return parts_.groupBy("row").agg(F.sum("part").alias("tail_gain"))
+            line = []
+            for raw, doc_id, teach in zip(text_bytes(batch), batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                tokens = [START, *words(raw), END]
+                line += tokens
+                sizes.append(len(tokens))
+                ids.append(doc_id)
+                teaches.append(teach)
+                if held + len(line) >= CHUNK_TOKENS:
+                    lines.append(pa.array(line, type=pa.large_binary()))
+                    yield from rows()
+                    serial, held = serial + 1, 0
+                    for x in (line, lines, sizes, ids, teaches):
+                        x.clear()
+            held += len(line)
+            lines.append(pa.array(line, type=pa.large_binary()))
+        if held:
+            yield from rows()
+        # the worker may wait for long with what it holds
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _by_key(rows) -> dict[int, list]:
+    """(level, sender, part, payload) of each key, in a fixed order."""
+    found = defaultdict(list)
+    for key, value in rows:
+        found[key].append(value)
+    for own in found.values():
+        own.sort(key=lambda x: x[:3])
+    return found
+
+
+def _count_words(tasks: int):
+    """Answers each chunk's words with their numbers and counts over all texts, and with the sums over all words."""
+    def run(rows):
+        for key, asked in _by_key(rows).items():
+            asked = [(sender, unpacked(payload)) for level, sender, _, payload in asked if level == WORDS]
+            if not asked:
+                continue
+            ends = [np.concatenate([[0], np.cumsum(lengths)]) for _, (_, lengths, _) in asked]
+            arrays = [pa.Array.from_buffers(pa.large_binary(), len(e) - 1, [None, pa.py_buffer(e.astype(np.int64)), pa.py_buffer(joined.astype(np.uint8))])
+                      for e, (_, (joined, _, _)) in zip(ends, asked)]
+            coded = pa.chunked_array(arrays).combine_chunks().dictionary_encode()
+            at = coded.indices.to_numpy()
+            c = np.bincount(at, weights=np.concatenate([n for _, (_, _, n) in asked]), minlength=len(coded.dictionary)).astype(np.int64)
+            rank = np.empty(len(c), dtype=np.int64)
+            rank[np.argsort(-c, kind="stable")] = np.arange(len(c))
+            # the start of a text is a context word, but no token
+            tokens = np.where(pc.equal(coded.dictionary, pa.scalar(START, pa.large_binary())).to_numpy(zero_copy_only=False), 0, c)
+            sums = np.array([tokens.sum(), (tokens > 0).sum()])
+            cuts = np.cumsum([len(e) - 1 for e in ends])
+            for (sender, _), own in zip(asked, np.split(at, cuts[:-1])):
+                yield sender, (WORDS, key, 0, packed(rank[own], c[own], sums))
+
+    return run
+
+
+def _count_grams(tasks: int, last: bool):
+    """Answers each chunk's grams with their counts over all texts, the numbers of those that may be contexts, and what is retained."""
+    def run(rows):
+        for key, asked in _by_key(rows).items():
+            blocks = [unpacked(payload) for *_, payload in asked]
+            ids, _, at = _distinct(np.concatenate([np.cumsum(b[0]) for b in blocks]))
+            at = at.astype(np.int64)
+            context = np.repeat(at, np.concatenate([b[1] for b in blocks]))
+            word = np.concatenate([b[3] for b in blocks])
+            if len(word) and int(word.max()).bit_length() + len(ids).bit_length() > 62:
+                word = np.unique(word, return_inverse=True)[1]
+            bits = int(word.max()).bit_length() if len(word) else 0
+            gram, _, which = _distinct(context << bits | word)
+            n = np.bincount(which, weights=np.concatenate([b[4] for b in blocks]), minlength=len(gram)).astype(np.int64)
+            context = gram >> bits
+            total = np.bincount(context, weights=n, minlength=len(ids)).astype(np.int64)
+            types = np.bincount(context, weights=n > 0, minlength=len(ids)).astype(np.int64)
+            told = np.bincount(context, weights=n * np.log(np.maximum(n, 1)), minlength=len(ids))
+            told -= np.bincount(at, weights=np.concatenate([b[2] for b in blocks]), minlength=len(ids))
+            kept = np.where(_retained(types, total, told), types, 0)
+            number = np.cumsum(n >= MIN_CONTEXT) - 1
+            done = done_grams = 0
+            for (level, sender, part, _), block in zip(asked, blocks):
+                own = at[done:done + len(block[0])]
+                grams_ = which[done_grams:done_grams + len(block[3])]
+                done, done_grams = done + len(own), done_grams + len(grams_)
+                if part:
+                    # other tasks hold further grams of these contexts: the chunk adds up
+                    about = [types[own], total[own], told[own]]
+                else:
+                    about = [kept[own], total[own][kept[own] > 0]]
+                if last and not part:
+                    about.append(n[grams_[np.repeat(kept[own] > 0, block[1])]])
+                else:
+                    about.append(n[grams_])
+                if not last:
+                    about.append(steps(number[grams_[n[grams_] >= MIN_CONTEXT]]))
+                yield sender, (level, key, part, packed(*about))
+
+    return run
+
+
+class _Chunk:
+    """Texts as numbers, and each token's probability as far as answers go."""
+
+    def __init__(self, tasks: int, texts: bytes, answers: list):
+        self.tasks = tasks
+        code, self.sizes, ids, known, teaches, target = unpacked(texts)
+        self.ids = [i if k else None for i, k in zip(ids.view(np.int64).tolist(), known.tolist())]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.learned = np.repeat(teaches > 0, self.sizes)
+        answers = [(key, *unpacked(payload)) for key, payload in answers]
+        self.tokens, self.distinct = (int(x) for x in sum(sums for *_, sums in answers))
+        order = np.argsort(target, kind="stable")
+        number, c = np.empty_like(target), np.empty_like(target)
+        number[order] = np.concatenate([rank * tasks + key for key, rank, _, _ in answers])
+        c[order] = np.concatenate([c for _, _, c, _ in answers])
+        # words by number, so that grams are in the order of their numbers too
+        by = np.argsort(number)
+        rank = np.empty_like(by)
+        rank[by] = np.arange(len(by))
+        self.word, self.numbers, self.c = rank.astype(np.int32)[code], number[by], c[by]
+        self.p = ((self.c + 1) / (self.tokens + self.distinct + 1))[self.word]
+        self._follow(self.word, self.numbers, self.c)
+
+    def _follow(self, ending: np.ndarray, ids: np.ndarray, n: np.ndarray):
+        """The gram ending at each token (-1: none) is the next one's context, if seen often enough."""
+        before = np.empty_like(ending)
+        before[1:] = ending[:-1]
+        before[self.starts] = -1
+        before[before >= 0] = np.where(n[before[before >= 0]] >= MIN_CONTEXT, before[before >= 0], -1)
+        self.before, self.ids_before, self.n_before = before, ids, n
+
+    def ask(self):
+        """Finds the different grams and deals them by context; a context of many grams is dealt to several tasks by next word too."""
+        self.at = np.flatnonzero(self.before >= 0).astype(np.int32)
+        gram, first, which = _distinct(self.before[self.at].astype(np.int64) << 32 | self.word[self.at])
+        context, word = gram >> 32, gram & 0xFFFFFFFF
+        n = np.bincount(which, weights=self.learned[self.at], minlength=len(gram)).astype(np.int64)
+        parent = self.p[self.at[first]]
+        new = np.diff(context, prepend=-1) > 0
+        used = context[new]
+        share = np.clip(-(-2 * self.tasks * self.n_before[used] // max(self.tokens, 1)), 1, self.tasks)
+        offset = np.cumsum(share) - share
+        own = np.cumsum(new) - 1
+        group = offset[own] + np.where(share[own] > 1, _spread(self.numbers[word] + 1) % share[own], 0)
+        in_groups = np.argsort(group, kind="stable") if (share > 1).any() else np.arange(len(group))
+        sizes = np.bincount(group, minlength=int(share.sum()))
+        told = np.bincount(group, weights=n * np.log(parent), minlength=len(sizes))
+        held = np.repeat(used, share)
+        split = np.repeat(share > 1, share)
+        piece = np.arange(len(held)) - np.repeat(offset, share)
+        slot = (_spread(self.ids_before[held] + 1) + piece) % self.tasks * 2 + split
+        by_slot = np.argsort(slot.astype(np.min_scalar_type(2 * self.tasks)), kind="stable")
+        ends = np.cumsum(sizes)
+        length = sizes[by_slot]
+        place = np.arange(len(gram)) + np.repeat((ends - sizes)[by_slot] - (np.cumsum(length) - length), length)
+        self.order = in_groups[place]
+        self.slot, self.held, self.split, self.length = slot[by_slot], held[by_slot], split[by_slot], length
+        self.context, self.gram_word, self.n, self.parent, self.which, self.told = context, word, n, parent, which, told[by_slot]
+
+    def blocks(self):
+        """(task, part, payload) of what ``ask`` found."""
+        ids, word, n = self.ids_before[self.held], self.numbers[self.gram_word][self.order], self.n[self.order]
+        ends = np.concatenate([[0], np.cumsum(self.length)])
+        slots, starts = np.unique(self.slot, return_index=True)
+        for slot, s, e in zip(slots.tolist(), starts.tolist(), [*starts[1:].tolist(), len(self.slot)]):
+            g = slice(ends[s], ends[e])
+            yield slot >> 1, slot & 1, packed(steps(ids[s:e]), self.length[s:e], self.told[s:e], word[g], n[g])
+
+    def hear(self, answers: list, last: bool):
+        """Smooths each token's probability with its context's, where that is retained."""
+        n, number = np.zeros(len(self.order), dtype=np.int64), np.full(len(self.order), -1, dtype=np.int64)
+        types, total, told = (np.zeros(len(self.slot)) for _ in range(3))
+        ends = np.concatenate([[0], np.cumsum(self.length)])
+        for key, part, payload in answers:
+            s, e = np.searchsorted(self.slot, [key * 2 + part, key * 2 + part + 1])
+            got = iter(unpacked(payload))
+            own = n[ends[s]:ends[e]]
+            types[s:e] = next(got)
+            if part:
+                total[s:e], told[s:e] = next(got), next(got)
+            else:
+                total[s:e][types[s:e] > 0] = next(got)
+            if last and not part:
+                own[np.repeat(types[s:e] > 0, self.length[s:e])] = next(got)
+            else:
+                own[:] = next(got)
+            if not last:
+                number[ends[s]:ends[e]][own >= MIN_CONTEXT] = np.cumsum(next(got)) * self.tasks + key
+        contexts = len(self.ids_before)
+        types, total, told, split = (np.bincount(self.held, weights=x, minlength=contexts) for x in (types, total, told, self.split))
+        types = np.where((split > 0) & ~_retained(types, total, told), 0, types)
+        counted = np.empty_like(n)
+        counted[self.order] = n
+        types, total = types[self.context], total[self.context]
+        p = np.where(types > 0, (counted + types * self.parent) / np.maximum(total + types, 1), self.parent)
+        self.p = self.p.copy()
+        self.p[self.at] = p[self.which]
+        if last:
+            return
+        numbered = np.empty_like(number)
+        numbered[self.order] = number
+        ids, first, rank = _distinct(numbered)
+        none = int(len(ids) > 0 and ids[0] < 0)
+        often = counted[first]
+        ending = np.full(len(self.word), -1, dtype=np.int32)
+        ending[self.at] = rank[self.which] - none
+        self._follow(ending, ids[none:], often[none:])
+
+    def scores(self):
+        """A row for each text."""
+        token = np.ones(len(self.word), dtype=bool)
+        token[self.starts] = False
+        total = self.tokens + self.distinct + 1
+        sums = [np.add.reduceat(np.where(token, x, 0), self.starts).tolist() for x in (
+            (self.c > 0).astype(np.int64)[self.word], np.log10(self.c + 1.0)[self.word], np.log10(self.p / ((self.c + 1) / total)[self.word]))]
+        for doc_id, size, n_known, log_count, gain in zip(self.ids, self.sizes.tolist(), *sums):
+            base = log_count - (size - 1) * log10(total)
+            yield doc_id, size - 1, n_known, self.tokens, base, base + gain
+
+
+def _chunks_heard(tasks: int, heard: int, depth: int):
+    """Takes in the answers of ``heard`` depths; then asks for the next depth's grams, or gives the scores."""
+    def run(rows):
+        for key, own in _by_key(rows).items():
+            of = defaultdict(list)
+            for level, sender, part, payload in own:
+                of[level].append((sender, payload) if level == WORDS else (sender, part, payload))
+            if not of[TEXTS]:
+                continue
+            chunk = _Chunk(tasks, of[TEXTS][0][-1], of[WORDS])
+            for level in range(1, heard + 1):
+                chunk.ask()
+                chunk.hear(of[level], level == depth)
+            if heard == depth:
+                yield from chunk.scores()
+            else:
+                chunk.ask()
+                for task, part, payload in chunk.blocks():
+                    yield task, (heard + 1, key, part, payload)
+
+    return run
 
 
 def score(docs: DataFrame, teaches: Column, max_depth: int = MAX_DEPTH) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every document; learns from rows that ``teaches`` selects."""
-    texts = docs.where(teaches).select("text")
-    counts = stage(word_counts(texts), "lm-words")
-    levels = grow(texts, counts, max_depth)
-    tree = head(counts, levels)
-    scored = stage(_first_scores(docs, tree), "lm-scores")
-    tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.times")
-    rare = counts.where(F.col("c") < WORD_SHARE * tree.tokens)
-    met = tail.join(rare, "token").groupBy("row").agg(
-        F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("log_rare"))
-    total = log10(tree.tokens + tree.distinct + 1)
-    base = F.col("log_often") + F.coalesce("log_rare", F.lit(0.0)) - F.col("n_tokens") * F.lit(total)
-    gain = F.col("gain")
-    found = scored.drop("tail", "grams").join(met, "row", "left")
-    if not tree.whole:
-        found = found.join(_tail_gains(scored, levels), "row", "left")
-        gain = gain + F.coalesce("tail_gain", F.lit(0.0))
-    return found.select(
-        "doc_id", "n_tokens", (F.col("n_often") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"))
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(teaches, F.lit(False)).alias("teaches"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+
+    def dealt(rdd):
+        return rdd.partitionBy(tasks, _place)
+
+    read = texts.mapInArrow(_chunks(tasks), "task int, serial int, target int, payload binary").rdd
+    width = read.getNumPartitions()
+    # a chunk's key is a number of its own; its texts and its words move in one exchange
+    first = dealt(read.map(lambda r: (r["task"] + r["serial"] * width, (TEXTS, 0, 0, bytes(r["payload"]))) if r["target"] < 0 else (
+        r["target"], (WORDS, r["task"] + r["serial"] * width, 0, bytes(r["payload"])))))
+    held = first.filter(lambda x: x[1][0] == TEXTS).union(dealt(first.mapPartitions(_count_words(tasks))))
+    for depth in range(max_depth):
+        asked = dealt(dealt(held).mapPartitions(_chunks_heard(tasks, depth, max_depth)))
+        held = held.union(dealt(asked.mapPartitions(_count_grams(tasks, depth + 1 == max_depth))))
+    # what belongs to a chunk is in one partition already, so dealing ``held`` moves nothing
+    found = dealt(held).mapPartitions(_chunks_heard(tasks, max_depth, max_depth))
+    return spark.createDataFrame(found, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double", verifySchema=False)
 
 
 def op9_suffix_tree_lm(spark, sf_dir: str) -> DataFrame:
