@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 import re
 import zlib
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from chaintally.llm import suffix_tree_lm as lm
 from chaintally.llm.common import fold
+from chaintally.llm.packed import packed, steps, unpacked
+from chaintally.session import checkpoint_root
 
 SCHEMA = "doc_id long, text string, score string"
 
@@ -109,3 +112,43 @@ def test_held_out_tail_backs_off_as_the_head_does(spark, monkeypatch):
     whole = sorted((str(r.doc_id), round(r.score, 6)) for r in lm.score(docs, teaches, 3).collect())
     monkeypatch.setattr(lm, "HEAD_SHARE", 1e-3)
     assert sorted((str(r.doc_id), round(r.score, 6)) for r in lm.score(docs, teaches, 3).collect()) == whole
+
+
+@pytest.mark.parametrize("depth", [0, 2, 3])
+def test_scores_are_those_of_the_whole_tree(spark, monkeypatch, depth):
+    rows = corpus(120)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    teaches = fold(F.col("doc_id"), 7) != 2
+    learned = docs.where(teaches)
+    tree = lm.learn(learned, lm.stage(lm.word_counts(learned), "t"), depth)
+    assert tree.whole
+    want = collections.Counter()
+    for i, text, _ in rows:
+        _, numbers, sizes = tree.number([(text or "").encode()])
+        want[i, round(float(lm.log_gain(tree, numbers, sizes).sum()), 6) + 0.0] += 1
+    # many small chunks, and contexts dealt to several tasks ("the old" has most tokens)
+    for most in (200, 10_000_000):
+        monkeypatch.setattr(lm, "CHUNK_TOKENS", most)
+        got = lm.score(docs, teaches, depth).collect()
+        assert collections.Counter((r.doc_id, round(r.score - r.base_score, 6) + 0.0) for r in got) == want
+
+
+def test_no_table_of_grams_is_written(spark):
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    assert lm.score(spark.createDataFrame(corpus(20), SCHEMA), F.lit(True)).count() == 26
+    assert not [x for x in set(os.listdir(root)) - before if "lm-" in x]
+
+
+def test_packed_arrays_come_back():
+    ids = np.sort(np.random.default_rng(1).choice(1 << 40, 1000)).astype(np.int64)
+    arrays = [ids, np.arange(1000) % 3, np.empty(0, dtype=np.int64), np.array([-0.5, 0.0, 1e300]), np.array([True, False]),
+              np.array([-1, 1 << 62], dtype=np.int64).view(np.uint64)]
+    raw = packed(steps(arrays[0]), *arrays[1:])
+    got = unpacked(raw)
+    assert np.array_equal(np.cumsum(got[0]), ids)
+    assert got[5].tolist() == [-1, 1 << 62]
+    for a, b in zip(arrays[1:5], got[1:5]):
+        assert np.array_equal(a, b)
+    # a number takes no more bytes than its array's largest
+    assert len(raw) < 1000 * 6
